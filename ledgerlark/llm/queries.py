@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec
+from ledgerlark.llm import bpe_codec, license_scan, preference_format, url_rules
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,30 @@ def registered(query):
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of each document."""
     return bpe_codec.encode(table(spark, sf_dir, "documents"), "word_bpe_49k.json", outputs=("digests",))
+
+
+@registered
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence places and labels of each document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's url."""
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op6_url_rules"] = url_rules.ORACLE_SQL
+
+
+@registered
+def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of each pair; a mask's spans as start-end, comma-joined."""
+    pairs = preference_format.format_pairs(table(spark, sf_dir, "conversations"))
+    for name in ("chosen_mask", "rejected_mask"):
+        pairs = pairs.withColumn(name, F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"], s["end"])), ","))
+    return pairs
+
+
+ORACLES["op10_preference_format"] = preference_format.ORACLE_SQL
