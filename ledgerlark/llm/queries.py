@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec, license_scan, preference_format, url_rules
-from ledgerlark.llm.common import table
+from ledgerlark.llm import bpe_codec, license_scan, line_crf, preference_format, toxicity, url_rules
+from ledgerlark.llm.common import split_rule, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,21 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_preference_format"] = preference_format.ORACLE_SQL
+
+
+@registered
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document; labels of the held-out fold are never learnt."""
+    docs, held_out = table(spark, sf_dir, "documents"), split_rule("doc_id", 4) == 2
+    model = line_crf.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = line_crf.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@registered
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document; labels of the held-out fold are never learnt."""
+    docs, held_out = table(spark, sf_dir, "documents"), split_rule("doc_id", 5) == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
