@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec, license_scan, line_crf, preference_format, toxicity, url_rules
+from ledgerlark.llm import bpe_codec, decontaminate, license_scan, line_crf, preference_format, toxicity, url_rules
 from ledgerlark.llm.common import split_rule, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@registered
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each contaminated document with each item it holds."""
+    return decontaminate.regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
