@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec, decontaminate, license_scan, line_crf, preference_format, toxicity, url_rules
+from ledgerlark.llm import bpe_codec, decontaminate, jaccard_join, license_scan, line_crf, neural_partitions, preference_format, toxicity, url_rules
 from ledgerlark.llm.common import split_rule, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each contaminated document with each item it holds."""
     return decontaminate.regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op2_neural_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of each vector whose id is divisible by 20."""
+    return neural_partitions.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@registered
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of each document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
