@@ -307,7 +307,7 @@ def encoded_batch(tool: Codec, batch: pa.RecordBatch, outputs: tuple[str, ...])
         names.append(" ".join([g[2] for g in got if g[0]]))
     cols: dict[str, pa.Array] = {"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
     if "ids" in outputs:
-        cols["ids"] = pa.array([np.array(x.split(" "), np.int32) if x else np.zeros(0, np.int32) for x in ids], pa.list_(pa.int32()))
+        cols["ids"] = pa.array([np.fromstring(x, np.int32, sep=" ") for x in ids], pa.list_(pa.int32()))
     if "decoded" in outputs:
         cols["decoded"] = pa.array(names, pa.string())
     if "digests" in outputs:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec, decontaminate, jaccard_join, license_scan, line_crf, neural_partitions, preference_format, toxicity, url_rules
+from ledgerlark.llm import bpe_codec, decontaminate, jaccard_join, license_scan, line_crf, neural_partitions, preference_format, suffix_dedup, toxicity, url_rules
 from ledgerlark.llm.common import split_rule, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op2_neural_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of each document."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without passages of 200 bytes that repeat."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
