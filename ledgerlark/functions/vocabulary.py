@@ -42,12 +42,12 @@ VOCABULARIES = {
 def labels(spark: SparkSession, field: str, vocabularies: dict | None = None) -> DataFrame:
     """(label_key, code): a table of fixed size."""
     rows = [(label, code) for code, variants in (vocabularies or VOCABULARIES)[field].items() for label in variants]
-    return spark.createDataFrame(rows, "label string, code string").select(vocabulary_key(F.col("label")).alias("label_key"), "code")
+    return spark.createDataFrame(rows, "label string, code string").select(vocabulary_key(F.col("label")).alias("label_key"), "code").dropDuplicates(["label_key"])
 
 
 def coded(df: DataFrame, raw: str, field: str, out: str, vocabularies: dict | None = None) -> DataFrame:
     """Adds the code of a raw label and whether the label is an anomaly: given, but not in the vocabulary (FL7)."""
-    listed = F.broadcast(labels(df.sparkSession, field, vocabularies))  # the vocabulary's few labels
+    listed = F.broadcast(labels(df.sparkSession, field, vocabularies).withColumnRenamed("code", "__code"))  # the vocabulary's few labels
     joined = df.withColumn("__key", vocabulary_key(F.col(raw))).join(listed, F.col("__key") == F.col("label_key"), "left")
-    unknown = F.coalesce(F.col(raw) != "", F.lit(False)) & F.col("code").isNull()
-    return joined.withColumns({out: F.col("code"), f"{out}_unknown": unknown}).drop("__key", "label_key", "code")
+    unknown = F.coalesce(F.col(raw) != "", F.lit(False)) & F.col("__code").isNull()
+    return joined.select(*df.columns, F.col("__code").alias(out), unknown.alias(f"{out}_unknown"))

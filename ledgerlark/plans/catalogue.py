@@ -10,7 +10,9 @@ from pyspark.sql.window import Window
 
 from ledgerlark.functions import text, values
 from ledgerlark.operators import match, pick, report, upsert, validate
+from ledgerlark.plans.shared import shared_folder
 from ledgerlark.sources import markup
+from ledgerlark.streaming import microbatch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,12 +56,9 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- writes -------------------------------------------------------------------------------------------
 
-GRADE = F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))
-
-
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as snapshots: item, grade (null for one priority), day, price."""
-    return read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item"), GRADE.alias("grade"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"), F.col("o_orderkey").alias("src"))
+    return read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("grade"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"), F.col("o_orderkey").alias("src"))
 
 
 SNAPSHOT_SQL = "s AS (SELECT o_custkey AS item, nullif(o_orderpriority, '5-LOW') AS grade, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(14,2)) AS price, o_orderkey AS src FROM orders)"
@@ -334,7 +333,13 @@ def overlap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("overlap_pairs")
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy one-to-one pairs by overlap (JN15, SO4); iterative, so without SQL."""
-    return match.greedy_pairs(_overlaps(spark, sf_dir), lambda df, _: df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.cache())
+    root = shared_folder(spark, "pairs")
+
+    def save(df: DataFrame, step: int) -> DataFrame:
+        df.write.parquet(f"{root}/{step}")
+        return spark.read.parquet(f"{root}/{step}")
+
+    return match.greedy_pairs(_overlaps(spark, sf_dir), save)
 
 
 @registered(
@@ -536,7 +541,23 @@ def control_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("stream_daily", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream of files, counted by day in micro-batches; the table is the batch result (ST1-ST3)."""
-    # A checkpointed query would keep state in a shared folder; the result needs none, so the available input is one batch.
-    stream = read(spark, sf_dir, "events").select("ts", "event_type")
-    return stream.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    """Events read as a stream of files; each micro-batch is counted by day and merged into a table, which is returned (ST1-ST4)."""
+    root, keys = shared_folder(spark, "stream"), ["day", "event_type"]
+    schema = read(spark, sf_dir, "events").schema
+    stream = microbatch.file_stream(spark, sf_dir, schema, "events.parquet").select(F.to_date("ts").alias("day"), "event_type")
+    versions: list[str] = []
+
+    def apply(batch: DataFrame, number: int) -> None:
+        counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        if versions:
+            counts = counts.unionByName(spark.read.parquet(versions[-1])).groupBy(*keys).agg(F.sum("n").alias("n"))
+        path = f"{root}/table/version={number}"  # a batch that runs again writes the same version
+        counts.write.mode("overwrite").parquet(path)
+        versions.append(path)
+
+    stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(versions[-1]) if versions else stream_counts_of_nothing(spark)
+
+
+def stream_counts_of_nothing(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "day date, event_type string, n long")

@@ -19,7 +19,7 @@ CARD_FILE_SCHEMA = "series string, cards array<struct<source_id string, title st
 
 def pages(spark: SparkSession, pattern: str) -> DataFrame:
     """(path, html) of landed pages, one row a file (SC1, SC3, SC8)."""
-    return spark.read.option("wholetext", True).text(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+    return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
 def year_of(path: Column) -> Column:
@@ -45,9 +45,8 @@ def rates(bodies: DataFrame, currency: str) -> DataFrame:
 def points(bodies: DataFrame, key: str) -> DataFrame:
     """(key, pos, day, raw_day, price, kind, is_list) of price histories; a body that is no list has one row with is_list false (SC11, FN18)."""
     parsed = bodies.select(key, F.try_parse_json("body").alias("v")).withColumn("is_list", F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False)))
-    parsed.createOrReplaceTempView("__ledgerlark_points")
-    spark = bodies.sparkSession
-    rows = spark.sql(f"SELECT {key}, is_list, pos, value FROM __ledgerlark_points LEFT JOIN LATERAL variant_explode_outer(CASE WHEN is_list THEN v END) ON true")
+    items = F.when(F.col("is_list"), F.try_variant_get("v", "$", "array<variant>"))
+    rows = parsed.select(key, "is_list", F.posexplode_outer(items).alias("pos", "value"))
     raw = F.try_variant_get("value", "$.date", "string")
     return rows.select(key, "pos", F.try_to_date(raw, "yyyy-MM-dd").alias("day"), raw.alias("raw_day"), point_price(F.col("value")).alias("price"), "is_list")
 
