@@ -8,7 +8,7 @@ lets some single ones through. Equal segments of an anchor become one string wit
 are then joined in chunks of whole anchors; on each chunk's transform, breadth-first backward extension
 derives common prefixes by increasing length and stops at `depth`: suffixes whose neighbours are still
 unknown then are repeated. An anchor with a single distinct string needs no transform. An anchor with
-more than HOT distinct strings (edges of a passage that very many documents share) would not fit one
+more than HOT bytes of distinct strings (edges of a passage that very many documents share) would not fit one
 task; its windows are counted one by one under 128 bits of hash, which is exact and deals them out.
 
 Defined results: null texts count as empty; texts under `depth` bytes lose nothing; matches never cross
@@ -30,8 +30,8 @@ from ledgerlark.llm.common import U64, Scratch, byte_keys, gram_hashes, mixed, p
 from ledgerlark.llm.toxicity import powers
 
 DEPTH, GRAM = 200, 32
-#: Distinct strings of one anchor that a task takes; bytes of a chunk; bits of the anchors' map.
-HOT, CHUNK, MAP_BITS = 1000, 1 << 18, 1 << 24
+#: Bytes of one anchor's distinct strings that a task takes; bytes of a chunk (both together stay below 2 million); bits of the anchors' map.
+HOT, CHUNK, MAP_BITS = 1_750_000, 1 << 18, 1 << 24
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -241,8 +241,8 @@ def repeated_runs(bodies: list[bytes], counts: list[int], depth: int) -> list[li
     repeated[order[shares | np.r_[shares[1:], False]]] = True
     out = []
     for a, b, n in zip((ends - sizes + 1).tolist(), ends.tolist(), counts, strict=True):
-        windows = b - a - depth + 1
-        out.append([0, windows - 1] if n > 1 else runs_of(repeated[a : a + windows]))
+        windows = max(0, b - a - depth + 1)
+        out.append([0, windows - 1] if n > 1 and windows else runs_of(repeated[a : a + windows]))
     return out
 
 
@@ -295,16 +295,16 @@ def repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     rows = keyed(docs).select("__k", "__k2", F.col("text").cast("string").alias("text"))
     members = scratch.save(flagged_segments(rows, anchor_map(rows, depth), depth), "members")
     given = F.col("body").isNotNull()
-    distinct = members.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("count"), F.min(F.when(given, F.struct("k", "k2", "start"))).alias("one"), F.max("loops").alias("loops"))
+    distinct = members.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("count"), F.min(F.when(given, F.struct("k", "k2", "start", "windows"))).alias("one"), F.max("loops").alias("loops"))
     distinct = scratch.save(distinct, "distinct")
-    shared = distinct.groupBy("anchor").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("strings"), F.max("loops").alias("any")).filter("total > 1 or any")
-    strings = scratch.save(distinct.join(shared, "anchor").select("anchor", "seg", "count", "strings", "one.*"), "strings")
+    shared = distinct.groupBy("anchor").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("strings"), F.sum(F.col("one.windows") + depth).alias("bytes"), F.max("loops").alias("any")).filter("total > 1 or any")
+    strings = scratch.save(distinct.join(shared, "anchor").select("anchor", "seg", "count", "strings", "bytes", "one.k", "one.k2", "one.start"), "strings")
     scratch.drop("distinct")
     single = (F.col("strings") == 1) & (F.col("count") > 1)
     alone = strings.filter(single).select("anchor", "seg", F.lit(None).cast("array<int>").alias("runs"))
     several = strings.filter(~single).join(members.filter(given).select("anchor", "seg", "k", "k2", "start", "body"), ["anchor", "seg", "k", "k2", "start"])
-    light = scratch.save(judged(several.filter(F.col("strings") <= HOT), depth), "light")
-    hot = scratch.save(windows_of(several.filter(F.col("strings") > HOT), depth), "windows")
+    light = scratch.save(judged(several.filter(F.col("bytes") <= HOT), depth), "light")
+    hot = scratch.save(windows_of(several.filter(F.col("bytes") > HOT), depth), "windows")
     twice = hot.groupBy("w1", "w2").agg(F.sum("count").alias("n")).filter("n > 1").select("w1", "w2")
     heavy = hot.join(twice, ["w1", "w2"]).groupBy("anchor", "seg").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("runs"))
     found = alone.unionByName(light).unionByName(heavy)
