@@ -353,9 +353,9 @@ def whole_characters(body: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
 
 def with_spans(docs: DataFrame, depth: int) -> DataFrame:
     """The keyed documents with their spans; texts without any keep null."""
-    found = repeats(docs, depth)
+    found = repeats(docs, depth).select(F.col("k").alias("__fk"), F.col("k2").alias("__fk2"), F.col("spans.s").alias("__s"), F.col("spans.e").alias("__e"))
     rows = keyed(docs)
-    return rows.join(found, (rows["__k"] == found["k"]) & (rows["__k2"] == found["k2"]), "left").drop("k", "k2", "__k", "__k2").withColumns({"__s": F.col("spans.s"), "__e": F.col("spans.e")}).drop("spans")
+    return rows.join(found, (rows["__k"] == found["__fk"]) & (rows["__k2"] == found["__fk2"]), "left").drop("__fk", "__fk2", "__k", "__k2")
 
 
 def bodies(batch: pa.RecordBatch, text: int, starts: int, ends: int) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:

@@ -182,11 +182,11 @@ def learn(docs: DataFrame, labels: DataFrame, learnt: Column) -> Model:
     return fit([rows[i] for i in positive if i in rows], [rows[i] for i in other if i in rows], n1 / max(1, n1 + n0))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """doc_id and score of every document; or the named input columns and score."""
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """doc_id and score of every document; or the kept input columns and the score under another name."""
     keep = keep or ["doc_id"]
     chosen = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = chosen.drop("__text").withColumn("score", F.lit(0.0)).schema
+    schema = chosen.drop("__text").withColumn(name, F.lit(0.0)).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,6 +194,6 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
             for lo, hi in pieces(offsets):
                 found = model.scores(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(found, pa.float64())], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(found, pa.float64())], [*keep, name])
 
     return chosen.mapInArrow(work, schema)
