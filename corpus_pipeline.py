@@ -12,7 +12,7 @@ from ledgerlark.llm.common import Scratch, split_rule, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go; the labels' held-out fold isn't learnt from."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), split_rule("doc_id", 5) != 0)
-    return toxicity.score(docs, model, docs.columns).filter("score < 0.5").drop("score")
+    return toxicity.score(docs, model, docs.columns, "__toxicity").filter("__toxicity < 0.5").drop("__toxicity")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
