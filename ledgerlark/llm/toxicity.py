@@ -27,8 +27,8 @@ from ledgerlark.llm.sampling import label_of, sample_ids, sample_texts
 POSITIVES, UNLABELLED, LONGEST = 1500, 4500, 100_000
 #: Byte lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = (5, 6, 7, 8, 9, 10)
-#: Most features, and the fewest positives that a feature must occur in.
-FEATURES, LEAST_POSITIVES = 6000, 3
+#: Most features, the fewest positives that a feature must occur in, and the standard errors that its share must be above the rest's.
+FEATURES, LEAST_POSITIVES, SURPLUS = 6000, 3, 2.7
 BASE = 0xD1342543DE82EF95
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -135,10 +135,10 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int =
     row_u, feat_u = pairs(unlabelled)
     n_p, n_u = len(positive), len(unlabelled)
     p, u = df_p / n_p, np.bincount(feat_u, minlength=len(keys)) / n_u
-    # How far the positives' share is above what the prior lets the unlabelled text show.
-    surplus = (p - u) / np.sqrt(u / n_p + 1 / n_p**2 + 1e-12)
+    # How many standard errors the positives' share is above the other text's: chance must not make features of few positives.
+    surplus = (p - u) / np.sqrt(u / n_p + 1 / n_p**2)
     best = np.sort(np.argsort(-np.where(p > 1.5 * u, surplus, -1), kind="stable")[:FEATURES])
-    best = best[(p > 1.5 * u)[best]]
+    best = best[((p > 1.5 * u) & (surplus > SURPLUS))[best]]
     keep = np.full(len(keys), -1)
     keep[best] = np.arange(len(best))
     model = Model(keys[best], np.zeros(len(best)), 0.0, prior)
