@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,9 +36,13 @@ class Scratch:
         self.spark, self.root = spark, f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        path, schema = f"{self.root}/{name}", df.schema
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        del df
+        # The job's shuffle files go when the driver collects what refers to them; nothing reads them any more.
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""

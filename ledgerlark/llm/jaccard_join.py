@@ -5,13 +5,18 @@ through its smallest doc_id. Two different sets of similarity t share, under any
 shingles, one of the first n - ceil(t n) + 1 shingles of each, and two of the first n - ceil(t n) + 2.
 Light (small) sets are keyed by all subsets of two of the latter, heavy (large) sets stand in the
 inverted list of each of the former; sets just above the boundary do both, since they may meet light
-ones. The boundary is where the predicted cost of both together is least. Shingles that many documents
-hold come last in the order, so common lines key nothing unless a set has hardly anything else.
-
-Members of a key's list are not paired with each other: each round verifies the smallest member (the
-centre) against the others of different components by exact set intersection, merges components, and
-takes the centre off the list; lists within one component are done. So copies cost one verification
-each, no link between components is lost, and every pair of a list is settled by link or by test.
+ones. The boundary is where the predicted cost of both
+together is least. In the order, frequent shingles come last: those that could be a key are counted over
+all documents, and the list of the frequent ones is bounded by raising the frequency that makes one.
+
+A list's members are not paired with each other. First each round verifies the smallest member (the centre)
+of every list against the others of different components, merges components, and takes the centre off the
+list; lists within one component are done, so copies cost one verification each. Bucket counts of the sets bound
+what two of them can share; pairs that this rules out are dropped, the others are verified exactly.
+When rounds no longer halve what is left, the remaining lists are gone through in tasks of at most two
+blocks of BLOCK members, and pairs that
+are not connected and not ruled out are verified exactly. No link between components is
+lost: every pair of a list is settled by a link, a connection, the bound or a test.
 
 Defined results: null and empty texts and texts without words have size 0 and are linked with nothing;
 a document of fewer words than a shingle has its whole word sequence as the one element; repeated rows
@@ -33,8 +38,12 @@ from ledgerlark.llm.common import U64, Scratch, byte_keys, mixed, pieces, texts
 from ledgerlark.llm.components import components
 from ledgerlark.llm.toxicity import powers
 
-#: A shingle is common if it is in this share of a batch's documents; half of it over all documents makes it last in the order.
-COMMON = 0.005
+#: Shingles whose hash is in this first part of the range are counted; a set's keys lie there but for a few.
+HEAD = 3 / 16
+#: Most frequent shingles that are put last (8 bytes each, sent to every task), and the fewest documents of one.
+MOST_FREQUENT, LEAST_DOCUMENTS = 1_000_000, 8
+#: Members of a list's block, and rounds of centres at most before the rest is settled in blocks.
+BLOCK, MOST_ROUNDS = 128, 2
 #: Light sets are never larger than this, whatever the cost: their subsets grow with the square of the size.
 MOST_LIGHT = 80
 _space = np.zeros(256, bool)
@@ -124,7 +133,7 @@ def cheapest_boundary(sizes: dict[int, int], list_length: float, percent: int) -
 
 
 def described(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """A row (doc_id, n, h1, h2, least) a document, and rows (token, count) of tokens that are common in a batch."""
+    """A row (doc_id, n, h1, h2, least) a document, and rows (token, count) of a batch's shingles in the head of the order."""
     schema = "doc_id long, n int, h1 long, h2 long, least long, token long, count long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +151,7 @@ def described(docs: DataFrame, width: int, seed: int) -> DataFrame:
             every.sort()
             edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
             count = np.diff(np.r_[edge, len(every)])
-            common = count >= max(4, COMMON * len(n))
+            common = every[edge] < U64(int(HEAD * 2**64))
             rows, extra = len(n), int(common.sum())
             gap = pa.nulls(extra, pa.int64())
             yield pa.RecordBatch.from_pydict({
@@ -187,43 +196,154 @@ def postings(docs: DataFrame, width: int, seed: int, percent: int, light: int, l
     return docs.mapInArrow(work, "key long, cls long, n int")
 
 
-def element_sets(docs: DataFrame, width: int, seed: int, flags: np.ndarray) -> DataFrame:
-    """(cls, items) of the documents whose class's bit is flagged: a bit map of fixed size, so some others come along."""
+#: Buckets of a set's sketch.
+BUCKETS = 512
+
+
+def sketch(items: np.ndarray) -> np.ndarray:
+    """How many elements fall into each bucket of the hash: no two sets share more than the sum of the buckets' minima."""
+    return np.minimum(np.bincount((items >> U64(24)).astype(np.int64) & (BUCKETS - 1), minlength=BUCKETS), 65535).astype(np.uint16)
+
+
+def element_sets(docs: DataFrame, width: int, seed: int, flags: np.ndarray, whole: bool) -> DataFrame:
+    """(id, cls, items), or (id, cls, sketch) if not whole, of the documents whose id's bit is flagged: a bit map of fixed size, so some others come along."""
+    name = "items" if whole else "sketch"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = U64(len(flags) * 64 - 1)
         for batch in batches:
-            data, offsets = texts(batch.column(1))
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            bit = (mixed(ids.view(U64)) & size).astype(np.int64)
+            wanted = np.flatnonzero((flags[bit >> 6] >> (bit & 63).astype(U64)) & U64(1))
+            data, offsets = texts(batch.column(1).take(pa.array(wanted)))
+            ids = ids[wanted]
             for lo, hi in pieces(offsets):
-                found, ids = [], []
-                for s in shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed):
-                    if len(s):
-                        c = np.add.reduce(mixed(s))
-                        bit = int(c & size)
-                        if int(flags[bit >> 6]) >> (bit & 63) & 1:
-                            found.append(s.view(np.int64))
-                            ids.append(c)
-                if found:
-                    at = np.cumsum([0, *map(len, found)])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, U64).view(np.int64)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(found)))], ["cls", "items"])
+                sets = shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed)
+                full = [i for i, x in enumerate(sets) if len(x)]
+                if full:
+                    at = np.cumsum([0, *(len(sets[i]) for i in full)])
+                    cls = np.array([np.add.reduce(mixed(sets[i])) for i in full], U64)
+                    if whole:
+                        body = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([sets[i] for i in full]).view(np.int64)))
+                    else:
+                        body = pa.array([sketch(sets[i]).tobytes() for i in full])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[lo + np.array(full)]), pa.array(cls.view(np.int64)), body], ["id", "cls", name])
 
-    return docs.mapInArrow(work, "cls long, items array<long>")
+    return docs.mapInArrow(work, f"id long, cls long, {name} {'array<long>' if whole else 'binary'}")
 
 
-#: Bits of the map of classes that take part in any list.
+#: Bits of the map of documents that take part in any list.
 FLAG_BITS = 1 << 22
 
 
 def flagged(ids: DataFrame) -> np.ndarray:
-    """The bit map of the ids: FLAG_BITS / 64 numbers at most."""
-    bit = F.col("cls").bitwiseAND(F.lit(FLAG_BITS - 1))
-    rows = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((cls & {FLAG_BITS - 1}) & 63 as int))")).alias("bits")).collect()
+    """The bit map of the ids: it is put together on the executors, in FLAG_BITS / 64 words at most."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = (mixed(batch.column(0).to_numpy().astype(np.int64).view(U64)) & U64(FLAG_BITS - 1)).astype(np.int64)
+            out = np.zeros(FLAG_BITS // 64, U64)
+            np.bitwise_or.at(out, bit >> 6, U64(1) << (bit & 63).astype(U64))
+            used = np.flatnonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(out[used].view(np.int64))], ["w", "bits"])
+
+    rows = ids.select("id").mapInArrow(words, "w long, bits long").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(FLAG_BITS // 64, np.int64)
-    for r in rows:
-        out[r["w"]] = r["bits"]
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return out.view(U64)
 
 
+def distinct_lists(rows: DataFrame) -> DataFrame:
+    """Of lists with the same members one stays: they would all settle the same pairs."""
+    marks = rows.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"), F.count(F.lit(1)).alias("m"))
+    keep = marks.groupBy("x", "y", "m").agg(F.min("key").alias("key")).select("key")
+    return rows.join(keep, "key", "left_semi")
+
+
+def not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, a_cls, b, b_cls) whose sketches allow similarity."""
+    for side in "ba":
+        pairs = pairs.join(sketches.select(F.col("id").alias(side), F.col("cls").alias(f"{side}_cls"), F.col("sketch").alias(f"{side}_sketch")), [side, f"{side}_cls"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                part = batch.slice(lo, 2048)
+                x, y = (np.frombuffer(b"".join(part.column(k).to_pylist()), np.uint16).reshape(-1, BUCKETS) for k in (4, 5))
+                most = np.minimum(x, y).sum(1, dtype=np.int64)
+                keep = most * 100 >= (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64) - most) * percent
+                yield pa.RecordBatch.from_arrays(part.columns[:4], ["a", "a_cls", "b", "b_cls"]).filter(pa.array(keep))
+
+    return pairs.select("a", "a_cls", "b", "b_cls", "a_sketch", "b_sketch").mapInArrow(work, "a long, a_cls long, b long, b_cls long")
+
+
+def tested(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs (a, a_cls, b, b_cls) that are similar, by exact intersection."""
+    for side in "ba":
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("cls").alias(f"{side}_cls"), F.col("items").alias(f"{side}_items")), [side, f"{side}_cls"])
+    shared = F.size(F.array_intersect("a_items", "b_items"))
+    return pairs.filter(shared * 100 >= (F.size("a_items") + F.size("b_items") - shared) * percent).select("a", "b").distinct()
+
+
+def centre_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Each list's centre with its members of other components; a pair counts once for all its lists."""
+    near = (F.col("n") * 100 >= F.col("c.n") * percent) & (F.col("c.n") * 100 >= F.col("n") * percent)
+    rows = rest.filter(near & (F.col("component") != F.col("c.component")))
+    return rows.groupBy(F.col("c.id").alias("a"), F.col("id").alias("b")).agg(F.first("c.cls").alias("a_cls"), F.first("cls").alias("b_cls"))
+
+
+def possible_pairs(component: np.ndarray, block: np.ndarray, n: np.ndarray, sketches: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one list's members in different components whose sketches don't rule similarity out; of two blocks, those between them."""
+    two = len(np.unique(block)) > 1
+    left, right = [], []
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, len(n))
+        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        j = j[(low * 100 >= high * percent) & (component[j] != component[i]) & ((block[j] != block[i]) if two else True)]
+        if len(j):
+            most = np.minimum(sketches[i], sketches[j]).sum(1, dtype=np.int64)
+            j = j[most * 100 >= (n[i] + n[j] - most) * percent]
+            left.append(np.full(len(j), i))
+            right.append(j)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, a_cls, b, b_cls) of all pairs of each list that may be similar and aren't connected, found in tasks of one or two blocks."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    rows = rest.select("key", "id", "cls", "n", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "cls", "n", "component", "own")
+    held = rows.join(sketches, ["id", "cls"]).select("key", "i", "j", "id", "cls", "n", "component", "own", "sketch")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            i, c, n, component, own = (table.column(k).to_numpy() for k in (3, 4, 5, 6, 7))
+            counts = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            a, b = possible_pairs(component, own, n.astype(np.int64), counts, percent)
+            swap = i[a] > i[b]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            return pa.RecordBatch.from_arrays([pa.array(i[a]), pa.array(c[a]), pa.array(i[b]), pa.array(c[b])], ["a", "a_cls", "b", "b_cls"])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if kept is not None:
+                table = pa.concat_tables([kept, table])
+            marks = [table.column(k).to_numpy() for k in range(3)]
+            edge = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
+            for lo, hi in zip([0, *edge.tolist()], edge.tolist(), strict=False):
+                yield pairs(table.slice(lo, hi - lo))
+            kept = table.slice(edge[-1] if len(edge) else 0)
+        if kept is not None and kept.num_rows:
+            yield pairs(kept)
+
+    dealt = held.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(work, "a long, a_cls long, b long, b_cls long").distinct()
+
+
 def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed: int = 17) -> tuple[DataFrame, DataFrame, Scratch]:
     """(doc_id, n, rep) of every document, (id, component) of the representatives that are linked, and where they are written."""
     spark = docs.sparkSession
@@ -238,9 +358,12 @@ def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed:
         if facts["n"] == facts["distinct"]:
             break
         seed += 1  # two sets shared a hash: other hashes
-    total = members.count()
-    common = known.filter("token is not null").groupBy("token").agg(F.sum("count").alias("n")).filter(F.col("n") >= max(4, COMMON / 2 * total))
-    last = np.sort(np.array([r["token"] for r in common.select("token").collect()], np.int64).view(U64))
+    counts = known.filter("token is not null").select("token", "count")
+    counted = counts.agg(F.sum("count")).first()[0] or 0
+    # At most counted / least shingles are that frequent, whatever the data.
+    least_documents = max(LEAST_DOCUMENTS, -(-counted // MOST_FREQUENT))
+    frequent = counts.groupBy("token").agg(F.sum("count").alias("n")).filter(F.col("n") >= least_documents).select("token")
+    last = np.sort(frequent.toArrow().column(0).to_numpy().view(U64))
     sizes = {r["n"]: r["count"] for r in classes.filter(F.col("n") <= MOST_LIGHT * 2).groupBy("n").count().collect()}
     seen = members.filter("n > 0").select("h1", "least").distinct().agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("least").alias("d")).first()
     light = cheapest_boundary(sizes, max(0.0, seen["n"] / max(1, seen["d"]) - 1), percent)
@@ -250,40 +373,45 @@ def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed:
     least = lists.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("key")
     shared = scratch.save(lists.join(least, "key"), "shared")
     scratch.drop("lists")
-    sets = scratch.save(element_sets(rows, width, seed, flagged(shared.select("cls").distinct())).dropDuplicates(["cls"]), "sets")
-    names = classes.select("cls", "rep")
-    shared = scratch.save(shared.join(names, "cls").select("key", F.col("rep").alias("id"), "cls", "n"), "named")
-    scratch.drop("shared")
+    shared = shared.join(classes.select("cls", "rep"), "cls").select("key", F.col("rep").alias("id"), "cls", "n")
+    shared = scratch.save(distinct_lists(scratch.save(shared, "named")), "unlike")
+
+    def described_once(ids: DataFrame, whole: bool, name: str) -> DataFrame:
+        """The ids' sets or sketches, one row each; rows are repeated only where documents are."""
+        out = scratch.save(element_sets(rows, width, seed, flagged(ids), whole), name)
+        if not out.groupBy("id", "cls").count().filter("count > 1").isEmpty():
+            out = scratch.save(out.dropDuplicates(["id", "cls"]), f"{name}-once")
+        return out
+
+    sketches = described_once(shared, False, "sketches")
+    scratch.drop("shared", "named")
 
     found: DataFrame | None = None
-    turn = 0
-    while True:
+    size = None
+    for turn in range(MOST_ROUNDS + 1):
         now = shared.withColumn("component", F.col("id")) if found is None else shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        heads = now.groupBy("key").agg(F.min(F.struct("id", "cls", "n", "component")).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", "c")
-        rest = scratch.save(now.join(heads, "key").filter(F.col("id") != F.col("c.id")), f"rest-{turn}")
-        near = (F.col("n") * 100 >= F.col("c.n") * percent) & (F.col("c.n") * 100 >= F.col("n") * percent)
-        pairs = rest.filter(near & (F.col("component") != F.col("c.component"))).groupBy(F.col("c.id").alias("a"), F.col("id").alias("b")).agg(F.first("c.cls").alias("a_cls"), F.first("cls").alias("b_cls"))
+        heads = now.groupBy("key").agg(F.min(F.struct("id", "cls", "n", "component")).alias("c"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
+        rest = scratch.save(now.join(heads.select("key", "c", "members"), "key"), f"rest-{turn}")
+        before, size = size, rest.count()
+        if not size:
+            break
+        settling = turn == MOST_ROUNDS or (before is not None and size > before / 2)
+        pairs = left_pairs(distinct_lists(rest), sketches, percent) if settling else not_ruled_out(centre_pairs(rest, percent), sketches, percent)
         pairs = scratch.save(pairs, f"pairs-{turn}")
-        if rest.isEmpty():
+        # Whole sets are read again for the pairs that are left alone.
+        sets = described_once(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), True, f"sets-{turn}")
+        links = scratch.save(tested(pairs, sets, percent), f"links-{turn}")
+        if not links.isEmpty():
+            every = links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            found = scratch.save(components(every, scratch, f"cc-{turn}"), f"found-{turn}")
+        scratch.drop(f"links-{turn}", f"pairs-{turn}", f"sets-{turn}", f"sets-{turn}-once", f"rest-{turn - 1}")
+        if settling:
             break
-        if not pairs.isEmpty():
-            other = pairs.join(sets.select(F.col("cls").alias("b_cls"), F.col("items").alias("b_items")), "b_cls")
-            both = other.join(sets.select(F.col("cls").alias("a_cls"), F.col("items").alias("a_items")), "a_cls")
-            shared_n = F.size(F.array_intersect("a_items", "b_items"))
-            similar = shared_n * 100 >= (F.size("a_items") + F.size("b_items") - shared_n) * percent
-            links = both.filter(similar).select("a", "b")
-            before = [] if found is None else [found.select(F.col("id").alias("a"), F.col("component").alias("b"))]
-            for old in before:
-                links = links.unionByName(old)
-            found = scratch.save(components(links, scratch, f"cc-{turn}"), f"found-{turn}")
-        shared = rest.select("key", "id", "cls", "n")
-        if turn:
-            scratch.drop(f"rest-{turn - 1}", f"pairs-{turn - 1}")
-        turn += 1
+        shared = rest.filter(F.col("id") != F.col("c.id")).select("key", "id", "cls", "n")
     if found is None:
         found = spark.createDataFrame([], "id long, component long")
     docs_of = members.select("doc_id", "n", "h1", "h2").join(classes.select(F.col("cls").alias("h1"), "h2", "rep"), ["h1", "h2"], "left").select("doc_id", "n", "rep")
-    scratch.drop("sets", "named")
+    scratch.drop("sketches", "sketches-once", "unlike")
     return docs_of, found, scratch
 
 
