@@ -1,12 +1,13 @@
 """Benchmark decontamination by the q-gram lemma in overlapping diagonal bands.
 
 Benchmark items and documents are normalised (lower case, runs of anything but letters, digits and
-non-ASCII bytes become one space). Each item is cut into windows of WINDOW bytes, the last one flush with
-its end; a window within EDITS edit operations of a region of a document shares at least
+non-ASCII bytes become one space). Every passage of WINDOW bytes of an item is a window, at each offset (an item
+under WINDOW bytes is one window); a window within EDITS edit operations of a region of a document shares at least
 len - Q + 1 - Q * EDITS of its q-grams with it, on diagonals that lie within one of two overlapping
-bands. A document's q-grams are looked up in the windows' index, shared ones are counted by (window, band), regions
-that meet the bound are kept, and banded alignment verifies them: the smallest edit distance of the
-window to any substring of the region. A document with a verified region is contaminated.
+bands. A document's q-grams are looked up in the index of the items' q-grams, shared ones are counted along each
+(item, band) for all windows at once, and windows that meet the bound are verified: equal bytes are distance 0, else
+banded alignment gives the smallest edit distance of the window to any substring of the band's region. A document with
+a verified window is contaminated.
 
 The benchmark is the query set: it is gone through in blocks of at most BLOCK_BYTES, each held by every
 task, and every block meets all documents. Nothing is shuffled.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import U64, gram_hashes, pieces, texts
 
-Q, WINDOW, STRIDE, EDITS, LEAST = 12, 96, 48, 5, 40
+Q, WINDOW, EDITS, LEAST = 12, 96, 5, 40
 BLOCK_BYTES = 4_000_000
 _same = np.full(256, 32, np.uint8)
 _same[[*range(48, 58), *range(97, 123), *range(128, 256)]] = [*range(48, 58), *range(97, 123), *range(128, 256)]
@@ -49,12 +50,12 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Index:
-    """Q-grams of the windows of a block of items."""
+    """Q-grams of a block of items, each held once with its place in `body`, the items' normalised bytes one after the other."""
 
     def __init__(self, items: list[tuple[int, str]]):
         data, offsets = texts(pa.array([t for _, t in items], pa.large_string()))
         norm, cuts, _ = normalised(data, offsets)
-        self.items, self.windows, self.budgets = [], [], []
+        ids, bodies = [], []
         for k, (item, _) in enumerate(items):
             text = norm[cuts[k] : cuts[k + 1]]
             while len(text) and text[-1] == 32:
@@ -63,36 +64,42 @@ class Index:
                 text = text[1:]
             if len(text) < LEAST:
                 continue
-            ends = [*range(min(WINDOW, len(text)), len(text), STRIDE), len(text)]
-            for end in dict.fromkeys(ends):
-                window = text[max(0, end - WINDOW) : end]
-                self.items.append(item)
-                self.windows.append(window)
-                self.budgets.append(min(EDITS, (len(window) - Q) // Q))
-        grams, owner, place = [], [], []
-        for w, window in enumerate(self.windows):
-            h = gram_hashes(window, Q)
-            grams.append(h)
-            owner.append(np.full(len(h), w))
-            place.append(np.arange(len(h)))
-        self.budgets = np.array(self.budgets, np.int64)
-        self.sizes = np.array([len(w) for w in self.windows], np.int64)
-        self.bound = self.sizes - Q + 1 - Q * self.budgets
-        h = np.concatenate(grams) if grams else np.zeros(0, U64)
+            ids.append(item)
+            bodies.append(text)
+        lengths = np.array([len(t) for t in bodies], np.int64)
+        self.body = np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        # By item: size and edit budget of its windows, shared q-grams that a window needs, number of windows, number of the first.
+        self.size = np.minimum(lengths, WINDOW)
+        self.budget = np.minimum(EDITS, (self.size - Q) // Q)
+        self.bound = self.size - Q + 1 - Q * self.budget
+        self.many = lengths - self.size + 1
+        self.first_window = np.cumsum(self.many) - self.many
+        self.items = np.repeat(np.array(ids, object), self.many)
+        self.budgets = np.repeat(self.budget.astype(np.int8), self.many)
+        h = gram_hashes(self.body, Q)
+        place = np.arange(len(h))
+        within = place + Q <= self.starts[np.searchsorted(self.starts, place, "right")] if len(h) else np.zeros(0, bool)
+        h, place = h[within], place[within]
         order = np.argsort(h, kind="stable")
-        h = h[order]
-        self.owner = np.concatenate(owner)[order] if grams else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if grams else np.zeros(0, np.int64)
-        self.keys, self.first, self.count = np.unique(h, return_index=True, return_counts=True)
+        self.place = place[order]
+        self.keys, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
         bits = max(16, int(len(self.keys) * 32).bit_length())
         self.mask = U64((1 << bits) - 1)
         self.maybe = np.zeros(1 << bits, bool)
         self.maybe[(self.keys & self.mask).astype(np.int64)] = True
 
-    def hits(self, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the text, window, place in the window) of all shared q-grams."""
+    @property
+    def windows(self) -> Iterator[np.ndarray]:
+        """The bytes of all windows, in the order of their numbers."""
+        for start, many, size in zip(self.starts.tolist(), self.many.tolist(), self.size.tolist(), strict=False):
+            for at in range(start, start + many):
+                yield self.body[at : at + size]
+
+    def hits(self, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the text, place in the items' bytes) of all shared q-grams."""
         if not len(self.keys) or len(norm) < Q:
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 2
         h = gram_hashes(norm, Q)
         at = np.flatnonzero(self.maybe[(h & self.mask).astype(np.int64)])
         k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
@@ -100,51 +107,73 @@ class Index:
         at, k = at[same], k[same]
         n = self.count[k]
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        entry = np.repeat(self.first[k], n) + inner
-        return np.repeat(at, n), self.owner[entry], self.place[entry]
-
-    def verified(self, norm: np.ndarray, cuts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(row, window, from, to, distance) of regions within the windows' edit budgets."""
-        at, window, place = self.hits(norm)
-        if not len(at):
-            return []
+        return np.repeat(at, n), self.place[np.repeat(self.first[k], n) + inner]
+
+    def candidates(self, norm: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, item's number, window's place in the items' bytes, band's lowest diagonal, a hit's diagonal) of windows that meet the bound."""
+        at, place = self.hits(norm)
         row = np.searchsorted(cuts, at, "right") - 1
         inside = at + Q <= cuts[row + 1]
-        at, window, place, row = at[inside], window[inside], place[inside], row[inside]
-        diagonal = at - place
+        at, place, row = at[inside], place[inside], row[inside]
         # Bands of twice the width of a region's diagonals, each overlapping the next by half.
         width = 2 * EDITS + 1
-        band = np.concatenate([diagonal // width, diagonal // width - 1])
-        window2 = np.tile(window, 2)
-        span = len(norm) // width + 4
-        key = window2 * span + (band + 2)
-        # A q-gram of the window counts once in a band however often the text repeats it there.
-        both = np.unique(np.stack([key, np.tile(place, 2)]), axis=1) if len(key) else np.zeros((2, 0), np.int64)
-        bands, shared = np.unique(both[0], return_counts=True)
-        w = bands // span
-        enough = shared >= self.bound[w]
-        if not enough.any():
-            return []
-        kept = bands[enough]
-        here = np.isin(key, kept)
-        pairs = np.unique(np.stack([key[here], np.tile(row, 2)[here]]), axis=1)  # a band may hold the end of one row and the start of the next
-        wi = pairs[0] // span
-        low = (pairs[0] % span - 2) * width
-        a = np.maximum(cuts[pairs[1]], low - EDITS)
-        b = np.minimum(cuts[pairs[1] + 1], low + 2 * width + self.sizes[wi] + EDITS)
-        out = []
-        for size in np.unique(self.sizes[wi]).tolist():
-            mine = np.flatnonzero(self.sizes[wi] == size)
-            for part in np.array_split(mine, len(mine) // 512 + 1):
-                d, end = nearest(np.stack([self.windows[k] for k in wi[part]]), norm, a[part], b[part])
-                good = d <= self.budgets[wi[part]]
-                i = part[good]
-                out += zip(pairs[1][i].tolist(), wi[i].tolist(), a[i].tolist(), (a[i] + end[good]).tolist(), d[good].tolist(), strict=True)
-        return out
-
-
-def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest edit distance of each window to a substring of its region norm[a:b], and where in the region that ends.
+        band = (at - place) // width
+        at, place, row, band = np.tile(at, 2), np.tile(place, 2), np.tile(row, 2), np.concatenate([band, band - 1])
+        order = np.lexsort((at, place, band, row))
+        at, place, row, band = at[order], place[order], row[order], band[order]
+        item = np.searchsorted(self.starts, place, "right") - 1
+        other = np.ones(len(at), bool)  # whether another row, band or item begins here
+        other[1:] = (row[1:] != row[:-1]) | (band[1:] != band[:-1]) | (item[1:] != item[:-1])
+        # A q-gram of the item counts once in a band however often the text repeats it there.
+        new = other.copy()
+        new[1:] |= place[1:] != place[:-1]
+        at, place, row, band, item, group = at[new], place[new], row[new], band[new], item[new], np.cumsum(other)[new]
+        # The bound's number of q-grams from hit i on lies within the windows from low to high; both rise with i in a group.
+        i = np.arange(len(at))
+        j = i + self.bound[item] - 1
+        fits = j < len(at)
+        i, j = i[fits], j[fits]
+        fits = (group[i] == group[j]) & (place[j] - place[i] <= self.size[item[i]] - Q)
+        i, j = i[fits], j[fits]
+        k = item[i]
+        low = np.maximum(place[j] - (self.size[k] - Q), self.starts[k])
+        high = np.minimum(place[i], self.starts[k] + self.many[k] - 1)
+        again = group[i][1:] == group[i][:-1]
+        low[1:][again] = np.maximum(low[1:][again], high[:-1][again] + 1)
+        n = np.maximum(high - low + 1, 0)
+        start = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        i = np.repeat(i, n)
+        return row[i], item[i], start, band[i] * width, at[i] - place[i]
+
+    def verified(self, norm: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, window, distance) of windows within their edit budgets of the row's text, each once with the smallest distance."""
+        row, item, start, low, diagonal = self.candidates(norm, cuts)
+        window = self.first_window[item] + start - self.starts[item]
+        size = self.size[item]
+        a = np.maximum(cuts[row], start + low - EDITS)
+        b = np.minimum(cuts[row + 1], start + low + 2 * (2 * EDITS + 1) + size + EDITS)
+        distance = np.full(len(row), EDITS + 1, np.int64)
+        for n in np.unique(size).tolist():
+            mine = np.flatnonzero(size == n)
+            for part in np.array_split(mine, len(mine) // 4096 + 1):
+                whole = part[(start[part] + diagonal[part] >= cuts[row[part]]) & (start[part] + diagonal[part] + n <= cuts[row[part] + 1])]
+                spot = start[whole][:, None] + np.arange(n)
+                distance[whole[(self.body[spot] == norm[spot + diagonal[whole][:, None]]).all(axis=1)]] = 0
+            # What stands verbatim in one band needs no alignment in the other.
+            key = row * len(self.items) + window
+            mine = mine[~np.isin(key[mine], key[mine[distance[mine] == 0]])]
+            for part in np.array_split(mine, len(mine) // 512 + 1) if len(mine) else []:
+                distance[part] = nearest(self.body[start[part][:, None] + np.arange(n)], norm, a[part], b[part])
+        good = np.flatnonzero(distance <= self.budget[item])
+        good = good[np.lexsort((distance[good], window[good], row[good]))]
+        first = np.ones(len(good), bool)
+        first[1:] = (row[good][1:] != row[good][:-1]) | (window[good][1:] != window[good][:-1])
+        good = good[first]
+        return row[good], window[good], distance[good]
+
+
+def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest edit distance of each window to a substring of its region norm[a:b].
 
     A region is a band's own text, so each row of the table is as short as the band allows.
     """
@@ -158,8 +187,7 @@ def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray)
         new[:, 0] = i + 1
         np.minimum(row[:, :-1] + (region != windows[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
         row = np.minimum.accumulate(new - steps, axis=1) + steps  # insertions run along the row
-    end = np.argmin(row, axis=1)
-    return row[np.arange(len(a)), end].astype(np.int64), end
+    return row.min(axis=1).astype(np.int64)
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
@@ -206,11 +234,10 @@ def judged(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[dict]:
     if not len(data):
         return []
     norm, cuts, _ = normalised(data, offsets)
-    best: dict[tuple[int, int], dict[int, int]] = {}
-    for row, window, _, _, d in index.verified(norm, cuts):
-        seen = best.setdefault((row, index.items[window]), {})
-        seen[window] = min(d, seen.get(window, d))
-    return [{"row": r, "item_id": i, "n_windows": len(ws), "distance": min(ws.values())} for (r, i), ws in sorted(best.items())]
+    best: dict[tuple[int, int], list[int]] = {}
+    for row, window, d in zip(*(x.tolist() for x in index.verified(norm, cuts)), strict=True):
+        best.setdefault((row, index.items[window]), []).append(d)
+    return [{"row": r, "item_id": i, "n_windows": len(ds), "distance": min(ds)} for (r, i), ds in sorted(best.items())]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -103,6 +103,30 @@ def test_decontamination_is_brute_force_on_edited_passages():
         assert {r["item_id"] for r in decontaminate.judged(index, data, offsets)} == want
 
 
+def found_in(index, text: str) -> list[tuple[int, int, int]]:
+    found = decontaminate.judged(index, *texts(pa.array([text], pa.large_string())))
+    return [(r["item_id"], r["n_windows"], r["distance"]) for r in found]
+
+
+def test_decontamination_finds_partial_quotes_at_every_offset():
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(400)]
+    item = " ".join(rnd.choice(words) for _ in range(90))[:300].strip()
+    index, around = decontaminate.Index([(7, item), (8, "klm nop " * 20)]), "uvwxyz " * 20
+    for size in (96, 100, 120, 132):
+        for at in range(len(item) - size + 1):
+            quote = item[at : at + size]
+            if quote == quote.strip():
+                assert [r[0] for r in found_in(index, around + quote + around)] == [7], (size, at)
+                # Five edits anywhere in a window's length count at each offset too.
+                edited = [*quote]
+                for i in rnd.sample(range(96), 5):
+                    edited[i] = "q"
+                assert [r[0] for r in found_in(index, around + "".join(edited) + around)] == [7], (size, at)
+    assert found_in(index, around + item + around) == [(7, len(item) - 95, 0)]
+    assert found_in(index, around + item[40:120] + around) == []
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (4, "word " * 20), (4, "word " * 20)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.distance) for r in decontaminate.regions(odd, items).collect()] == [(6, 4, 0)]
