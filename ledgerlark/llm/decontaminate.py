@@ -7,13 +7,13 @@ len - Q + 1 - Q * EDITS of its q-grams with it, on diagonals that lie within one
 bands. A document's q-grams are looked up in the index of the items' q-grams, shared ones are counted along each
 (item, band) for all windows at once, and windows that meet the bound are verified: equal bytes are distance 0, else
 banded alignment gives the smallest edit distance of the window to any substring of the band's region. A document with
-a verified window is contaminated.
+a verified window is contaminated. Items under LEAST bytes must stand in a document whole and unedited between word borders.
 
 The benchmark is the query set: it is gone through in blocks of at most BLOCK_BYTES, each held by every
 task, and every block meets all documents. Nothing is shuffled.
 
-Defined results: null or empty texts and items match nothing; items under LEAST normalised bytes can't be
-told from chance and match nothing; repeated documents are each judged, repeated items count once by
+Defined results: null or empty texts and items match nothing; a border of words is a space of the normalised text or an
+end of it, and an item under LEAST bytes counts as one window; repeated documents are each judged, repeated items count once by
 item_id; other columns are kept by flag() and left out by regions().
 """
 
@@ -55,7 +55,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         data, offsets = texts(pa.array([t for _, t in items], pa.large_string()))
         norm, cuts, _ = normalised(data, offsets)
-        ids, bodies = [], []
+        ids, bodies, short = [], [], {}
         for k, (item, _) in enumerate(items):
             text = norm[cuts[k] : cuts[k + 1]]
             while len(text) and text[-1] == 32:
@@ -63,9 +63,13 @@ class Index:
             while len(text) and text[0] == 32:
                 text = text[1:]
             if len(text) < LEAST:
+                if len(text):
+                    short.setdefault(len(text), {}).setdefault(text.tobytes(), []).append(item)
                 continue
             ids.append(item)
             bodies.append(text)
+        # By length: the short items' bytes in order, and the items of each.
+        self.short = {n: (np.array(sorted(by), f"S{n}"), [by[t] for t in sorted(by)]) for n, by in short.items()}
         lengths = np.array([len(t) for t in bodies], np.int64)
         self.body = np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
@@ -172,6 +176,27 @@ class Index:
         return row[good], window[good], distance[good]
 
 
+    def whole(self, norm: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(row, item) of each place where a short item stands between word borders."""
+        if not self.short:
+            return
+        space = norm == 32
+        border = np.zeros(len(norm) + 1, bool)
+        border[cuts] = True
+        border[:-1] |= space
+        border[1:] |= space
+        begins = np.flatnonzero(border[:-1] & ~space)
+        row = np.searchsorted(cuts, begins, "right") - 1
+        for n, (known, items) in self.short.items():
+            fits = np.flatnonzero(begins + n <= cuts[row + 1])
+            fits = fits[border[begins[fits] + n]]
+            found = norm[begins[fits][:, None] + np.arange(n)].view(f"S{n}")[:, 0]
+            k = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            for i in np.flatnonzero(known[k] == found).tolist():
+                for item in items[k[i]]:
+                    yield int(row[fits[i]]), item
+
+
 def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest edit distance of each window to a substring of its region norm[a:b].
 
@@ -237,6 +262,8 @@ def judged(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[dict]:
     best: dict[tuple[int, int], list[int]] = {}
     for row, window, d in zip(*(x.tolist() for x in index.verified(norm, cuts)), strict=True):
         best.setdefault((row, index.items[window]), []).append(d)
+    for key in index.whole(norm, cuts):
+        best.setdefault(key, [0])
     return [{"row": r, "item_id": i, "n_windows": len(ds), "distance": min(ds)} for (r, i), ds in sorted(best.items())]
 
 

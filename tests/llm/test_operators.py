@@ -127,6 +127,13 @@ def test_decontamination_finds_partial_quotes_at_every_offset():
     assert found_in(index, around + item[40:120] + around) == []
 
 
+def test_decontamination_finds_short_items_between_word_borders():
+    index = decontaminate.Index([(1, "What is the capital of Peru?"), (2, "Año 7"), (3, "what is the CAPITAL of peru"), (4, "?!"), (5, "seven words that stand in no row")])
+    rows = ["What is the capital of Peru?", "x y, what is\nthe capital of PERU", "so what is the capital of peru now", "what is the capital of perus", "xwhat is the capital of peru", "what is the capital", "of peru", "", None, "7 AÑO 7", "año 77"]
+    found = decontaminate.judged(index, *texts(pa.array(rows, pa.large_string())))
+    assert [(r["row"], r["item_id"], r["n_windows"], r["distance"]) for r in found] == [(0, 1, 1, 0), (0, 3, 1, 0), (1, 1, 1, 0), (1, 3, 1, 0), (2, 1, 1, 0), (2, 3, 1, 0), (9, 2, 1, 0)]
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (4, "word " * 20), (4, "word " * 20)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.distance) for r in decontaminate.regions(odd, items).collect()] == [(6, 4, 0)]
