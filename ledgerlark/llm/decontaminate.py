@@ -10,16 +10,18 @@ banded alignment gives the smallest edit distance of the window to any substring
 a verified window is contaminated. Items under LEAST bytes must stand in a document whole and unedited between word borders.
 
 The benchmark is the query set: it is gone through in blocks of at most BLOCK_BYTES, each held by every
-task, and every block meets all documents. Nothing is shuffled.
+task, and every block meets all documents. All texts of an id are in one block, so its results come together within a
+task. Documents aren't shuffled.
 
 Defined results: null or empty texts and items match nothing; a border of words is a space of the normalised text or an
-end of it, and an item under LEAST bytes counts as one window; repeated documents are each judged, repeated items count once by
-item_id; other columns are kept by flag() and left out by regions().
+end of it, and an item under LEAST bytes counts as one window; repeated documents are each judged; all different texts of an item_id are
+passages of one item, and each different text without an id is an item of its own, with a null item_id; other columns are kept by flag() and left out by regions().
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +51,18 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return mapped[at], np.searchsorted(at, offsets), at
 
 
+def owner(item: int | None, number: int) -> tuple[bool, int]:
+    """What results are gathered by: the item_id, or for a text without one its number in the block."""
+    return (True, number) if item is None else (False, item)
+
+
 class Index:
     """Q-grams of a block of items, each held once with its place in `body`, the items' normalised bytes one after the other."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         data, offsets = texts(pa.array([t for _, t in items], pa.large_string()))
         norm, cuts, _ = normalised(data, offsets)
-        ids, bodies, short = [], [], {}
+        ids, owners, bodies, short = [], [], [], {}
         for k, (item, _) in enumerate(items):
             text = norm[cuts[k] : cuts[k + 1]]
             while len(text) and text[-1] == 32:
@@ -64,11 +71,13 @@ class Index:
                 text = text[1:]
             if len(text) < LEAST:
                 if len(text):
-                    short.setdefault(len(text), {}).setdefault(text.tobytes(), []).append(item)
+                    short.setdefault(len(text), {}).setdefault(text.tobytes(), []).append(owner(item, k))
                 continue
             ids.append(item)
+            owners.append(owner(item, k))
             bodies.append(text)
-        # By length: the short items' bytes in order, and the items of each.
+        self.owners = owners
+        # By length: the short items' bytes in order, and the owners of each.
         self.short = {n: (np.array(sorted(by), f"S{n}"), [by[t] for t in sorted(by)]) for n, by in short.items()}
         lengths = np.array([len(t) for t in bodies], np.int64)
         self.body = np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
@@ -176,8 +185,8 @@ class Index:
         return row[good], window[good], distance[good]
 
 
-    def whole(self, norm: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(row, item) of each place where a short item stands between word borders."""
+    def whole(self, norm: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, tuple[bool, int]]]:
+        """(row, owner) of each row and short item that stands in it between word borders."""
         if not self.short:
             return
         space = norm == 32
@@ -187,14 +196,15 @@ class Index:
         border[1:] |= space
         begins = np.flatnonzero(border[:-1] & ~space)
         row = np.searchsorted(cuts, begins, "right") - 1
-        for n, (known, items) in self.short.items():
+        for n, (known, owners) in self.short.items():
             fits = np.flatnonzero(begins + n <= cuts[row + 1])
             fits = fits[border[begins[fits] + n]]
             found = norm[begins[fits][:, None] + np.arange(n)].view(f"S{n}")[:, 0]
             k = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            for i in np.flatnonzero(known[k] == found).tolist():
-                for item in items[k[i]]:
-                    yield int(row[fits[i]]), item
+            same = known[k] == found
+            for r, j in dict.fromkeys(zip(row[fits[same]].tolist(), k[same].tolist(), strict=True)):
+                for who in owners[j]:
+                    yield r, who
 
 
 def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -215,17 +225,19 @@ def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray)
     return row.min(axis=1).astype(np.int64)
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most `most` bytes; an item over that alone. One block at a time is held."""
-    block, size, last = [], 0, None
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null")
-    rows = rows.groupBy("item_id").agg(F.min("text").alias("text")).orderBy("item_id")
-    for r in rows.toLocalIterator():
-        if block and size + len(r["text"]) > most:
+def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
+    """The items' texts in blocks of at most `most` bytes; an item over that alone. One block at a time is held."""
+    block, size = [], 0
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    rows = enumerate(rows.distinct().orderBy("item_id", "text").toLocalIterator())
+    for _, item in groupby(rows, lambda x: owner(x[1]["item_id"], x[0])):
+        passages = [(r["item_id"], r["text"]) for _, r in item]
+        more = sum(len(t.encode("utf-8")) for _, t in passages)
+        if block and size + more > most:
             yield block
             block, size = [], 0
-        block.append((r["item_id"], r["text"]))
-        size += len(r["text"].encode("utf-8"))
+        block += passages
+        size += more
     if block:
         yield block
 
@@ -259,12 +271,14 @@ def judged(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[dict]:
     if not len(data):
         return []
     norm, cuts, _ = normalised(data, offsets)
-    best: dict[tuple[int, int], list[int]] = {}
-    for row, window, d in zip(*(x.tolist() for x in index.verified(norm, cuts)), strict=True):
-        best.setdefault((row, index.items[window]), []).append(d)
-    for key in index.whole(norm, cuts):
-        best.setdefault(key, [0])
-    return [{"row": r, "item_id": i, "n_windows": len(ds), "distance": min(ds)} for (r, i), ds in sorted(best.items())]
+    best: dict[tuple[int, tuple[bool, int]], list[int]] = {}
+    row, window, distance = index.verified(norm, cuts)
+    passage = np.searchsorted(index.first_window, window, "right") - 1
+    for r, p, d in zip(row.tolist(), passage.tolist(), distance.tolist(), strict=True):
+        best.setdefault((r, index.owners[p]), []).append(d)
+    for r, who in index.whole(norm, cuts):
+        best.setdefault((r, who), []).append(0)
+    return [{"row": r, "item_id": None if bare else i, "n_windows": len(ds), "distance": min(ds)} for (r, (bare, i)), ds in sorted(best.items())]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -134,6 +134,21 @@ def test_decontamination_finds_short_items_between_word_borders():
     assert [(r["row"], r["item_id"], r["n_windows"], r["distance"]) for r in found] == [(0, 1, 1, 0), (0, 3, 1, 0), (1, 1, 1, 0), (1, 3, 1, 0), (2, 1, 1, 0), (2, 3, 1, 0), (9, 2, 1, 0)]
 
 
+def test_decontamination_keeps_all_texts_of_an_id_and_those_without(spark):
+    one, two, bare, other = (" ".join(w + str(i) for i in range(20)) for w in ("alpha", "beta", "gamma", "delta"))
+    items = spark.createDataFrame([(1, one), (1, two), (1, two), (1, None), (None, bare), (None, other), (None, bare), (2, "short one"), (2, "shorter")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, one, "x"), (2, two, "x"), (3, f"{one} {two}", "x"), (4, bare, "x"), (5, f"{other} {bare}", "x"), (6, "a short one, a shorter one", "x"), (7, "none", "x"), (7, one, "x"), (7, one, "x")], DOCS)
+    found = sorted(((r.doc_id, r.item_id, r.n_windows) for r in decontaminate.regions(docs, items).collect()), key=repr)
+    n, m, o, p = (len(t) - 95 for t in (one, two, bare, other))
+    windows = {(r[0], r[1]): r[2] for r in found}
+    assert [f[:2] for f in found] == [(1, 1), (2, 1), (3, 1), (4, None), (5, None), (5, None), (6, 2), (7, 1), (7, 1)]
+    assert windows[1, 1] == n and windows[2, 1] == m and windows[3, 1] == n + m and windows[4, None] == o and windows[6, 2] == 2
+    assert sorted(f[2] for f in found if f[0] == 5) == sorted((o, p))
+    assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [7]
+    small = list(decontaminate.blocks(items, 150))
+    assert [{t for _, t in b} for b in small] == [{x} for x in sorted((bare, other))] + [{one, two}, {"short one", "shorter"}]
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (4, "word " * 20), (4, "word " * 20)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.distance) for r in decontaminate.regions(odd, items).collect()] == [(6, 4, 0)]
