@@ -1,8 +1,9 @@
 """License scan with a positional index of rare words, in DataFrame functions only.
 
 Document frequencies of all template words are counted over the whole table. Each template is indexed
-under its highest-IDF words with their positions. A file's indexed words are looked up; each such word
-proposes a place for a template, the other postings of that template are intersected at their positions
+under the highest-IDF word of its mandatory key phrase with its position: no place holds without that word, so every
+place is proposed, and once. A file's indexed words are looked up; each such word
+proposes a place for a template, the template's other words are compared at their positions
 relative to it, and the place holds if enough IDF weight agrees and the template's mandatory key phrase
 stands at its own relative position. Beside that, all places of the base phrases are counted.
 
@@ -38,8 +39,8 @@ TEMPLATES = [
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 ]
-#: Indexed words of a template, and the share of its IDF weight that must agree at a place.
-INDEXED, AGREE = 3, 0.5
+#: The share of a template's IDF weight that must agree at a place.
+AGREE = 0.5
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -57,6 +58,11 @@ def frequencies(docs: DataFrame, templates=None) -> tuple[int, dict[str, int]]:
     return found.get("", 0), {w: found.get(w, 0) for w in vocabulary}
 
 
+def key_place(parts: list[str], key: list[str]) -> int:
+    """Where a template's key phrase begins."""
+    return next(k for k in range(len(parts)) if parts[k : k + len(key)] == key)
+
+
 def starts_at(words: Column, start: Column, phrase: list[str]) -> Column:
     """Whether the phrase's words stand at a place; places before the first word hold nothing."""
     held = start >= 0
@@ -71,10 +77,9 @@ def scan(docs: DataFrame, templates=None, base: dict[str, str] | None = None) ->
     total, df = frequencies(docs, templates)
     idf = {w: math.log((total + 1) / (n + 1)) + 1e-3 for w, n in df.items()}
     index: dict[str, list[tuple[int, int]]] = {}  # word -> (template, position)
-    for t, (_, text, _) in enumerate(templates):
-        spots = sorted(enumerate(text.split()), key=lambda x: (-idf[x[1]], x[0]))
-        for at, w in spots[:INDEXED]:
-            index.setdefault(w, []).append((t, at))
+    for t, (_, text, key) in enumerate(templates):
+        at, w = max(enumerate(key.split(), key_place(text.split(), key.split())), key=lambda x: (idf[x[1]], -x[0]))
+        index.setdefault(w, []).append((t, at))
     phrases = {label: p.split() for label, p in base.items()}
     lasts = {p[-1] for p in phrases.values()}
     wanted = sorted({*index, *lasts})
@@ -108,7 +113,7 @@ def scan(docs: DataFrame, templates=None, base: dict[str, str] | None = None) ->
                 weight = sum(idf[p] for p in parts)
                 agreed = sum((F.when((start + k >= 0) & (F.get(words, start + k) == p), F.lit(idf[p])).otherwise(F.lit(0.0)) for k, p in enumerate(parts)), F.lit(0.0)) / weight
                 key_words = key.split()
-                key_at = next(k for k in range(len(parts)) if parts[k : k + len(key_words)] == key_words)
+                key_at = key_place(parts, key_words)
                 held = starts_at(words, start + key_at, key_words) & (agreed >= AGREE)
                 here.append(F.when(held, F.struct(F.lit(label).alias("label"), F.round(agreed, 6).alias("score"))))
             out = F.when(h["w"] == w, F.filter(F.array(*here), lambda x: x.isNotNull()).cast(kind)).otherwise(out)

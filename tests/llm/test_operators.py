@@ -340,6 +340,35 @@ def test_licences_are_brute_force(spark, odd, none):
     assert license_scan.scan(none).collect() == []
 
 
+def test_licence_templates_are_brute_force(spark):
+    rnd, vocabulary = random.Random(8), sorted({w for _, t, _ in license_scan.TEMPLATES for w in t.split()})
+    bodies = ["redistribution and use in source and binary forms so or so", "permission to use copy modify is given"] * 6
+    for _, text, key in license_scan.TEMPLATES:
+        bodies += [text, f"{text} {text}", key, f"x {key}"]
+        for _ in range(6):
+            bodies.append(" ".join(w if w in key.split() or rnd.random() < 0.5 else rnd.choice(["x", rnd.choice(vocabulary)]) for w in text.split()))
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    total, df = license_scan.frequencies(docs)
+    idf = {w: np.log((total + 1) / (n + 1)) + 1e-3 for w, n in df.items()}
+    want = {}
+    for i, body in enumerate(bodies):
+        words, places = body.split(), []
+        for label, text, key in license_scan.TEMPLATES:
+            parts, key_words = text.split(), key.split()
+            at = next(k for k in range(len(parts)) if parts[k : k + len(key_words)] == key_words)
+            for start in range(-at, len(words)):
+                agreed = sum(idf[p] for k, p in enumerate(parts) if 0 <= start + k < len(words) and words[start + k] == p) / sum(idf[p] for p in parts)
+                if words[start + at : start + at + len(key_words)] == key_words and agreed >= license_scan.AGREE:
+                    places.append((label, agreed))
+        want[i] = ({x for x, _ in places}, len(places), max((a for _, a in places), default=0.0))
+    rare = sorted(license_scan.TEMPLATES[5][1].split(), key=lambda w: -idf[w])[:3]
+    assert not {*rare} & {*bodies[0].split()} and "bsd" in want[0][0]
+    for r in license_scan.scan(docs).collect():
+        labels, n, score = want[r.doc_id]
+        assert {*r.labels.split(",")} - {""} - {*r.base_labels.split(",")} == labels - {*r.base_labels.split(",")}, bodies[r.doc_id]
+        assert r.n_places == n and abs(r.score - score) < 1e-5
+
+
 def test_native_plans_have_no_python(spark, sf_dir):
     for name in ("op5_license_scan", "op6_url_rules"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
