@@ -532,10 +532,15 @@ def slug_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT q.user_id, CASE WHEN p.last_day IS NULL THEN 'no_points' WHEN p.last_day = q.printed_day THEN 'ok' ELSE 'mismatch' END AS status FROM q LEFT JOIN p ON p.user_id = q.user_id""",
 )
 def control_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last sound point against what is printed (JN22)."""
-    events = read(spark, sf_dir, "events").select("user_id", "ts", "event_type")
-    points = pick.last_point(events.filter("event_type <> 'error'").withColumn("v", F.lit(0)), ["user_id"], "ts", "v")
-    printed = events.groupBy("user_id").agg(F.max("ts").alias("printed_day")).withColumn("printed_value", F.lit(0))
+    """The last sound point's day and value against the last printed ones (JN22); of several values at one time the largest counts.
+
+    The SQL compares days alone, which is the same while no user has two values at the last time.
+    """
+    events = read(spark, sf_dir, "events").groupBy("user_id", "ts", "event_type").agg(F.max("value").alias("v"))
+    sound = events.filter("event_type <> 'error'").groupBy("user_id", "ts").agg(F.max("v").alias("v"))
+    points = pick.last_point(sound, ["user_id"], "ts", "v")
+    printed = pick.last_point(events.groupBy("user_id", "ts").agg(F.max("v").alias("v")), ["user_id"], "ts", "v")
+    printed = printed.select("user_id", F.col("last_day").alias("printed_day"), F.col("last_value").alias("printed_value"))
     return pick.control_point(points, printed, ["user_id"]).select("user_id", "status")
 
 

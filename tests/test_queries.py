@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from ledgerlark.plans import catalogue
@@ -35,3 +36,12 @@ NESTED = "BroadcastNestedLoopJoin|CartesianProduct"
 def test_joins_have_equality_keys(spark, sf_dir, name):
     plan = catalogue.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_control_point_compares_values(spark, tmp_path):
+    rows = [(1, 1, "view", 5.0), (1, 2, "view", 6.0), (2, 1, "view", 5.0), (2, 1, "error", 7.0), (3, 1, "view", 5.0), (3, 2, "error", 5.0), (4, 1, "error", 5.0)]
+    rows += [(5, 1, "view", 5.0), (5, 1, "error", 4.0), (6, 1, "view", None)]
+    events = spark.createDataFrame(rows, "user_id long, ts long, event_type string, value double").withColumn("ts", F.timestamp_seconds("ts"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = dict(catalogue.QUERIES["control_point"](spark, str(tmp_path)).collect())
+    assert found == {1: "ok", 2: "mismatch", 3: "mismatch", 4: "no_points", 5: "ok", 6: "ok"}
