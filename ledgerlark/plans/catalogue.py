@@ -506,6 +506,12 @@ def text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(F.lower(F.trim(F.regexp_replace(dropped, r"\s+", " ")))).alias("key"))
 
 
+@registered("match_key")
+def match_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole comparison key of each document (FN7)."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.match_key(F.col("text"))).alias("key"))
+
+
 @registered("grouped_number", "SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS DOUBLE) AS value FROM part")
 def grouped_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A price written with grouped digits and a comma, read back (FN10)."""

@@ -1,3 +1,6 @@
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,3 +48,26 @@ def test_control_point_compares_values(spark, tmp_path):
     events.write.parquet(f"{tmp_path}/events.parquet")
     found = dict(catalogue.QUERIES["control_point"](spark, str(tmp_path)).collect())
     assert found == {1: "ok", 2: "mismatch", 3: "mismatch", 4: "no_points", 5: "ok", 6: "ok"}
+
+
+def whole_key(s: str) -> str:
+    """The comparison key by hand: look-alikes letter by letter, apostrophes, letters, quotes, blanks, case."""
+    latin, cyrillic = "iIaAeEoOpPcCxXyHBKMT", "іІаАеЕоОрРсСхХуНВКМТ"
+    for a, b in zip(latin, cyrillic, strict=True):
+        s = re.sub(f"(?<=[а-яА-ЯіІїЇєЄґҐ]){a}(?![a-zA-Z])|(?<![a-zA-Z]){a}(?=[а-яА-ЯіІїЇєЄґҐ])", b, s)
+    marks = "'`’ʼ"
+    s = "".join(c if c not in marks else "’" if s[i - 1 : i].isalpha() and s[i + 1 : i + 2].isalpha() else "" for i, c in enumerate(s))
+    s = "".join(c for c in s.replace("ґ", "г").replace("Ґ", "Г") if c not in '«»"“”')
+    return " ".join(re.split(r"\s+", s)).strip(" ").lower()
+
+
+def test_match_key_is_brute_force(spark, sf_dir, tmp_path):
+    # Equal but for look-alikes, apostrophes, letters and quotes; then one that differs.
+    same = ["Пам'ятна монета «Ґрунт»", "Пaм’ятнa  мoнета Грунт", "пам`ятна монета\t\"Ґрунт\"'", "ПАМʼЯТНА MОНЕТА Грунт "]
+    rows = [(i, t) for i, t in enumerate([*same, "Памятна монета Грунт", "coin of 'x' don't", "", None])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for folder in (sf_dir, str(tmp_path)):
+        texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+        found = dict(catalogue.QUERIES["match_key"](spark, folder).collect())
+        assert found == {i: None if t is None else hashlib.md5(whole_key(t).encode()).hexdigest() for i, t in texts.items()}
+    assert len({found[i] for i in range(len(same))}) == 1 and found[len(same)] != found[0]
