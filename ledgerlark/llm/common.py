@@ -79,6 +79,20 @@ def pieces(offsets: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]
         i = j
 
 
+def word_cuts(gap: np.ndarray, edges: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Slices of about size bytes that end at a gap or at a row's edge, so that no word is cut; a longer word is a slice of its own."""
+    lo, n = 0, len(gap)
+    while lo < n:
+        hi = min(lo + size, n)
+        while hi < n:
+            ahead = np.flatnonzero(gap[hi : hi + size] | edges[hi : hi + size][: n - hi])
+            hi = min(hi + (int(ahead[0]) if len(ahead) else size), n)
+            if len(ahead):
+                break
+        yield lo, hi
+        lo = hi
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (public splitmix constants): close keys become far apart."""
     h = h.astype(U64, copy=True)

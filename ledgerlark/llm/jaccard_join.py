@@ -5,72 +5,86 @@ through its smallest doc_id. Two different sets of similarity t share, under any
 shingles, one of the first n - ceil(t n) + 1 shingles of each, and two of the first n - ceil(t n) + 2.
 Light (small) sets are keyed by all subsets of two of the latter, heavy (large) sets stand in the
 inverted list of each of the former; sets just above the boundary do both, since they may meet light
-ones. The boundary is where the predicted cost of both
-together is least. In the order, frequent shingles come last: those that could be a key are counted over
-all documents, and the list of the frequent ones is bounded by raising the frequency that makes one.
+ones. The boundary is where the rows of subsets and the scans of lists, counted over all sets, cost least together.
 
-A list's members are not paired with each other. First each round verifies the smallest member (the centre)
+The order is by rarity: shingles of the first part of the hash range (HEAD) by the number of documents that hold them,
+then all others by hash. A shingle of one document alone meets nothing, so sets with many shingles of their own have
+few keys or none. A list's key names a band of sizes too: the larger set of a pair is at home in its band, a
+smaller one visits the next band as well. The place of a shared shingle in the order bounds what two sets can share behind
+it, and so how large the other set may be.
+
+A list's members are not paired with each other. First each round verifies one member (the centre)
 of every list against the others of different components, merges components, and takes the centre off the
 list; lists within one component are done, so copies cost one verification each. Bucket counts of the sets bound
 what two of them can share; pairs that this rules out are dropped, the others are verified exactly.
-When rounds no longer halve what is left, the remaining lists are gone through in tasks of at most two
-blocks of BLOCK members, and pairs that
-are not connected and not ruled out are verified exactly. No link between components is
-lost: every pair of a list is settled by a link, a connection, the bound or a test.
+When rounds no longer halve what is left, the lists that are still open are scanned in tasks of at most two
+blocks of BLOCK members, and pairs that are not connected and not ruled out are verified exactly. No link between components is
+lost: every pair of a list is settled by a link, a connection, a bound or a test.
 
 Defined results: null and empty texts and texts without words have size 0 and are linked with nothing;
 a document of fewer words than a shingle has its whole word sequence as the one element; repeated rows
-are one class; rows with a null doc_id take no part; other columns are left out by join() and kept by
-keep_one().
+are one class; rows of one doc_id with different texts are one node of the links, whose rows keep their own sizes; rows with a
+null doc_id take no part in join() and all stay in keep_one(); other columns are left out by join() and kept by keep_one(); no documents
+give no rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import U64, Scratch, byte_keys, mixed, pieces, texts
+from ledgerlark.llm.common import U64, Scratch, byte_keys, mixed, pieces, texts, word_cuts
 from ledgerlark.llm.components import components
 from ledgerlark.llm.toxicity import powers
 
-#: Shingles whose hash is in this first part of the range are counted; a set's keys lie there but for a few.
-HEAD = 3 / 16
-#: Most frequent shingles that are put last (8 bytes each, sent to every task), and the fewest documents of one.
-MOST_FREQUENT, LEAST_DOCUMENTS = 1_000_000, 8
+#: Times the share of a set that its keys are at most (1 - t), the part of the hash range whose shingles are counted.
+HEAD = 1.4
 #: Members of a list's block, and rounds of centres at most before the rest is settled in blocks.
-BLOCK, MOST_ROUNDS = 128, 2
-#: Light sets are never larger than this, whatever the cost: their subsets grow with the square of the size.
-MOST_LIGHT = 80
+BLOCK, MOST_ROUNDS = 1024, 4
+#: Bits of the map of documents whose sets are read again, for each of them, and at most (16 MB); others that the map lets through are joined away.
+BITS_EACH, MOST_BITS = 16, 1 << 27
+#: Buckets of a set's sketch.
+BUCKETS = 512
 _space = np.zeros(256, bool)
 _space[[0x20, *range(0x09, 0x0E)]] = True
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and each row's first word; long texts are gone through in slices that end between words."""
+    low = _lower[data]
+    gap = _space[low]
+    edges = np.zeros(len(data) + 1, bool)
+    edges[offsets] = True
+    starts, hashes = [], []
+    keys = byte_keys(seed)
+    for lo, hi in word_cuts(gap, edges):
+        word = ~gap[lo:hi]
+        begins = word.copy()
+        begins[1:] &= ~word[:-1] | edges[lo + 1 : hi]
+        ends = word.copy()
+        ends[:-1] &= ~word[1:] | begins[1:]
+        start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        up, down = powers(hi - lo)
+        total = np.zeros(hi - lo + 1, U64)
+        np.cumsum(keys[low[lo:hi]] * up, out=total[1:])
+        hashes.append(mixed((total[stop] - total[start]) * down[start]))
+        starts.append(start + lo)
+    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    return np.concatenate(hashes) if hashes else np.zeros(0, U64), np.searchsorted(start, offsets)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> list[np.ndarray]:
     """Each row's sorted distinct shingle hashes."""
     none = np.zeros(0, U64)
     if not len(data):
         return [none] * (len(offsets) - 1)
-    low = _lower[data]
-    word = ~_space[low]
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    cut = offsets[:-1][offsets[:-1] < len(data)]
-    begins[cut] = word[cut]
-    ends = word.copy()
-    ends[:-1] &= ~word[1:] | begins[1:]
-    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(byte_keys(seed)[low] * up, out=total[1:])
-    h = mixed((total[stop] - total[start]) * down[start])
-    at = np.searchsorted(start, offsets)  # a row's first word
+    h, at = word_hashes(data, offsets, seed)
     run = np.zeros(max(len(h) - width + 1, 0), U64)
     for k in range(width):
         run += h[k : k + len(run)] * U64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64))
@@ -90,114 +104,192 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> li
     return out
 
 
+def class_of(items: np.ndarray) -> np.ndarray:
+    """The set's first hash."""
+    return np.add.reduce(mixed(items))
+
+
 def least_overlap(n: np.ndarray | int, percent: int):
     """The fewest shared elements of a set of n with any similar set: ceil(t n)."""
     return -(-n * percent // 100)
 
 
-def keys_of(tokens: np.ndarray, percent: int, light: int) -> np.ndarray:
-    """The keys of a set whose tokens are given in the common order."""
-    n = len(tokens)
-    if n == 0:
-        return np.zeros(0, U64)
-    need = int(least_overlap(n, percent))
-    if n == need:  # nothing but an equal set of this size is similar; a larger one may be
-        if need * 100 < percent * (n + 1):
-            return np.zeros(0, U64)
-    found = []
-    if need >= 2 and n * percent <= light * 100:
-        head = tokens[: n - need + 2]
-        i, j = np.triu_indices(len(head), 1)
-        found.append(mixed(head[i] * U64(0xD1342543DE82EF95) + head[j]))
-    if n > light or need < 2:
-        found.append(tokens[: n - need + 1])
-    return np.concatenate(found)
-
+def head_limit(percent: int) -> np.uint64:
+    """Hashes from here on aren't counted."""
+    return U64(min(int(HEAD * (100 - percent) / 100 * 2**64), 2**64 - 1))
 
-def cheapest_boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
-    """The largest light size for which subsets of small sets and lists of large ones cost least together.
-
-    sizes: number of sets of each size up to MOST_LIGHT / t. A subset costs one row; a list entry one row and the list's scan.
-    """
-    def cost(light: int) -> float:
-        total = 0.0
-        for n, count in sizes.items():
-            need = int(least_overlap(n, percent))
-            if need >= 2 and n * percent <= light * 100:
-                total += count * math.comb(n - need + 2, 2)
-            if n > light or need < 2:
-                total += count * (n - need + 1) * (1 + list_length)
-        return total
 
-    return min(range(0, MOST_LIGHT + 1), key=lambda b: (cost(b), b))
+def bands(percent: int) -> np.ndarray:
+    """The first size of each band; a similar larger set is in the same band or in the next."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(out[-1] * 100 // percent + 1)
+    return np.array(out)
 
 
-def described(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """A row (doc_id, n, h1, h2, least) a document, and rows (token, count) of a batch's shingles in the head of the order."""
-    schema = "doc_id long, n int, h1 long, h2 long, least long, token long, count long"
+def per_document(docs: DataFrame, width: int, seed: int, schema: str, of_sets) -> DataFrame:
+    """What of_sets(ids, sets) gives of each slice of the documents (doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = texts(batch.column(1))
-            sets = [s for lo, hi in pieces(offsets) for s in shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed)]
-            n = np.array([len(s) for s in sets], np.int64)
-            every = np.concatenate(sets) if sets else np.zeros(0, U64)
-            full = np.flatnonzero(n)
-            at = (np.cumsum(n) - n)[full]
-            h1, h2, least = (np.zeros(len(n), U64) for _ in range(3))
-            if len(full):
-                h1[full], h2[full] = np.add.reduceat(mixed(every), at), np.add.reduceat(mixed(every ^ U64(0xA5A5A5A5A5A5A5A5)), at)
-                least[full] = every[at]
-            every.sort()
-            edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[edge, len(every)])
-            common = every[edge] < U64(int(HEAD * 2**64))
-            rows, extra = len(n), int(common.sum())
-            gap = pa.nulls(extra, pa.int64())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.concat_arrays([batch.column(0), gap]),
-                "n": pa.concat_arrays([pa.array(n, pa.int32()), pa.nulls(extra, pa.int32())]),
-                **{k: pa.concat_arrays([pa.array(v.view(np.int64)), gap]) for k, v in (("h1", h1), ("h2", h2), ("least", least))},
-                "token": pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(every[edge[common]].view(np.int64))]),
-                "count": pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(count[common].astype(np.int64))]),
-            })
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            for lo, hi in pieces(offsets):
+                yield of_sets(ids[lo:hi], shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed))
 
     return docs.mapInArrow(work, schema)
 
 
-def postings(docs: DataFrame, width: int, seed: int, percent: int, light: int, last: np.ndarray) -> DataFrame:
-    """(key, cls, n) of each document's keys; cls is its set's first hash."""
+def described(docs: DataFrame, width: int, seed: int, percent: int) -> DataFrame:
+    """doc_id, size of its set, two hashes of the set, elements in the head of the hash range."""
+    limit = head_limit(percent)
+
+    def of_sets(ids: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        h1 = np.array([class_of(s) for s in sets], U64)
+        h2 = np.array([class_of(s ^ U64(0xA5A5A5A5A5A5A5A5)) for s in sets], U64)
+        n = np.array([len(s) for s in sets], np.int32)
+        head = np.array([np.searchsorted(s, limit) for s in sets], np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(head)], ["doc_id", "n", "h1", "h2", "head"])
+
+    return per_document(docs, width, seed, "doc_id long, n int, h1 long, h2 long, head int", of_sets)
+
+
+def leading(items: np.ndarray, percent: int, limit: np.uint64) -> np.ndarray:
+    """The elements that may be keys: all of the head, and others as far as keys may reach."""
+    n = len(items)
+    return items[: max(int(np.searchsorted(items, limit)), n - int(least_overlap(n, percent)) + 2)]
+
+
+def counted(docs: DataFrame, width: int, seed: int, percent: int) -> DataFrame:
+    """(token, count) of possible keys, summed over a slice."""
+    limit = head_limit(percent)
+
+    def of_sets(ids: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate([leading(s, percent, limit) for s in sets]) if sets else np.zeros(0, U64)
+        token, count = np.unique(every, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(count.astype(np.int32))], ["token", "count"])
+
+    return per_document(docs, width, seed, "token long, count int", of_sets)
+
+
+def possible_keys(docs: DataFrame, width: int, seed: int, percent: int) -> DataFrame:
+    """(token, cls) of possible keys; equal sets of a slice count once."""
+    limit = head_limit(percent)
+
+    def of_sets(ids: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        distinct = {int(class_of(s)): s for s in sets if len(s)}
+        lead = [leading(s, percent, limit) for s in distinct.values()]
+        token = np.concatenate(lead) if lead else np.zeros(0, U64)
+        cls = np.repeat(np.array(list(distinct), U64), [len(x) for x in lead])
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(cls.view(np.int64))], ["token", "cls"])
+
+    return per_document(docs, width, seed, "token long, cls long", of_sets)
+
+
+def placed(tokens: np.ndarray, count: np.ndarray, n: int, head: int, percent: int, limit: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a set's shared possible keys those within reach: (token, place in the common order, documents that hold it).
+
+    The set's elements in the head that are not given are its own alone and come before the given ones.
+    """
+    reach = n - int(least_overlap(n, percent)) + 2
+    inside = tokens < limit
+    order = np.lexsort((tokens, np.where(inside, count, 0), ~inside))
+    tokens, count, shared = tokens[order], count[order], int(inside.sum())
+    # Outside the head the order is by hash; elements there that aren't given only move the others back, which may keep more keys than needed.
+    place = np.arange(len(tokens)) + np.where(np.arange(len(tokens)) < shared, head - shared, max(head - shared, 0))
+    keep = place < reach
+    return tokens[keep], place[keep], count[keep]
+
+
+def keys_of(tokens: np.ndarray, place: np.ndarray, n: int, percent: int, light: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set from its placed tokens, and the largest set that each may stand for."""
+    need = int(least_overlap(n, percent))
+    largest = n * 100 // percent
+    if n == need and largest == n:  # nothing but an equal set is similar
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    key, most = [], []
+    if need >= 2 and n * percent <= light * 100:
+        i, j = np.triu_indices(len(tokens), 1)
+        key.append(mixed(tokens[i] * U64(0xD1342543DE82EF95) + tokens[j]))
+        most.append(np.full(len(i), largest))
+    if n > light or need < 2:
+        within = place < n - need + 1
+        key.append(tokens[within])
+        # With `place` elements before the first shared one, at most n - place are shared.
+        most.append(np.minimum((n - place[within]) * (100 + percent) // percent - n, largest))
+    return np.concatenate(key), np.concatenate(most).astype(np.int64)
+
+
+def prefixes(possible: DataFrame, shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(cls, id, n, tokens, places, counts) of each class with keys: a row is bounded by its document."""
+    limit = head_limit(percent)
+    grouped = possible.join(shared, "token").groupBy("cls").agg(F.collect_set(F.struct("token", "count")).alias("held")).join(classes.select("cls", F.col("rep").alias("id"), "n", "head"), "cls")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = texts(batch.column(1))
-            for lo, hi in pieces(offsets):
-                keys, cls, sizes = [], [], []
-                for s in shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed):
-                    if not len(s):
-                        continue
-                    if len(last):
-                        common = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                        ordered = np.concatenate([s[~common], s[common]])
-                    else:
-                        ordered = s
-                    k = keys_of(ordered, percent, light)
-                    keys.append(k)
-                    cls.append(np.add.reduce(mixed(s)))
-                    sizes.append((len(s), len(k)))
-                if keys:
-                    n, times = np.array(sizes).T
-                    yield pa.RecordBatch.from_pydict({
-                        "key": pa.array(np.concatenate(keys).view(np.int64)),
-                        "cls": pa.array(np.repeat(np.array(cls, U64).view(np.int64), times)),
-                        "n": pa.array(np.repeat(n, times), pa.int32()),
-                    })
-
-    return docs.mapInArrow(work, "key long, cls long, n int")
+            held = batch.column(3)
+            at = held.offsets.to_numpy()
+            token, count = (x.to_numpy(zero_copy_only=False)[at[0] :] for x in (held.values.field(0), held.values.field(1)))
+            at = at - at[0]
+            out = [placed(token[a:b].astype(np.int64).view(U64), count[a:b], n, head, percent, limit) for a, b, n, head in zip(at[:-1].tolist(), at[1:].tolist(), batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            lists = [[np.ascontiguousarray(o[k]).view(np.int64) if k == 0 else o[k].astype(np.int64) for o in out] for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(x, pa.list_(pa.int64())) for x in lists)], ["cls", "id", "n", "tokens", "places", "counts"])
 
+    kind = "array<long>"
+    return grouped.select("cls", "id", "n", "held", "head").mapInArrow(work, f"cls long, id long, n int, tokens {kind}, places {kind}, counts {kind}").filter(F.size("tokens") > 0)
 
-#: Buckets of a set's sketch.
-BUCKETS = 512
+
+def cheapest_boundary(costs: list[tuple[int, float, float]], percent: int) -> int:
+    """The largest light size for which subsets of small sets and lists of large ones cost least together.
+
+    costs: (largest size, rows of subsets, rows and scans of lists) of groups of sets. Sets above the boundary, but not by
+    more than a similar set's share, pay both.
+    """
+    def cost(light: int) -> float:
+        return sum((pairs if n * percent <= light * 100 else 0) + (lists if n > light else 0) for n, pairs, lists in costs)
+
+    return min([0, *(n for n, _, _ in costs)], key=lambda b: (cost(b), b))
+
+
+def boundary(held: DataFrame, percent: int) -> int:
+    """The boundary from the counts of all sets; sizes are grouped by eighths of a doubling, so few rows come to the driver."""
+    group = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    many = F.size("tokens").cast("double")
+    scans = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c).cast("double")
+    rows = held.groupBy(group.alias("g")).agg(F.max("n").alias("n"), F.sum(many * (many - 1) / 2).alias("pairs"), F.sum(many + scans).alias("lists")).collect()
+    return cheapest_boundary([(r["n"], r["pairs"], r["lists"]) for r in rows], percent)
+
+
+def postings(held: DataFrame, percent: int, light: int) -> DataFrame:
+    """(key, id, cls, n, most, home): a set's entry in each list of its own band (home), and of the next where a larger set may be."""
+    first = bands(percent)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls, ids, sizes = (batch.column(k).to_numpy() for k in range(3))
+            parts = []
+            for i, n in enumerate(sizes.tolist()):
+                tokens, place = batch.column(3)[i].values.to_numpy().view(U64), batch.column(4)[i].values.to_numpy()
+                key, most = keys_of(tokens, place, n, percent, light)
+                band = int(np.searchsorted(first, n, "right")) - 1
+                up = most >= first[band + 1]
+                for step, some in ((0, np.ones(len(key), bool)), (1, up)):
+                    parts.append((mixed(key[some] + U64((band + step + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)), most[some], i, step == 0))
+            times = [len(p[0]) for p in parts]
+            row = np.repeat([p[2] for p in parts], times).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, U64)).view(np.int64)),
+                    pa.array(ids[row]),
+                    pa.array(cls[row]),
+                    pa.array(sizes[row]),
+                    pa.array((np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)).astype(np.int64)),
+                    pa.array(np.repeat([p[3] for p in parts], times).astype(bool)),
+                ],
+                ["key", "id", "cls", "n", "most", "home"],
+            )
+
+    return held.select("cls", "id", "n", "tokens", "places").mapInArrow(work, "key long, id long, cls long, n int, most long, home boolean")
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
@@ -205,65 +297,70 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((items >> U64(24)).astype(np.int64) & (BUCKETS - 1), minlength=BUCKETS), 65535).astype(np.uint16)
 
 
-def element_sets(docs: DataFrame, width: int, seed: int, flags: np.ndarray, whole: bool) -> DataFrame:
-    """(id, cls, items), or (id, cls, sketch) if not whole, of the documents whose id's bit is flagged: a bit map of fixed size, so some others come along."""
-    name = "items" if whole else "sketch"
+def element_sets(docs: DataFrame, width: int, seed: int, wanted: DataFrame, whole: bool) -> DataFrame:
+    """(cls, items), or (cls, sketch) if not whole, once for each class in wanted (id, cls).
+
+    A bit map of the ids, put together on the executors, leaves most other documents out before they are shingled.
+    """
+    name, kind = ("items", "array<long>") if whole else ("sketch", "binary")
+    wanted = wanted.distinct()
+    bits = 1 << max(16, min((wanted.count() * BITS_EACH).bit_length(), MOST_BITS.bit_length() - 1))
+    flags = flagged(wanted, bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = U64(len(flags) * 64 - 1)
         for batch in batches:
             ids = batch.column(0).to_numpy().astype(np.int64)
-            bit = (mixed(ids.view(U64)) & size).astype(np.int64)
-            wanted = np.flatnonzero((flags[bit >> 6] >> (bit & 63).astype(U64)) & U64(1))
-            data, offsets = texts(batch.column(1).take(pa.array(wanted)))
-            ids = ids[wanted]
+            bit = (mixed(ids.view(U64)) & U64(bits - 1)).astype(np.int64)
+            some = np.flatnonzero((flags.value[bit >> 6] >> (bit & 63).astype(U64)) & U64(1))
+            if not len(some):
+                continue
+            data, offsets = texts(batch.column(1).take(pa.array(some)))
             for lo, hi in pieces(offsets):
-                sets = shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed)
-                full = [i for i, x in enumerate(sets) if len(x)]
-                if full:
-                    at = np.cumsum([0, *(len(sets[i]) for i in full)])
-                    cls = np.array([np.add.reduce(mixed(sets[i])) for i in full], U64)
+                sets = [s for s in shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width, seed) if len(s)]
+                if sets:
                     if whole:
-                        body = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([sets[i] for i in full]).view(np.int64)))
+                        body = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
                     else:
-                        body = pa.array([sketch(sets[i]).tobytes() for i in full])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[lo + np.array(full)]), pa.array(cls.view(np.int64)), body], ["id", "cls", name])
-
-    return docs.mapInArrow(work, f"id long, cls long, {name} {'array<long>' if whole else 'binary'}")
+                        body = pa.array([sketch(s).tobytes() for s in sets])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array([class_of(s) for s in sets], U64).view(np.int64)), body], ["cls", name])
 
+    rows = docs.mapInArrow(work, f"cls long, {name} {kind}").join(wanted.select("cls").distinct(), "cls", "left_semi")
+    return rows.groupBy("cls").agg(F.any_value(name).alias(name))
 
-#: Bits of the map of documents that take part in any list.
-FLAG_BITS = 1 << 22
 
-
-def flagged(ids: DataFrame) -> np.ndarray:
-    """The bit map of the ids: it is put together on the executors, in FLAG_BITS / 64 words at most."""
+def flagged(ids: DataFrame, bits: int):
+    """The bit map of the ids, as a broadcast of bits / 8 bytes."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = (mixed(batch.column(0).to_numpy().astype(np.int64).view(U64)) & U64(FLAG_BITS - 1)).astype(np.int64)
-            out = np.zeros(FLAG_BITS // 64, U64)
-            np.bitwise_or.at(out, bit >> 6, U64(1) << (bit & 63).astype(U64))
-            used = np.flatnonzero(out)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(out[used].view(np.int64))], ["w", "bits"])
+            bit = np.unique((mixed(batch.column(0).to_numpy().astype(np.int64).view(U64)) & U64(bits - 1)).astype(np.int64))
+            word, first = np.unique(bit >> 6, return_index=True)
+            both = np.bitwise_or.reduceat(U64(1) << (bit & 63).astype(U64), first) if len(bit) else np.zeros(0, U64)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(both.view(np.int64))], ["w", "bits"])
 
     rows = ids.select("id").mapInArrow(words, "w long, bits long").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FLAG_BITS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    return out.view(U64)
+    return ids.sparkSession.sparkContext.broadcast(out.view(U64))
 
 
 def distinct_lists(rows: DataFrame) -> DataFrame:
-    """Of lists with the same members one stays: they would all settle the same pairs."""
-    marks = rows.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"), F.count(F.lit(1)).alias("m"))
+    """Of lists with the same entries one stays: they would all settle the same pairs."""
+    entry = ["cls", "home"]
+    marks = rows.groupBy("key").agg(F.bit_xor(F.xxhash64(*entry)).alias("x"), F.bit_xor(F.xxhash64(*entry, F.lit(7))).alias("y"), F.count(F.lit(1)).alias("m"))
     keep = marks.groupBy("x", "y", "m").agg(F.min("key").alias("key")).select("key")
     return rows.join(keep, "key", "left_semi")
 
 
+def fitting(n: Column, most: Column, other_n: Column, other_most: Column) -> Column:
+    """Whether a list's key can be the first that two sets of these sizes share."""
+    return (n <= other_most) & (other_n <= most)
+
+
 def not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, a_cls, b, b_cls) whose sketches allow similarity."""
     for side in "ba":
-        pairs = pairs.join(sketches.select(F.col("id").alias(side), F.col("cls").alias(f"{side}_cls"), F.col("sketch").alias(f"{side}_sketch")), [side, f"{side}_cls"])
+        pairs = pairs.join(sketches.select(F.col("cls").alias(f"{side}_cls"), F.col("sketch").alias(f"{side}_sketch")), f"{side}_cls")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,29 +377,28 @@ def not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFr
 def tested(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs (a, a_cls, b, b_cls) that are similar, by exact intersection."""
     for side in "ba":
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("cls").alias(f"{side}_cls"), F.col("items").alias(f"{side}_items")), [side, f"{side}_cls"])
+        pairs = pairs.join(sets.select(F.col("cls").alias(f"{side}_cls"), F.col("items").alias(f"{side}_items")), f"{side}_cls")
     shared = F.size(F.array_intersect("a_items", "b_items"))
     return pairs.filter(shared * 100 >= (F.size("a_items") + F.size("b_items") - shared) * percent).select("a", "b").distinct()
 
 
-def centre_pairs(rest: DataFrame, percent: int) -> DataFrame:
+def centre_pairs(rest: DataFrame) -> DataFrame:
     """Each list's centre with its members of other components; a pair counts once for all its lists."""
-    near = (F.col("n") * 100 >= F.col("c.n") * percent) & (F.col("c.n") * 100 >= F.col("n") * percent)
-    rows = rest.filter(near & (F.col("component") != F.col("c.component")))
-    return rows.groupBy(F.col("c.id").alias("a"), F.col("id").alias("b")).agg(F.first("c.cls").alias("a_cls"), F.first("cls").alias("b_cls"))
+    rows = rest.filter(fitting(F.col("n"), F.col("most"), F.col("c.n"), F.col("c.most")) & (F.col("component") != F.col("c.component")))
+    return rows.select(F.col("c.id").alias("a"), F.col("c.cls").alias("a_cls"), F.col("id").alias("b"), F.col("cls").alias("b_cls")).distinct()
 
 
-def possible_pairs(component: np.ndarray, block: np.ndarray, n: np.ndarray, sketches: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one list's members in different components whose sketches don't rule similarity out; of two blocks, those between them."""
+def possible_pairs(rows: dict[str, np.ndarray], sketches: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one list's members, one at home at least, in different components, whose sketches don't rule similarity out; of two blocks, those between them."""
+    n, most, home, component, block = (rows[k] for k in ("n", "most", "home", "component", "own"))
     two = len(np.unique(block)) > 1
     left, right = [], []
     for i in range(len(n) - 1):
         j = np.arange(i + 1, len(n))
-        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        j = j[(low * 100 >= high * percent) & (component[j] != component[i]) & ((block[j] != block[i]) if two else True)]
+        j = j[(n[j] <= most[i]) & (n[i] <= most[j]) & (component[j] != component[i]) & (home[i] | home[j]) & ((block[j] != block[i]) if two else True)]
         if len(j):
-            most = np.minimum(sketches[i], sketches[j]).sum(1, dtype=np.int64)
-            j = j[most * 100 >= (n[i] + n[j] - most) * percent]
+            share = np.minimum(sketches[i], sketches[j]).sum(1, dtype=np.int64)
+            j = j[share * 100 >= (n[i] + n[j] - share) * percent]
             left.append(np.full(len(j), i))
             right.append(j)
     none = np.zeros(0, np.int64)
@@ -312,19 +408,21 @@ def possible_pairs(component: np.ndarray, block: np.ndarray, n: np.ndarray, sket
 def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, a_cls, b, b_cls) of all pairs of each list that may be similar and aren't connected, found in tasks of one or two blocks."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    rows = rest.select("key", "id", "cls", "n", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "cls", "n", "component", "own")
-    held = rows.join(sketches, ["id", "cls"]).select("key", "i", "j", "id", "cls", "n", "component", "own", "sketch")
+    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+    names = ["id", "cls", "n", "most", "home", "component", "own"]
+    rows = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names)
+    held = rows.join(sketches, "cls").select("key", "i", "j", *names, "sketch")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
 
         def pairs(table: pa.Table) -> pa.RecordBatch:
-            i, c, n, component, own = (table.column(k).to_numpy() for k in (3, 4, 5, 6, 7))
-            counts = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            a, b = possible_pairs(component, own, n.astype(np.int64), counts, percent)
-            swap = i[a] > i[b]
+            cols = {k: table[k].to_numpy() for k in names}
+            counts = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            a, b = possible_pairs(cols, counts, percent)
+            i, c = cols["id"], cols["cls"]
+            swap = c[a] > c[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
             return pa.RecordBatch.from_arrays([pa.array(i[a]), pa.array(c[a]), pa.array(i[b]), pa.array(c[b])], ["a", "a_cls", "b", "b_cls"])
 
@@ -344,74 +442,67 @@ def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(work, "a long, a_cls long, b long, b_cls long").distinct()
 
 
+def open_lists(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The entries of lists that hold different components and a member at home, with the list's centre (a member at home) and size."""
+    now = lists.withColumn("component", F.col("id")) if found is None else lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    centre = F.min(F.when(F.col("home"), F.struct("cls", "id", "n", "most", "component"))).alias("c")
+    heads = now.groupBy("key").agg(centre, F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+    return now.join(heads.filter("low < high and c is not null").select("key", "c", "members"), "key")
+
+
 def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed: int = 17) -> tuple[DataFrame, DataFrame, Scratch]:
     """(doc_id, n, rep) of every document, (id, component) of the representatives that are linked, and where they are written."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     while True:
-        known = scratch.save(described(rows, width, seed), f"described-{seed}")
-        members = known.filter("doc_id is not null")
-        classes = members.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
-        classes = scratch.save(classes.select(F.col("h1").alias("cls"), "h2", "n", "rep"), f"classes-{seed}")
+        members = scratch.save(described(rows, width, seed, percent), f"described-{seed}")
+        classes = members.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("head").alias("head"))
+        classes = scratch.save(classes.select(F.col("h1").alias("cls"), "h2", "n", "rep", "head"), f"classes-{seed}")
         facts = classes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("cls").alias("distinct")).first()
         if facts["n"] == facts["distinct"]:
             break
+        scratch.drop(f"described-{seed}", f"classes-{seed}")
         seed += 1  # two sets shared a hash: other hashes
-    counts = known.filter("token is not null").select("token", "count")
-    counted = counts.agg(F.sum("count")).first()[0] or 0
-    # At most counted / least shingles are that frequent, whatever the data.
-    least_documents = max(LEAST_DOCUMENTS, -(-counted // MOST_FREQUENT))
-    frequent = counts.groupBy("token").agg(F.sum("count").alias("n")).filter(F.col("n") >= least_documents).select("token")
-    last = np.sort(frequent.toArrow().column(0).to_numpy().view(U64))
-    sizes = {r["n"]: r["count"] for r in classes.filter(F.col("n") <= MOST_LIGHT * 2).groupBy("n").count().collect()}
-    seen = members.filter("n > 0").select("h1", "least").distinct().agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("least").alias("d")).first()
-    light = cheapest_boundary(sizes, max(0.0, seen["n"] / max(1, seen["d"]) - 1), percent)
-
-    lists = postings(rows, width, seed, percent, light, last).groupBy("key", "cls").agg(F.max("n").alias("n"))
-    lists = scratch.save(lists, "lists")
-    least = lists.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("key")
-    shared = scratch.save(lists.join(least, "key"), "shared")
-    scratch.drop("lists")
-    shared = shared.join(classes.select("cls", "rep"), "cls").select("key", F.col("rep").alias("id"), "cls", "n")
-    shared = scratch.save(distinct_lists(scratch.save(shared, "named")), "unlike")
-
-    def described_once(ids: DataFrame, whole: bool, name: str) -> DataFrame:
-        """The ids' sets or sketches, one row each; rows are repeated only where documents are."""
-        out = scratch.save(element_sets(rows, width, seed, flagged(ids), whole), name)
-        if not out.groupBy("id", "cls").count().filter("count > 1").isEmpty():
-            out = scratch.save(out.dropDuplicates(["id", "cls"]), f"{name}-once")
-        return out
-
-    sketches = described_once(shared, False, "sketches")
-    scratch.drop("shared", "named")
-
-    found: DataFrame | None = None
+    docs_of = members.join(classes.select(F.col("cls").alias("h1"), "h2", "rep"), ["h1", "h2"], "left").select("doc_id", "n", "rep")
+    # An id with several texts joins their classes.
+    several = docs_of.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+    found = scratch.save(docs_of.join(several, "doc_id").filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct(), "same-id")
+    found = None if found.isEmpty() else scratch.save(components(found, scratch, "cc-id"), "found-id")
+
+    shared = scratch.save(counted(rows, width, seed, percent).groupBy("token").agg(F.sum("count").alias("count")).filter("count > 1"), "counts")
+    held = scratch.save(prefixes(possible_keys(rows, width, seed, percent), shared, classes, percent), "prefixes")
+    scratch.drop("counts")
+    entries = scratch.save(postings(held, percent, boundary(held, percent)), "postings")
+    lists = scratch.save(open_lists(entries, None).drop("c", "members", "component"), "shared")
+    scratch.drop("prefixes", "postings")
+    lists = scratch.save(distinct_lists(lists), "unlike")
+    scratch.drop("shared")
+    sketches = scratch.save(element_sets(rows, width, seed, lists.select("id", "cls"), False), "sketches")
+
     size = None
     for turn in range(MOST_ROUNDS + 1):
-        now = shared.withColumn("component", F.col("id")) if found is None else shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        heads = now.groupBy("key").agg(F.min(F.struct("id", "cls", "n", "component")).alias("c"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
-        rest = scratch.save(now.join(heads.select("key", "c", "members"), "key"), f"rest-{turn}")
+        rest = scratch.save(open_lists(lists, found), f"rest-{turn}")
         before, size = size, rest.count()
         if not size:
             break
         settling = turn == MOST_ROUNDS or (before is not None and size > before / 2)
-        pairs = left_pairs(distinct_lists(rest), sketches, percent) if settling else not_ruled_out(centre_pairs(rest, percent), sketches, percent)
+        pairs = left_pairs(distinct_lists(rest), sketches, percent) if settling else not_ruled_out(centre_pairs(rest), sketches, percent)
         pairs = scratch.save(pairs, f"pairs-{turn}")
         # Whole sets are read again for the pairs that are left alone.
-        sets = described_once(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), True, f"sets-{turn}")
+        ends = pairs.select(F.col("a").alias("id"), F.col("a_cls").alias("cls")).unionByName(pairs.select(F.col("b").alias("id"), F.col("b_cls").alias("cls")))
+        sets = scratch.save(element_sets(rows, width, seed, ends, True), f"sets-{turn}")
         links = scratch.save(tested(pairs, sets, percent), f"links-{turn}")
         if not links.isEmpty():
             every = links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
             found = scratch.save(components(every, scratch, f"cc-{turn}"), f"found-{turn}")
-        scratch.drop(f"links-{turn}", f"pairs-{turn}", f"sets-{turn}", f"sets-{turn}-once", f"rest-{turn - 1}")
+        scratch.drop(f"links-{turn}", f"pairs-{turn}", f"sets-{turn}", f"rest-{turn - 1}")
         if settling:
             break
-        shared = rest.filter(F.col("id") != F.col("c.id")).select("key", "id", "cls", "n")
+        lists = rest.filter(F.col("cls") != F.col("c.cls")).select("key", "id", "cls", "n", "most", "home")
     if found is None:
         found = spark.createDataFrame([], "id long, component long")
-    docs_of = members.select("doc_id", "n", "h1", "h2").join(classes.select(F.col("cls").alias("h1"), "h2", "rep"), ["h1", "h2"], "left").select("doc_id", "n", "rep")
-    scratch.drop("sketches", "sketches-once", "unlike")
+    scratch.drop("sketches", "unlike")
     return docs_of, found, scratch
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -422,11 +423,12 @@ def brute_components(rows, width, percent):
     return sorted((i, len(s), find(i)) for i, s in sets.items())
 
 
-@pytest.mark.parametrize(("light", "rounds", "block"), [(80, 6, 128), (0, 0, 3)])
+@pytest.mark.parametrize(("light", "rounds", "block"), [(None, None, None), (80, 6, 128), (0, 0, 3), (10**6, 0, 3)])
 def test_jaccard_is_brute_force(spark, monkeypatch, light, rounds, block):
-    monkeypatch.setattr(jaccard_join, "MOST_LIGHT", light)
-    monkeypatch.setattr(jaccard_join, "MOST_ROUNDS", rounds)
-    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    if light is not None:  # else the production settings
+        monkeypatch.setattr(jaccard_join, "boundary", lambda held, percent: light)
+        monkeypatch.setattr(jaccard_join, "MOST_ROUNDS", rounds)
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rnd = random.Random(6)
     rows = [(0, None), (1, ""), (2, "  "), (3, "a b"), (4, "A  b"), (5, "b a")]
     line = " ".join(f"c{k}" for k in range(12))
@@ -447,6 +449,54 @@ def test_jaccard_of_nothing(spark, none):
     assert jaccard_join.join(none).collect() == []
 
 
+def test_jaccard_odd_rows(spark, odd):
+    assert sorted(tuple(r) for r in jaccard_join.join(odd).collect()) == sorted([*brute_components([r[:2] for r in ODD], 4, 85), (4, 1, 3)])
+    kept = jaccard_join.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 5, 6]
+    bare = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_join.join(bare).collect()) == [(1, 2, 1), (2, 2, 1)]
+    assert sorted(str(r.doc_id) for r in jaccard_join.keep_one(bare).collect()) == ["1", "None"]
+
+
+def test_jaccard_of_an_id_with_several_texts(spark):
+    """One id with two unlike texts joins what is like either."""
+    rnd, rows = random.Random(8), []
+    for k in range(20):
+        a, b = ([f"u{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(2))
+        like = [*b[:30], "other", *b[31:]]
+        ids = rnd.sample([100 + 3 * k, 101 + 3 * k, 102 + 3 * k], 3)
+        rows += [(ids[0], " ".join(a)), (ids[0], " ".join(b)), (ids[1], " ".join(like)), (ids[2], " ".join(a))]
+    found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 80 and {(r.doc_id, r.component_id) for r in found} == {(i, i - (i - 100) % 3) for i in range(100, 160)}
+
+
+@pytest.mark.parametrize("block", [1024, 40])
+def test_jaccard_of_one_large_group(spark, monkeypatch, block):
+    """Hundreds of variants of one text around the threshold, copies and a common line in all."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rnd = random.Random(9)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for _ in range(rnd.randint(0, 12)):
+            words[rnd.randrange(120)] = f"x{rnd.randrange(300)}"
+        rows.append((i * 3 % 260 if i % 7 else 1000 + i, " ".join(words)))
+    rows = list({i: (i, t) for i, t in rows}.values()) + [(2000 + k, " ".join(base)) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert sorted(tuple(r) for r in jaccard_join.join(docs).collect()) == brute_components(rows, 4, 85)
+
+
+def test_words_are_hashed_alike_in_any_slices(monkeypatch):
+    rows = ["ab  cd " * 40, "", "x" * 300, "é ü", " a"] * 3
+    data, offsets = texts(pa.array(rows))
+    whole = jaccard_join.word_hashes(data, offsets, 3)
+    cuts = jaccard_join.word_cuts
+    monkeypatch.setattr(jaccard_join, "word_cuts", lambda gap, edges: cuts(gap, edges, 16))
+    sliced = jaccard_join.word_hashes(data, offsets, 3)
+    assert np.array_equal(whole[0], sliced[0]) and np.array_equal(whole[1], sliced[1]) and len(whole[0]) == sum(len(r.split()) for r in rows)
+
+
 def test_keys_meet_for_every_similar_pair():
     rnd = np.random.default_rng(7)
     for _ in range(300):
@@ -455,8 +505,15 @@ def test_keys_meet_for_every_similar_pair():
         b = np.unique(np.concatenate([rnd.permutation(a)[: len(a) - int(rnd.integers(0, 5))], rnd.integers(0, 2**63, int(rnd.integers(0, 5))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
         if len(a) and len(b) and not np.array_equal(a, b) and both * 100 >= 85 * (len(a) + len(b) - both):
-            for light in (0, 8, 20, 80):
-                assert len(np.intersect1d(jaccard_join.keys_of(a, 85, light), jaccard_join.keys_of(b, 85, light)))
+            token, count = np.unique(np.concatenate([a, b, a[::3], b[::5]]), return_counts=True)
+            for light, limit in itertools.product((0, 8, 20, 80), (np.uint64(2**62), jaccard_join.head_limit(85), np.uint64(2**64 - 1))):
+                keys = []
+                for s in (a, b):
+                    lead = np.intersect1d(jaccard_join.leading(s, 85, limit), token[count > 1])
+                    tokens, place, _ = jaccard_join.placed(lead, count[np.searchsorted(token, lead)], len(s), int((s < limit).sum()), 85, limit)
+                    key, most = jaccard_join.keys_of(tokens, place, len(s), 85, light)
+                    keys.append(dict(zip(key.tolist(), most.tolist(), strict=True)))
+                assert any(keys[0][k] >= len(b) and keys[1][k] >= len(a) for k in set(keys[0]) & set(keys[1]))
 
 
 # ---- preferences --------------------------------------------------------------------------------------
