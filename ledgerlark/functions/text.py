@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ SUFFIX_CODES = "бн|зс|[a-zA-Zа-яА-ЯіІїЇєЄ]"
 # Transliteration of a slug, multi-letter results first.
 TRANSLITERATION = {"щ": "shch", "є": "ie", "ж": "zh", "ї": "i", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "ю": "iu", "я": "ia", "ь": "", "'": ""}
 TRANSLITERATION_FROM, TRANSLITERATION_TO = "абвгґдезиійклмнопрстуф", "abvhgdezyiiklmnoprstuf"
-# Accented Latin letters and their base letters.
-ACCENTED, BASE = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+#: Small letters and digits whose compatibility decomposition has one ASCII character, and that character.
+BASE_OF = {c: base for c in map(chr, range(0x80, 0x2200)) if c == c.lower() and len(base := "".join(b for b in unicodedata.normalize("NFKD", c) if b < "\x7f" and b.isalnum())) == 1}
 
 
 def fix_homoglyphs(s: Column) -> Column:
@@ -112,7 +114,7 @@ def slug(s: Column, empty: str = "series") -> Column:
     s = F.lower(s)
     for letter, latin in TRANSLITERATION.items():
         s = F.replace(s, F.lit(letter), F.lit(latin))
-    s = F.translate(F.translate(s, TRANSLITERATION_FROM, TRANSLITERATION_TO), ACCENTED, BASE)
+    s = F.translate(F.translate(s, TRANSLITERATION_FROM, TRANSLITERATION_TO), "".join(BASE_OF), "".join(BASE_OF.values()))
     # Other non-ASCII characters are dropped before the rest is joined.
     s = F.regexp_replace(F.regexp_replace(s, r"[^\x00-\x7f]", ""), "[^a-z0-9]+", "-")
     return F.coalesce(F.nullif(F.regexp_replace(s, "^-+|-+$", ""), F.lit("")), F.lit(empty))

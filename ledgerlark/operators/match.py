@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window
 
 
@@ -67,14 +71,30 @@ def contested(matches: DataFrame, declared: DataFrame | None = None) -> DataFram
 
 
 def match(cards: DataFrame, rows: DataFrame, declared: DataFrame | None = None, band: int = 1) -> DataFrame:
-    """(card, status, row, candidates): matched, unmatched, ambiguous (several candidates) or contested (several cards)."""
+    """(card, status, matched_by, row, year_used, shared_listing, candidates): matched, unmatched, ambiguous (several candidates) or
+    contested (several cards) (JN3-JN7).
+
+    matched_by is exact or year_shift; year_used is the row's year; shared_listing marks a row of several declared cards. Among
+    several candidates an exact title wins, then the one whose title has the card's quality in brackets (cards' column quality, if there).
+    """
     found = prefer_exact(with_fallback(cards, rows, band))
-    per_card = found.groupBy("card").agg(F.array_sort(F.collect_set("row")).alias("candidates"))
+    if "quality" in cards.columns:
+        found = prefer_quality(found.join(cards.select("card", "quality"), "card").join(rows.select("row", "title"), "row"), "title", "quality").drop("title", "quality")
+    per_card = found.groupBy("card").agg(F.array_sort(F.collect_set("row")).alias("candidates"), F.bool_or("banded").alias("banded"))
     single = per_card.filter(F.size("candidates") == 1).select("card", F.col("candidates")[0].alias("row"))
-    fights = contested(single, declared).filter("conflict").select("row", F.lit(True).alias("fight"))
-    told = cards.select("card").join(per_card, "card", "left").join(single, "card", "left").join(fights, "row", "left")
+    claims = contested(single, declared).select("row", F.col("conflict").alias("fight"), (F.size("claimants") > 1).alias("many"))
+    told = cards.select("card").join(per_card, "card", "left").join(single, "card", "left").join(claims, "row", "left").join(rows.select("row", F.col("year").alias("year_used")), "row", "left")
     status = F.when(F.col("candidates").isNull(), "unmatched").when(F.size("candidates") > 1, "ambiguous").when(F.col("fight"), "contested").otherwise("matched")
-    return told.select("card", status.alias("status"), F.when(status == "matched", F.col("row")).alias("row"), F.coalesce("candidates", F.array().cast(per_card.schema["candidates"].dataType)).alias("candidates"))
+    sure = status == "matched"
+    return told.select(
+        "card",
+        status.alias("status"),
+        F.when(sure, F.when(F.col("banded"), "year_shift").otherwise("exact")).alias("matched_by"),
+        F.when(sure, F.col("row")).alias("row"),
+        F.when(sure, F.col("year_used")).alias("year_used"),
+        (sure & F.coalesce("many", F.lit(False))).alias("shared_listing"),
+        F.coalesce("candidates", F.array().cast(per_card.schema["candidates"].dataType)).alias("candidates"),
+    )
 
 
 def shared_index(refs: DataFrame, declared: DataFrame) -> DataFrame:
@@ -162,13 +182,82 @@ def merge_dictionary(fresh: DataFrame, existing: DataFrame, key: str) -> DataFra
     return f.join(e, F.col("__f") == F.col("__e"), "full").select(F.coalesce("__f", "__e").alias(key), state.alias("state"))
 
 
+def merged_dictionary(fresh: DataFrame, existing: DataFrame, key: str, base: Column) -> tuple[DataFrame, DataFrame]:
+    """(next, conflicts) of a dictionary (JN16): entries keep their slugs, fresh names get free ones, vanished ones stay and are flagged.
+
+    existing: key, slug, curated. next: key, slug, curated, missing. If any fresh name meets a curated entry, nothing is merged:
+    next is what there was, and conflicts holds the keys. base: the slug that a fresh key asks for.
+    """
+    states = merge_dictionary(fresh, existing, key)
+    conflicts = states.filter("state = 'conflict'").select(key)
+    blocked = F.broadcast(conflicts.agg((F.count(F.lit(1)) > 0).alias("__blocked")))  # one row
+    added = unique_slugs(states.filter("state = 'added'").select(key).withColumn("__base", base), "__base", key, "slug", existing.select("slug")).select(key, "slug", F.lit(False).alias("curated"), F.lit(False).alias("missing"), F.lit(True).alias("__new"))
+    kept = existing.join(states, key).select(key, "slug", "curated", (F.col("state") == "vanished").alias("missing"), F.lit(False).alias("__new"))
+    both = added.unionByName(kept).crossJoin(blocked)
+    following = both.filter("not (__blocked and __new)").select(key, "slug", "curated", (F.col("missing") & ~F.col("__blocked")).alias("missing"))
+    return following, conflicts
+
+
+def sync(listed: DataFrame, known: DataFrame, key: str, group: str) -> DataFrame:
+    """(group, key, state) of listed keys against those a catalogue has (JN20): new, moved (known under another group), gone or same.
+
+    listed and known: key, group, each key once. A key that is gone is told under the group it had.
+    """
+    l, k = listed.select(F.col(key).alias("__lk"), F.col(group).alias("__lg")), known.select(F.col(key).alias("__kk"), F.col(group).alias("__kg"))
+    state = F.when(F.col("__kk").isNull(), "new").when(F.col("__lk").isNull(), "gone").when(~F.col("__lg").eqNullSafe(F.col("__kg")), "moved").otherwise("same")
+    return l.join(k, F.col("__lk") == F.col("__kk"), "full").select(F.when(F.col("__lk").isNull(), F.col("__kg")).otherwise(F.col("__lg")).alias(group), F.coalesce("__lk", "__kk").alias(key), state.alias("state"))
+
+
+def unlinked(scope: DataFrame, links: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(linked, without): rows of a scope with their link, and those that have none or one without an id (JN8)."""
+    told = scope.join(links.select(F.col(key).alias("__k"), F.col("link_id")), F.col(key) == F.col("__k"), "left").drop("__k")
+    return told.filter("link_id is not null"), told.filter("link_id is null").drop("link_id")
+
+
+def with_earlier_notes(rows: DataFrame, earlier: DataFrame, key: str, columns: list[str], note: str = "no earlier card") -> DataFrame:
+    """carry_forward with a note on rows that have no earlier one (JN21)."""
+    told = rows.join(earlier.select(F.col(key).alias("__k"), *columns), F.col(key) == F.col("__k"), "left")
+    return told.withColumn("note", F.when(F.col("__k").isNull(), note)).drop("__k")
+
+
 def unknown_titles(rows: DataFrame, title: str, known: DataFrame, columns: list[str], key: Callable[[Column], Column]) -> DataFrame:
     """Rows whose comparison key is none of the known titles' in any language (JN19)."""
     listed = known.select(F.explode(F.array(*(key(F.col(c)) for c in columns))).alias("__k")).filter("__k is not null").distinct()
     return rows.withColumn("__key", key(F.col(title))).join(listed, F.col("__key") == F.col("__k"), "left_anti").drop("__key")
 
 
-def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug") -> DataFrame:
-    """base, base-2, base-3 ... in the order of pos (WN6)."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(pos))
-    return rows.withColumn(out, F.when(n == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), n.cast("string"))))
+def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug", existing: DataFrame | None = None) -> DataFrame:
+    """Each row's base if it is free, else the first free of base-2, base-3 ... in the order of pos; existing slugs (one column) aren't free (WN6).
+
+    Slugs can only collide if they are alike but for numbers at their ends, so these groups are gone through apart, each in order,
+    row by row: what is held is a number a base and the slugs that another base could ask for.
+    """
+    root = F.regexp_replace(F.col("__slug"), "(-[0-9]+)+$", "")
+    new = rows.select(F.col(base).alias("__slug"), F.lit(False).alias("__old"), F.col(pos).alias("__pos"))
+    old = None if existing is None else existing.select(F.col(existing.columns[0]).alias("__slug"), F.lit(True).alias("__old"), F.lit(None).cast(rows.schema[pos].dataType).alias("__pos"))
+    every = (new if old is None else new.unionByName(old)).withColumn("__root", root)
+    kind = StructType().add("__pos", rows.schema[pos].dataType).add("__given", StringType())
+    arrow = to_arrow_schema(kind)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, taken, after = None, set(), {}
+        for batch in batches:
+            given: list[str | None] = []
+            for key, asked, is_old in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True):
+                if key != group:
+                    group, taken, after = key, set(), {}
+                if is_old or asked is None:
+                    taken.add(asked)
+                    given.append(None)
+                    continue
+                mine, n = asked, after.get(asked, 2)
+                while mine in taken:
+                    mine, n = f"{asked}-{n}", n + 1
+                after[asked] = n
+                taken.add(mine)
+                given.append(mine)
+            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(given, pa.string())], schema=arrow).filter(pc.invert(batch.column(2)))
+
+    dealt = every.repartition("__root").sortWithinPartitions("__root", F.desc("__old"), "__pos").select("__root", "__slug", "__old", "__pos")
+    named = dealt.mapInArrow(work, kind)
+    return rows.join(named, F.col(pos).eqNullSafe(F.col("__pos"))).withColumn(out, F.col("__given")).drop("__pos", "__given")

@@ -45,26 +45,42 @@ def control_point(points: DataFrame, printed: DataFrame, group: list[str]) -> Da
 
 
 def tiers(size: Column, targets: tuple[int, ...] = (300, 600, 1200), least_gain: float = 1.03) -> Column:
-    """Output sizes of an image (WN7, SK16): each target once, never above the source, each at least 3 % above the last."""
+    """Output sizes of an image (WN7, SK16): each target once, never above the source, each more than 3 % above the last."""
     start = F.array().cast("array<int>")
+    percent = round(least_gain * 100)
 
     def step(acc: Column, t: Column) -> Column:
         width = F.least(t, size.cast("int"))
         last = F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0))
-        return F.when(width >= last * least_gain, F.concat(acc, F.array(width))).otherwise(acc)
+        return F.when(width * 100 > last * percent, F.concat(acc, F.array(width))).otherwise(acc)
 
     return F.when(size.isNull(), start).otherwise(F.aggregate(F.array(*map(F.lit, targets)), start, step))
 
 
 def roles(photos: DataFrame, card: str, pos: str, said: str, shape_ok: Column, score: Column) -> DataFrame:
-    """One obverse and one reverse a card (WN8): what the caption says first, then shapes in page order, then the best score; the
-    obverse is taken before the reverse chooses."""
-    def choose(rows: DataFrame, role: str) -> DataFrame:
-        told = F.coalesce(F.col(said) == role, F.lit(False))
-        free = F.col(said).isNull() | told
-        picked = top(rows.filter(free), [card], [told.desc(), shape_ok.desc(), F.when(shape_ok, F.col(pos)), score.desc(), F.col(pos)])
-        return picked.withColumn("role", F.lit(role))
-
-    obverse = choose(photos, "obverse")
-    rest = photos.join(obverse.select(card, pos), [card, pos], "left_anti")
-    return obverse.unionByName(choose(rest, "reverse"))
+    """The pools of a card's obverse and reverse (WN8): each photo that a caption names, and where no named one has the right shape,
+    the first unnamed one in page order that has; where nothing is named and no unnamed one has it, the best by score.
+
+    Adds role and how (caption, shape or score). The obverse takes its unnamed photo before the reverse does. In a pool, a right
+    shape goes before a wrong one, then page order; `rank` says where a photo stands.
+    """
+    ok = F.coalesce(shape_ok, F.lit(False))
+    told = photos.withColumns({"__ok": ok, "__score": score})
+    named = told.filter(F.col(said).isin("obverse", "reverse")).select("*", F.col(said).alias("role"), F.lit("caption").alias("how"))
+    free = told.filter(F.col(said).isNull())
+    backed = named.groupBy(card).agg(*(F.coalesce(F.bool_or(F.col("__ok") & (F.col("role") == r)), F.lit(False)).alias(f"__{r}_ok") for r in ("obverse", "reverse")), *(F.bool_or(F.col("role") == r).alias(f"__{r}_some") for r in ("obverse", "reverse")))
+    free = free.join(backed, card, "left")
+    page = Window.partitionBy(card).orderBy(F.desc("__ok"), F.when(F.col("__ok"), F.col(pos)), F.desc("__score"), F.col(pos))
+    # What a role asks of the unnamed: nothing if its caption is backed, else the first of this order, which must have the shape if something is named.
+    free = free.withColumn("__turn", F.row_number().over(page)).withColumn("__good", F.count_if("__ok").over(Window.partitionBy(card)))
+    needs = {r: ~F.coalesce(f"__{r}_ok", F.lit(False)) for r in ("obverse", "reverse")}
+    bare = {r: ~F.coalesce(f"__{r}_some", F.lit(False)) for r in ("obverse", "reverse")}
+    first = needs["obverse"] & ((F.col("__good") >= 1) | bare["obverse"])
+    obverse = F.when(first, 1).otherwise(0)
+    reverse = obverse + 1
+    second = needs["reverse"] & ((F.col("__good") >= reverse) | bare["reverse"])
+    role = F.when(first & (F.col("__turn") == 1), "obverse").when(second & (F.col("__turn") == reverse), "reverse")
+    rescued = free.withColumn("role", role).filter("role is not null").withColumn("how", F.when(F.col("__ok"), "shape").otherwise("score"))
+    pools = named.unionByName(rescued.select(*named.columns))
+    order = Window.partitionBy(card, "role").orderBy(F.desc("__ok"), pos)
+    return pools.withColumn("rank", F.row_number().over(order)).drop("__ok", "__score")

@@ -105,3 +105,18 @@ def test_empty_scope_is_an_error(spark):
         validate.need_some([], "series")
     with pytest.raises(ValueError):
         validate.need_columns(spark.range(1), ["id", "x"])
+
+
+def test_slugs_never_collide(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a-2"), (4, "b"), (5, "b"), (6, "a"), (7, "a-2-2")], "pos int, base string")
+    old = spark.createDataFrame([("b-2",), ("a-3",)], "slug string")
+    found = {r.pos: r.slug for r in match.unique_slugs(rows, "base", "pos", existing=old).collect()}
+    assert found == {1: "a", 2: "a-2", 3: "a-2-2", 4: "b", 5: "b-3", 6: "a-4", 7: "a-2-2-2"}
+
+
+def test_merge_is_blocked_by_a_curated_name(spark):
+    old = spark.createDataFrame([("x", "x", False), ("y", "y", True)], "name string, slug string, curated boolean")
+    following, conflicts = match.merged_dictionary(spark.createDataFrame([("y",), ("z",)], "name string"), old, "name", F.col("name"))
+    assert [r.name for r in conflicts.collect()] == ["y"] and sorted(tuple(r) for r in following.collect()) == [("x", "x", False, False), ("y", "y", True, False)]
+    following, conflicts = match.merged_dictionary(spark.createDataFrame([("x y",), ("z",)], "name string"), old, "name", F.lit("x"))
+    assert conflicts.isEmpty() and sorted(tuple(r) for r in following.collect()) == [("x", "x", False, True), ("x y", "x-2", False, False), ("y", "y", True, False), ("z", "x-3", False, False)]
