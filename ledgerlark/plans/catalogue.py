@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -473,7 +474,7 @@ def composite_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     "tier_fold",
     """WITH s AS (SELECT p_partkey, CAST(floor(p_retailprice) AS INTEGER) AS size FROM part), t1 AS (SELECT *, least(300, size) AS a FROM s),
-    t2 AS (SELECT *, CASE WHEN least(600, size) >= a * 1.03 THEN least(600, size) END AS b FROM t1), t3 AS (SELECT *, CASE WHEN least(1200, size) >= coalesce(b, a) * 1.03 THEN least(1200, size) END AS c FROM t2)
+    t2 AS (SELECT *, CASE WHEN least(600, size) > a * 1.03 THEN least(600, size) END AS b FROM t1), t3 AS (SELECT *, CASE WHEN least(1200, size) > coalesce(b, a) * 1.03 THEN least(1200, size) END AS c FROM t2)
     SELECT p_partkey, concat_ws(',', CAST(a AS VARCHAR), CAST(b AS VARCHAR), CAST(c AS VARCHAR)) AS tiers FROM t3""",
 )
 def tier_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,19 +557,14 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, keys = shared_folder(spark, "stream"), ["day", "event_type"]
     schema = read(spark, sf_dir, "events").schema
     stream = microbatch.file_stream(spark, sf_dir, schema, "events.parquet").select(F.to_date("ts").alias("day"), "event_type")
-    versions: list[str] = []
+    store = microbatch.by_batch(f"{root}/counts")  # a batch that runs again, or after a restart, writes its own folder again
 
     def apply(batch: DataFrame, number: int) -> None:
-        counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        if versions:
-            counts = counts.unionByName(spark.read.parquet(versions[-1])).groupBy(*keys).agg(F.sum("n").alias("n"))
-        path = f"{root}/table/version={number}"  # a batch that runs again writes the same version
-        counts.write.mode("overwrite").parquet(path)
-        versions.append(path)
+        store(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), number)
 
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(versions[-1]) if versions else stream_counts_of_nothing(spark)
-
-
-def stream_counts_of_nothing(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "day date, event_type string, n long")
+    try:
+        counts = spark.read.parquet(f"{root}/counts")
+    except AnalysisException:  # no batch: no files to read
+        return spark.createDataFrame([], "day date, event_type string, n long")
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n"))

@@ -81,6 +81,39 @@ def write_side(df: DataFrame, root: str, kind: str, run: str) -> None:
     df.write.mode("overwrite").json(f"{root}/{kind}/run={run}")
 
 
+def write_pages(fetched: DataFrame, root: str, kind: str, run: str) -> str:
+    """Fetched pages as they came, one row a page: name and body (SK12); a second write of a run replaces the first."""
+    path = f"{root}/landing/{kind}/run={run}"
+    fetched.select("name", "body").write.mode("overwrite").json(path)
+    return path
+
+
+def read_pages(spark: SparkSession, root: str, kind: str, run: str = "*") -> DataFrame:
+    """(name, body, run) of landed pages, of one run or of all."""
+    rows = spark.read.schema("name string, body string").json(f"{root}/landing/{kind}/run={run}")
+    return rows.select("name", "body", F.regexp_extract(F.col("_metadata.file_path"), "run=([^/]+)/", 1).alias("run"))
+
+
+def prune(spark: SparkSession, root: str, today: str, keep: int = 14) -> list[str]:
+    """Delete daily folders older than `keep` days under a root and return their names; other names are left alone (SK13, ST5)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    gone = [r["name"] for r in expired(spark.createDataFrame([(n,) for n in names], "name string"), today, keep).collect()]
+    for name in gone:
+        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, name), True)
+    return sorted(gone)
+
+
+def recheck(landed: DataFrame, key: str, html: str, own_id: str) -> DataFrame:
+    """(key, price, day, found_by, path) of landed pages, without fetching them again (SC5, SC6): the stated price and the chart's address."""
+    from ledgerlark.sources import markup
+
+    said = markup.extracted(landed, key, html, markup.current_prices, markup.PRICE_SCHEMA).select(key, "price", "day", "found_by")
+    found = markup.extracted(landed, key, html, markup.endpoints, markup.ENDPOINT_SCHEMA).join(landed.select(key, own_id), key)
+    return landed.select(key).join(said, key, "left").join(markup.chosen_endpoint(found, key, F.col(own_id)).select(key, "path"), key, "left")
+
+
 def expired(days: DataFrame, today: str, keep: int = 14) -> DataFrame:
     """Names of daily folders older than `keep` days; names that are no day are left alone (SK13, ST5)."""
     parsed = F.try_to_date("name", "yyyy-MM-dd")

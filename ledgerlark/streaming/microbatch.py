@@ -38,7 +38,19 @@ def tumbling_counts(stream: DataFrame, ts: str, by: list[str], width: str = "1 d
     return stream.withWatermark(ts, late).groupBy(F.window(ts, width), *by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def isolated(good: DataFrame, bad: DataFrame, store_good: Callable[[DataFrame], None], store_bad: Callable[[DataFrame], None]) -> None:
-    """Poison input goes to the side output of its own; the rest of the run is stored (ST6)."""
-    store_bad(bad)
-    store_good(good)
+def isolated(stream: DataFrame, sound: Column, reason: Column, good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Poison rows of each batch go to a side output with their reason; the rest is stored (ST6, ST8).
+
+    Both outputs get the batch's number, so that a batch that runs again replaces what it wrote.
+    """
+    def apply(batch: DataFrame, number: int) -> None:
+        told = batch.withColumn("__sound", F.coalesce(sound, F.lit(False)))
+        bad(told.filter(~F.col("__sound")).drop("__sound").withColumn("reason", reason), number)
+        good(told.filter("__sound").drop("__sound"), number)
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def by_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A store that keeps each batch in a folder of its number."""
+    return lambda df, number: df.write.mode("overwrite").parquet(f"{path}/batch={number}")

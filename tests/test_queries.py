@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from ledgerlark.plans import catalogue
+from ledgerlark.plans import catalogue, fields, flows  # noqa: F401  the latter two register theirs
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
