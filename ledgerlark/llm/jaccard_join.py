@@ -18,7 +18,8 @@ of every list against the others of different components, merges components, and
 list; lists within one component are done, so copies cost one verification each. Bucket counts of the sets bound
 what two of them can share; pairs that this rules out are dropped, the others are verified exactly.
 When rounds no longer halve what is left, the lists that are still open are scanned in tasks of at most two
-blocks of BLOCK members, and pairs that are not connected and not ruled out are verified exactly. No link between components is
+blocks of BLOCK members: first each member's NEAREST others by that bound are verified, which connects dense groups, then all
+pairs that are still not connected and not ruled out. No link between components is
 lost: every pair of a list is settled by a link, a connection, a bound or a test.
 
 Defined results: null and empty texts and texts without words have size 0 and are linked with nothing;
@@ -36,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlark.llm.common import U64, Scratch, byte_keys, mixed, pieces, texts, word_cuts
 from ledgerlark.llm.components import components
@@ -45,6 +47,10 @@ from ledgerlark.llm.toxicity import powers
 HEAD = 1.4
 #: Members of a list's block, and rounds of centres at most before the rest is settled in blocks.
 BLOCK, MOST_ROUNDS = 1024, 4
+#: Others of a member that are verified before all pairs are.
+NEAREST = 2
+#: Entries of a list that are scanned at the cost of one entry written and shuffled.
+SCANNED = 512
 #: Bits of the map of documents whose sets are read again, for each of them, and at most (16 MB); others that the map lets through are joined away.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 #: Buckets of a set's sketch.
@@ -256,7 +262,7 @@ def boundary(held: DataFrame, percent: int) -> int:
     group = F.floor(F.log2(F.col("n").cast("double")) * 8)
     many = F.size("tokens").cast("double")
     scans = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c).cast("double")
-    rows = held.groupBy(group.alias("g")).agg(F.max("n").alias("n"), F.sum(many * (many - 1) / 2).alias("pairs"), F.sum(many + scans).alias("lists")).collect()
+    rows = held.groupBy(group.alias("g")).agg(F.max("n").alias("n"), F.sum(many * (many - 1) / 2).alias("pairs"), F.sum(many + scans / SCANNED).alias("lists")).collect()
     return cheapest_boundary([(r["n"], r["pairs"], r["lists"]) for r in rows], percent)
 
 
@@ -345,11 +351,12 @@ def flagged(ids: DataFrame, bits: int):
 
 
 def distinct_lists(rows: DataFrame) -> DataFrame:
-    """Of lists with the same entries one stays: they would all settle the same pairs."""
+    """Of lists with the same members one stays, with the largest bounds that any of them sets: they would all settle the same pairs."""
     entry = ["cls", "home"]
     marks = rows.groupBy("key").agg(F.bit_xor(F.xxhash64(*entry)).alias("x"), F.bit_xor(F.xxhash64(*entry, F.lit(7))).alias("y"), F.count(F.lit(1)).alias("m"))
-    keep = marks.groupBy("x", "y", "m").agg(F.min("key").alias("key")).select("key")
-    return rows.join(keep, "key", "left_semi")
+    keep = marks.withColumn("kept", F.min("key").over(Window.partitionBy("x", "y", "m"))).select("key", "kept")
+    same = [c for c in rows.columns if c not in ("key", "most", "c")]
+    return rows.join(keep, "key").groupBy(F.col("kept").alias("key"), *same).agg(F.max("most").alias("most"))
 
 
 def fitting(n: Column, most: Column, other_n: Column, other_most: Column) -> Column:
@@ -388,8 +395,8 @@ def centre_pairs(rest: DataFrame) -> DataFrame:
     return rows.select(F.col("c.id").alias("a"), F.col("c.cls").alias("a_cls"), F.col("id").alias("b"), F.col("cls").alias("b_cls")).distinct()
 
 
-def possible_pairs(rows: dict[str, np.ndarray], sketches: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one list's members, one at home at least, in different components, whose sketches don't rule similarity out; of two blocks, those between them."""
+def possible_pairs(rows: dict[str, np.ndarray], sketches: np.ndarray, percent: int, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one list's members, one at home at least, in different components, whose sketches don't rule similarity out; of two blocks, those between them. Of each member all, or the nearest."""
     n, most, home, component, block = (rows[k] for k in ("n", "most", "home", "component", "own"))
     two = len(np.unique(block)) > 1
     left, right = [], []
@@ -398,15 +405,18 @@ def possible_pairs(rows: dict[str, np.ndarray], sketches: np.ndarray, percent: i
         j = j[(n[j] <= most[i]) & (n[i] <= most[j]) & (component[j] != component[i]) & (home[i] | home[j]) & ((block[j] != block[i]) if two else True)]
         if len(j):
             share = np.minimum(sketches[i], sketches[j]).sum(1, dtype=np.int64)
-            j = j[share * 100 >= (n[i] + n[j] - share) * percent]
+            near = share * 100 >= (n[i] + n[j] - share) * percent
+            j, share = j[near], share[near]
+            if nearest is not None and len(j) > nearest:
+                j = j[np.argsort(-share / (n[i] + n[j] - share), kind="stable")[:nearest]]
             left.append(np.full(len(j), i))
             right.append(j)
     none = np.zeros(0, np.int64)
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(a, a_cls, b, b_cls) of all pairs of each list that may be similar and aren't connected, found in tasks of one or two blocks."""
+def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """(a, a_cls, b, b_cls) of all pairs (or each member's nearest) of each list that may be similar and aren't connected, found in tasks of one or two blocks."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     names = ["id", "cls", "n", "most", "home", "component", "own"]
@@ -420,7 +430,7 @@ def left_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         def pairs(table: pa.Table) -> pa.RecordBatch:
             cols = {k: table[k].to_numpy() for k in names}
             counts = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            a, b = possible_pairs(cols, counts, percent)
+            a, b = possible_pairs(cols, counts, percent, nearest)
             i, c = cols["id"], cols["cls"]
             swap = c[a] > c[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
@@ -446,8 +456,9 @@ def open_lists(lists: DataFrame, found: DataFrame | None) -> DataFrame:
     """The entries of lists that hold different components and a member at home, with the list's centre (a member at home) and size."""
     now = lists.withColumn("component", F.col("id")) if found is None else lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     centre = F.min(F.when(F.col("home"), F.struct("cls", "id", "n", "most", "component"))).alias("c")
-    heads = now.groupBy("key").agg(centre, F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-    return now.join(heads.filter("low < high and c is not null").select("key", "c", "members"), "key")
+    heads = now.groupBy("key").agg(centre, F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("most").alias("largest"))
+    # An entry goes if even the smallest other set is too large for it, or no other may stand for one of its size.
+    return now.join(heads.filter("low < high and c is not null").drop("low", "high"), "key").filter("most >= least and n <= largest").drop("least", "largest")
 
 
 def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed: int = 17) -> tuple[DataFrame, DataFrame, Scratch]:
@@ -480,14 +491,17 @@ def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed:
     scratch.drop("shared")
     sketches = scratch.save(element_sets(rows, width, seed, lists.select("id", "cls"), False), "sketches")
 
-    size = None
-    for turn in range(MOST_ROUNDS + 1):
+    size, turn, way = None, 0, "centres"
+    while True:
         rest = scratch.save(open_lists(lists, found), f"rest-{turn}")
         before, size = size, rest.count()
         if not size:
             break
-        settling = turn == MOST_ROUNDS or (before is not None and size > before / 2)
-        pairs = left_pairs(distinct_lists(rest), sketches, percent) if settling else not_ruled_out(centre_pairs(rest), sketches, percent)
+        if way == "nearest":
+            way = "all"
+        elif turn == MOST_ROUNDS or (before is not None and size > before / 2):
+            way = "nearest"
+        pairs = not_ruled_out(centre_pairs(rest), sketches, percent) if way == "centres" else left_pairs(distinct_lists(rest), sketches, percent, NEAREST if way == "nearest" else None)
         pairs = scratch.save(pairs, f"pairs-{turn}")
         # Whole sets are read again for the pairs that are left alone.
         ends = pairs.select(F.col("a").alias("id"), F.col("a_cls").alias("cls")).unionByName(pairs.select(F.col("b").alias("id"), F.col("b_cls").alias("cls")))
@@ -497,9 +511,11 @@ def classes_and_links(docs: DataFrame, width: int = 4, percent: int = 85, seed:
             every = links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
             found = scratch.save(components(every, scratch, f"cc-{turn}"), f"found-{turn}")
         scratch.drop(f"links-{turn}", f"pairs-{turn}", f"sets-{turn}", f"rest-{turn - 1}")
-        if settling:
+        if way == "all":
             break
-        lists = rest.filter(F.col("cls") != F.col("c.cls")).select("key", "id", "cls", "n", "most", "home")
+        # A centre has met its whole list.
+        lists = rest.filter((F.col("cls") != F.col("c.cls")) | F.lit(way != "centres")).select("key", "id", "cls", "n", "most", "home")
+        turn += 1
     if found is None:
         found = spark.createDataFrame([], "id long, component long")
     scratch.drop("sketches", "unlike")

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,36 @@ def test_bpe_agrees_with_the_library():
     assert own.guessed and own.exact
 
 
+def test_bpe_has_the_library_characters():
+    """Every code point, alone in a word, twice, and as a capital or small letter beside others; and composed pairs."""
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe_codec.vocabulary())
+    own = bpe_codec.codec(bpe_codec.vocabulary())
+    texts_ = [f"a{chr(c)}{chr(c)}b {chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x32000 or c % 97 == 0)]
+    texts_ += [f"a{chr(c)}{m}" for c in range(0x250, 0x32000) if not 0xD800 <= c < 0xE000 for m in "\u0301\u0307\u093c" if unicodedata.category(chr(c)) != "Cn"]
+    for lo in range(0, len(texts_), 20_000):
+        part = texts_[lo : lo + 20_000]
+        ids, at = own.encoded_all(pa.array(part))
+        for k, got in enumerate(library.encode_batch(part, add_special_tokens=False)):
+            assert ids[at[k] : at[k + 1]].tolist() == got.ids, ascii(part[k])
+
+
+def test_bpe_digests_are_the_library_s(spark, sf_dir):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe_codec.vocabulary())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(-1, "Long " * 300_000 + "<|endoftext|>ÄÖ don't 12" * 9), (-2, "x" * 20_000), (-3, None), (-4, " \n\u3000a\u2003b")], docs.schema))
+    found = {r.doc_id: r for r in bpe_codec.encode(docs, "word_bpe_49k.json", outputs=("digests", "ids", "decoded")).collect()}
+    rows = docs.collect()
+    assert len(found) == len(rows)
+    for r in rows:
+        got = library.encode(r.text or "", add_special_tokens=False)
+        decoded = library.decode(got.ids, skip_special_tokens=False)
+        assert found[r.doc_id].ids == got.ids and found[r.doc_id].decoded == decoded and found[r.doc_id].n_tokens == len(got.ids)
+        assert found[r.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, got.ids)).encode()).hexdigest()
+        assert found[r.doc_id].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_bpe_pair_check_is_merging():
     own, rnd = bpe_codec.codec(bpe_codec.vocabulary()), random.Random(2)
     inner = [i for n, i in own.ids.items() if not n.endswith(own.end) and own.is_sound(i)]
@@ -244,6 +276,37 @@ def test_toxicity_held_out(spark):
     assert ((found.score >= 0.5) == (found.toxic == 1)).mean() >= 0.95
 
 
+def test_toxicity_risk_is_the_plain_one():
+    """The risk and its gradient against plain sums and differences, on both sides of 0."""
+    rnd = np.random.default_rng(4)
+    for prior, shift in ((0.2, 0.0), (0.9, 3.0)):
+        f_p, f_u = rnd.normal(shift, 2, 7), rnd.normal(-shift, 2, 9)
+
+        def parts(f_p, f_u, prior=prior):
+            plus = sum(math.log(1 + math.exp(-f)) for f in f_p) / len(f_p)
+            minus = sum(math.log(1 + math.exp(f)) for f in f_u) / len(f_u) - prior * sum(math.log(1 + math.exp(f)) for f in f_p) / len(f_p)
+            return prior * plus, minus
+
+        plus, minus = parts(f_p, f_u)
+        assert (minus < 0) == (shift > 0)
+        value, g_p, g_u = toxicity.risk(f_p, f_u, prior)
+        assert value == pytest.approx(plus + max(0.0, minus))
+        goal = (lambda a, b: sum(parts(a, b))) if minus >= 0 else (lambda a, b: -parts(a, b)[1])
+        for k, g in [*enumerate(g_p), *enumerate(g_u, 7)]:
+            step = np.eye(16)[k] * 1e-6
+            up, down = (goal(f_p + s * step[:7], f_u + s * step[7:]) for s in (1, -1))
+            assert g == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
+def test_toxicity_of_long_texts_in_slices(monkeypatch):
+    rows = ["some Words here " * 50, "", "an-other éÀ text", "x" * 99]
+    data, offsets = texts(pa.array(rows))
+    model = toxicity.fit(["some bad words"] * 5 + ["another bad text"] * 5, ["a fine text", "words"] * 5, 0.4)
+    whole, cuts = model.scores(data, offsets), toxicity.word_cuts
+    monkeypatch.setattr(toxicity, "word_cuts", lambda gap, edges: cuts(gap, edges, 16))
+    assert len(model.keys) and np.allclose(whole, model.scores(data, offsets))
+
+
 def test_toxicity_features_are_words_and_beginnings():
     data, offsets = texts(pa.array(["Élan élan, x", "élan"], pa.large_string()))
     (row, words), *_ = toxicity.features(data, offsets)
