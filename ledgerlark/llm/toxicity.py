@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import U64, byte_keys, mixed, pieces, texts
+from ledgerlark.llm.common import U64, byte_keys, mixed, pieces, texts, word_cuts
 from ledgerlark.llm.sampling import label_of, sample_ids, sample_texts
 
 #: Bounds of the fitting sample.
@@ -54,30 +54,32 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, feature hash) of whole words, then of word beginnings of each length; a word never spans rows."""
+    """(row, feature hash) of whole words, then of word beginnings of each length; a word never spans rows. Long texts come in slices."""
     if not len(data):
         return
-    low = lowered(data)
-    inside = _word[low]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    cut = offsets[1:-1]
-    cut = cut[cut < len(data)]
-    first[cut] = inside[cut]
-    start = np.flatnonzero(first)
-    last = np.ones(len(data), bool)
-    last[:-1] = ~inside[1:] | first[1:]
-    end = np.flatnonzero(inside & last) + 1
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(byte_keys(7)[low] * up, out=total[1:])
-    row = np.searchsorted(offsets, start, "right") - 1
-    at, back = total[start], down[start]
-    yield row, mixed((total[end] - at) * back)
-    size = end - start
-    for n in BEGINNINGS:
-        keep = np.flatnonzero(size > n)
-        yield row[keep], mixed((total[start[keep] + n] - at[keep]) * back[keep] + U64(n))
+    whole = lowered(data)
+    edges = np.zeros(len(data) + 1, bool)
+    edges[offsets] = True
+    keys = byte_keys(7)
+    for lo, hi in word_cuts(~_word[whole], edges):
+        low = whole[lo:hi]
+        inside = _word[low]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1] | edges[lo + 1 : hi]
+        start = np.flatnonzero(first)
+        last = np.ones(len(low), bool)
+        last[:-1] = ~inside[1:] | first[1:]
+        end = np.flatnonzero(inside & last) + 1
+        up, down = powers(len(low))
+        total = np.zeros(len(low) + 1, U64)
+        np.cumsum(keys[low] * up, out=total[1:])
+        row = np.searchsorted(offsets, start + lo, "right") - 1
+        at, back = total[start], down[start]
+        yield row, mixed((total[end] - at) * back)
+        size = end - start
+        for n in BEGINNINGS:
+            keep = np.flatnonzero(size > n)
+            yield row[keep], mixed((total[start[keep] + n] - at[keep]) * back[keep] + U64(n))
 
 
 class Model:
@@ -108,6 +110,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(f, -500, 500)))
 
 
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+
+
+def risk(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The non-negative risk of the positives' and the unlabelled texts' outputs, and the gradient to go down, by output.
+
+    Logistic loss: l(+) = log(1 + e^-f), l(-) = log(1 + e^f). Where the estimate of the negatives' part is below 0, it counts
+    as 0, and the gradient is that part's own, reversed.
+    """
+    positive = prior * np.logaddexp(0, -f_p).mean()
+    negative = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
+    up_p, up_u = sigmoid(f_p) / len(f_p), sigmoid(f_u) / len(f_u)
+    if negative >= 0:
+        return positive + negative, prior * (up_p - 1 / len(f_p)) - prior * up_p, up_u
+    return positive, prior * up_p, -up_u
+
+
 def joined(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return texts(pa.array(rows, pa.large_string()))
 
@@ -119,10 +139,11 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int =
     distinct = []
     data, offsets = joined(positive)
     for lo, hi in pieces(offsets):
-        for row, h in features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]):
-            order = np.lexsort((row, h))
-            h, row = h[order], row[order]
-            distinct.append(h[np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])]] if len(h) else h)
+        parts = [*features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])]
+        row, h = (np.concatenate([p[k] for p in parts]) for k in range(2)) if parts else (np.zeros(0, np.int64), np.zeros(0, U64))
+        order = np.lexsort((row, h))
+        h, row = h[order], row[order]
+        distinct.append(h[np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])]] if len(h) else h)
     keys, df_p = np.unique(np.concatenate(distinct), return_counts=True)
     keys, df_p = keys[df_p >= LEAST_POSITIVES], df_p[df_p >= LEAST_POSITIVES]
     model = Model(keys, np.zeros(len(keys)), 0.0, prior)
@@ -148,19 +169,8 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int =
     w, b = np.zeros(len(best)), 0.0
     moment, second, mb, sb = np.zeros(len(best)), np.zeros(len(best)), 0.0, 0.0
 
-    def sigmoid(x):
-        return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
-
     for step in range(1, rounds + 1):
-        f_p = np.bincount(row_p, w[feat_p], n_p) + b
-        f_u = np.bincount(row_u, w[feat_u], n_u) + b
-        # Logistic loss: l(+) = log(1 + e^-f), l(-) = log(1 + e^f).
-        negative = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
-        up_p, up_u = sigmoid(f_p) / n_p, sigmoid(f_u) / n_u
-        if negative >= 0:
-            g_p, g_u = prior * (up_p - 1 / n_p) - prior * up_p, up_u
-        else:
-            g_p, g_u = prior * up_p, -up_u
+        _, g_p, g_u = risk(np.bincount(row_p, w[feat_p], n_p) + b, np.bincount(row_u, w[feat_u], n_u) + b, prior)
         g = np.bincount(feat_p, g_p[row_p], len(best)) + np.bincount(feat_u, g_u[row_u], len(best)) + decay * w
         gb = g_p.sum() + g_u.sum()
         moment, second = 0.9 * moment + 0.1 * g, 0.999 * second + 0.001 * g * g
@@ -182,18 +192,32 @@ def learn(docs: DataFrame, labels: DataFrame, learnt: Column) -> Model:
     return fit([rows[i] for i in positive if i in rows], [rows[i] for i in other if i in rows], n1 / max(1, n1 + n0))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
-    """doc_id and score of every document; or the kept input columns and the score under another name."""
-    keep = keep or ["doc_id"]
-    chosen = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = chosen.drop("__text").withColumn(name, F.lit(0.0)).schema
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of every document."""
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    schema = chosen.drop("text").withColumn("score", F.lit(0.0)).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = texts(batch.column(len(keep)))
-            for lo, hi in pieces(offsets):
-                found = model.scores(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(found, pa.float64())], [*keep, name])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scored(model, batch.column(1)), pa.float64())], ["doc_id", "score"])
 
     return chosen.mapInArrow(work, schema)
+
+
+def accepted(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
+    """The documents that score below the limit, all columns kept."""
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                yield part.filter(pa.array(scored(model, part.column(at)) < below))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
+def scored(model: Model, column: pa.Array) -> np.ndarray:
+    data, offsets = texts(column)
+    parts = [model.scores(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in pieces(offsets)]
+    return np.concatenate(parts) if parts else np.zeros(0)
