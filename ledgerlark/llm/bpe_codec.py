@@ -6,31 +6,60 @@ for all adjacent pairs of a batch of words tells which guesses hold. Only words
 merged exactly. The vocabulary file is a parameter: a tokenizer JSON with NFC, white space and
 lower-case normalisation, a pattern split, byte-level symbols and a word-end suffix.
 
+A batch's runs of non-space are encoded once each: Arrow splits the texts and numbers the distinct runs, and the
+ids and names of all places come from them by taking.
+
 Defined results: a null or empty text has no tokens and decodes to the empty string; other columns of
-the input are left out, so names can't clash; repeated rows give repeated results.
+the input are left out, so names can't clash; repeated rows give repeated results; no documents give no rows.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's word cache before it starts anew; results don't depend on it.
-CACHE_WORDS = 400_000
+from ledgerlark.llm.common import pieces, texts
+
+#: Bytes of a worker's cache of runs before it starts anew, and what an entry takes beside its text and ids; results don't depend on it.
+CACHE_BYTES, ENTRY_BYTES = 24_000_000, 200
 NEVER = (1 << 60, -1)
 #: Stands for the word end while pieces are matched; it is no byte-level symbol.
 END = "\0"
-#: Characters that str.split() takes for white space and the tokenizer doesn't.
-ODD_SPACE = regex.compile("[\x1c-\x1f]")
+#: White space, and the letters and numbers that the public library's Unicode tables (16.0 for its patterns, 17.0 for
+#: lower case) have beyond Python's (15.1).
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LATER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+LATER_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+#: Marks that Python's tables order or compose, and the library's (9.0 for NFC) take for characters that stand alone.
+LATER_MARKS = [
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA), (0x1715, 0x1715),
+    (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC), (0x10EFD, 0x10EFF), (0x10F46, 0x10F50),
+    (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B), (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E),
+    (0x11943, 0x11943), (0x119E0, 0x119E0), (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45),
+    (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF),
+    (0x1E4EC, 0x1E4EF),
+]
+#: First and last capital, and how far away its small letter is.
+LATER_CAPITALS = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1),
+    (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27),
+]
 
 
 def byte_symbols() -> list[str]:
@@ -46,6 +75,37 @@ def byte_symbols() -> list[str]:
     return out
 
 
+@functools.cache
+def character_classes() -> tuple[str, str]:
+    """The letters and the numbers of the library's patterns, as ranges of a character class."""
+    kinds = {"L": list(LATER_LETTERS), "N": list(LATER_NUMBERS)}
+    first, last = 0, "C"
+    for c in range(sys.maxunicode + 2):
+        kind = unicodedata.category(chr(c))[0] if c <= sys.maxunicode else "C"
+        if kind != last:
+            if last in kinds:
+                kinds[last].append((first, c - 1))
+            first, last = c, kind
+    return ranges(kinds["L"]), ranges(kinds["N"])
+
+
+def ranges(spans: list[tuple[int, int]]) -> str:
+    """Spans of code points as the inside of a character class."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in sorted(spans))
+
+
+def lowered(text: str) -> str:
+    """NFC, then lower case letter by letter: str.lower() would look at the place of a capital sigma."""
+    parts = AT_LATER_MARK.split(text)
+    parts[::2] = [unicodedata.normalize("NFC", p) for p in parts[::2]]
+    return "".join(parts).translate(LOWER).lower()
+
+
+AT_LATER_MARK = re.compile(f"([{ranges(LATER_MARKS)}])")
+
+LOWER = {ord("Σ"): "σ"} | {c: c + step for first, last, step in LATER_CAPITALS for c in range(first, last + 1)}
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -71,9 +131,13 @@ class Codec:
         for key, (rank, made) in self.merges.items():
             self.rank[made], self.left[made], self.right[made] = rank, key >> 20, key & 0xFFFFF
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        self.pattern = regex.compile(split.replace(r"\s", r"\p{White_Space}"))
-        self.space = regex.compile(r"\p{White_Space}+")
-        self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        letters, numbers = character_classes()
+        for name, chars in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", WHITE_SPACE)):
+            split = split.replace(f"[{name}]", f"[{chars}]").replace(name, chars)
+        self.pattern = re.compile(split)
+        self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.decimals = pa.array([f"{i} " for i in range(size)])
+        self.spaced = pa.array([f"{self.names.get(i, '')} " for i in range(size)])
         #: Each start of a sound piece's name (word end as one character) -> the piece, or -1
         self.starts: dict[str, int] = {}
         for name, i in ids.items():
@@ -82,8 +146,8 @@ class Codec:
                 for k in range(1, len(form)):
                     self.starts.setdefault(form[:k], -1)
                 self.starts[form] = i
-        self.words: dict[str, tuple[int, str, str]] = {}  # pre-token -> as in cache
-        self.cache: dict[str, tuple[int, str, str]] = {}  # run of non-space -> count, ids as text, pieces as text
+        self.cache: dict[str, bytes] = {}  # run of non-space or pre-token -> its ids
+        self.held = CACHE_BYTES
         self.exact = self.guessed = 0
 
     def symbolic(self, word: str) -> str:
@@ -204,24 +268,21 @@ class Codec:
             inside = owner[1:] == owner[:-1]
             fits = self.pairs_fit(line[:-1][inside], line[1:][inside])
             bad[owner[1:][inside][~fits]] = True
-        names = self.names
         for word, form, g, failed in zip(words, forms, guesses, bad.tolist(), strict=True):
             if failed:
                 g = self.merged(self.letters(form))
-            self.words[word] = (len(g), " ".join([str(i) for i in g]), " ".join([names[i] for i in g]))
+            self.keep(word, np.array(g, np.int32).tobytes())
         self.exact += int(bad.sum())
         self.guessed += int((~bad).sum())
 
-    def runs(self, text: str) -> list[str]:
-        """Runs of non-space; special tokens stand alone."""
-        if self.at_special and "<|" in text and (cut := self.at_special.split(text)):
-            return [w for p in cut for w in ([p] if p in self.special else self.plain_runs(p))]
-        return self.plain_runs(text)
-
-    def plain_runs(self, text: str) -> list[str]:
-        return [w for w in self.space.split(text) if w] if ODD_SPACE.search(text) else text.split()
+    def keep(self, run: str, ids: bytes) -> None:
+        self.cache[run] = ids
+        self.held += len(run) + len(ids) + ENTRY_BYTES
 
     def pretokens(self, run: str) -> list[str]:
+        """The run's pre-tokens; special tokens stand alone. Each pre-token is its own only one."""
+        if self.at_special and "<|" in run and len(cut := self.at_special.split(run)) > 1:
+            return [w for p in cut for w in ([p] if p in self.special else self.pretokens(p))]
         if run.isascii():
             run = run.lower()
             if run.isalpha():
@@ -229,31 +290,37 @@ class Codec:
             if run[:-1].isalpha() and not run[-1].isalnum():
                 return [run[:-1], run[-1]]
         else:
-            run = unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()  # str.lower() looks at this capital's place
+            run = lowered(run)
         return self.pattern.findall(run)
 
-    def fill(self, runs: set[str]) -> None:
-        """Put runs that the cache lacks into it."""
-        if len(self.cache) + len(runs) > CACHE_WORDS:
-            self.cache.clear()
-            self.words.clear()
-        words, cache, special = self.words, self.cache, self.special
-        split = [(r, self.pretokens(r)) for r in runs if r not in cache and r not in special]
-        self.learn([*{w for _, ws in split for w in ws if w not in words}])
+    def known(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run."""
+        if self.held >= CACHE_BYTES:
+            self.cache, self.held = {t: np.int32(i).tobytes() for t, i in self.special.items()}, 0
+        cache = self.cache
+        split = [(r, self.pretokens(r)) for r in runs if r not in cache]
+        self.learn([*{w for _, ws in split for w in ws if w not in cache}])
         for r, ws in split:
-            if len(ws) == 1:
-                cache[r] = words[ws[0]]
-            else:
-                got = [x for w in ws if (x := words[w])[0]]
-                cache[r] = (sum([g[0] for g in got]), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
-        for r in runs:
-            if r in special:
-                cache[r] = (1, str(special[r]), r)
+            if r not in cache:
+                self.keep(r, b"".join([cache[w] for w in ws]))
+        return [cache[r] for r in runs]
+
+    def encoded_all(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and where each text's begin and end."""
+        lists = pc.ascii_split_whitespace(column)
+        coded = lists.flatten().dictionary_encode()
+        each = self.known(coded.dictionary.to_pylist())
+        n = np.array([len(x) // 4 for x in each], np.int64)
+        flat = np.frombuffer(b"".join(each), np.int32)
+        place = coded.indices.to_numpy()
+        begin, many = (np.cumsum(n) - n)[place], n[place]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        ids = flat[np.repeat(begin - upto[:-1], many) + np.arange(upto[-1])]
+        runs = lists.offsets.to_numpy()
+        return ids, upto[runs - runs[0]]
 
     def encoded(self, text: str) -> list[int]:
-        runs = self.runs(text)
-        self.fill(set(runs))
-        return [int(i) for r in runs if self.cache[r][0] for i in self.cache[r][1].split(" ")]
+        return self.encoded_all(pa.array([text], pa.string()))[0].tolist()
 
     def decoded(self, ids: list[int]) -> str:
         """The pieces' names joined by a space, as the library has it where a file names no decoder; unknown ids are left out."""
@@ -287,30 +354,31 @@ def encode(docs: DataFrame, vocab: str | None = None, outputs: tuple[str, ...] =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(vocab if vocab and "/" in vocab else vocabulary(vocab or "word_bpe_49k.json"))
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                yield encoded_batch(tool, whole.slice(lo, 256), outputs)
+            _, offsets = texts(whole.column(1))
+            for lo, hi in pieces(offsets):
+                yield encoded_batch(tool, whole.slice(lo, hi - lo), outputs)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, schema)
 
 
+def joined(names: pa.Array, ids: np.ndarray, at: np.ndarray) -> Iterator[memoryview]:
+    """Each text's names, which end in a space each, without the last space."""
+    _, offsets, data = names.take(pa.array(ids)).buffers()
+    place = np.frombuffer(offsets, np.int32, len(ids) + 1)[at].tolist() if len(ids) else [0] * len(at)
+    view = memoryview(data) if data is not None else memoryview(b"")
+    for a, b in zip(place, place[1:], strict=False):
+        yield view[a : max(a, b - 1)]
+
+
 def encoded_batch(tool: Codec, batch: pa.RecordBatch, outputs: tuple[str, ...]) -> pa.RecordBatch:
-    runs = [tool.runs(t or "") for t in batch.column(1).to_pylist()]
-    lacking = {r for rs in runs for r in rs if r not in tool.cache}
-    if lacking:
-        tool.fill({r for rs in runs for r in rs} if len(tool.cache) + len(lacking) > CACHE_WORDS else lacking)
-    counts, ids, names = [], [], []
-    cache = tool.cache
-    for rs in runs:
-        got = [cache[r] for r in rs]
-        counts.append(sum(g[0] for g in got))
-        ids.append(" ".join([g[1] for g in got if g[0]]))
-        names.append(" ".join([g[2] for g in got if g[0]]))
-    cols: dict[str, pa.Array] = {"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
-    if "ids" in outputs:
-        cols["ids"] = pa.array([np.fromstring(x, np.int32, sep=" ") for x in ids], pa.list_(pa.int32()))
-    if "decoded" in outputs:
-        cols["decoded"] = pa.array(names, pa.string())
-    if "digests" in outputs:
-        cols["ids_sha256"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in ids], pa.string())
-        cols["decoded_sha256"] = pa.array([hashlib.sha256(x.encode("utf-8")).hexdigest() for x in names], pa.string())
+    ids, at = tool.encoded_all(pc.fill_null(batch.column(1), ""))
+    cols: dict[str, pa.Array] = {"doc_id": batch.column(0), "n_tokens": pa.array(np.diff(at), pa.int64())}
+    for output in outputs:
+        if output == "ids":
+            cols["ids"] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))
+        elif output == "decoded":
+            cols["decoded"] = pa.array([str(x, "utf-8") for x in joined(tool.spaced, ids, at)], pa.string())
+        else:
+            for name, words in (("ids_sha256", tool.decimals), ("decoded_sha256", tool.spaced)):
+                cols[name] = pa.array([hashlib.sha256(x).hexdigest() for x in joined(words, ids, at)], pa.string())
     return pa.RecordBatch.from_pydict(cols)
