@@ -1,4 +1,12 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+Defined results, stage by stage. toxicity: null and empty texts score as the classifier's bias has it; without labels of both
+kinds nothing is rejected. ngram_jaccard_join: texts without words and rows with a null doc_id all stay; of rows that repeat an id
+all stay if that id is kept. suffix_array_dedup: null texts stay null, repeated rows of 200 bytes lose their whole text and stay
+as rows; n_chars, where there is one, counts what is left. benchmark_decontamination: null and empty texts stay; an empty
+benchmark removes nothing. bpe_encoding: null and empty texts have no tokens. Very long texts are read whole in all stages; other
+columns, whatever their names, are kept by all but the last; no documents give no rows.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +20,7 @@ from ledgerlark.llm.common import Scratch, split_rule, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go; the labels' held-out fold isn't learnt from."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), split_rule("doc_id", 5) != 0)
-    return toxicity.score(docs, model, docs.columns, "__toxicity").filter("__toxicity < 0.5").drop("__toxicity")
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
