@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import U64, gram_hashes, pieces, texts
+from ledgerlark.llm.common import U64, Scratch, gram_hashes, pieces, texts
 
 Q, WINDOW, EDITS, LEAST = 12, 96, 5, 40
-BLOCK_BYTES = 4_000_000
+#: Diagonals of a band: twice the width of a region's, and as many edits on either side.
+BAND = 2 * (2 * EDITS + 1) + 2 * EDITS
+BLOCK_BYTES = 1_000_000
 _same = np.full(256, 32, np.uint8)
 _same[[*range(48, 58), *range(97, 123), *range(128, 256)]] = [*range(48, 58), *range(97, 123), *range(128, 256)]
 _same[65:91] = np.arange(97, 123)
@@ -88,19 +90,30 @@ class Index:
         self.bound = self.size - Q + 1 - Q * self.budget
         self.many = lengths - self.size + 1
         self.first_window = np.cumsum(self.many) - self.many
-        self.items = np.repeat(np.array(ids, object), self.many)
-        self.budgets = np.repeat(self.budget.astype(np.int8), self.many)
+        self.ids, self.n_windows = ids, int(self.many.sum())
         h = gram_hashes(self.body, Q)
         place = np.arange(len(h))
         within = place + Q <= self.starts[np.searchsorted(self.starts, place, "right")] if len(h) else np.zeros(0, bool)
         h, place = h[within], place[within]
         order = np.argsort(h, kind="stable")
-        self.place = place[order]
-        self.keys, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
+        self.place = place[order].astype(np.int32)
+        self.keys, first, count = np.unique(h[order], return_index=True, return_counts=True)
+        self.first, self.count = first.astype(np.int32), count.astype(np.int32)
         bits = max(16, int(len(self.keys) * 32).bit_length())
         self.mask = U64((1 << bits) - 1)
-        self.maybe = np.zeros(1 << bits, bool)
-        self.maybe[(self.keys & self.mask).astype(np.int64)] = True
+        # A bit map, in bytes: whether any key ends in these bits.
+        self.maybe = np.zeros(1 << bits - 3, np.uint8)
+        place = (self.keys & self.mask).astype(np.int64)
+        np.bitwise_or.at(self.maybe, place >> 3, (1 << (place & 7)).astype(np.uint8))
+
+    @property
+    def items(self) -> np.ndarray:
+        """The item_id of each window."""
+        return np.repeat(np.array(self.ids, object), self.many)
+
+    @property
+    def budgets(self) -> np.ndarray:
+        return np.repeat(self.budget, self.many)
 
     @property
     def windows(self) -> Iterator[np.ndarray]:
@@ -114,13 +127,14 @@ class Index:
         if not len(self.keys) or len(norm) < Q:
             return (np.zeros(0, np.int64),) * 2
         h = gram_hashes(norm, Q)
-        at = np.flatnonzero(self.maybe[(h & self.mask).astype(np.int64)])
+        spot = (h & self.mask).astype(np.int64)
+        at = np.flatnonzero(self.maybe[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)
         k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
         same = self.keys[k] == h[at]
         at, k = at[same], k[same]
-        n = self.count[k]
+        n = self.count[k].astype(np.int64)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(at, n), self.place[np.repeat(self.first[k], n) + inner]
+        return np.repeat(at, n), self.place[np.repeat(self.first[k], n) + inner].astype(np.int64)
 
     def candidates(self, norm: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
         """(row, item's number, window's place in the items' bytes, band's lowest diagonal, a hit's diagonal) of windows that meet the bound."""
@@ -163,8 +177,7 @@ class Index:
         row, item, start, low, diagonal = self.candidates(norm, cuts)
         window = self.first_window[item] + start - self.starts[item]
         size = self.size[item]
-        a = np.maximum(cuts[row], start + low - EDITS)
-        b = np.minimum(cuts[row + 1], start + low + 2 * (2 * EDITS + 1) + size + EDITS)
+        base = start + low - EDITS
         distance = np.full(len(row), EDITS + 1, np.int64)
         for n in np.unique(size).tolist():
             mine = np.flatnonzero(size == n)
@@ -173,10 +186,10 @@ class Index:
                 spot = start[whole][:, None] + np.arange(n)
                 distance[whole[(self.body[spot] == norm[spot + diagonal[whole][:, None]]).all(axis=1)]] = 0
             # What stands verbatim in one band needs no alignment in the other.
-            key = row * len(self.items) + window
+            key = row * self.n_windows + window
             mine = mine[~np.isin(key[mine], key[mine[distance[mine] == 0]])]
             for part in np.array_split(mine, len(mine) // 512 + 1) if len(mine) else []:
-                distance[part] = nearest(self.body[start[part][:, None] + np.arange(n)], norm, a[part], b[part])
+                distance[part] = nearest(self.body[start[part][:, None] + np.arange(n)], norm, base[part], cuts[row[part]], cuts[row[part] + 1])
         good = np.flatnonzero(distance <= self.budget[item])
         good = good[np.lexsort((distance[good], window[good], row[good]))]
         first = np.ones(len(good), bool)
@@ -207,21 +220,21 @@ class Index:
                     yield r, who
 
 
-def nearest(windows: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest edit distance of each window to a substring of its region norm[a:b].
+def nearest(windows: np.ndarray, norm: np.ndarray, base: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The smallest edit distance of each window to a substring of norm[low:high] along its band of diagonals.
 
-    A region is a band's own text, so each row of the table is as short as the band allows.
+    Cell (i, k) stands after i bytes of the window and at place base + i + k of the text: only the band's BAND diagonals are
+    kept, whatever the window's length. What lies outside the text is like no byte, so that it costs what leaving out costs.
     """
-    most = int((b - a).max())
-    at = a[:, None] + np.arange(most)
-    region = np.where(at < b[:, None], norm[np.minimum(at, len(norm) - 1)], 0)
-    steps = np.arange(most + 1, dtype=np.int16)
-    row = np.zeros((len(a), most + 1), np.int16)
-    new = np.empty_like(row)
+    k = np.arange(BAND)
+    row = np.zeros((len(base), BAND), np.int16)
+    steps = k.astype(np.int16)
     for i in range(windows.shape[1]):
-        new[:, 0] = i + 1
-        np.minimum(row[:, :-1] + (region != windows[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
-        row = np.minimum.accumulate(new - steps, axis=1) + steps  # insertions run along the row
+        at = base[:, None] + i + k
+        there = (at >= low[:, None]) & (at < high[:, None])
+        new = row + ~(there & (norm[np.clip(at, 0, len(norm) - 1)] == windows[:, i : i + 1]))
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)  # a byte of the window is left out: the diagonal below
+        row = np.minimum.accumulate(new - steps, axis=1) + steps  # bytes of the text are left out along the row
     return row.min(axis=1).astype(np.int64)
 
 
@@ -282,11 +295,20 @@ def judged(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[dict]:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a verified region of any item, all columns kept."""
+    """The documents without a verified region of any item, all columns kept.
+
+    Of a benchmark of several blocks, each block's pass is written down before the next, so that a worker holds one block's index.
+    """
     columns = docs.columns
     at = columns.index("text")
-    out = docs
-    for block in blocks(benchmark):
+    out, scratch, last = docs, None, None
+    for number, block in enumerate(blocks(benchmark)):
+        if number:
+            scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
+            out = scratch.save(out, f"pass-{number}")
+            if last:
+                scratch.drop(last)
+            last = f"pass-{number}"
         shared = docs.sparkSession.sparkContext.broadcast(block)  # BLOCK_BYTES at most, or one item
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
