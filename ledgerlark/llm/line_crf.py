@@ -4,7 +4,8 @@ Each line is labelled good or bad from its own features and those of the lines b
 transition weights between adjacent labels. Forward-backward gives every line's marginal; the marginals,
 weighted by line length, average to the document's quality, which a one-variable logistic fit turns
 into a probability. Lines inherit their document's label for fitting, in numpy, on a bounded sample
-(SAMPLE documents of at most LONGEST bytes and MOST_LINES lines); scoring reads every whole text.
+(SAMPLE documents of at most LONGEST bytes and MOST_LINES lines); scoring reads every whole text, long ones by slices and blocks of
+lines, with the same result.
 
 Defined results: a null text counts as empty; an empty text has one empty line; without labels of both
 kinds every score is the share of label 1 (1, if there are none); repeated rows score alike; other
@@ -26,7 +27,9 @@ from ledgerlark.llm.toxicity import powers
 
 #: Bounds of the fitting sample.
 SAMPLE, LONGEST, MOST_LINES = 3000, 100_000, 400
-KINDS = 10
+#: Bytes and lines of a slice whose features are held at a time.
+SLICE, LINES = 1 << 20, 1 << 16
+KINDS, AGAIN = 10, 21
 _kind = np.zeros(256, np.int64)
 _kind[65:91], _kind[97:123], _kind[48:58], _kind[[9, 32]], _kind[128:] = 1, 2, 3, 4, 9
 _kind[ord("|")], _kind[ord("!")] = 5, 6
@@ -47,17 +50,22 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, end, row
 
 
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, length, features) of each line, its neighbours' features included."""
-    start, end, row = lines_of(data, offsets)
+def line_slices(start: np.ndarray, n_bytes: int) -> Iterator[tuple[int, int, int, int]]:
+    """Ranges of whole lines and their bytes, of about SLICE bytes and at most LINES lines each; a longer line is one of its own."""
+    i, n = 0, len(start)
+    while i < n:
+        j = int(np.searchsorted(start, start[i] + SLICE, "right")) - 1
+        j = min(max(j, i + 1), i + LINES, n)
+        yield i, j, int(start[i]), int(start[j]) if j < n else n_bytes
+        i = j
+
+
+def own_features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each line by itself, and its hash; data begins with the first line."""
     n, size = len(start), end - start
-    counts = np.zeros((n, KINDS))
-    words = np.zeros(n)
-    again = np.zeros(n)
-    ends_well = np.zeros(n)
-    stuck = np.zeros(n)
+    counts, words, ends_well, stuck, hashed = np.zeros((n, KINDS)), np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n, U64)
     if len(data):
-        line = np.searchsorted(start, np.arange(len(data)), "right") - 1 if n < 2 else np.repeat(np.arange(n), np.diff(np.r_[start, len(data)]))
+        line = np.repeat(np.arange(n), np.diff(np.r_[start, len(data)]))
         kind = _kind[data]
         counts = np.bincount(line * KINDS + kind, minlength=n * KINDS).reshape(n, KINDS).astype(float)
         counts[:, 0] -= data[np.minimum(end, len(data) - 1)] == 10
@@ -65,8 +73,8 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         gap = (kind == 4) | (data == 10)
         word = ~gap
         word[1:] &= gap[:-1]
-        rows_at = offsets[:-1][offsets[:-1] < len(data)]
-        word[rows_at] = ~gap[rows_at]
+        begun = start[start < len(data)]
+        word[begun] = ~gap[begun]
         words = np.bincount(line[word], minlength=n).astype(float)
         up, down = powers(len(data) + 1)
         total = np.zeros(len(data) + 1, U64)
@@ -78,10 +86,6 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         spelt = (total[stop] - total[first]) * down[first]
         twice = (spelt[1:] == spelt[:-1]) & (line[first][1:] == line[first][:-1])
         stuck = np.bincount(line[first[1:]][twice], minlength=n) / np.maximum(words, 1)
-        order = np.lexsort((hashed, row))
-        same = (row[order][1:] == row[order][:-1]) & (hashed[order][1:] == hashed[order][:-1])
-        again[order] = np.r_[False, same] | np.r_[same, False]
-        again[size == 0] = 0
         ends_well = np.isin(data[np.maximum(end - 1, 0)], [*b".!?"]) & (size > 0)
     share = counts / np.maximum(size, 1)[:, None]
     letters = counts[:, 1] + counts[:, 2] + counts[:, 9]
@@ -96,16 +100,57 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         share[:, 5] + share[:, 6] + share[:, 7] > 0.05,
         size == 0,
         words == 1,
-        again,
+        np.zeros(n),  # AGAIN: set when all lines' hashes are known
         stuck,
         ends_well,
     ]).astype(float)
+    return own, hashed
+
+
+def repeated_lines(row: np.ndarray, size: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Whether a line stands elsewhere in its row too; empty lines don't count."""
+    order = np.lexsort((hashed, row))
+    same = (row[order][1:] == row[order][:-1]) & (hashed[order][1:] == hashed[order][:-1])
+    again = np.zeros(len(row), bool)
+    again[order] = np.r_[False, same] | np.r_[same, False]
+    return again & (size > 0)
+
+
+def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, length, features) of each line, its neighbours' features included: what fitting goes by."""
+    start, end, row = lines_of(data, offsets)
+    parts = [own_features(data[a:b], start[i:j] - a, end[i:j] - a) for i, j, a, b in line_slices(start, len(data))]
+    own = np.concatenate([p[0] for p in parts])
+    own[:, AGAIN] = repeated_lines(row, end - start, np.concatenate([p[1] for p in parts]))
     before, after = np.zeros_like(own), np.zeros_like(own)
     joined = row[1:] == row[:-1]
     before[1:][joined] = own[:-1][joined]
     after[:-1][joined] = own[1:][joined]
-    edge = np.column_stack([np.r_[True, ~joined], np.r_[~joined, True], np.ones(n)])
-    return row, size, np.hstack([own, before, after, edge])
+    edge = np.column_stack([np.r_[True, ~joined], np.r_[~joined, True], np.ones(len(row))])
+    return row, end - start, np.hstack([own, before, after, edge])
+
+
+def potentials(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, length, features @ weights) of each line, without all lines' features at a time.
+
+    A slice's features are turned into three numbers a line: what it adds to its own potential, to the next line's and to the
+    one's before.
+    """
+    start, end, row = lines_of(data, offsets)
+    width = (len(weights) - 3) // 3
+    each = weights[: 3 * width].reshape(3, width).T  # of the line itself, as the line before, as the line after
+    adds, hashed = np.zeros((len(row), 3)), np.zeros(len(row), U64)
+    for i, j, a, b in line_slices(start, len(data)):
+        own, hashed[i:j] = own_features(data[a:b], start[i:j] - a, end[i:j] - a)
+        adds[i:j] = own @ each
+    adds[repeated_lines(row, end - start, hashed)] += each[AGAIN]
+    joined = row[1:] == row[:-1]
+    out = adds[:, 0] + weights[-1]
+    out[1:] += np.where(joined, adds[:-1, 1], weights[-3])
+    out[:-1] += np.where(joined, adds[1:, 2], weights[-2])
+    out[0] += weights[-3]
+    out[-1] += weights[-2]
+    return row, end - start, out
 
 
 class Chains:
@@ -148,20 +193,77 @@ def marginals(chains: Chains, unary: np.ndarray, trans: np.ndarray) -> tuple[np.
     return both[:, 1] / both.sum(1), pairs, np.log(scale)
 
 
+def good_marginals(row: np.ndarray, unary: np.ndarray, trans: np.ndarray, block: int = 256) -> np.ndarray:
+    """P(good) of each line as marginals() has it, with long rows cut into blocks of lines.
+
+    A block's lines come to one 2 x 2 matrix; these carry the messages from block to block, and all blocks are gone through
+    side by side, so that the steps grow with the block and the number of a row's blocks, and not with its lines.
+    """
+    n = len(unary)
+    new = np.r_[True, row[1:] != row[:-1]]
+    at = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    first = np.flatnonzero(at % block == 0)
+    size, opens = np.diff(np.r_[first, n]), new[first]
+    ordinal = at[first] // block
+    node = np.exp(np.clip(np.column_stack([np.zeros(n), unary]), -30, 30))
+    step = np.exp(np.clip(trans, -30, 30))
+
+    def alive(t: int) -> np.ndarray:
+        return np.flatnonzero(size > t)
+
+    def after(message: np.ndarray, some: np.ndarray, t: int) -> np.ndarray:
+        """Row vectors (or matrices' rows) moved over line t of these blocks; a row's first line takes what comes as it is."""
+        moved = message @ step
+        if t == 0:
+            moved = np.where(opens[some].reshape(-1, *[1] * (message.ndim - 1)), message, moved)
+        out = moved * (node[first[some] + t][:, None, :] if message.ndim == 3 else node[first[some] + t])
+        return out / out.sum(tuple(range(1, message.ndim)), keepdims=True)
+
+    into, back = np.ones((len(first), 2)), np.ones((len(first), 2))
+    if ordinal.max(initial=0):
+        whole = np.repeat(np.eye(2)[None], len(first), axis=0)
+        for t in range(int(size.max())):
+            some = alive(t)
+            whole[some] = after(whole[some], some, t)
+        for o in range(1, int(ordinal.max()) + 1):
+            here = np.flatnonzero(ordinal == o)
+            carried = np.einsum("ni,nij->nj", into[here - 1], whole[here - 1])
+            into[here] = carried / carried.sum(1, keepdims=True)
+        for o in range(int(ordinal.max()), 0, -1):
+            here = np.flatnonzero(ordinal == o)
+            carried = np.einsum("nij,nj->ni", whole[here], back[here])
+            back[here - 1] = carried / carried.sum(1, keepdims=True)
+    forward, backward = np.zeros((n, 2)), np.ones((n, 2))
+    message = into.copy()
+    for t in range(int(size.max(initial=0))):
+        some = alive(t)
+        message[some] = after(message[some], some, t)
+        forward[first[some] + t] = message[some]
+    backward[first + size - 1] = back
+    for t in range(int(size.max(initial=0)) - 1, 0, -1):
+        i = first[alive(t)] + t
+        g = (node[i] * backward[i]) @ step.T
+        backward[i - 1] = g / g.sum(1, keepdims=True)
+    both = forward * backward
+    return both[:, 1] / both.sum(1)
+
+
 class Model:
     def __init__(self, weights, trans, centre, spread, slope, shift):
         self.weights, self.trans, self.centre, self.spread, self.slope, self.shift = weights, trans, centre, spread, slope, shift
 
-    def average(self, row: np.ndarray, size: np.ndarray, x: np.ndarray) -> np.ndarray:
+    def average(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Each row's length-weighted marginal."""
-        good, _, _ = marginals(Chains(row), ((x - self.centre) / self.spread) @ self.weights, self.trans)
+        scaled = self.weights / self.spread
+        row, size, unary = potentials(data, offsets, scaled)
+        good = good_marginals(row, unary - self.centre @ scaled, self.trans)
         weight = size + 1.0
         return np.bincount(row, good * weight) / np.bincount(row, weight)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(offsets) - 1, self.shift)
-        mean = np.clip(self.average(*line_features(data, offsets)), 1e-6, 1 - 1e-6)
+        mean = np.clip(self.average(data, offsets), 1e-6, 1 - 1e-6)
         return 1 / (1 + np.exp(-(self.slope * np.log(mean / (1 - mean)) + self.shift)))
 
 
