@@ -263,6 +263,38 @@ def test_quality_marginals_are_brute_force():
         assert np.allclose(got, p / z) and np.isclose(scale.sum(), np.log(z))
 
 
+def test_quality_in_slices_and_blocks_is_the_plain_one(monkeypatch):
+    """Potentials by slices against the whole features, marginals by blocks against line by line."""
+    rnd = np.random.default_rng(3)
+    rows = ["", "one line", "a\nb\n\na\n" * 9, "x y z! " * 40, "\n", "Tail\n" * 30 + "end"]
+    data, offsets = texts(pa.array(rows))
+    row, size, x = line_crf.line_features(data, offsets)
+    w, trans = rnd.normal(size=x.shape[1]), rnd.normal(size=(2, 2))
+    for slice_bytes, lines in ((1 << 20, 1 << 16), (16, 3)):
+        monkeypatch.setattr(line_crf, "SLICE", slice_bytes)
+        monkeypatch.setattr(line_crf, "LINES", lines)
+        found = line_crf.potentials(data, offsets, w)
+        assert np.array_equal(found[0], row) and np.array_equal(found[1], size) and np.allclose(found[2], x @ w)
+        assert np.array_equal(line_crf.line_features(data, offsets)[2], x)
+    plain, _, _ = line_crf.marginals(line_crf.Chains(row), x @ w, trans)
+    for block in (1, 2, 5, 256):
+        assert np.allclose(line_crf.good_marginals(row, x @ w, trans, block), plain)
+
+
+def test_quality_of_a_million_lines():
+    """Within a few seconds and little memory."""
+    import time
+    import tracemalloc
+
+    model = line_crf.fit(["Fine words here.\nMore of them."] * 5 + ["$$$ ### !!!\n%%%"] * 5, [1] * 5 + [0] * 5)
+    data, offsets = texts(pa.array(["\n" * 1_000_000]))
+    tracemalloc.start()
+    began = time.perf_counter()
+    (score,) = model.scores(data, offsets)
+    assert 0 <= score <= 1 and time.perf_counter() - began < 20 and tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
 def test_quality_lines():
     data, offsets = texts(pa.array(["a\nbc", "", None, "x\n", "\n"], pa.large_string()))
     start, end, row = line_crf.lines_of(data, offsets)
