@@ -23,13 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Scratch:
     """Tables written to the folder in spark.checkpoint.dir, which every executor shares.
 
-    The folder is read from the session; only where it is unset (tests) a temporary one is set.
+    The folder is read from the session; only where it is unset and Spark is local (tests) a temporary one is set.
     A written table cuts lineage and outlives lost executors.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="ledgerlark-")
             spark.sparkContext.setCheckpointDir(root)
             root = spark.sparkContext.getCheckpointDir()
