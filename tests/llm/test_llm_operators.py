@@ -210,6 +210,18 @@ def test_neighbours_recall(spark, sf_dir):
     assert right >= 0.9 * total
 
 
+def test_neighbours_recall_at_a_larger_scale(spark):
+    """On the 2,000 vectors of sf0.1, against brute force."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = sorted((r.vec_id, r.embedding) for r in vectors.collect())
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    found: dict[int, set[int]] = {}
+    for r in neural_partitions.search(vectors, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(found[q] & set(ids[np.lexsort((ids, -np.where(ids == q, -np.inf, x @ x[k])))[:20]].tolist())) / 20 for k, q in enumerate(ids.tolist()) if q % 20 == 0]
+    assert np.mean(hits) >= 0.9
+
+
 def test_neighbours_route_and_reach(monkeypatch):
     rnd = np.random.default_rng(0)
     centres = rnd.normal(size=(12, 16))
