@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import pieces, texts
 
-#: Bytes of a worker's cache of runs before it starts anew, and what an entry takes beside its text and ids; results don't depend on it.
-CACHE_BYTES, ENTRY_BYTES = 24_000_000, 200
+#: Bytes of a task's cache of runs before it starts anew, and what an entry takes beside its text and ids; results don't depend on it.
+CACHE_BYTES, ENTRY_BYTES = 80_000_000, 170
 NEVER = (1 << 60, -1)
 #: Stands for the word end while pieces are matched; it is no byte-level symbol.
 END = "\0"
@@ -293,10 +293,14 @@ class Codec:
             run = lowered(run)
         return self.pattern.findall(run)
 
+    def forget(self) -> None:
+        """Empty the cache: a worker that goes on to other tasks doesn't keep it."""
+        self.cache, self.held = {t: np.int32(i).tobytes() for t, i in self.special.items()}, 0
+
     def known(self, runs: list[str]) -> list[bytes]:
         """The ids of each run."""
         if self.held >= CACHE_BYTES:
-            self.cache, self.held = {t: np.int32(i).tobytes() for t, i in self.special.items()}, 0
+            self.forget()
         cache = self.cache
         split = [(r, self.pretokens(r)) for r in runs if r not in cache]
         self.learn([*{w for _, ws in split for w in ws if w not in cache}])
@@ -357,6 +361,7 @@ def encode(docs: DataFrame, vocab: str | None = None, outputs: tuple[str, ...] =
             _, offsets = texts(whole.column(1))
             for lo, hi in pieces(offsets):
                 yield encoded_batch(tool, whole.slice(lo, hi - lo), outputs)
+        tool.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, schema)
 
