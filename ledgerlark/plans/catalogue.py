@@ -67,7 +67,7 @@ SNAPSHOT_SQL = "s AS (SELECT o_custkey AS item, nullif(o_orderpriority, '5-LOW')
 
 @registered(
     "idempotent_append",
-    f"""WITH {SNAPSHOT_SQL}, cur AS (SELECT * FROM s WHERE src % 3 <> 0),
+    f"""WITH {SNAPSHOT_SQL}, cur AS (SELECT * FROM s WHERE price < 300000),
     b AS (SELECT *, row_number() OVER (PARTITION BY item, grade, day ORDER BY price, src) AS rn FROM s),
     new AS (SELECT b.item FROM b WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.item = b.item AND cur.day = b.day AND cur.grade IS NOT DISTINCT FROM b.grade))
     SELECT item, count(*) AS inserted FROM new GROUP BY item""",
@@ -75,7 +75,7 @@ SNAPSHOT_SQL = "s AS (SELECT o_custkey AS item, nullif(o_orderpriority, '5-LOW')
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New snapshots by item: one row a key of the batch, null grades equal (SK2, AG5)."""
     rows = _snapshots(spark, sf_dir)
-    _, outcome = upsert.append_new(rows.filter("src % 3 <> 0"), rows, ["item", "grade", "day"], [F.col("price"), F.col("src")], "item")
+    _, outcome = upsert.append_new(rows.filter("price < 300000"), rows, ["item", "grade", "day"], [F.col("price"), F.col("src")], "item")
     return outcome
 
 
@@ -83,7 +83,7 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_replay_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch a second time appends nothing (ST4)."""
     rows, keys, order = _snapshots(spark, sf_dir), ["item", "grade", "day"], [F.col("price"), F.col("src")]
-    once, _ = upsert.append_new(rows.filter("src % 3 <> 0"), rows, keys, order, "item")
+    once, _ = upsert.append_new(rows.filter("price < 300000"), rows, keys, order, "item")
     return upsert.append_new(once, rows, keys, order, "item")[1]
 
 
@@ -91,29 +91,29 @@ def append_replay_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     "correction_window",
     """WITH m AS (SELECT max(CAST(ts AS DATE)) AS today FROM events)
     SELECT event_id, value AS old, value + 1 AS new FROM events, m
-    WHERE CAST(ts AS DATE) >= today - 6 AND event_id % 4 = 0 AND user_id % 2 = 0""",
+    WHERE CAST(ts AS DATE) >= today - 6 AND event_type IN ('view', 'purchase') AND hour(ts) < 12""",
 )
 def correction_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last 7 days that are ours take the batch's value (SK3, ST2)."""
-    events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    events = read(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     today = events.agg(F.to_date(F.max("ts"))).first()[0]
-    batch = events.filter("event_id % 4 = 0").select("event_id", (F.col("value") + 1).alias("value"))
+    batch = events.filter("event_type in ('view', 'purchase')").select("event_id", (F.col("value") + 1).alias("value"))
     recent = F.to_date("ts") >= values.window_start(F.lit(today), 7)
-    return upsert.correct_recent(events, batch, ["event_id"], ["value"], "value", recent, F.col("user_id") % 2 == 0)[1]
+    return upsert.correct_recent(events, batch, ["event_id"], ["value"], "value", recent, F.hour("ts") < 12)[1]
 
 
 @registered(
     "upsert_outcome",
-    """WITH cur AS (SELECT p_partkey, p_retailprice FROM part WHERE p_partkey % 5 <> 0),
-    b AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice FROM part WHERE p_partkey % 2 = 0)
+    """WITH cur AS (SELECT p_partkey, p_retailprice FROM part WHERE p_size <= 40),
+    b AS (SELECT p_partkey, CASE WHEN p_size < 20 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice FROM part)
     SELECT CASE WHEN cur.p_partkey IS NULL THEN 'inserted' WHEN cur.p_retailprice IS DISTINCT FROM b.p_retailprice THEN 'updated' ELSE 'unchanged' END AS outcome, count(*) AS n
     FROM b LEFT JOIN cur ON b.p_partkey = cur.p_partkey GROUP BY 1""",
 )
 def upsert_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """inserted, updated, unchanged from one full join (SK5)."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    batch = part.filter("p_partkey % 2 = 0").withColumn("p_retailprice", F.when(F.col("p_partkey") % 3 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")))
-    _, outcome = upsert.upsert(part.filter("p_partkey % 5 <> 0"), batch, ["p_partkey"], ["p_retailprice"])
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size")
+    batch = part.withColumn("p_retailprice", F.when(F.col("p_size") < 20, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")))
+    _, outcome = upsert.upsert(part.filter("p_size <= 40"), batch, ["p_partkey"], ["p_retailprice"])
     return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -141,7 +141,7 @@ def scoped_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "replace_group",
-    """WITH b AS (SELECT l_orderkey, l_returnflag, max(l_quantity) AS l_quantity FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY l_orderkey, l_returnflag),
+    """WITH b AS (SELECT l_orderkey, l_returnflag, max(l_quantity) AS l_quantity FROM lineitem GROUP BY l_orderkey, l_returnflag),
     c AS (SELECT l_orderkey, l_returnflag, count(*) AS n, min(l_quantity) AS q FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_returnflag)
     SELECT CASE WHEN coalesce(c.n, 0) = 1 AND c.q = b.l_quantity THEN 'unchanged' ELSE 'replaced' END AS outcome, count(*) AS n
     FROM b LEFT JOIN c ON b.l_orderkey = c.l_orderkey AND b.l_returnflag = c.l_returnflag GROUP BY 1""",
@@ -149,7 +149,7 @@ def scoped_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups replaced, or left where the one row is equal (SK9)."""
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity", "l_linestatus")
-    batch = lines.filter("l_orderkey % 3 = 0").groupBy("l_orderkey", "l_returnflag").agg(F.max("l_quantity").alias("l_quantity"))
+    batch = lines.groupBy("l_orderkey", "l_returnflag").agg(F.max("l_quantity").alias("l_quantity"))
     _, status = upsert.replace_groups(lines, batch, ["l_orderkey", "l_returnflag"], F.col("l_linestatus") == "F", ["l_quantity"])
     return status.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
@@ -199,14 +199,14 @@ def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "membership_split",
-    """WITH l AS (SELECT doc_id FROM labels), d AS (SELECT doc_id FROM documents WHERE doc_id % 5 <> 0)
+    """WITH l AS (SELECT doc_id FROM labels), d AS (SELECT doc_id FROM documents WHERE lang <> 'fr')
     SELECT 'kept' AS part, count(*) AS n FROM d WHERE doc_id IN (SELECT doc_id FROM l) UNION ALL
     SELECT 'extra', count(*) FROM d WHERE doc_id NOT IN (SELECT doc_id FROM l) UNION ALL
     SELECT 'missing', count(*) FROM l WHERE doc_id NOT IN (SELECT doc_id FROM d)""",
 )
 def membership_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept, extra and missing keys (FL3, SE1)."""
-    docs = read(spark, sf_dir, "documents").select("doc_id").filter("doc_id % 5 <> 0")
+    docs = read(spark, sf_dir, "documents").filter("lang <> 'fr'").select("doc_id")
     parts = zip(("kept", "extra", "missing"), validate.membership(docs, read(spark, sf_dir, "labels").select("doc_id"), "doc_id"), strict=True)
     out = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, p in parts]
     return out[0].unionByName(out[1]).unionByName(out[2])
@@ -291,11 +291,11 @@ def shared_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     "outer_merge_sides",
     """SELECT CASE WHEN l.doc_id IS NULL THEN 'left' WHEN d.doc_id IS NULL THEN 'right' ELSE 'both' END AS side, count(*) AS n
-    FROM (SELECT doc_id FROM documents WHERE doc_id % 5 <> 0) d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
+    FROM (SELECT doc_id FROM documents WHERE lang <> 'fr') d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
 )
 def outer_merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both, left and right keys (JN1)."""
-    docs = read(spark, sf_dir, "documents").filter("doc_id % 5 <> 0")
+    docs = read(spark, sf_dir, "documents").filter("lang <> 'fr'")
     return match.outer_sides(docs, read(spark, sf_dir, "labels"), "doc_id").groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -345,25 +345,25 @@ def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "reference_guard",
-    """SELECT s_suppkey, n_name, r_name FROM supplier JOIN (SELECT * FROM nation WHERE n_nationkey % 7 <> 0) ON s_nationkey = n_nationkey
+    """SELECT s_suppkey, n_name, r_name FROM supplier JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) ON s_nationkey = n_nationkey
     LEFT JOIN (SELECT * FROM region WHERE r_regionkey <> 2) ON n_regionkey = r_regionkey""",
 )
 def reference_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A required reference rejects the row, an optional one leaves null (JN18)."""
-    nations, regions = read(spark, sf_dir, "nation").filter("n_nationkey % 7 <> 0"), read(spark, sf_dir, "region").filter("r_regionkey <> 2")
+    nations, regions = read(spark, sf_dir, "nation").filter("n_regionkey <> 3"), read(spark, sf_dir, "region").filter("r_regionkey <> 2")
     good, _ = match.resolve(read(spark, sf_dir, "supplier"), nations, "s_nationkey", "n_nationkey", ["n_name", "n_regionkey"], True)
     return match.resolve(good, regions, "n_regionkey", "r_regionkey", ["r_name"], False)[0].select("s_suppkey", "n_name", "r_name")
 
 
 @registered(
     "anti_on_normalised",
-    """SELECT p_partkey, p_name FROM part WHERE p_partkey % 2 = 0 AND lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) NOT IN
-       (SELECT lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) FROM part WHERE p_partkey % 40 = 1)""",
+    """SELECT p_partkey, p_name FROM part WHERE lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) NOT IN
+       (SELECT lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) FROM part WHERE p_size > 49)""",
 )
 def anti_on_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles that no known title equals after normalisation (JN19)."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return match.unknown_titles(part.filter("p_partkey % 2 = 0"), "p_name", part.filter("p_partkey % 40 = 1"), ["p_name"], text.match_key)
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    return match.unknown_titles(part.drop("p_size"), "p_name", part.filter("p_size > 49"), ["p_name"], text.match_key)
 
 
 @registered(
