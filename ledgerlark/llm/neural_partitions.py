@@ -8,7 +8,8 @@ precision. Large parts are cut into blocks of vectors and of queries, so no task
 
 Defined results: vectors that are null, zero, hold a null or non-finite component or have another length
 than most of the sample take no part, neither as queries nor as neighbours; rows with a null id neither; ties go to the
-smaller vec_id; repeated rows count once; other columns are left out; an empty table gives no rows.
+smaller vec_id; repeated rows count once, and of different vectors under one vec_id the best score counts; other columns
+are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -137,13 +138,22 @@ def valid(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def top(q: np.ndarray, q_id: np.ndarray, v: np.ndarray, v_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, vector id, score) of each query's k best, ties to the smaller id, itself left out."""
+    """(query id, vector id, score) of each query's k best, ties to the smaller id, itself left out; an id counts once with its best score."""
+    order = np.argsort(v_id, kind="stable")
+    v, v_id = v[order], v_id[order]
+    start = np.flatnonzero(np.r_[True, v_id[1:] != v_id[:-1]])
     s = q @ v.T
     s[q_id[:, None] == v_id[None, :]] = -np.inf
-    keep = min(k, len(v_id))
-    edge = np.partition(s, len(v_id) - keep, axis=1)[:, len(v_id) - keep]
+    by_id = s if len(start) == len(v_id) else np.maximum.reduceat(s, start, axis=1)
+    keep = min(k, len(start))
+    edge = np.partition(by_id, len(start) - keep, axis=1)[:, len(start) - keep]
     row, col = np.nonzero((s >= edge[:, None] - 1e-9 * (1 + np.abs(np.where(np.isfinite(edge), edge, 0)))[:, None]) & np.isfinite(s))
     score = (q[row] * v[col]).sum(1)  # summed alike for each pair, wherever it stands in the block
+    order = np.lexsort((-score, v_id[col], row))
+    row, col, score = row[order], col[order], score[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (v_id[col[1:]] != v_id[col[:-1]])
+    row, col, score = row[new], col[new], score[new]
     order = np.lexsort((v_id[col], -score, row))
     row, col, score = row[order], col[order], score[order]
     first = np.searchsorted(row, row)
@@ -166,6 +176,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     lengths = np.array([len(r["v"]) for r in taken] or [1])
     size = int(np.bincount(lengths).argmax())
     x = np.array([r["v"] for r in taken if len(r["v"]) == size], np.float64).reshape(-1, size)
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # copies would be each other's only neighbours in the graph
     trial = np.random.default_rng(5).permutation(len(x)) < min(TRIALS, len(x) // 8)
     n_parts = int(np.clip(2 ** round(np.log2(max(1.0, total**0.5 / 8))), LEAST_PARTS, MOST_PARTS))
     router = fit(x[~trial], x[trial], n_parts, k) if len(x) else Router(np.zeros((size, 1)), np.zeros(1), 1)
@@ -182,8 +193,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     # The whole ranking matters for queries alone.
     routed = routed.withColumn("parts", F.when(F.col("is_query"), F.col("parts")).otherwise(F.slice("parts", 1, 1)))
     routed = Scratch(spark, "partitions").save(routed, "routed")
-    held = {r["p"]: r["n"] for r in routed.groupBy(F.col("parts")[0].alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = F.array(*(F.lit(held.get(p, 0)) for p in range(router.weights.shape[1])))
+    counts = routed.groupBy(F.col("parts")[0].alias("p")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("vec_id").alias("ids")).collect()
+    held, sizes = {r["p"]: r["n"] for r in counts}, {r["p"]: r["ids"] for r in counts}
+    sizes = F.array(*(F.lit(sizes.get(p, 0)) for p in range(router.weights.shape[1])))
 
     queries = routed.filter("is_query").select(F.col("vec_id"), "v", "parts")
     # As many parts as were fitted, and on until they hold k others.
@@ -217,4 +229,4 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     cell = ["part", "qb", "vb"]
     found = q.groupBy(*cell).cogroup(v.groupBy(*cell)).applyInArrow(rerank, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -241,6 +241,32 @@ def test_neighbours_odd_rows(spark):
     assert neural_partitions.search(df.limit(0), F.col("vec_id") % 20 == 0, 20).collect() == []
 
 
+def test_neighbours_count_an_id_once(spark):
+    """Thirty copies of near vectors and one id with two vectors must not take the places of others; best score counts."""
+    rnd = np.random.default_rng(2)
+    data = [(i, rnd.normal(size=4).tolist()) for i in range(40)]
+    data += 30 * [data[1], data[2]] + [(3, (3 * rnd.normal(size=4)).tolist()), data[20]]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in neural_partitions.search(df, F.col("vec_id") % 20 == 0, 12).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    right = 0
+    for q in (0, 20):
+        best: dict[int, float] = {}
+        for i, v in data:
+            if i != q:
+                best[i] = max(best.get(i, -np.inf), float(np.dot(data[q][1], v)))
+        brute = sorted(best, key=lambda i: (-best[i], i))[:12]
+        assert [r for r, _, _ in got[q]] == list(range(1, 13)) and len({i for _, i, _ in got[q]}) == 12
+        assert all(s <= round(best[i], 9) for _, i, s in got[q])
+        right += len({i for _, i, _ in got[q]} & {*brute})
+    assert right >= 0.9 * 24
+    x, ids = np.array([v for _, v in data]), np.array([i for i, _ in data])
+    _, found, _ = neural_partitions.top(x[:1], ids[:1], x, ids, 12)
+    best = {i: max(float(x[0] @ v) for j, v in data if j == i) for i in set(ids.tolist()) - {0}}
+    assert found.tolist() == sorted(best, key=lambda i: (-best[i], i))[:12]
+
+
 def test_neighbours_blocks_are_whole(spark, monkeypatch):
     monkeypatch.setattr(neural_partitions, "BLOCK", 7)
     rnd = np.random.default_rng(1)
