@@ -136,3 +136,18 @@ def gram_hashes(data: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
 def split_rule(column: str, modulus: int):
     """crc32 of an id's decimal text modulo a number: the folds that the labels are held out by."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+#: A group of over 1 / HEAVY of all rows is joined by broadcast.
+HEAVY = 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """rows with the columns of groups, which has one row a key and its number of rows in `size`; keys hold no nulls.
+
+    Groups of over a thousandth of all rows, fewer than a thousand, are broadcast, so that their rows stay where they are; the
+    others are shuffled, and no key gives a task more than a thousandth of the rows. rows is read twice and should be a written table.
+    """
+    hot = F.col(size) * HEAVY > total
+    heavy = F.broadcast(groups.filter(hot))
+    return rows.join(heavy, keys).unionByName(rows.join(heavy.select(*keys), keys, "left_anti").join(groups.filter(~hot), keys, how))

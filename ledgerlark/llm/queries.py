@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe_codec, decontaminate, jaccard_join, license_scan, line_crf, neural_partitions, preference_format, suffix_dedup, toxicity, url_rules
+from ledgerlark.llm import bpe_codec, decontaminate, exact_dedup, filter_audit, jaccard_join, license_scan, line_crf, neural_partitions, preference_format, prefix_trie, suffix_dedup, toxicity, url_rules
 from ledgerlark.llm.common import split_rule, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,30 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without passages of 200 bytes that repeat."""
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the rebuilt conversations' trie."""
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = prefix_trie.ORACLE_SQL
+
+
+@registered
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's group of equal texts."""
+    return exact_dedup.mark(table(spark, sf_dir, "documents"), digests={"text_sha256": F.sha2(exact_dedup.normalised(F.col("text")), 256)})
+
+
+ORACLES["op12_exact_dedup"] = exact_dedup.ORACLE_SQL
+
+
+@registered
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every order of them, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.ORACLE_SQL
