@@ -10,7 +10,7 @@ The filter of exact copies is judged over the whole table by SHA-256 of the text
 of copies are joined by broadcast.
 
 Defined results: a null text counts as empty and a null part as the empty string; a copy fails if a smaller id has its text, so
-a null id neither fails nor makes others fail, and rows that repeat an id don't make each other fail; a document with several
+a null id neither fails nor makes others fail and has no labels, and rows that repeat an id don't make each other fail; a document with several
 labels counts as good, or toxic, if one of them says so, one without labels as neither; other columns are left out, so names can't
 clash; no documents give no rows.
 """
