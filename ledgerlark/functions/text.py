@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ APOSTROPHES = "'`’ʼ"
 DROPPED_QUOTES = '«»"“”'
 #: A private-use character that stands for an apostrophe between letters while the others are dropped.
 BETWEEN = "\ue000"
+#: A private-use character before a look-alike that is to be replaced.
+MARK = "\ue001"
 # Suffix codes of a title in round brackets.
 SUFFIX_CODES = "бн|зс|[a-zA-Zа-яА-ЯіІїЇєЄ]"
 # Transliteration of a slug, multi-letter results first.
@@ -27,15 +30,21 @@ TRANSLITERATION_FROM, TRANSLITERATION_TO = "абвгґдезиійклмнопр
 BASE_OF = {c: base for c in map(chr, range(0x80, 0x2200)) if c == c.lower() and len(base := "".join(b for b in unicodedata.normalize("NFKD", c) if b < "\x7f" and b.isalnum())) == 1}
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value evaluated once, however often it is used: without it, nested repairs would repeat their inputs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fix_homoglyphs(s: Column) -> Column:
     """Latin look-alikes within or at the edge of a Cyrillic word become Cyrillic (FN1).
 
-    One neighbour must be Cyrillic, the other Cyrillic or no letter; a replaced letter never has a Latin neighbour, so the
-    letters may be replaced one after the other.
+    One neighbour must be Cyrillic, the other Cyrillic or no letter. One pass marks them: a marked letter never has a Latin
+    neighbour, so none depends on another. Texts without Cyrillic letters are left alone.
     """
+    marked = F.regexp_replace(s, f"((?<=[{CYRILLIC}])[{LATIN_LOOKALIKES}](?![a-zA-Z])|(?<![a-zA-Z])[{LATIN_LOOKALIKES}](?=[{CYRILLIC}]))", f"{MARK}$1")
     for latin, cyrillic in zip(LATIN_LOOKALIKES, CYRILLIC_LETTERS, strict=True):
-        s = F.regexp_replace(s, f"(?<=[{CYRILLIC}]){latin}(?![a-zA-Z])|(?<![a-zA-Z]){latin}(?=[{CYRILLIC}])", cyrillic)
-    return s
+        marked = F.replace(marked, F.lit(MARK + latin), F.lit(cyrillic))
+    return F.when(s.rlike(f"[{CYRILLIC}]"), marked).otherwise(s)
 
 
 def strip_quotes(s: Column) -> Column:
@@ -59,7 +68,9 @@ def fix_stray_apostrophe(s: Column) -> Column:
     return F.regexp_replace(s, r"(?<=\p{L})`(?=\p{L})", "’")
 
 
-PACKAGING = r"(?iuU)\s+у\s+(сувенірн|подарунков)\w*\s+(?:упаковці|пакованні)\s*$"
+# Stems of the adjectives and the nouns of a packaging phrase, in the case that follows its preposition.
+PACKAGING_STEMS, PACKAGING_NOUNS, PACKAGING_IN = ("сувенірн", "подарунков"), ("упаковці", "пакованні"), "у"
+PACKAGING = rf"(?iuU)\s+{PACKAGING_IN}\s+({'|'.join(PACKAGING_STEMS)})\w*\s+(?:{'|'.join(PACKAGING_NOUNS)})\s*$"
 
 
 def split_packaging(s: Column) -> Column:
@@ -76,25 +87,27 @@ def split_packaging(s: Column) -> Column:
 SUFFIX = rf"(?U)\s*\(({SUFFIX_CODES})\)\s*$"
 
 
+def peel_suffix(s: Column) -> Column:
+    """struct(rest, code): a suffix code at the end taken off; the code is null without one."""
+    return let(F.regexp_extract(s, SUFFIX, 1), lambda code: F.struct(F.when(code != "", F.regexp_replace(s, SUFFIX, "")).otherwise(s).alias("rest"), F.nullif(code, F.lit("")).alias("code")))
+
+
 def normalize_title(s: Column) -> Column:
     """struct(title, suffix): suffix code and packaging phrase are peeled off in either order, once each; quotes and
     apostrophes are repaired on what is left, and the phrase is put back (FN5)."""
-    s = trim(s)
 
-    def peel_suffix(x: Column) -> tuple[Column, Column]:
-        code = F.regexp_extract(x, SUFFIX, 1)
-        return F.when(code != "", F.regexp_replace(x, SUFFIX, "")).otherwise(x), F.when(code != "", code)
+    def split(first: Column) -> Column:
+        return let(split_packaging(first["rest"]), lambda phrase: let(peel_suffix(phrase["base"]), lambda second: whole(first["code"], phrase, second)))
+
+    def whole(code: Column, phrase: Column, second: Column) -> Column:
+        # A second code is peeled only after a phrase, and only if there was none before it.
+        again = code.isNull() & phrase["tail"].isNotNull()
+        body = let(F.when(again, second["rest"]).otherwise(phrase["base"]), strip_quotes)
+        title = F.concat(fix_stray_apostrophe(body), F.coalesce(F.concat(F.lit(" "), phrase["tail"]), F.lit("")))
+        found = F.coalesce(code, F.when(again, second["code"]))
+        return F.struct(collapse(title).alias("title"), F.when(found == "c", F.lit("с")).otherwise(found).alias("suffix"))
 
-    body, first_code = peel_suffix(s)
-    phrase = split_packaging(body)
-    rest, second_code = peel_suffix(phrase["base"])
-    # A second code is peeled only after a phrase, and only if there was none before it.
-    again = first_code.isNull() & phrase["tail"].isNotNull() & second_code.isNotNull()
-    body = F.when(again, rest).otherwise(phrase["base"])
-    code = F.coalesce(first_code, F.when(again, second_code))
-    text = fix_stray_apostrophe(strip_quotes(body))
-    title = collapse(F.when(phrase["tail"].isNotNull(), F.concat(text, F.lit(" "), phrase["tail"])).otherwise(text))
-    return F.struct(title.alias("title"), F.when(code == "c", F.lit("с")).otherwise(code).alias("suffix"))
+    return let(let(trim(s), peel_suffix), split)
 
 
 def fold_apostrophes(s: Column) -> Column:
@@ -140,8 +153,8 @@ def three_parts(parts: Column) -> Column:
 
 
 def names(s: Column) -> Column:
-    """A list of names split at commas and semicolons (FN16)."""
-    return F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), "[,;]"), trim), lambda n: n != "")
+    """A list of names split at commas and semicolons, each with its look-alikes repaired (FN16)."""
+    return F.transform(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), "[,;]"), trim), lambda n: n != ""), fix_homoglyphs)
 
 
 def paired_names(first: Column, second: Column) -> Column:

@@ -39,7 +39,7 @@ def mark(field: str) -> Column:
 
 def repaired(title: str) -> Column:
     """A title's parts after its look-alikes are repaired, which is done once for all uses of the result."""
-    return F.get(F.transform(F.array(text.fix_homoglyphs(F.col(title))), text.normalize_title), F.lit(0))
+    return text.let(text.fix_homoglyphs(F.col(title)), text.normalize_title)
 
 
 def canonical(raw: DataFrame, prefix: str) -> DataFrame:
@@ -94,9 +94,11 @@ def presence(columns: dict[str, Column], always: tuple[str, ...]) -> list[Column
 def item_values(cards: DataFrame, series: str, denomination: str) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected) of canonical cards as catalogue columns (PJ13); a card without a title or a year is rejected with its reason.
 
-    The fine weight stands in for a missing weight; a mintage of 0 is a number; without artists the column is absent.
+    The fine weight stands in for a missing weight; a mintage of 0 is a number; without artists the column is absent. A card's own
+    title_en_source holds, where there is that column; else an English title counts as official.
     """
     material, artists = F.col("material"), F.col("artists")
+    said_source = F.coalesce("title_en_source", F.lit("official")) if "title_en_source" in cards.columns else F.lit("official")
     columns = {
         "item_type": F.lit("coin"),
         "series_id": F.col(series),
@@ -112,7 +114,7 @@ def item_values(cards: DataFrame, series: str, denomination: str) -> tuple[DataF
         "title_uk": F.col("titles.uk"),
         "title_uk_source": F.lit("official"),
         "title_en": F.nullif(F.col("titles.en"), F.lit("")),
-        "title_en_source": F.when(F.nullif(F.col("titles.en"), F.lit("")).isNotNull(), "official"),
+        "title_en_source": F.when(F.nullif(F.col("titles.en"), F.lit("")).isNotNull(), said_source),
         "issue_date": F.col("circulation_date"),
         "mintage_announced": F.col("mintage.announced"),
         "mintage_actual": F.col("mintage.actual"),

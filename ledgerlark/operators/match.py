@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window
 
+from ledgerlark.functions import text
+
 
 def titles_agree(a: Column, b: Column) -> Column:
     """Equal, or one is the other with more words after a blank (JN3)."""
@@ -45,14 +47,15 @@ def prefer_exact(found: DataFrame) -> DataFrame:
     return found.withColumn("__n", n).filter((F.col("__n") != 1) | F.col("exact")).drop("__n")
 
 
-SUFFIXED = r"^(.*?)\s*\(([^()]*)\)\s*$"
+SUFFIXED = r"(?Us)^(.*?)\s*\(([^()]+)\)\s*$"
 
 
 def prefer_quality(found: DataFrame, title: str, quality: str) -> DataFrame:
-    """Where all of several candidates end in brackets after one base title, and one bracket is the card's quality, it stays (JN6)."""
+    """Where all of several candidates end in brackets after one base title, and one bracket has the card's quality as its
+    comparison key, it stays (JN6); an empty quality decides nothing."""
     w = Window.partitionBy("card")
-    base, tail = F.regexp_extract(title, SUFFIXED, 1), F.lower(F.regexp_extract(title, SUFFIXED, 2))
-    hit = F.coalesce(tail == F.lower(quality), F.lit(False))
+    base, tail = text.trim(F.regexp_extract(title, SUFFIXED, 1)), F.regexp_extract(title, SUFFIXED, 2)
+    hit = F.coalesce((text.match_key(tail) == text.match_key(F.col(quality))) & (F.col(quality) != ""), F.lit(False))
     told = found.withColumns({"__b": base, "__t": tail, "__h": hit})
     decided = (F.min((F.col("__t") != "").cast("int")).over(w) == 1) & (F.min("__b").over(w) == F.max("__b").over(w)) & (F.count_if("__h").over(w) == 1)
     return told.withColumn("__d", decided).filter(~F.col("__d") | F.col("__h")).drop("__b", "__t", "__h", "__d")

@@ -33,14 +33,13 @@ def last_point(df: DataFrame, group: list[str], day: str, value: str) -> DataFra
 
 
 def control_point(points: DataFrame, printed: DataFrame, group: list[str]) -> DataFrame:
-    """ok, mismatch, not_found or no_points: the last point against the printed day and price (JN22)."""
+    """not_found (no printed price), no_points, ok or mismatch: the last point against what a page prints (JN22).
+
+    The values must be equal; the days too, if the page prints one.
+    """
     both = printed.join(points, group, "full")
-    status = (
-        F.when(F.col("last_day").isNull(), "no_points")
-        .when(F.col("printed_day").isNull() & F.col("printed_value").isNull(), "not_found")
-        .when(F.col("last_day").eqNullSafe(F.col("printed_day")) & F.col("last_value").eqNullSafe(F.col("printed_value")), "ok")
-        .otherwise("mismatch")
-    )
+    differs = ~F.col("last_value").eqNullSafe(F.col("printed_value")) | (F.col("printed_day").isNotNull() & ~F.col("last_day").eqNullSafe(F.col("printed_day")))
+    status = F.when(F.col("printed_value").isNull(), "not_found").when(F.col("last_day").isNull(), "no_points").when(differs, "mismatch").otherwise("ok")
     return both.withColumn("status", status)
 
 

@@ -55,6 +55,20 @@ def correct_recent(current: DataFrame, batch: DataFrame, keys: list[str], values
     return following, changed
 
 
+def merge_recent(current: DataFrame, rows: DataFrame, keys: list[str], compare: str, recent: Column) -> DataFrame:
+    """Append and correction in one join (SK2, SK3): current's columns and the outcome of each key: kept, inserted, corrected or repeated.
+
+    rows has one row a key and current's columns. A key that is there takes the new values if it is recent, judged by current's
+    row, and `compare` differs; else it is repeated and stays.
+    """
+    new = rows.select(*(F.col(c).alias("__n_" + c) for c in current.columns), F.lit(True).alias("__new"))
+    both = current.withColumn("__old", F.lit(True)).join(new, _matches(keys, "__n_"), "full")
+    change = F.coalesce(recent & ~F.col(compare).eqNullSafe(F.col("__n_" + compare)), F.lit(False))
+    outcome = F.when(F.col("__new").isNull(), "kept").when(F.col("__old").isNull(), "inserted").when(change, "corrected").otherwise("repeated")
+    told = both.withColumn("__outcome", outcome)
+    return told.select(*(F.when(F.col("__outcome").isin("inserted", "corrected"), F.col("__n_" + c)).otherwise(F.col(c)).alias(c) for c in current.columns), F.col("__outcome").alias("outcome"))
+
+
 def scoped_delete(current: DataFrame, victims: Column, scope: DataFrame, key: str, enabled: bool = True) -> tuple[DataFrame, DataFrame]:
     """Delete rows that meet `victims` for the keys of this run alone (SK4); the outcome counts them by key, deleted or not."""
     keys = scope.select(F.col(key).alias("__key")).distinct()

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlark.functions.values import point_price
+from ledgerlark.functions import text, values
+from ledgerlark.functions.text import let
 
 # Fields of the rate archive.
 RATE_SCHEMA = "array<struct<exchangedate string, cc string, rate_per_unit decimal(14,6)>>"
@@ -43,12 +44,75 @@ def rates(bodies: DataFrame, currency: str) -> DataFrame:
 
 
 def points(bodies: DataFrame, key: str) -> DataFrame:
-    """(key, pos, day, raw_day, price, kind, is_list) of price histories; a body that is no list has one row with is_list false (SC11, FN18)."""
+    """(key, pos, day, raw_day, price, is_list) of price histories, point by point; a body that is no list has one row with is_list false (FN18).
+
+    Nothing is rejected here; histories() judges whole bodies.
+    """
     parsed = bodies.select(key, F.try_parse_json("body").alias("v")).withColumn("is_list", F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False)))
     items = F.when(F.col("is_list"), F.try_variant_get("v", "$", "array<variant>"))
     rows = parsed.select(key, "is_list", F.posexplode_outer(items).alias("pos", "value"))
     raw = F.try_variant_get("value", "$.date", "string")
-    return rows.select(key, "pos", F.try_to_date(raw, "yyyy-MM-dd").alias("day"), raw.alias("raw_day"), point_price(F.col("value")).alias("price"), "is_list")
+    return rows.select(key, "pos", values.iso_date(F.trim(raw)).alias("day"), raw.alias("raw_day"), values.point_price(F.col("value")).alias("price"), "is_list")
+
+
+def read_point(value: Column) -> Column:
+    """struct(day, price, early, late) of a VARIANT point: what is wrong with it before and after its day is compared with the last one's.
+
+    Reasons, in order: object, keys, date type, date; then boolean, number, positive, size. Null is sound.
+    """
+    def judged(date: Column, price: Column) -> Column:
+        date_kind, price_kind = F.schema_of_variant(date), F.schema_of_variant(price)
+        day = values.iso_date(text.trim(F.when(date_kind == "STRING", F.try_variant_get(date, "$", "string"))))
+        exact, near = values.variant_number(price), F.try_variant_get(price, "$", "double")
+        early = (
+            F.when(~F.schema_of_variant(value).startswith("OBJECT"), "object")
+            .when(date.isNull() | price.isNull(), "keys")
+            .when(date_kind != "STRING", "date type")
+            .when(day.isNull(), "date")
+        )
+        # A number beyond the exact type's range is positive or not by its double; a tiny one isn't zero.
+        late = (
+            F.when(price_kind == "BOOLEAN", "boolean")
+            .when(~price_kind.rlike(values.NUMBER_KINDS) & (price_kind != "STRING"), "number")
+            .when(exact.isNull() & (near.isNull() | (price_kind == "STRING")), "number")
+            .when(F.coalesce(near, exact.cast("double")) <= 0, "positive")
+            .when(exact.isNull() | (exact >= values.MOST_PRICE), "size")
+        )
+        return F.struct(day.alias("day"), exact.alias("price"), early.alias("early"), late.alias("late"))
+
+    return let(F.struct(F.try_variant_get(value, "$.date", "variant").alias("d"), F.try_variant_get(value, "$.price", "variant").alias("p")), lambda x: judged(x["d"], x["p"]))
+
+
+def first_fault(read: Column) -> Column:
+    """struct(reason, at) of the first point that is unsound or whose day isn't after the last one's, in one ordered fold (WN1, WN2)."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("date").alias("last"), F.lit(None).cast("string").alias("reason"))
+
+    def step(acc: Column, p: Column) -> Column:
+        reason = F.coalesce(p["early"], F.when(p["day"] <= acc["last"], "order"), p["late"])
+        following = F.struct((acc["at"] + F.when(reason.isNull(), 1).otherwise(0)).alias("at"), p["day"].alias("last"), reason.alias("reason"))
+        return F.when(acc["reason"].isNotNull(), acc).otherwise(following)
+
+    return F.aggregate(read, start, step, lambda acc: F.struct(acc["reason"].alias("reason"), F.when(acc["reason"].isNotNull(), acc["at"]).alias("at")))
+
+
+def histories(bodies: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(points, rejected) of whole price histories, one JSON body a row (SC11, WN1, WN2, FL4, FN18).
+
+    points: key, pos, day, price (exact), raw (the point's JSON) of bodies all of whose points are sound and in strictly rising order of
+    days; a list without points has none and isn't rejected. rejected: key, reason, at (the failing point's position; null if the body
+    itself fails), one row a body. A body that is no JSON (also one that repeats a name in an object) fails as "json", one that is no
+    list as "list". Each body is judged where it is read: nothing is shuffled.
+    """
+    parsed = bodies.select(key, F.try_parse_json("body").alias("v"))
+    kind = F.schema_of_variant("v")
+    whole = F.when(F.col("v").isNull(), "json").when(~kind.startswith("ARRAY"), "list")
+    items = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>"))
+    read = parsed.select(key, whole.alias("whole"), items.alias("items")).withColumn("read", F.transform("items", read_point))
+    judged = read.withColumn("fault", F.when(F.col("whole").isNull(), first_fault(F.col("read"))))
+    reason = F.coalesce("whole", "fault.reason")
+    rejected = judged.select(key, reason.alias("reason"), F.col("fault.at").alias("at")).filter("reason is not null")
+    sound = judged.filter(reason.isNull()).select(key, F.posexplode(F.arrays_zip("read", "items")).alias("pos", "p"))
+    return sound.select(key, "pos", F.col("p.read.day").alias("day"), F.col("p.read.price").alias("price"), F.to_json("p.items").alias("raw")), rejected
 
 
 def issue_prices(bodies: DataFrame, key: str, field: str = "issue_price") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Incremental ingestion: available input in micro-batches, upserted by key, so a replay changes nothing."""
+"""Incremental ingestion: available input in micro-batches, each stored under its number; tables.py keeps tables by key."""
 
 from __future__ import annotations
 
@@ -21,7 +21,8 @@ def upsert_stream(stream: DataFrame, load: Callable[[], DataFrame], store: Calla
     """Each batch appends new keys, and corrects rows of the last `days` days that end with as_of (ST1, ST2, ST4).
 
     This is no watermark: late rows with new keys are still appended, they just can't change what is older. load gives
-    the current table, store makes the next one current. Rows are keyed, so a batch that runs twice writes once.
+    the current table, store makes the next one current. Rows are keyed, so a batch that runs twice writes once. The caller keeps the
+    table; tables.KeyedTable keeps it itself, as snapshots.
     """
     def apply(batch: DataFrame, _: int) -> None:
         current = load()
@@ -33,11 +34,6 @@ def upsert_stream(stream: DataFrame, load: Callable[[], DataFrame], store: Calla
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def tumbling_counts(stream: DataFrame, ts: str, by: list[str], width: str = "1 day", late: str = "7 days") -> DataFrame:
-    """Counts of a time bucket and columns, by the time that the source gives (ST3)."""
-    return stream.withWatermark(ts, late).groupBy(F.window(ts, width), *by).agg(F.count(F.lit(1)).alias("n"))
-
-
 def isolated(stream: DataFrame, sound: Column, reason: Column, good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Poison rows of each batch go to a side output with their reason; the rest is stored (ST6, ST8).
 
@@ -54,3 +50,8 @@ def isolated(stream: DataFrame, sound: Column, reason: Column, good: Callable[[D
 def by_batch(path: str) -> Callable[[DataFrame, int], None]:
     """A store that keeps each batch in a folder of its number."""
     return lambda df, number: df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def stored(stream: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Store what is there now, batch by batch under its number."""
+    return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
