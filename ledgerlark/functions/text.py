@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
 
@@ -26,8 +27,11 @@ SUFFIX_CODES = "бн|зс|[a-zA-Zа-яА-ЯіІїЇєЄ]"
 # Transliteration of a slug, multi-letter results first.
 TRANSLITERATION = {"щ": "shch", "є": "ie", "ж": "zh", "ї": "i", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "ю": "iu", "я": "ia", "ь": "", "'": ""}
 TRANSLITERATION_FROM, TRANSLITERATION_TO = "абвгґдезиійклмнопрстуф", "abvhgdezyiiklmnoprstuf"
-#: Small letters and digits whose compatibility decomposition has one ASCII character, and that character.
-BASE_OF = {c: base for c in map(chr, range(0x80, 0x2200)) if c == c.lower() and len(base := "".join(b for b in unicodedata.normalize("NFKD", c) if b < "\x7f" and b.isalnum())) == 1}
+#: The ASCII characters that are left of a character's compatibility decomposition, for each character beyond ASCII that has some: a rule.
+ASCII_OF = {c: left for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x110000))) if (left := "".join(b for b in unicodedata.normalize("NFKD", c) if b < "\x80"))}
+#: Those with one, and those with several, as "½" and ligatures.
+ONE_OF = {c: left for c, left in ASCII_OF.items() if len(left) == 1}
+SEVERAL_OF = {c: left for c, left in ASCII_OF.items() if len(left) > 1}
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -123,14 +127,17 @@ def match_key(s: Column) -> Column:
 
 
 def slug(s: Column, empty: str = "series") -> Column:
-    """Transliterated letters and digits, joined by hyphens (FN8)."""
+    """Transliterated letters and digits, joined by hyphens (FN8); other characters leave what is ASCII of their compatibility decomposition."""
     s = F.lower(s)
     for letter, latin in TRANSLITERATION.items():
         s = F.replace(s, F.lit(letter), F.lit(latin))
-    s = F.translate(F.translate(s, TRANSLITERATION_FROM, TRANSLITERATION_TO), "".join(BASE_OF), "".join(BASE_OF.values()))
-    # Other non-ASCII characters are dropped before the rest is joined.
-    s = F.regexp_replace(F.regexp_replace(s, r"[^\x00-\x7f]", ""), "[^a-z0-9]+", "-")
-    return F.coalesce(F.nullif(F.regexp_replace(s, "^-+|-+$", ""), F.lit("")), F.lit(empty))
+    s = F.translate(s, TRANSLITERATION_FROM, TRANSLITERATION_TO)
+    one = F.translate(s, "".join(ONE_OF), "".join(ONE_OF.values()))
+    # Each character is looked up in the table of those with several letters; one that isn't there is dropped.
+    table = F.from_json(F.lit(json.dumps(SEVERAL_OF)), "map<string,string>")
+    whole = F.array_join(F.transform(F.split(one, ""), lambda c: F.when(c <= "\x7f", c).otherwise(F.coalesce(table[c], F.lit("")))), "")
+    s = F.when(s.rlike(r"[^\x00-\x7f]"), whole).otherwise(s)
+    return F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "-"), "^-+|-+$", ""), F.lit("")), F.lit(empty))
 
 
 def vocabulary_key(s: Column) -> Column:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window
 
 from ledgerlark.functions import text
+from ledgerlark.operators.numbering import exploded_range, numbered, written
 
 
 def titles_agree(a: Column, b: Column) -> Column:
@@ -185,20 +182,68 @@ def merge_dictionary(fresh: DataFrame, existing: DataFrame, key: str) -> DataFra
     return f.join(e, F.col("__f") == F.col("__e"), "full").select(F.coalesce("__f", "__e").alias(key), state.alias("state"))
 
 
-def merged_dictionary(fresh: DataFrame, existing: DataFrame, key: str, base: Column) -> tuple[DataFrame, DataFrame]:
-    """(next, conflicts) of a dictionary (JN16): entries keep their slugs, fresh names get free ones, vanished ones stay and are flagged.
+def merged_dictionary(fresh: DataFrame, existing: DataFrame, key: str, base: Column, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(next, conflicts) of a dictionary (JN16), names compared by their comparison key.
 
-    existing: key, slug, curated. next: key, slug, curated, missing. If any fresh name meets a curated entry, nothing is merged:
-    next is what there was, and conflicts holds the keys. base: the slug that a fresh key asks for.
+    fresh: key and content, one row a name. existing: key, slug, curated and the same content (null where it lacks a column). A fresh
+    name takes the slug of the official entry of its name, the one of the smallest slug if there are several, and its own content
+    replaces the old; only a name without an official entry that meets a curated one is a conflict; any other gets a free slug, in
+    the order of `order` (the key, if none). Official entries that no fresh name took stay and are flagged missing, curated ones stay
+    as they are. With any conflict nothing is merged: next is what there was, and conflicts holds key and the curated slug. next: key,
+    slug, curated, missing and the content, ordered by slug.
     """
-    states = merge_dictionary(fresh, existing, key)
-    conflicts = states.filter("state = 'conflict'").select(key)
+    content = [c for c in fresh.columns if c not in (key, order)]
+    kept = existing.select(key, "slug", "curated", *(F.col("missing") if c == "missing" else F.col(c) if c in existing.columns else F.lit(None).cast(fresh.schema[c].dataType).alias(c) for c in (["missing"] if "missing" in existing.columns else []) + content))
+    if "missing" not in kept.columns:
+        kept = kept.withColumn("missing", F.lit(False))
+    kept = kept.select(key, "slug", "curated", F.coalesce("missing", F.lit(False)).alias("missing"), *content, F.coalesce(text.match_key(F.col(key)), F.lit("")).alias("__key"))
+    tiers = kept.groupBy("__key").agg(F.min(F.when(~F.col("curated"), F.col("slug"))).alias("__official"), F.min(F.when(F.col("curated"), F.col("slug"))).alias("__curated"))
+    told = written(fresh.withColumn("__key", F.coalesce(text.match_key(F.col(key)), F.lit(""))).withColumn("__base", base).join(tiers, "__key", "left"), "merge")
+    conflicts = told.filter("__official is null and __curated is not null").select(key, F.col("__curated").alias("slug"))
     blocked = F.broadcast(conflicts.agg((F.count(F.lit(1)) > 0).alias("__blocked")))  # one row
-    added = unique_slugs(states.filter("state = 'added'").select(key).withColumn("__base", base), "__base", key, "slug", existing.select("slug")).select(key, "slug", F.lit(False).alias("curated"), F.lit(False).alias("missing"), F.lit(True).alias("__new"))
-    kept = existing.join(states, key).select(key, "slug", "curated", (F.col("state") == "vanished").alias("missing"), F.lit(False).alias("__new"))
-    both = added.unionByName(kept).crossJoin(blocked)
-    following = both.filter("not (__blocked and __new)").select(key, "slug", "curated", (F.col("missing") & ~F.col("__blocked")).alias("missing"))
-    return following, conflicts
+    matched = told.filter("__official is not null").withColumn("slug", F.col("__official"))
+    added = unique_slugs(told.filter("__official is null and __curated is null"), "__base", order or key, "slug", existing.select("slug"))
+    taken = matched.select(F.col("slug").alias("__slug")).distinct()
+    old = kept.join(taken, (F.col("slug") == F.col("__slug")) & ~F.col("curated"), "left")
+    gone = F.col("__slug").isNull() & ~F.col("curated")
+    stay = old.crossJoin(blocked).filter("__blocked or __slug is null").select(key, "slug", "curated", F.when(F.col("__blocked"), F.col("missing")).otherwise(gone | F.col("missing")).alias("missing"), *content)
+    new = matched.select(key, "slug", *content).unionByName(added.select(key, "slug", *content)).crossJoin(blocked).filter("not __blocked")
+    return stay.unionByName(new.select(key, "slug", F.lit(False).alias("curated"), F.lit(False).alias("missing"), *content)).orderBy("slug"), conflicts
+
+
+def resolve_chain(rows: DataFrame, start: str, steps: list[tuple[str, DataFrame, Column, Column]], out: str) -> tuple[DataFrame, DataFrame]:
+    """(resolved, warnings): a value followed from reference to reference (JN17, JN20).
+
+    steps: name, reference, the column of it that the value is compared with, and the one that is the next value; of several entries of a
+    value the smallest next one counts. resolved: rows with `out`. warnings: rows with the step that failed and the value that it didn't
+    know; a null value fails at the first step. Every step is a join on equality, and a row fails once.
+    """
+    told = rows.withColumns({"__value": F.col(start), "__failed": F.lit(None).cast("string"), "__lost": F.lit(None).cast("string")})
+    for name, reference, given, wanted in steps:
+        known = reference.select(given.alias("__given"), wanted.alias("__next")).filter("__given is not null and __next is not null").groupBy("__given").agg(F.min("__next").alias("__next"))
+        joined = told.join(known, F.col("__value") == F.col("__given"), "left")
+        fails = F.col("__failed").isNull() & F.col("__next").isNull()
+        told = joined.select(*rows.columns, F.col("__next").alias("__value"), F.when(fails, F.lit(name)).otherwise(F.col("__failed")).alias("__failed"), F.when(fails, F.col("__value").cast("string")).otherwise(F.col("__lost")).alias("__lost"))
+    good, bad = told.filter("__failed is null"), told.filter("__failed is not null")
+    return good.select(*rows.columns, F.col("__value").alias(out)), bad.select(*rows.columns, F.col("__failed").alias("step"), F.col("__lost").alias("value"))
+
+
+def synced(listed: DataFrame, known: DataFrame, id: str, title: str, series: str, known_titles: DataFrame, steps: list[tuple[str, DataFrame, Column, Column]]) -> DataFrame:
+    """(kind, detail, id, title) of each listed card that a catalogue lacks (JN19, JN20): what a sync has to do and to report.
+
+    kind is "group" with the resolved series as detail, or a warning: "no id" for a card without an id whose title no known title (any
+    column of known_titles) equals by comparison key, or the failing step's name with the value that it didn't know. Known ids and
+    titles give no row. The series' name goes through `steps` as its comparison key.
+    """
+    cards = listed.select(id, title, text.match_key(F.col(series)).alias("__series"))
+    idless = unknown_titles(cards.filter(F.col(id).isNull()).filter(F.coalesce(title, F.lit("")) != ""), title, known_titles, known_titles.columns, text.match_key)
+    missing = cards.filter(F.col(id).isNotNull()).join(known.select(id), id, "left_anti")
+    found, lost = resolve_chain(missing, "__series", steps, "__to")
+    rows = [(idless, F.lit("no id"), F.lit(None).cast("string")), (found, F.lit("group"), F.col("__to").cast("string")), (lost, F.col("step"), F.col("value"))]
+    first, *rest = (df.select(kind.alias("kind"), detail.alias("detail"), id, title) for df, kind, detail in rows)
+    for more in rest:
+        first = first.unionByName(more)
+    return first
 
 
 def sync(listed: DataFrame, known: DataFrame, key: str, group: str) -> DataFrame:
@@ -229,38 +274,92 @@ def unknown_titles(rows: DataFrame, title: str, known: DataFrame, columns: list[
     return rows.withColumn("__key", key(F.col(title))).join(listed, F.col("__key") == F.col("__k"), "left_anti").drop("__key")
 
 
-def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug", existing: DataFrame | None = None) -> DataFrame:
-    """Each row's base if it is free, else the first free of base-2, base-3 ... in the order of pos; existing slugs (one column) aren't free (WN6).
+#: A name that ends in a number as unique_slugs() writes it, and the name before it.
+NUMBERED = r"(?s)^(.*)-([2-9]|[1-9][0-9]{1,14})\z"
+
 
-    Slugs can only collide if they are alike but for numbers at their ends, so these groups are gone through apart, each in order,
-    row by row: what is held is a number a base and the slugs that another base could ask for.
+def stem_of(name: Column) -> tuple[Column, Column]:
+    """(name, number) of base-7, nulls of other names."""
+    number = F.regexp_extract(name, NUMBERED, 2)
+    return F.when(number != "", F.regexp_extract(name, NUMBERED, 1)), F.nullif(number, F.lit("")).cast("long")
+
+
+def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug", existing: DataFrame | None = None) -> DataFrame:
+    """Each row's base if it is free, else the first free of base-2, base-3 ... in the order of pos, which is unique; existing slugs
+    (one column) aren't free (WN6). A null base has no slug.
+
+    It is what going through the rows one by one would give, but a base's rows are numbered by rank: the k-th that needs a number
+    gets the k-th number that isn't taken. Taken are existing slugs, and numbered names that are bases themselves ("a-2" beside
+    "a"), unless a row of "a" needs that number before the first row of "a-2" comes. Whether it does depends on smaller numbers alone, so
+    that question is settled in rounds, as many as answers still change. A base's own name may have gone to a row of its stem, so
+    stems are done before the names that end in one more number. Only bases with taken numbers are joined with their free ones.
     """
-    root = F.regexp_replace(F.col("__slug"), "(-[0-9]+)+$", "")
-    new = rows.select(F.col(base).alias("__slug"), F.lit(False).alias("__old"), F.col(pos).alias("__pos"))
-    old = None if existing is None else existing.select(F.col(existing.columns[0]).alias("__slug"), F.lit(True).alias("__old"), F.lit(None).cast(rows.schema[pos].dataType).alias("__pos"))
-    every = (new if old is None else new.unionByName(old)).withColumn("__root", root)
-    kind = StructType().add("__pos", rows.schema[pos].dataType).add("__given", StringType())
-    arrow = to_arrow_schema(kind)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, taken, after = None, set(), {}
-        for batch in batches:
-            given: list[str | None] = []
-            for key, asked, is_old in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True):
-                if key != group:
-                    group, taken, after = key, set(), {}
-                if is_old or asked is None:
-                    taken.add(asked)
-                    given.append(None)
-                    continue
-                mine, n = asked, after.get(asked, 2)
-                while mine in taken:
-                    mine, n = f"{asked}-{n}", n + 1
-                after[asked] = n
-                taken.add(mine)
-                given.append(mine)
-            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(given, pa.string())], schema=arrow).filter(pc.invert(batch.column(2)))
-
-    dealt = every.repartition("__root").sortWithinPartitions("__root", F.desc("__old"), "__pos").select("__root", "__slug", "__old", "__pos")
-    named = dealt.mapInArrow(work, kind)
-    return rows.join(named, F.col(pos).eqNullSafe(F.col("__pos"))).withColumn(out, F.col("__given")).drop("__pos", "__given")
+    named = rows.filter(F.col(base).isNotNull()).select(F.col(base).alias("__base"), F.col(pos).alias("__pos"))
+    ranked = numbered(named, ["__base"], ["__pos"], "__r")
+    stem, number = stem_of(F.col("__base"))
+    bases = ranked.groupBy("__base").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__m"))
+    depth = F.length(F.regexp_replace(F.regexp_extract("__base", r"(?s)((-([2-9]|[1-9][0-9]{1,14}))*)\z", 1), "[^-]", ""))
+    bases = bases.withColumns({"__stem": stem, "__n": number, "__depth": depth})
+    old = None if existing is None else existing.select(F.col(existing.columns[0]).alias("__name")).filter("__name is not null").distinct()
+    children = bases.select(F.col("__stem").alias("__parent"), "__n", F.col("__first").alias("__f")).filter("__parent is not null").join(bases.select(F.col("__base").alias("__parent")), "__parent", "left_semi")
+    levels = [r[0] for r in bases.join(children.select(F.col("__parent").alias("__base")), "__base", "left_semi").select("__depth").distinct().collect()]  # few
+    deep = sorted({d for x in levels for d in (x, x + 1)})
+    given = None
+    for level in [*deep, None]:
+        # The bases of this level; at the end all that neither are nor have a stem among the bases.
+        mine = bases.filter(F.col("__depth") == level) if level is not None else bases.filter(~F.col("__depth").isin(deep)) if deep else bases
+        taken = None if old is None else old
+        if given is not None:
+            stems = given.join(mine.select(F.col("__base").alias("__name"), "__first"), "__name").filter("__pos < __first").select("__name")
+            taken = stems if taken is None else taken.unionByName(stems)
+        mine = mine.withColumn("__own", F.lit(True)) if taken is None else mine.join(taken.distinct().select(F.col("__name").alias("__base"), F.lit(True).alias("__gone")), "__base", "left").withColumn("__own", F.col("__gone").isNull())
+        asks = ranked.join(mine.select("__base", "__own", "__m"), "__base").withColumn("__k", F.col("__r") - F.col("__own").cast("long"))
+        asks = asks.select("__base", "__pos", "__k", "__m")
+        fixed = None
+        if old is not None:
+            name, n = stem_of(F.col("__name"))
+            fixed = old.select(name.alias("__base"), n.alias("__n")).filter("__n is not null").join(mine.select("__base"), "__base", "left_semi")
+        held = _held_numbers(asks, fixed, children.join(mine.select(F.col("__base").alias("__parent")), "__parent", "left_semi")) if level is not None else fixed
+        told = _with_numbers(asks, held).select("__pos", F.when(F.col("__k") == 0, F.col("__base")).otherwise(F.concat_ws("-", "__base", "__number")).alias("__name"))
+        told = told if level is None else written(told, "given")
+        given = told if given is None else given.unionByName(told)
+    return rows.join(given.withColumnRenamed("__name", out), F.col(pos) == F.col("__pos"), "left").drop("__pos")
+
+
+def _free(asks: DataFrame, held: DataFrame) -> DataFrame:
+    """(base, number, place): the numbers from 2 that bases with held ones can need, without those, in order."""
+    needs = held.groupBy("__base").agg(F.count(F.lit(1)).alias("__h")).join(asks.groupBy("__base").agg(F.first("__m").alias("__m")), "__base")
+    every = exploded_range(needs.select("__base", (F.col("__m") + F.col("__h") + 1).alias("__upto")), F.lit(2), F.col("__upto"), "__number").select("__base", "__number")
+    return numbered(every.join(held.select("__base", F.col("__n").alias("__number")).distinct(), ["__base", "__number"], "left_anti"), ["__base"], ["__number"], "__place")
+
+
+def _with_numbers(asks: DataFrame, held: DataFrame | None) -> DataFrame:
+    """asks with __number, the k-th free one of its base, as text."""
+    plain = (F.col("__k") + 1).cast("string")
+    if held is None:
+        return asks.withColumn("__number", plain)
+    free = _free(asks, held).select("__base", F.col("__place").alias("__k"), F.col("__number").cast("string").alias("__number"))
+    busy = held.select("__base").distinct()
+    return asks.join(busy, "__base", "left_anti").withColumn("__number", plain).unionByName(asks.join(busy, "__base", "left_semi").join(free, ["__base", "__k"], "left"))
+
+
+def _held_numbers(asks: DataFrame, fixed: DataFrame | None, children: DataFrame) -> DataFrame:
+    """The fixed numbers and those of children whose first row comes before the row that would need their number."""
+    kids = children.select(F.col("__parent").alias("__base"), "__n", "__f")
+    if fixed is not None:
+        kids = kids.join(fixed, ["__base", "__n"], "left_anti")
+        places = _free(asks, fixed).select("__base", F.col("__number").alias("__n"), "__place")
+        kids = kids.join(places, ["__base", "__n"], "left").join(fixed.select("__base").distinct().withColumn("__some", F.lit(True)), "__base", "left")
+        kids = kids.withColumn("__e", F.when(F.col("__some"), F.col("__place")).otherwise(F.col("__n") - 1)).drop("__place", "__some")
+    else:
+        kids = kids.withColumn("__e", F.col("__n") - 1)
+    # Numbers beyond what a base can need have no place.
+    kids, below = written(kids.filter("__e is not null").withColumn("__held", F.lit(False)), "kids"), Window.partitionBy("__base").orderBy("__n").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        at = kids.withColumn("__k", F.col("__e") - F.coalesce(F.sum(F.col("__held").cast("long")).over(below), F.lit(0)))
+        told = at.join(asks.select("__base", "__k", F.col("__pos").alias("__who")), ["__base", "__k"], "left")
+        told = written(told.select("__base", "__n", "__f", "__e", F.coalesce(F.col("__who") > F.col("__f"), F.lit(True)).alias("__held"), F.col("__held").alias("__before")), "kids")
+        kids = told.drop("__before")
+        if told.filter("__held <> __before").isEmpty():
+            held = kids.filter("__held").select("__base", "__n")
+            return held if fixed is None else held.unionByName(fixed.select("__base", "__n"))

@@ -14,6 +14,21 @@ def top(df: DataFrame, group: list[str], order: list[Column], n: int = 1, rank:
     return out if rank else out.drop(name)
 
 
+def largest(df: DataFrame, group: list[str], width: Column, height: Column, pos: str) -> DataFrame:
+    """Each group's row of the largest area, the first of several (AG9); rows without a size count only if all lack one.
+
+    One aggregation without a window: tasks keep a row a group before anything is shuffled.
+    """
+    rows = F.struct(*(F.col(c) for c in df.columns if c not in group))
+    best = F.max_by(rows, F.struct(F.coalesce(width.cast("long") * height.cast("long"), F.lit(-1)).alias("area"), (-F.col(pos)).alias("first")))
+    return df.groupBy(*group).agg(best.alias("__best")).select(*group, "__best.*")
+
+
+def newest(df: DataFrame, id: Column, n: int, tie: list[str]) -> DataFrame:
+    """The n rows of the largest numeric ids (SO1, SO2): each task keeps n, and only those are merged."""
+    return df.orderBy(id.desc_nulls_last(), *tie).limit(n)
+
+
 def preferred(df: DataFrame, group: list[str], prefer: Column, order: list[Column]) -> DataFrame:
     """A group's first row among the preferred ones, else among all (JN9)."""
     return top(df, group, [F.coalesce(prefer, F.lit(False)).desc(), *order])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlark.operators.numbering import numbered
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order (WN4); nulls are one key."""
@@ -133,18 +134,56 @@ def replace_groups(current: DataFrame, batch: DataFrame, group: list[str], share
     return kept.unionByName(batch.join(_renamed(replaced, group, "__r_"), _matches(group, "__r_"), "left_semi"), allowMissingColumns=True), status
 
 
-def get_or_create(dimension: DataFrame, rows: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+def get_or_create(dimension: DataFrame, rows: DataFrame, keys: list[str], id_column: str, derived: dict[str, Column] | None = None) -> DataFrame:
     """The dimension with the rows' new keys added under the next ids, in key order (SK10, SK7).
 
-    Ids are dense within range-sorted partitions, whose sizes are summed first: no task sees all new keys.
+    Ids come from one written ordering, so they hold whatever reads them later; no task sees all new keys. derived: further columns of
+    the dimension, computed from the keys of new entries. Rows with a null key part add nothing.
     """
-    new = _anti(rows.select(*keys).distinct(), dimension, keys)
-    ordered = new.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
-    # The id within the partition is the low 33 bits of the increasing id; the offset is the rows of partitions before.
-    counts = ordered.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"))
+    derived = derived or {}
+    wanted = rows.select(*keys).dropna().distinct()
+    placed = numbered(_anti(wanted, dimension, keys), [], keys, "__place")
     top = dimension.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("__top"))
-    numbered = ordered.join(offsets, "__p").crossJoin(F.broadcast(top))  # one row
-    local = F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
-    added = numbered.select(*keys, (F.col("__top") + F.coalesce("__before", F.lit(0)) + local + 1).cast(dimension.schema[id_column].dataType).alias(id_column))
-    return dimension.select(*keys, id_column).unionByName(added)
+    added = placed.crossJoin(F.broadcast(top))  # one row
+    new = added.select(*keys, (F.col("__top") + F.col("__place")).cast(dimension.schema[id_column].dataType).alias(id_column), *(c.alias(n) for n, c in derived.items()))
+    return dimension.select(*keys, id_column, *derived).unionByName(new)
+
+
+def upsert_dictionary(current: DataFrame, ids: DataFrame, entries: DataFrame, slug: str, id_column: str, columns: list[str], vanished: str, present: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(next, ids, report) of a dictionary's entries against the rows that they have (SK7).
+
+    current: id and columns. ids: slug and id, each slug once. entries: slug, columns, a boolean `vanished`, and `present` (names of the
+    columns that an entry has; all, if none is named). Vanished entries are skipped. An entry whose slug has an id updates that row column by
+    column; one without gets the next id, in the order of slugs, from one written ordering. report: slug, id, action (skip, update,
+    unchanged, insert, or lost where the id's row isn't there, which changes nothing) and changes, an array of struct(col, old, new).
+    """
+    kind = current.schema[id_column].dataType
+    wanted = entries.select(slug, *columns, F.coalesce(vanished, F.lit(False)).alias("__skip"), (F.col(present) if present else F.array(*map(F.lit, columns))).alias("__present"))
+    told = wanted.join(ids.select(F.col(slug).alias("__s"), F.col(id_column).alias("__id")), F.col(slug) == F.col("__s"), "left").drop("__s")
+    fresh = numbered(told.filter("not __skip and __id is null").drop("__id"), [], [slug], "__place")
+    top = current.agg(F.max(id_column).alias("t")).unionByName(ids.agg(F.max(id_column).alias("t"))).agg(F.coalesce(F.max("t"), F.lit(0)).alias("__top"))
+    new = fresh.crossJoin(F.broadcast(top)).withColumn("__id", (F.col("__top") + F.col("__place")).cast(kind)).drop("__top", "__place")  # one row
+    known = told.filter("not __skip and __id is not null")
+    old = current.select(F.col(id_column).alias("__have"), *(F.col(c).alias("__c_" + c) for c in columns))
+    both = known.join(old, F.col("__id") == F.col("__have"), "left")
+
+    def change(c: str, was: Column) -> Column:
+        given = F.array_contains("__present", c) & ~F.col(c).eqNullSafe(was)
+        return F.when(given, F.struct(F.lit(c).alias("col"), was.cast("string").alias("old"), F.col(c).cast("string").alias("new")))
+
+    def log(was: dict[str, Column]) -> Column:
+        return F.filter(F.array(*(change(c, was[c]) for c in columns)), lambda x: x.isNotNull())
+
+    met = both.withColumn("__changes", F.when(F.col("__have").isNotNull(), log({c: F.col("__c_" + c) for c in columns})))
+    action = F.when(F.col("__have").isNull(), "lost").when(F.size("__changes") > 0, "update").otherwise("unchanged")
+    nothing = {c: F.lit(None).cast(entries.schema[c].dataType) for c in columns}
+    inserted = new.select(slug, F.col("__id").alias(id_column), F.lit("insert").alias("action"), log(nothing).alias("changes"))
+    empty = F.array().cast(inserted.schema["changes"].dataType)
+    skipped = told.filter("__skip").select(slug, F.col("__id").alias(id_column), F.lit("skip").alias("action"), empty.alias("changes"))
+    report = met.select(slug, F.col("__id").alias(id_column), action.alias("action"), F.coalesce("__changes", empty).alias("changes")).unionByName(inserted).unionByName(skipped)
+    given = {c: F.array_contains("__present", c) for c in columns}
+    changed = met.filter("__have is not null").select(F.col("__id").alias(id_column), *(F.when(given[c], F.col(c)).otherwise(F.col("__c_" + c)).alias(c) for c in columns))
+    rows = new.select(F.col("__id").alias(id_column), *(F.when(given[c], F.col(c)).alias(c) for c in columns))
+    rest = current.join(changed.select(F.col(id_column).alias("__id")), F.col(id_column) == F.col("__id"), "left_anti").select(id_column, *columns)
+    following = rest.unionByName(changed).unionByName(rows)
+    return following, ids.select(slug, id_column).unionByName(new.select(slug, F.col("__id").alias(id_column))), report

@@ -52,3 +52,14 @@ def need_columns(df: DataFrame, columns: list[str], name: str = "table") -> Data
     if missing := [c for c in columns if c not in df.columns]:
         raise ValueError(f"{name} lacks {', '.join(missing)}")
     return df
+
+
+def scoped(df: DataFrame, column: str, scope: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """Rows of a scope (SC13, FL1): up to `most` keys are pushed down to the scan as a list, more are a semi join. An empty scope is an error.
+
+    The scope is counted no further than most + 1 keys; nulls are no keys.
+    """
+    keys = scope.select(F.col(key).alias("__k")).filter("__k is not null").distinct()
+    few = [r[0] for r in keys.limit(most + 1).collect()]  # most + 1 at most
+    need_some(few, f"keys in the scope of {column}")
+    return df.filter(F.col(column).isin(few)) if len(few) <= most else df.join(keys, F.col(column) == F.col("__k"), "left_semi")
