@@ -199,14 +199,14 @@ def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "membership_split",
-    """WITH l AS (SELECT doc_id FROM labels), d AS (SELECT doc_id FROM documents WHERE lang <> 'fr')
+    """WITH l AS (SELECT doc_id FROM labels), d AS (SELECT conv_id AS doc_id FROM conversations)
     SELECT 'kept' AS part, count(*) AS n FROM d WHERE doc_id IN (SELECT doc_id FROM l) UNION ALL
     SELECT 'extra', count(*) FROM d WHERE doc_id NOT IN (SELECT doc_id FROM l) UNION ALL
     SELECT 'missing', count(*) FROM l WHERE doc_id NOT IN (SELECT doc_id FROM d)""",
 )
 def membership_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kept, extra and missing keys (FL3, SE1)."""
-    docs = read(spark, sf_dir, "documents").filter("lang <> 'fr'").select("doc_id")
+    """Turns whose conversation's id is labelled, those that are extra, and labels that are missing (FL3, SE1)."""
+    docs = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"))
     parts = zip(("kept", "extra", "missing"), validate.membership(docs, read(spark, sf_dir, "labels").select("doc_id"), "doc_id"), strict=True)
     out = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, p in parts]
     return out[0].unionByName(out[1]).unionByName(out[2])
@@ -291,11 +291,11 @@ def shared_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     "outer_merge_sides",
     """SELECT CASE WHEN l.doc_id IS NULL THEN 'left' WHEN d.doc_id IS NULL THEN 'right' ELSE 'both' END AS side, count(*) AS n
-    FROM (SELECT doc_id FROM documents WHERE lang <> 'fr') d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
+    FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations) d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
 )
 def outer_merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both, left and right keys (JN1)."""
-    docs = read(spark, sf_dir, "documents").filter("lang <> 'fr'")
+    docs = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"))
     return match.outer_sides(docs, read(spark, sf_dir, "labels"), "doc_id").groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -368,14 +368,13 @@ def anti_on_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "merge_states",
-    """WITH f AS (SELECT DISTINCT p_brand AS k FROM part WHERE p_size < 25), e AS (SELECT p_brand AS k, max(p_size) % 2 = 0 AS curated FROM part WHERE p_size >= 10 GROUP BY p_brand HAVING count(*) % 3 <> 0)
-    SELECT coalesce(f.k, e.k) AS p_brand, CASE WHEN e.k IS NULL THEN 'added' WHEN f.k IS NOT NULL AND curated THEN 'conflict' WHEN f.k IS NULL AND NOT curated THEN 'vanished' ELSE 'kept' END AS state FROM f FULL JOIN e ON f.k = e.k""",
+    """WITH f AS (SELECT DISTINCT conv_id AS k FROM conversations), e AS (SELECT doc_id AS k, quality = 1 AS curated FROM labels)
+    SELECT coalesce(f.k, e.k) AS id, CASE WHEN e.k IS NULL THEN 'added' WHEN f.k IS NOT NULL AND curated THEN 'conflict' WHEN f.k IS NULL AND NOT curated THEN 'vanished' ELSE 'kept' END AS state FROM f FULL JOIN e ON f.k = e.k""",
 )
 def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dictionary merged with fresh names (JN16)."""
-    part = read(spark, sf_dir, "part").select("p_brand", "p_size")
-    existing = part.filter("p_size >= 10").groupBy("p_brand").agg((F.max("p_size") % 2 == 0).alias("curated"), F.count(F.lit(1)).alias("n")).filter("n % 3 <> 0")
-    return match.merge_dictionary(part.filter("p_size < 25"), existing, "p_brand")
+    """Labelled ids, some of them curated, merged with the conversations' ids (JN16)."""
+    existing = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("curated"))
+    return match.merge_dictionary(read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")), existing, "id")
 
 
 # ---- accounting ---------------------------------------------------------------------------------------
@@ -534,20 +533,20 @@ def slug_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "control_point",
-    """WITH p AS (SELECT user_id, max(ts) AS last_day FROM events WHERE event_type <> 'error' GROUP BY user_id), v AS (SELECT user_id, ts, max(value) AS last_value FROM events WHERE event_type <> 'error' GROUP BY user_id, ts),
-    q AS (SELECT user_id, max(ts) AS printed_day FROM events GROUP BY user_id)
-    SELECT q.user_id, CASE WHEN p.last_day IS NULL THEN 'no_points' WHEN p.last_day = q.printed_day THEN 'ok' ELSE 'mismatch' END AS status FROM q LEFT JOIN p ON p.user_id = q.user_id""",
+    """WITH e AS (SELECT user_id, ts, max(value) AS v, max(CASE WHEN event_type <> 'error' THEN value END) AS sound FROM events GROUP BY 1, 2),
+    p AS (SELECT user_id, max(ts) AS last_day, arg_max(sound, ts) AS last_value FROM e WHERE sound IS NOT NULL GROUP BY user_id),
+    q AS (SELECT user_id, CASE WHEN max(v) < 400 THEN max(ts) END AS printed_day, CASE WHEN count(*) % 5 > 0 THEN arg_max(v, ts) END AS printed_value FROM e GROUP BY user_id)
+    SELECT q.user_id, CASE WHEN printed_value IS NULL THEN 'not_found' WHEN last_day IS NULL THEN 'no_points' WHEN last_value <> printed_value OR printed_day <> last_day THEN 'mismatch' ELSE 'ok' END AS status FROM q LEFT JOIN p ON p.user_id = q.user_id""",
 )
 def control_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last sound point's day and value against the last printed ones (JN22); of several values at one time the largest counts.
 
-    The SQL compares days alone, which is the same while no user has two values at the last time.
+    Users with a value of 400 print no day, those with a number of times that five divides no price.
     """
-    events = read(spark, sf_dir, "events").groupBy("user_id", "ts", "event_type").agg(F.max("value").alias("v"))
-    sound = events.filter("event_type <> 'error'").groupBy("user_id", "ts").agg(F.max("v").alias("v"))
-    points = pick.last_point(sound, ["user_id"], "ts", "v")
-    printed = pick.last_point(events.groupBy("user_id", "ts").agg(F.max("v").alias("v")), ["user_id"], "ts", "v")
-    printed = printed.select("user_id", F.col("last_day").alias("printed_day"), F.col("last_value").alias("printed_value"))
+    events = read(spark, sf_dir, "events").groupBy("user_id", "ts").agg(F.max("value").alias("v"), F.max(F.when(F.col("event_type") != "error", F.col("value"))).alias("sound"))
+    points = pick.last_point(events.filter("sound is not null"), ["user_id"], "ts", "sound")
+    printed = events.groupBy("user_id").agg(F.max("ts").alias("day"), F.max_by("v", "ts").alias("value"), F.max("v").alias("top"), F.count(F.lit(1)).alias("n"))
+    printed = printed.select("user_id", F.when(F.col("top") < 400, F.col("day")).alias("printed_day"), F.when(F.col("n") % 5 > 0, F.col("value")).alias("printed_value"))
     return pick.control_point(points, printed, ["user_id"]).select("user_id", "status")
 
 

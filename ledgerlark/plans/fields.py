@@ -1,4 +1,4 @@
-"""Queries of the field functions: every row of a table gets one of a function's cases around a word of its own; the SQL states the results."""
+"""Queries of the field functions over whole tables: inputs spelt from columns, with SQL that computes; or a function's cases around a row's own word, with SQL that states the results."""
 
 from __future__ import annotations
 
@@ -70,18 +70,12 @@ golden("folded_apostrophes", "One apostrophe between letters, none elsewhere (FN
 golden("title_key", "The comparison key of a title (FN7).", text.match_key, [
     ("  Ґанок  {}", "ганок {}"), ("«П'ЯТЬ» {}", "п’ять {}"), ("Мoнета {}", "монета {}"), ("{}", "{}"), (None, None),
 ])
-golden("title_slug", "A slug of Cyrillic, accented and other letters (FN8).", text.slug, [
-    ("Щука", "shchuka"), ("Київ — мій", "kyiv-mii"), ("Об'єкт №5", "obiekt-5"), ("Été à Łódź", "ete-a-odz"), ("日本", "series"), ("--a__b--", "a-b"), (None, "series"),
-])
 golden("label_key", "What a label is looked up by (FN9).", text.vocabulary_key, [
     (" СРIБЛО {} ", "срібло {}"), ("Золото {}", "золото {}"), (" Proof {}", "proof {}"), (None, None),
 ])
 golden("name_list", "Names split at commas and semicolons (FN16).", lambda s: F.concat_ws("/", text.names(s)), [
     ("{}, Б; В", "{}/Б/В"), (" ;, {}", "{}"), ("", ""), (None, ""), ("{} і Б", "{} і Б"),
 ])
-golden("paired_name_list", "Names of two languages by position (FN16).", lambda s: F.to_json(text.paired_names(s, F.lit("A, B"))), [
-    ("А, Б", '[{"uk":"А","en":"A"},{"uk":"Б","en":"B"}]'), ("А", '[{"uk":"А","en":"A"},{"en":"B"}]'), ("А,Б,В", '[{"uk":"А","en":"A"},{"uk":"Б","en":"B"},{"uk":"В"}]'), (None, '[{"en":"A"},{"en":"B"}]'),
-])
 golden("role_of_caption", "The side that a caption or file name tells (FN20).", text.caption_role, [
     ("{} Аверс", "obverse"), ("{}_reverse.png", "reverse"), ("РЕВЕРС {}", "reverse"), ("{}", None), ("obverse and reverse", "obverse"), (None, None),
 ])
@@ -94,9 +88,6 @@ golden("shortened_text", "Texts over 48 characters end in three dots (FN22).", t
 golden("apostrophe_spellings", "A name with each apostrophe, the given one first (FN23).", lambda s: F.concat_ws("/", text.apostrophe_variants(s)), [
     ("п'ять {}", "п'ять {}/п`ять {}/п’ять {}/пʼять {}"), ("{}", "{}"), ("об’єкт", "об’єкт/об'єкт/об`єкт/обʼєкт"),
 ])
-golden("id_spellings", "prefix:88, prefix_88 and 88 (PJ17, SO1).", lambda s: parts(text.id_as_path(s), text.id_number(s)), [
-    ("nb:88", "nb_88|88"), ("nb_7", "nb_7|7"), ("nb:x", "nb_x|-"), ("nb:0012", "nb_0012|12"),
-])
 golden("preferred_label", "The first label that isn't empty (PJ4).", lambda s: text.preferred(s, F.lit("en")), [("{}", "{}"), ("", "en"), (None, "en")])
 golden("three_descriptions", "Three positional descriptions or an error flag (PJ2).", lambda s: parts(*(text.three_parts(F.split(s, "/"))[k] for k in ("general", "obverse", "reverse", "wrong_count"))), [
     ("{}/ b /c", "{}|b|c|false"), ("a//c", "a|-|c|false"), ("a/b", "-|-|-|true"), ("a/b/c/d", "-|-|-|true"),
@@ -104,25 +95,9 @@ golden("three_descriptions", "Three positional descriptions or an error flag (PJ
 
 # ---- values -------------------------------------------------------------------------------------------
 
-golden("all_digits", "All digits as one number (FN11).", values.digits, [("1 000 (тис.) 5", "10005"), ("x", None), ("", None), (None, None), ("007", "7")])
-golden("first_float", "The first number of a text (FN12).", values.leading_float, [("вага 15,55 г", "15.55"), ("1.2.3", None), ("x", None), ("5", "5.0"), (None, None)])
-golden("face_and_unit", "Face value and unit (FN13).", lambda s: parts(values.face_value(s)["value"], values.face_value(s)["unit"]), [
-    ("5 гривень", "5.0|гривень"), ("2,5 грн", "2.5|грн"), ("10", "10.0|-"), ("гривня", "-|-"), (None, "-|-"),
-])
-golden("dotted_day", "dd.mm.yyyy (FN14).", values.dotted_date, [("08.09.2026", "2026-09-08"), (" 01.02.2020 ", "2020-02-01"), ("31.02.2020", None), ("2020-01-01", None), (None, None)])
-golden("announced_and_actual", "Announced and actual mintage (FN15).", lambda s: parts(values.mintage(s)["announced"], values.mintage(s)["actual"]), [
-    ("до 5 000/4 998", "5000|4998"), ("3000", "3000|-"), ("10/0", "10|0"), ("", "-|-"), (None, "-|-"),
-])
 golden("day_in_text", "A day anywhere in a text (FN17).", values.date_in_text, [
     ("від 2024-02-03, {}", "2024-02-03"), ("{} 03.04.2024", "2024-04-03"), ("2024-13-01 03.04.2024", None), ("{}", None), (None, None),
 ])
-golden("typed_point_price", "The price of a JSON point (FN18).", lambda s: values.point_price(F.try_parse_json(s)), [
-    ('{"price": 5}', "5.000000"), ('{"price": "7.25"}', "7.250000"), ('{"price": true}', None), ('{"price": "x"}', None), ("{}", None), (None, None),
-])
-golden("price_guard", "Prices that fit (FL4).", lambda s: values.price_fits(s.try_cast("decimal(38,6)")), [
-    ("5", "true"), ("0", "false"), ("-1", "false"), ("999999999999.99", "true"), ("999999999999.996", "false"), ("1000000000000", "false"), (None, "false"),
-])
-golden("stated_date", "A page text's date, ISO before dotted (PJ9).", lambda s: values.date_in_text(s), [("1.1.2020 {}", None), ("{} 2020-01-02", "2020-01-02"), ("30.12.2019", "2019-12-30")])
 golden("entry_rules", "All rules that an entry breaks (FL6).", lambda s: F.concat_ws(",", validate.entry_errors([("empty", F.coalesce(F.trim(s), F.lit("")) == ""), ("long", F.coalesce(F.length(s) > 40, F.lit(False))), ("digit", F.coalesce(s.rlike("[0-9]"), F.lit(False)))])), [
     ("{}", ""), ("", "empty"), (None, "empty"), ("7" * 41, "long,digit"), ("a1", "digit"),
 ])
@@ -133,11 +108,42 @@ golden("select_options", "Distinct option values, bytes kept, placeholders dropp
     ('<select><option value="">все</option><option value="{} ">a</option><option selected value="b">b</option><option value="b">c</option></select>', "{} /b"), ("<p>{}</p>", ""), ('<option value=" ">', ""),
 ])
 golden("page_title", "A page's title (PJ11).", markup.title_of, [("<TITLE a='1'>{}</title>", "{}"), ("<title></title>", None), ("<p>{}</p>", None)])
-golden("year_of_path", "The year of a landed file (SC3).", lambda s: landing.year_of(s), [("/raw/2020.html", "2020"), ("/raw/20.html", None), ("/raw/x2021.html", "2021"), ("/raw/2020.txt", None)])
-golden("run_day_of_path", "The run's day of a landing folder (SC4).", lambda s: landing.run_day_of(s), [("/daily/run_date=2024-02-03/2020.html", "2024-02-03"), ("/daily/run_date=2024-02-33/x", None), ("/daily/x", None)])
-golden("tiers_of_size", "Output sizes, more than 3 % apart (WN7).", lambda s: F.concat_ws(",", pick.tiers(s.try_cast("int")).cast("array<string>")), [
-    ("309", "300"), ("310", "300,310"), ("618", "300,600"), ("619", "300,600,619"), ("5000", "300,600,1200"), ("200", "200"), ("0", ""), (None, ""),
-])
+
+
+# ---- values spelt from columns ---------------------------------------------------------------------------
+
+
+def spelt(name: str, does: str, table: str, key: str, given: Callable[[], Column], function: Callable[[Column], Column], sql: str) -> None:
+    """Register a query that reads a function's input, as `given` spells it, from columns of a whole table; sql is the result, by its own rule, from the same columns."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return read(spark, sf_dir, table).select(key, shown(function(given())).alias("result"))
+
+    query.__doc__ = does
+    query.__name__ = name
+    registered(name, f"SELECT {key}, {sql} AS result FROM {table}")(query)
+
+
+def told(*pieces: Column | str) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in pieces))
+
+
+
+spelt("title_slug", "A slug of brand, name and size (FN8).", "part", "p_partkey", lambda: told(F.col("p_brand"), " — ", F.col("p_name"), " №", F.col("p_size"), "ﬁ!"), text.slug, "replace(lower(p_brand), '#', '-') || '-' || replace(p_name, ' ', '-') || '-o' || p_size || 'fi'")
+spelt("paired_name_list", "A name's words and the type, by position (FN16).", "part", "p_partkey", lambda: F.replace("p_name", F.lit(" "), F.lit(", ")), lambda s: F.to_json(text.paired_names(s, F.col("p_type"))), """'[{"uk":"' || split_part(p_name, ' ', 1) || '","en":"' || p_type || '"},{"uk":"' || split_part(p_name, ' ', 2) || '"}]'""")
+spelt("id_spellings", "prefix:88, prefix_88 and 88 (PJ17, SO1).", "part", "p_partkey", lambda: told("nb:", F.col("p_partkey")), lambda s: parts(text.id_as_path(s), text.id_number(s), text.id_number(text.id_as_path(s))), "'nb_' || p_partkey || '|' || p_partkey || '|' || p_partkey")
+spelt("all_digits", "All digits as one number (FN11).", "part", "p_partkey", lambda: told(F.col("p_brand"), " x ", F.col("p_size"), " 0"), values.digits, "CAST(CAST(replace(p_brand, 'Brand#', '') || p_size || '0' AS BIGINT) AS VARCHAR)")
+spelt("first_float", "The first number of a text (FN12).", "part", "p_partkey", lambda: told("вага ", F.replace(F.col("p_retailprice").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(",")), F.when(F.col("p_size") == 50, ".1").otherwise(""), " г ", F.col("p_size")), lambda s: F.round(values.leading_float(s) * 100).cast("long"), "CASE WHEN p_size < 50 THEN CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS VARCHAR) END")
+spelt("face_and_unit", "Face value and unit, cut at the first white space (FN13).", "part", "p_partkey", lambda: told(F.when(F.col("p_size") < 10, "~").otherwise(""), F.col("p_size"), F.when(F.col("p_size") > 25, "").otherwise("\u00a0"), F.col("p_name")), lambda s: parts(values.face_value(s)["value"], values.face_value(s)["unit"]), "p_size || '.0|' || CASE WHEN p_size > 25 THEN split_part(p_name, ' ', 2) ELSE p_name END")
+spelt("dotted_day", "d.m.yyyy with nothing around it (FN14).", "orders", "o_orderkey", lambda: F.when(F.col("o_orderstatus") == "O", F.date_format(F.col("o_orderdate"), "dd.MM.yyyy")).otherwise(told(F.date_format(F.col("o_orderdate"), "d.M.yyyy"), F.when(F.col("o_orderstatus") == "P", " ").otherwise(""))), values.dotted_date, "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END")
+spelt("announced_and_actual", "Announced and actual mintage (FN15).", "part", "p_partkey", lambda: told("до ", F.col("p_size"), " 000", F.when(F.col("p_size") > 40, "").otherwise(told("/", F.col("p_partkey")))), lambda s: parts(values.mintage(s)["announced"], values.mintage(s)["actual"]), "p_size * 1000 || '|' || CASE WHEN p_size > 40 THEN '-' ELSE CAST(p_partkey AS VARCHAR) END")
+spelt("typed_point_price", "The price of a JSON point: a number, a quoted number with a comma, no boolean, none (FN18).", "events", "event_id", lambda: told('{"price": ', F.when(F.col("event_type") == "error", "true").when(F.col("event_type") == "click", told('" 1 ', F.lpad(F.replace(F.col("value").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(",")), 6, "0"), '"')).otherwise(F.col("value").cast("decimal(12,2)").cast("string")), F.when(F.col("event_type") == "signup", "").otherwise("}")), lambda s: values.point_price(F.try_parse_json(s)).cast("decimal(12,2)"), "CASE WHEN event_type = 'click' THEN CAST(CAST(round(value + 1000, 2) AS DECIMAL(12,2)) AS VARCHAR) WHEN event_type IN ('view', 'purchase') THEN CAST(CAST(round(value, 2) AS DECIMAL(12,2)) AS VARCHAR) END")
+spelt("price_guard", "Prices that fit (FL4).", "orders", "o_orderkey", lambda: (F.col("o_totalprice").cast("decimal(14,2)") - 100000) * 5000000, values.price_fits, "CAST(CAST(round(o_totalprice, 2) AS DECIMAL(14,2)) > 100000 AND CAST(round(o_totalprice, 2) AS DECIMAL(14,2)) < 300000 AS VARCHAR)")
+spelt("year_of_path", "The year of a landed file (SC3).", "orders", "o_orderkey", lambda: told("/raw/", F.year(F.col("o_orderdate")), F.when(F.col("o_orderstatus") == "P", ".txt").otherwise(".html")), landing.year_of, "CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS VARCHAR) END")
+spelt("run_day_of_path", "The run's day of a landing folder (SC4).", "orders", "o_orderkey", lambda: told("/daily/", F.when(F.col("o_orderstatus") == "P", "day=").otherwise("run_date="), F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"), "/x.html"), landing.run_day_of, "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END")
+spelt("stated_date", "A text's date, ISO or day first with points, hyphens or slashes; digits beside it spoil it (FN17).", "orders", "o_orderkey", lambda: told("на ", F.date_format(F.col("o_orderdate"), "yyyy"), " ", F.when(F.col("o_orderstatus") == "F", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")).when(F.col("o_orderstatus") == "O", F.date_format(F.col("o_orderdate"), "dd/MM/yyyy")).otherwise(told("1", F.date_format(F.col("o_orderdate"), "dd-MM-yyyy"))), "."), values.date_in_text, "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END")
+WIDTH_SQL = "p_size * 25"
+spelt("tiers_of_size", "Output sizes, more than 3 % apart (WN7).", "part", "p_partkey", lambda: F.col("p_size") * 25, lambda s: F.concat_ws(",", pick.tiers(s).cast("array<string>")), f"concat_ws(',', least(300, {WIDTH_SQL}), CASE WHEN least(600, {WIDTH_SQL}) * 100 > least(300, {WIDTH_SQL}) * 103 THEN least(600, {WIDTH_SQL}) END, CASE WHEN {WIDTH_SQL} > 618 THEN least(1200, {WIDTH_SQL}) END)")
 
 
 # ---- vocabularies ---------------------------------------------------------------------------------------

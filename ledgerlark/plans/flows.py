@@ -386,28 +386,34 @@ def quality_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "dictionary_merge",
-    """WITH e AS (SELECT n_name, lower(n_name) || '-old' AS slug, n_regionkey = 0 AS curated FROM nation WHERE n_nationkey >= 8),
-       f AS (SELECT n_name FROM nation WHERE n_regionkey <> 0 AND n_nationkey < 20)
-       SELECT coalesce(e.n_name, f.n_name) AS n_name, coalesce(e.slug, regexp_replace(lower(f.n_name), '[^a-z0-9]+', '-', 'g')) AS slug, coalesce(e.curated, FALSE) AS curated, e.n_name IS NOT NULL AND f.n_name IS NULL AND NOT e.curated AS missing
-       FROM e FULL JOIN f ON e.n_name = f.n_name""",
+    """WITH e AS (SELECT n_name AS name, lower(n_name) || '-old' AS slug, FALSE AS curated, n_regionkey FROM nation WHERE n_regionkey IN (1, 2) UNION ALL SELECT r_name, lower(r_name) || '-r', r_regionkey = 0, NULL FROM region),
+       f AS (SELECT CASE WHEN n_nationkey < 12 THEN '«' || n_name || '»' ELSE n_name END AS name, n_name, n_regionkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n FROM nation)
+       SELECT name, CASE WHEN n_regionkey IN (1, 2) THEN lower(n_name) || '-old' ELSE replace(lower(n_name), '_', '-') END AS slug, FALSE AS curated, FALSE AS missing, n FROM f
+       UNION ALL SELECT name, slug, curated, NOT curated, NULL FROM e WHERE n_regionkey IS NULL""",
 )
 def dictionary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dictionary's next state: slugs stay, fresh names get free ones, vanished entries are flagged (JN16, WN6)."""
-    nation = read(spark, sf_dir, "nation")
-    existing = nation.filter("n_nationkey >= 8").select("n_name", cat(F.lower("n_name"), "-old").alias("slug"), (F.col("n_regionkey") == 0).alias("curated"))
-    fresh = nation.filter("n_regionkey <> 0 and n_nationkey < 20").select("n_name")
-    following, _ = match.merged_dictionary(fresh, existing, "n_name", text.slug(F.col("n_name")))
-    return following
+    """A dictionary's next state (JN16, WN6): the nations as they are now, some in quotes, against entries of two regions' nations and of all regions.
+
+    Names that differ in quotes alone are one; their slugs stay and their counts are new; other nations get free slugs; regions have
+    vanished, but for the curated one.
+    """
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    counts = read(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
+    name = F.when(F.col("n_nationkey") < 12, cat("«", F.col("n_name"), "»")).otherwise(F.col("n_name"))
+    fresh = nation.join(counts, "n_nationkey", "left").select(name.alias("name"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    old = nation.filter("n_regionkey in (1, 2)").select(F.col("n_name").alias("name"), cat(F.lower("n_name"), "-old").alias("slug"), F.lit(False).alias("curated"), F.lit(0).cast("long").alias("n"))
+    regions = region.select(F.col("r_name").alias("name"), cat(F.lower("r_name"), "-r").alias("slug"), (F.col("r_regionkey") == 0).alias("curated"), F.lit(None).cast("long").alias("n"))
+    return match.merged_dictionary(fresh, old.unionByName(regions), "name", text.slug(F.col("name")))[0]
 
 
 @registered(
     "free_slugs",
-    """WITH RECURSIVE r AS (SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i, p_brand FROM part WHERE p_size < 6)
+    """WITH r AS (SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i, p_brand FROM part)
        SELECT p_partkey, CASE WHEN i = 1 THEN lower(p_brand) || '-x' WHEN i = 2 THEN lower(p_brand) || '-x-3' ELSE lower(p_brand) || '-x-' || CAST(i + 1 AS VARCHAR) END AS slug FROM r""",
 )
 def free_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slugs of equal bases, where base-2 exists already (WN6)."""
-    part = read(spark, sf_dir, "part").filter("p_size < 6").select("p_partkey", cat(F.lower("p_brand"), "-x").alias("base"))
+    part = read(spark, sf_dir, "part").select("p_partkey", cat(F.lower("p_brand"), "-x").alias("base"))
     return match.unique_slugs(part, "base", "p_partkey", existing=part.select(cat(F.col("base"), "-2")).distinct()).select("p_partkey", "slug")
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.functions import text
+from ledgerlark.operators import match, pick, upsert, validate
 from ledgerlark.plans.catalogue import read, registered
 from ledgerlark.plans.flows import cat
-from ledgerlark.sources import landing
+from ledgerlark.sources import landing, markup
 
 DAILY_SQL = """d AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents, count(*) FILTER (WHERE event_type = 'error') AS bad, max(value) AS top FROM events GROUP BY 1, 2),
        p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) - 1 AS pos, CASE WHEN n = 9 THEN 'keys' WHEN n = 8 AND bad = 2 THEN 'date type' WHEN n = 5 AND bad >= 4 THEN 'date'
@@ -43,3 +45,111 @@ def whole_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     points, rejected = landing.histories(lists.select("user_id", body.alias("body")), "user_id")
     loaded = points.groupBy("user_id").agg(F.count(F.lit(1)).alias("points"), F.sum("price").cast("double").alias("total"))
     return rejected.select("user_id", "reason", F.col("at").alias("pos"), F.lit(None).cast("long").alias("points"), F.lit(None).cast("double").alias("total")).unionByName(loaded.select("user_id", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("pos"), "points", "total"))
+
+
+# ---- resolution and dictionaries ------------------------------------------------------------------------
+
+
+@registered(
+    "resolved_sync",
+    """WITH l AS (SELECT p_partkey, CASE WHEN p_size < 50 THEN p_partkey END AS id, lower(p_name || ' ' || p_brand) AS title, p_brand FROM part),
+       b AS (SELECT p_brand, count(*) * 25 >= (SELECT count(*) FROM part) AS listed, p_brand NOT LIKE '%5' AS numbered, CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS id FROM part GROUP BY 1),
+       t AS (SELECT DISTINCT lower(p_name || ' ' || p_brand) AS title FROM part WHERE p_size < 25),
+       m AS (SELECT l.p_partkey, l.id, l.title, CASE WHEN l.id IS NULL THEN 'no id' WHEN NOT b.listed THEN 'name' WHEN NOT numbered THEN 'slug' ELSE 'group' END AS kind,
+             CASE WHEN l.id IS NULL THEN NULL WHEN NOT b.listed THEN lower(l.p_brand) WHEN NOT numbered THEN 's-' || b.id ELSE CAST(b.id * 10 AS VARCHAR) END AS detail
+             FROM l JOIN b ON l.p_brand = b.p_brand
+             WHERE CASE WHEN l.id IS NULL THEN l.title NOT IN (SELECT title FROM t) ELSE l.id NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50) END)
+       SELECT kind, detail, count(*) AS n, min(id) AS first_id, min(title) AS first_title FROM m GROUP BY 1, 2""",
+)
+def resolved_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed cards that the catalogue lacks, grouped by their series' id, and typed warnings of those that can't be (JN17, JN19, JN20).
+
+    A series' name leads to a slug and that to an id; brands with few parts have no slug, those that end in 5 no id. Cards of the
+    largest size have no id and are known by their titles alone.
+    """
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.concat_ws(" ", "p_name", "p_brand").alias("title"))
+    listed = part.select(F.when(F.col("p_size") < 50, F.col("p_partkey")).alias("id"), cat("«", F.col("title"), "»").alias("title"), F.concat_ws("  ", F.lit(""), F.upper("p_brand")).alias("series"))
+    known = read(spark, sf_dir, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("id")).distinct()
+    titles = part.filter("p_size < 25").select(F.upper("title").alias("title_original"), F.lit(None).cast("string").alias("title_uk"))
+    brands = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    total = F.broadcast(part.agg(F.count(F.lit(1)).alias("total")))  # one row
+    names = brands.crossJoin(total).filter("n * 25 >= total").select("p_brand", F.regexp_replace("p_brand", "Brand#", "s-").alias("slug"))
+    ids = brands.filter("p_brand not like '%5'").select(F.regexp_replace("p_brand", "Brand#", "s-").alias("slug"), (F.regexp_replace("p_brand", "Brand#", "").cast("long") * 10).alias("series_id"))
+    steps = [("name", names, text.match_key(F.col("p_brand")), F.col("slug")), ("slug", ids, F.col("slug"), F.col("series_id"))]
+    found = match.synced(listed, known, "id", "title", "series", titles, steps)
+    return found.groupBy("kind", "detail").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.min(text.match_key(F.col("title"))).alias("first_title"))
+
+
+@registered(
+    "dictionary_upsert",
+    """WITH m AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus <> 'P'),
+       e AS (SELECT c_custkey AS k, 'c-' || c_custkey AS slug, c_name AS name, c_mktsegment AS segment, c_acctbal < 0 AS gone, c_mktsegment <> 'BUILDING' AS whole, c_acctbal, m.k IS NOT NULL AS has FROM customer LEFT JOIN m ON m.k = c_custkey),
+       n AS (SELECT k, (SELECT max(k) * 2 + 1 FROM m) + row_number() OVER (ORDER BY slug) AS id FROM e WHERE NOT gone AND NOT has)
+       SELECT slug, CASE WHEN has THEN e.k * 2 + 1 ELSE n.id END AS id,
+         CASE WHEN gone THEN 'skip' WHEN NOT has THEN 'insert' WHEN c_acctbal > 9000 THEN 'lost' WHEN c_acctbal < 5000 OR whole AND segment = 'MACHINERY' THEN 'update' ELSE 'unchanged' END AS action,
+         CASE WHEN gone THEN '' WHEN NOT has THEN CASE WHEN whole THEN 'name,segment' ELSE 'name' END WHEN c_acctbal > 9000 THEN '' ELSE concat_ws(',', CASE WHEN c_acctbal < 5000 THEN 'name' END, CASE WHEN whole AND segment = 'MACHINERY' THEN 'segment' END) END AS changed,
+         CASE WHEN gone OR has AND c_acctbal > 9000 THEN NULL ELSE name END AS name_now FROM e LEFT JOIN n ON n.k = e.k""",
+)
+def dictionary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as dictionary entries against the rows they have: skipped, updated column by column, inserted under the next ids, or lost (SK7).
+
+    Customers of closed orders have an id; those in debt have vanished; one segment's entries don't state their segment.
+    """
+    customer = read(spark, sf_dir, "customer")
+    ids = read(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(cat("c-", F.col("o_custkey")).alias("slug"), (F.col("o_custkey") * 2 + 1).alias("id")).distinct()
+    balance, present = F.col("c_acctbal"), F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit("name"))).otherwise(F.array(F.lit("name"), F.lit("segment")))
+    entries = customer.select(cat("c-", F.col("c_custkey")).alias("slug"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), (balance < 0).alias("gone"), present.alias("present"))
+    old_name, old_segment = F.when(balance < 5000, F.lower("c_name")).otherwise(F.col("c_name")), F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "OLD").otherwise(F.col("c_mktsegment"))
+    current = customer.filter("c_acctbal <= 9000").select((F.col("c_custkey") * 2 + 1).alias("id"), old_name.alias("name"), old_segment.alias("segment")).join(ids.select("id"), "id", "left_semi")
+    following, _, report = upsert.upsert_dictionary(current, ids, entries, "slug", "id", ["name", "segment"], "gone", "present")
+    now = following.select(F.col("id").alias("__id"), F.col("name").alias("name_now"))
+    told = report.join(now, F.col("id") == F.col("__id"), "left")
+    return told.select("slug", "id", "action", F.array_join(F.transform("changes", lambda c: c["col"]), ",").alias("changed"), F.when(F.col("action") != "skip", F.col("name_now")).alias("name_now"))
+
+
+@registered(
+    "scoped_scans",
+    """WITH s AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000), o AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+       SELECT 'listed' AS scope, l_returnflag, count(*) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM s) GROUP BY 2
+       UNION ALL SELECT 'joined', l_returnflag, count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o) GROUP BY 2""",
+)
+def scoped_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a scope of suppliers, which is pushed down to the scan, and of a scope of orders, which is joined: its size decides (SC13, FL1, FL2)."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
+    few = validate.scoped(lines, "l_suppkey", read(spark, sf_dir, "supplier").filter("s_acctbal > 5000"), "s_suppkey", 500)
+    many = validate.scoped(lines, "l_orderkey", read(spark, sf_dir, "orders").filter("o_orderstatus = 'F'"), "o_orderkey", 500)
+    counts = [df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("scope"), "l_returnflag", "n") for name, df in (("listed", few), ("joined", many))]
+    return counts[0].unionByName(counts[1])
+
+
+@registered(
+    "largest_variants",
+    "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) * CAST(floor(l_extendedprice) AS BIGINT) AS area FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_quantity AS BIGINT) * CAST(floor(l_extendedprice) AS BIGINT) DESC, l_linenumber) AS rn FROM lineitem) WHERE rn = 1",
+)
+def largest_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's line of the largest area, the first of several (AG9)."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("w"), F.floor("l_extendedprice").cast("long").alias("h"))
+    return pick.largest(lines, ["l_orderkey"], F.col("w"), F.col("h"), "l_linenumber").select("l_orderkey", "l_linenumber", (F.col("w") * F.col("h")).alias("area"))
+
+
+@registered("newest_ids", "SELECT 'nb:' || o_orderkey AS source_id, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 25")
+def newest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 newest rows by the number in their ids, which sorts otherwise than the ids do (SO1, SO2, PJ17)."""
+    orders = read(spark, sf_dir, "orders").select(cat("nb:", F.col("o_orderkey")).alias("source_id"), "o_totalprice")
+    return pick.newest(orders, text.id_number(F.col("source_id")), 25, ["source_id"])
+
+
+@registered(
+    "gallery_images",
+    """SELECT p_partkey, 0 AS pos, '/big/' || p_partkey || '.jpg' AS big, CASE WHEN p_size < 25 THEN '/mid/' || p_size || '.jpg' END AS middle, CASE WHEN p_size < 25 THEN p_name ELSE p_brand END AS alt FROM part
+       UNION ALL SELECT p_partkey, 1, NULL, '/mid/' || p_brand, NULL FROM part WHERE p_size >= 40""",
+)
+def gallery_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's own gallery in page order: full size, preview and caption of each image; other coins' thumbnails are left out (PJ11)."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    image = F.when(size < 25, cat('<img src="/mid/', size, '.jpg" alt="', F.col("p_name"), '">')).otherwise("")
+    own = cat('<a data-fancybox="coin-media" href="/big/', key, '.jpg" data-caption="', F.col("p_brand"), '">', image, "</a>")
+    more = F.when(size >= 40, cat('<a data-fancybox="coin-media"><img src="/mid/', F.col("p_brand"), '"></a>')).otherwise('<a data-fancybox="coin-media"></a>')
+    html = cat('<div><a data-fancybox="similar" href="/other.jpg"><img src="/o.jpg"></a>', own, more, "</div>")
+    found = markup.extracted(read(spark, sf_dir, "part").select("p_partkey", html.alias("html")), "p_partkey", "html", markup.gallery, markup.GALLERY_SCHEMA)
+    return found.select("p_partkey", F.col("row_pos").alias("pos"), "big", "middle", "alt")

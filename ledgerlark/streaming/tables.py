@@ -120,7 +120,8 @@ def split_late(stream: DataFrame, root: str, ts: str, width: str, delay: str, ch
         earlier = [n for n in Folders(spark, f"{root}/newest").complete() if int(n.split("=")[1]) < number]
         marks = spark.read.schema(f"newest {kind}").parquet(*(f"{root}/newest/{n}" for n in earlier)) if earlier else batch.limit(0).select(F.col(ts).alias("newest"))
         mark = F.broadcast(marks.agg((F.max("newest") - F.expr(f"interval {delay}")).alias("__mark")))  # one row
-        late = F.col(ts).isNull() | F.coalesce(F.window(ts, width)["end"] <= F.col("__mark"), F.lit(False))
+        end = F.window(F.coalesce(F.col(ts), F.lit("1970-01-01").cast(kind)), width)["end"]  # a window of a null would drop its row
+        late = F.col(ts).isNull() | F.coalesce(end <= F.col("__mark"), F.lit(False))
         told = batch.crossJoin(mark).withColumn("__late", late).drop("__mark")
         for name, side in (("late", F.col("__late")), ("ontime", ~F.col("__late"))):
             told.filter(side).drop("__late").write.mode("overwrite").parquet(f"{root}/{name}/batch={number:06d}")
