@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import text, values
 from ledgerlark.functions.vocabulary import coded
+from ledgerlark.operators.numbering import written
+from ledgerlark.sources import markup
 
 # Labels of a raw card, by field and language.
 LABELS = {
@@ -42,6 +44,52 @@ def repaired(title: str) -> Column:
     return text.let(text.fix_homoglyphs(F.col(title)), text.normalize_title)
 
 
+def absolute(url: Column, base: str) -> Column:
+    """A page's address resolved against its site (PJ1): full ones stay, `//host` takes the scheme, `/path` the host, others the base's folder; empty is the base."""
+    scheme, host = base.split("://", 1)[0], "/".join(base.split("/", 3)[:3])
+    folder = base.rsplit("/", 1)[0] if base.count("/") > 2 else host
+    return (
+        F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), url)
+        .when(url.startswith("//"), F.concat(F.lit(scheme + ":"), url))
+        .when(url.startswith("/"), F.concat(F.lit(host), url))
+        .when(url == "", F.lit(base))
+        .otherwise(F.concat(F.lit(folder + "/"), url))
+    )
+
+
+def raw_pairs(pages: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """(raw, warnings): landed result pages of two languages as raw cards, one a card id, as canonical() takes them (PJ1, PJ2, PJ3, JN1, AG15).
+
+    pages: locale (uk or en), page (its number), html. Of a card that a language lists twice the last one counts. A card of the second
+    language alone is left out with a warning, one of the first alone is kept; a block without an id is left out with a warning that has its
+    title. Descriptions' look-alikes are repaired, addresses are absolute.
+    """
+    keyed = pages.select(F.struct("locale", "page").alias("key"), "html")
+    found = written(markup.extracted(keyed, "key", "html", markup.cards, markup.CARD_SCHEMA), "cards")
+    named = found.filter("card_id is not null").select(F.col("key.locale").alias("locale"), "card_id", F.struct(F.col("key.page").alias("page"), "row_pos").alias("at"), F.struct("title", "marks", "descriptions", "images", "big_images").alias("card"))
+    last = named.groupBy("locale", "card_id").agg(F.max_by("card", "at").alias("card"))
+    uk, en = (last.filter(F.col("locale") == x).select("card_id", F.col("card").alias(x)) for x in ("uk", "en"))
+    both = uk.join(en, "card_id", "full")
+
+    def texts(side: str) -> Column:
+        return F.transform(F.col(f"{side}.descriptions"), text.fix_homoglyphs)
+
+    def urls(field: str) -> Column:
+        return F.transform(F.col(f"uk.{field}"), lambda u: absolute(u, base))
+
+    raw = both.filter("uk is not null").select(
+        "card_id",
+        *(F.col(f"{x}.title").alias(f"{x}_title") for x in ("uk", "en")),
+        *(F.col(f"{x}.marks").alias(f"{x}_marks") for x in ("uk", "en")),
+        *(texts(x).alias(f"{x}_texts") for x in ("uk", "en")),
+        urls("images").alias("images"),
+        urls("big_images").alias("big_images"),
+    )
+    alone = both.filter("uk is null").select("card_id", F.lit("second language alone").alias("warning"), F.col("en.title").alias("title"))
+    nameless = found.filter("card_id is null").select("card_id", F.lit("no id").alias("warning"), "title")
+    return raw, alone.unionByName(nameless)
+
+
 def canonical(raw: DataFrame, prefix: str) -> DataFrame:
     """One nested card for each raw pair (PJ5), and `unknown`: fields whose label the vocabularies lack, which reject the card.
 

@@ -142,6 +142,19 @@ def first_known(rows: DataFrame, batch: DataFrame, current: DataFrame, key: str,
     return rows.join(b, F.col(key) == F.col("__b"), "left").join(c, F.col(key) == F.col("__c"), "left").withColumn(value, F.coalesce("__bv", "__cv")).drop("__b", "__bv", "__c", "__cv")
 
 
+def twin_links(plans: DataFrame, batch: DataFrame, current: DataFrame, key: str, twin: str, id_column: str, held: str) -> tuple[DataFrame, DataFrame]:
+    """(changes, warnings) of references between cards, set in a second pass when all have their ids (JN14).
+
+    plans: key, twin (another card's key, or null). batch: key, id of what this run wrote; current: key, id, held (the reference it
+    has). A twin's id comes from the batch, else from what was there; changes (key, old, new) leave out references that are right
+    already, and warnings are the plans whose twin neither has.
+    """
+    told = first_known(plans.filter(F.col(twin).isNotNull()), batch.select(F.col(key).alias(twin), id_column), current.select(F.col(key).alias(twin), id_column), twin, id_column)
+    was = current.select(F.col(key).alias("__k"), F.col(held).alias("old"))
+    linked = told.filter(F.col(id_column).isNotNull()).join(was, F.col(key) == F.col("__k"), "left").filter(~F.col("old").eqNullSafe(F.col(id_column)))
+    return linked.select(key, "old", F.col(id_column).alias("new")), told.filter(F.col(id_column).isNull()).select(*plans.columns)
+
+
 def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     """(a, b, overlap): members that groups a (of left) and b (of right) share, over the members' inverted index (JN15, AG11).
 

@@ -46,3 +46,13 @@ def until_breaker(df: DataFrame, group: list[str], order: list[Column], failed:
 def widened(df: DataFrame, number: str, by: int = 1) -> DataFrame:
     """The distinct numbers and their neighbours (AG6)."""
     return df.select(F.explode(F.sequence(F.col(number) - by, F.col(number) + by)).alias(number)).distinct()
+
+
+def series_stats(points: DataFrame, group: list[str], at: str, value: str) -> DataFrame:
+    """Count, span and range of each series (AG3)."""
+    return points.groupBy(*group).agg(F.count(F.lit(1)).alias("points"), F.min(at).alias("first_ts"), F.max(at).alias("last_ts"), F.min(value).alias("low"), F.max(value).alias("high"))
+
+
+def membership_stats(cards: DataFrame, group: list[str], card: str, year: str) -> DataFrame:
+    """Distinct cards and first and last year of each series (AG4)."""
+    return cards.groupBy(*group).agg(F.count_distinct(card).alias("n_cards"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))

@@ -35,6 +35,22 @@ def entry_errors(rules: list[tuple[str, Column]]) -> Column:
     return F.filter(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules)), lambda x: x.isNotNull())
 
 
+def dictionary_errors(slug: Column, is_official: Column, name: Column, membership: Column) -> Column:
+    """What is wrong with a dictionary entry (FL6), in this order; empty if nothing.
+
+    membership: struct(title_prefix string, card_ids array), null if the entry has none. A curated entry needs one with either.
+    """
+    curated, empty = F.coalesce(~is_official, F.lit(False)), F.lit("")
+    return entry_errors([
+        ("official with membership", F.coalesce(is_official, F.lit(False)) & membership.isNotNull()),
+        ("curated without membership", curated & membership.isNull()),
+        ("membership without prefix or ids", curated & membership.isNotNull() & membership["title_prefix"].isNull() & membership["card_ids"].isNull()),
+        ("neither official nor curated", is_official.isNull()),
+        ("no name", F.coalesce(name, empty) == empty),
+        ("no slug", F.coalesce(slug, empty) == empty),
+    ])
+
+
 def membership(rows: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept, extra, missing) of rows against a list of wanted keys (FL3, SE1)."""
     return rows.join(wanted, key, "left_semi"), rows.join(wanted, key, "left_anti"), wanted.join(rows, key, "left_anti")

@@ -255,12 +255,12 @@ def contested_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT c_custkey, y FROM c JOIN o ON c_custkey = o_custkey AND (y = 1997 OR y = 1999) WHERE c_custkey NOT IN (SELECT c_custkey FROM e)""",
 )
 def band_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring years for keys without a hit in the year itself (JN4)."""
-    orders = read(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y")).distinct()
-    customers = read(spark, sf_dir, "customer").select("c_custkey")
-    rest = customers.join(orders.filter("y = 1998"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
-    near = rest.select("c_custkey", F.explode(F.array(F.lit(1997), F.lit(1999))).alias("near"))
-    return near.join(orders, (F.col("c_custkey") == F.col("o_custkey")) & (F.col("near") == F.col("y"))).select("c_custkey", "y")
+    """Neighbouring years for customers without an order in the year itself: customers as cards of 1998, their years as rows (JN4)."""
+    same = [F.lit(None).cast("string").alias("pack"), F.lit("").alias("title")]
+    years = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("value"), F.year("o_orderdate").alias("year")).distinct()
+    rows = years.select(F.struct("value", "year").alias("row"), "value", "year", *same)
+    customers = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("card"), F.col("c_custkey").alias("value"), F.lit(1998).alias("year"), *same)
+    return match.with_fallback(customers, rows).filter("banded").select(F.col("card").alias("c_custkey"), F.col("row.year").alias("y"))
 
 
 @registered(
@@ -331,9 +331,16 @@ def overlap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _overlaps(spark, sf_dir)
 
 
-@registered("overlap_pairs")
+@registered(
+    "overlap_pairs",
+    f"""WITH RECURSIVE {GROUPS_SQL}, s AS (SELECT a, b, count(*) AS overlap FROM l JOIN r ON l.m = r.m GROUP BY a, b), o AS (SELECT *, row_number() OVER (ORDER BY overlap DESC, a, b) AS i FROM s),
+    g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS ua, CAST([] AS BIGINT[]) AS ub, CAST(NULL AS VARCHAR) AS a, CAST(NULL AS BIGINT) AS b, CAST(NULL AS BIGINT) AS overlap
+          UNION ALL SELECT o.i, CASE WHEN free THEN list_append(ua, o.a) ELSE ua END, CASE WHEN free THEN list_append(ub, o.b) ELSE ub END, CASE WHEN free THEN o.a END, CASE WHEN free THEN o.b END, CASE WHEN free THEN o.overlap END
+          FROM (SELECT o.*, ua, ub, NOT list_contains(ua, o.a) AND NOT list_contains(ub, o.b) AS free FROM g JOIN o ON o.i = g.i + 1) o)
+    SELECT a, b, overlap FROM g WHERE a IS NOT NULL""",
+)
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy one-to-one pairs by overlap (JN15, SO4); iterative, so without SQL."""
+    """Greedy one-to-one pairs by overlap (JN15, SO4)."""
     root = shared_folder(spark, "pairs")
 
     def save(df: DataFrame, step: int) -> DataFrame:
@@ -394,8 +401,16 @@ def run_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("series_stats", "SELECT user_id, count(*) AS points, min(ts) AS first_ts, max(ts) AS last_ts, min(value) AS low, max(value) AS high FROM events GROUP BY user_id")
 def series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count, span and range of each series (AG3, AG4)."""
-    return read(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("points"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("value").alias("low"), F.max("value").alias("high"))
+    """Count, span and range of each series (AG3)."""
+    return report.series_stats(read(spark, sf_dir, "events"), ["user_id"], "ts", "value")
+
+
+@registered("series_members", "SELECT p_brand, count(DISTINCT l_orderkey) AS n_cards, min(year(l_shipdate)) AS first_year, max(year(l_shipdate)) AS last_year FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def series_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and years of each brand (AG4)."""
+    lines = read(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", F.year("l_shipdate").cast("long").alias("year"))
+    brands = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    return report.membership_stats(lines.join(brands, "l_partkey"), ["p_brand"], "l_orderkey", "year")
 
 
 @registered("widened_years", "SELECT DISTINCT CAST(year(o_orderdate) + d AS INTEGER) AS y FROM orders, (VALUES (-1), (0), (1)) v(d)")

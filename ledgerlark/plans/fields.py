@@ -98,9 +98,6 @@ golden("three_descriptions", "Three positional descriptions or an error flag (PJ
 golden("day_in_text", "A day anywhere in a text (FN17).", values.date_in_text, [
     ("від 2024-02-03, {}", "2024-02-03"), ("{} 03.04.2024", "2024-04-03"), ("2024-13-01 03.04.2024", None), ("{}", None), (None, None),
 ])
-golden("entry_rules", "All rules that an entry breaks (FL6).", lambda s: F.concat_ws(",", validate.entry_errors([("empty", F.coalesce(F.trim(s), F.lit("")) == ""), ("long", F.coalesce(F.length(s) > 40, F.lit(False))), ("digit", F.coalesce(s.rlike("[0-9]"), F.lit(False)))])), [
-    ("{}", ""), ("", "empty"), (None, "empty"), ("7" * 41, "long,digit"), ("a1", "digit"),
-])
 golden("some_of_many", "The first items and how many more (AG10, SO2).", lambda s: report.first_some(F.split(s, ","), 2), [
     ("a,b", "a, b"), ("a,b,c", "a, b (+1)"), ("a,b,c,d,e", "a, b (+3)"), ("{}", "{}"),
 ])
@@ -142,6 +139,15 @@ spelt("price_guard", "Prices that fit (FL4).", "orders", "o_orderkey", lambda: (
 spelt("year_of_path", "The year of a landed file (SC3).", "orders", "o_orderkey", lambda: told("/raw/", F.year(F.col("o_orderdate")), F.when(F.col("o_orderstatus") == "P", ".txt").otherwise(".html")), landing.year_of, "CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS VARCHAR) END")
 spelt("run_day_of_path", "The run's day of a landing folder (SC4).", "orders", "o_orderkey", lambda: told("/daily/", F.when(F.col("o_orderstatus") == "P", "day=").otherwise("run_date="), F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"), "/x.html"), landing.run_day_of, "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END")
 spelt("stated_date", "A text's date, ISO or day first with points, hyphens or slashes; digits beside it spoil it (FN17).", "orders", "o_orderkey", lambda: told("на ", F.date_format(F.col("o_orderdate"), "yyyy"), " ", F.when(F.col("o_orderstatus") == "F", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")).when(F.col("o_orderstatus") == "O", F.date_format(F.col("o_orderdate"), "dd/MM/yyyy")).otherwise(told("1", F.date_format(F.col("o_orderdate"), "dd-MM-yyyy"))), "."), values.date_in_text, "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END")
+def entry_errors_of_part(s: Column) -> Column:
+    """A part as a dictionary entry, whose size decides what it lacks."""
+    size = F.col("p_size")
+    membership = F.when(size % 10 == 0, F.struct(F.when(size % 3 == 0, F.col("p_name")).alias("title_prefix"), F.when(size == 50, F.array("p_brand")).alias("card_ids")))
+    errors = validate.dictionary_errors(s, F.when(size > 40, None).otherwise(size > 20), F.when(size == 7, "").otherwise(F.col("p_name")), membership)
+    return F.array_join(errors, ",")
+
+
+spelt("entry_rules", "All that is wrong with a dictionary entry, in order (FL6).", "part", "p_partkey", lambda: F.when(F.col("p_size") == 13, "").otherwise(F.col("p_brand")), entry_errors_of_part, "concat_ws(',', CASE WHEN p_size BETWEEN 21 AND 40 AND p_size % 10 = 0 THEN 'official with membership' END, CASE WHEN p_size <= 20 AND p_size % 10 <> 0 THEN 'curated without membership' END, CASE WHEN p_size IN (10, 20) THEN 'membership without prefix or ids' END, CASE WHEN p_size > 40 THEN 'neither official nor curated' END, CASE WHEN p_size = 7 THEN 'no name' END, CASE WHEN p_size = 13 THEN 'no slug' END)")
 WIDTH_SQL = "p_size * 25"
 spelt("tiers_of_size", "Output sizes, more than 3 % apart (WN7).", "part", "p_partkey", lambda: F.col("p_size") * 25, lambda s: F.concat_ws(",", pick.tiers(s).cast("array<string>")), f"concat_ws(',', least(300, {WIDTH_SQL}), CASE WHEN least(600, {WIDTH_SQL}) * 100 > least(300, {WIDTH_SQL}) * 103 THEN least(600, {WIDTH_SQL}) END, CASE WHEN {WIDTH_SQL} > 618 THEN least(1200, {WIDTH_SQL}) END)")
 

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import text
-from ledgerlark.operators import match, pick, upsert, validate
+from ledgerlark.operators import cards, loading, match, pick, upsert, validate
 from ledgerlark.plans.catalogue import read, registered
 from ledgerlark.plans.flows import cat
+from ledgerlark.plans.shared import shared_folder
+from ledgerlark.plans.streams import listed
 from ledgerlark.sources import landing, markup
+from ledgerlark.streaming.tables import KeyedTable
 
 DAILY_SQL = """d AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents, count(*) FILTER (WHERE event_type = 'error') AS bad, max(value) AS top FROM events GROUP BY 1, 2),
        p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) - 1 AS pos, CASE WHEN n = 9 THEN 'keys' WHEN n = 8 AND bad = 2 THEN 'date type' WHEN n = 5 AND bad >= 4 THEN 'date'
@@ -153,3 +156,167 @@ def gallery_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = cat('<div><a data-fancybox="similar" href="/other.jpg"><img src="/o.jpg"></a>', own, more, "</div>")
     found = markup.extracted(read(spark, sf_dir, "part").select("p_partkey", html.alias("html")), "p_partkey", "html", markup.gallery, markup.GALLERY_SCHEMA)
     return found.select("p_partkey", F.col("row_pos").alias("pos"), "big", "middle", "alt")
+
+
+# ---- a whole load ---------------------------------------------------------------------------------------
+
+
+@registered(
+    "history_load",
+    """WITH d AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS day, max(CAST(o_totalprice AS DECIMAL(14,2))) AS price, (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AS last FROM orders GROUP BY 1, 2),
+       c AS (SELECT c_custkey AS k, c_acctbal AS bal, c_mktsegment AS seg, c_nationkey AS nation, n FROM customer LEFT JOIN (SELECT k, count(*) AS n FROM d GROUP BY 1) x ON x.k = c_custkey),
+       t AS (SELECT *, seg = 'FURNITURE' AND nation >= 20 OR n IS NULL AS bare, CASE WHEN bal < -500 THEN 'skipped:no_prices_file' WHEN seg = 'MACHINERY' AND nation < 5 AND n >= 2 THEN 'anomaly' WHEN nation = 7 THEN 'skipped:not_in_db' ELSE 'loaded' END AS status FROM c),
+       h AS (SELECT k, count(*) FILTER (WHERE day > last - 4) AS inserted, count(*) FILTER (WHERE day BETWEEN last - 6 AND last - 4 AND price <> round(price)) AS corrected FROM d GROUP BY 1)
+       SELECT t.k AS card, status, CASE WHEN status IN ('skipped:no_prices_file', 'anomaly') THEN 0 WHEN bare THEN CASE WHEN bal > 0 THEN 1 ELSE 0 END ELSE n END AS points,
+         CASE WHEN status = 'loaded' AND NOT bare THEN inserted ELSE 0 END AS inserted, CASE WHEN status = 'loaded' AND NOT bare THEN corrected ELSE 0 END AS corrected,
+         CASE WHEN status <> 'loaded' THEN 0 WHEN bare THEN CASE WHEN bal > 0 THEN 1 ELSE 0 END ELSE n - inserted - corrected END AS repeated,
+         CASE WHEN status = 'anomaly' THEN 'order 1' WHEN status <> 'skipped:no_prices_file' AND bare AND bal > 0 THEN 'issue price' END AS note FROM t LEFT JOIN h ON h.k = t.k""",
+)
+def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders as landed price files, loaded twice: first rounded and without the last days, then as they are (SC11, SC12, JN10, JN11, PJ16, SE2, SK2, SK3).
+
+    The report of the second run: what was inserted, corrected within the last seven days, or repeated; files that are missing, anomalies,
+    cards that the catalogue lacks; empty histories that an issue price stands in for.
+    """
+    customer, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    daily = orders.groupBy(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day")).agg(F.max(F.col("o_totalprice").cast("decimal(14,2)")).alias("price"))
+    last = daily.agg(F.max("day")).first()[0]
+    card = cat("nb:", F.col("c_custkey"))
+    refs = customer.select(F.col("c_custkey").alias("id"), card.alias("card"), cat("/c/", F.col("c_custkey")).alias("url"))
+    catalogue = customer.filter("c_nationkey <> 7").select(card.alias("source_key"), F.col("c_custkey").alias("item_id"))
+    balance = F.col("c_acctbal").cast("decimal(14,2)")
+    meta = customer.select(card.alias("card"), cat('{"issue_price":{"price":"', balance, '","date":"2020-01-01","text":"t"}}').alias("body"))
+    schema = cards.snapshot_rows(daily.withColumn("url", F.lit("")), "k", "price", "day", "url", "", "").schema
+    table = KeyedTable(spark, f"{shared_folder(spark, 'load')}/table", schema, loading.KEYS, "price", "observed_at", ["price", "raw"], today=last)
+
+    def bodies(points: DataFrame, price: str) -> DataFrame:
+        point = cat('{"date":"', F.col("day"), '","price":', F.expr(price), "}")
+        lists = points.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("day", point.alias("point")))).alias("points"))  # a day a point
+        both = customer.filter("c_acctbal >= -500").join(lists, F.col("k") == F.col("c_custkey"), "left")
+        falls, bare = (F.col("c_mktsegment") == "MACHINERY") & (F.col("c_nationkey") < 5), (F.col("c_mktsegment") == "FURNITURE") & (F.col("c_nationkey") >= 20)
+        told = F.transform(F.when(falls, F.reverse("points")).otherwise(F.col("points")), lambda p: p["point"])
+        return both.select(card.alias("card"), F.when(bare, "[]").otherwise(cat("[", F.coalesce(F.array_join(told, ","), F.lit("")), "]")).alias("body"))
+
+    declared = refs.select("id").limit(0)
+    loading.load_histories(refs, declared, bodies(daily.filter(F.datediff(F.lit(last).cast("date"), "day") >= 4), "round(price)"), meta, catalogue, table, 0, "list", "issue", "UAH")
+    report = loading.load_histories(refs, declared, bodies(daily, "price"), meta, catalogue, table, 1, "list", "issue", "UAH")
+    return report.select(F.split_part("card", F.lit(":"), F.lit(2)).cast("long").alias("card"), "status", "points", "inserted", "corrected", "repeated", "note")
+
+
+@registered(
+    "series_span",
+    """WITH p AS (SELECT p_partkey, lower(replace(p_brand, '#', '-')) AS series, CASE WHEN p_size > 45 THEN NULL WHEN p_size < 6 THEN CAST(floor(p_retailprice) AS BIGINT) ELSE p_partkey + 1000000 END AS id FROM part WHERE p_brand <> 'Brand#25'),
+       n AS (SELECT id, count(*) AS n FROM p GROUP BY 1)
+       SELECT series, 'nb:' || p_partkey AS source_id, p.id FROM p JOIN n ON p.id = n.id WHERE n = 1 OR p.id % 2 = 0""",
+)
+def series_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of all series' files, but for the shared cache's, and their listings: one that several cards claim counts only if declared shared (SC9, SC10, SK11, JN10)."""
+    root = shared_folder(spark, "series")
+    series = F.when(F.col("p_brand") == "Brand#25", "_cache").otherwise(F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))))
+    listing = F.when(F.col("p_size") > 45, None).when(F.col("p_size") < 6, F.floor("p_retailprice").cast("long")).otherwise(F.col("p_partkey") + 1000000)
+    card = F.struct(cat("nb:", F.col("p_partkey")).alias("source_id"), F.when(listing.isNotNull(), F.struct(listing.alias("id"), cat("/l/", listing).alias("url"))).alias("ua_coins"))
+    files = read(spark, sf_dir, "part").groupBy(series.alias("series")).agg(F.to_json(F.struct(F.collect_list(card).alias("cards"))).alias("body"))  # a brand's cards are a file
+    landing.write_named(files.select(F.concat(F.lit("ua/"), "series", F.lit("/parsed/cards.json")).alias("name"), "body"), "name", "body", root)
+    found = landing.series_cards(spark, f"{root}/ua").select("series", "source_id", F.col("ua_coins.id").alias("id")).filter("id is not null")
+    shared = match.shared_index(found.select("id", F.col("source_id").alias("card")), found.filter("id % 2 = 0").select("id"))
+    return found.join(shared.select("id", F.col("card").alias("source_id")), ["id", "source_id"], "left_semi").select("series", "source_id", "id")
+
+
+@registered(
+    "raw_pages",
+    """WITH p AS (SELECT page_id, coalesce(nullif(regexp_extract(url, '/(en|de|fr|es)/', 1), ''), 'none') AS locale FROM pages), r AS (SELECT locale, CAST((row_number() OVER (PARTITION BY locale ORDER BY page_id) - 1) // 7 + 1 AS INTEGER) AS page FROM p)
+       SELECT locale, page, count(*) AS blocks, page = 1 AS is_first FROM r GROUP BY locale, page""",
+)
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listing pages as files, <locale>_p<number>.html, read back by a glob in order of locale and number (SC8, SC3)."""
+    root = shared_folder(spark, "raw")
+    pages = listed(read(spark, sf_dir, "pages").select("page_id", "url"), 7)
+    landing.write_named(pages.select(cat(F.col("locale"), "_p", F.col("page"), ".html").alias("name"), "html"), "name", "html", root)
+    locale, number = landing.page_of(F.col("path"))
+    found = landing.pages(spark, f"{root}/*_p*.html").select(locale.alias("locale"), number.cast("int").alias("page"), F.regexp_count("html", F.lit("<article")).cast("long").alias("blocks"))
+    first = found.groupBy("locale").agg(F.min("page").alias("first"))
+    return found.join(first, "locale").select("locale", "page", "blocks", (F.col("page") == F.col("first")).alias("is_first"))
+
+
+@registered(
+    "landed_run",
+    """SELECT event_type AS kind, 'point' AS side, count(*) AS n FROM events WHERE round(value, 2) > 0 GROUP BY 1 UNION ALL SELECT event_type, 'anomaly', count(*) FROM events WHERE round(value, 2) <= 0 GROUP BY 1""",
+)
+def landed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's table as a snapshot and its anomalies as a side output, written apart and read back (SK1, SK11)."""
+    root = shared_folder(spark, "run")
+    bodies = read(spark, sf_dir, "events").select("event_type", cat('[{"date":"', F.date_format("ts", "yyyy-MM-dd"), '","price":', F.round("value", 2).cast("decimal(12,2)").cast("string"), "}]").alias("body"))
+    points, rejected = landing.histories(bodies, "event_type")
+    for number, half in enumerate((points.limit(0), points)):
+        landing.write_snapshot(half, root, "points", number)
+    landing.write_side(rejected, root, "anomalies", "1")
+    told = landing.read_snapshot(spark, root, "points").select(F.col("event_type").alias("kind"), F.lit("point").alias("side"))
+    bad = landing.read_side(spark, root, "anomalies", "event_type string, reason string").select(F.col("event_type").alias("kind"), F.lit("anomaly").alias("side"))
+    return told.unionByName(bad).groupBy("kind", "side").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered(
+    "declared_sets",
+    """WITH c AS (SELECT l_partkey AS "row", list_sort(list(DISTINCT l_orderkey)) AS claimants FROM lineitem GROUP BY 1), d AS (SELECT l_partkey, list_sort(list(DISTINCT l_orderkey)) AS members FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1)
+       SELECT "row", len(claimants) AS n, len(claimants) > 1 AND (members IS NULL OR claimants <> members) AS conflict FROM c LEFT JOIN d ON d.l_partkey = c."row" """,
+)
+def declared_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that several orders claim: no conflict where exactly these are declared (JN7, AG7)."""
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("row"), F.col("l_orderkey").alias("card"), "l_returnflag")
+    declared = lines.filter("l_returnflag <> 'A'").groupBy("row").agg(F.collect_set("card").alias("members"))
+    return match.contested(lines, declared).select("row", F.size("claimants").cast("long").alias("n"), "conflict")
+
+
+@registered(
+    "parsed_pages",
+    """WITH r AS (SELECT *, p_size = 50 AS nameless, p_size > 45 AS alone, p_size < 6 AS uk_only FROM part)
+       SELECT 'nb:' || p_partkey AS source_id, p_name AS title_uk, CASE WHEN NOT uk_only THEN p_type END AS title_en, CAST(p_size AS DOUBLE) AS value, 'срібло ' || p_brand AS obverse, 'https://site.example/i/' || p_partkey || '_o.jpg' AS picture,
+         CASE WHEN p_size % 2 = 0 THEN 'https://site.example/big/' || p_partkey || '.jpg' END AS big, NULL AS warning FROM r WHERE NOT nameless AND NOT alone
+       UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, p_type, NULL, NULL, NULL, NULL, 'second language alone' FROM r WHERE alone AND NOT nameless
+       UNION ALL SELECT NULL, NULL, t, NULL, NULL, NULL, NULL, 'no id' FROM (SELECT p_name AS t FROM r WHERE nameless UNION ALL SELECT p_type FROM r WHERE nameless)""",
+)
+def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of two languages to canonical cards, with warnings of cards that only the second has and of blocks without an id (PJ1-PJ5, JN1, AG15).
+
+    Each page has twenty parts; every card is listed twice in the first language, and the second listing counts.
+    """
+    part = read(spark, sf_dir, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+
+    def block(title: Column, labels: str, text_: Column) -> Column:
+        image = cat('<img src="/i/', key, '_o.jpg">')
+        image = F.when(size % 2 == 0, cat('<a class="big-image" href="big/', key, '.jpg">', image, "</a>")).otherwise(image)
+        box = F.when(size == 50, "").otherwise(cat('<div class="img-container">', image, "</div>"))
+        mark = cat(f'<p><span class="mark">{labels}</span><span class="mark-text">', size, " грн</span></p>")
+        return cat('<div class="search-result">', box, '<div class="title">', title, "</div>", mark, '<div class="description__text"></div><div class="description__text">', text_, '</div><div class="description__text"></div></div>')
+
+    def pages(locale: str, rows: DataFrame, html: Column) -> DataFrame:
+        blocks = rows.select(F.floor(key / 20).cast("int").alias("page"), key, html.alias("html"))
+        return blocks.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "html"))), lambda b: b["html"]), "").alias("html")).select(F.lit(locale).alias("locale"), "page", "html")  # twenty blocks
+
+    uk_rows, en_rows = part.filter("p_size <= 45 or p_size = 50"), part.filter("p_size >= 6")
+    said = cat("срiбло ", F.col("p_brand"))
+    first = pages("uk", uk_rows.filter("p_size <= 45"), block(F.lit("earlier"), "Номінал", said))
+    second = pages("uk", uk_rows, block(F.col("p_name"), "Номінал", said)).withColumn("page", F.col("page") + 1_000_000)
+    english = pages("en", en_rows, block(F.col("p_type"), "Denomination", F.col("p_brand")))
+    raw, warnings = cards.raw_pairs(first.unionByName(second).unionByName(english), "https://site.example/list")
+    told = cards.canonical(raw, "nb")
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("title_uk", "string"), ("value", "double"), ("obverse", "string"), ("picture", "string"), ("big", "string"))}
+    good = told.select("source_id", F.col("titles.uk").alias("title_uk"), F.col("titles.en").alias("title_en"), "denomination.value", F.col("description.uk.obverse").alias("obverse"), F.col("images.obverse_url").alias("picture"), F.col("images.obverse_big_url").alias("big"), F.lit(None).cast("string").alias("warning"))
+    bad = warnings.select(F.col("card_id").alias("source_id"), F.col("title").alias("title_en"), "warning", *none.values())
+    return good.unionByName(bad)
+
+
+@registered(
+    "twin_links",
+    """WITH p AS (SELECT p_partkey AS k, CASE WHEN p_size < 25 THEN p_partkey + 1 END AS twin, p_size FROM part), b AS (SELECT k, k * 2 AS id FROM p WHERE p_size < 20), c AS (SELECT k, k * 2 AS id, CASE WHEN p_size < 10 THEN k * 2 + 2 END AS held FROM p WHERE p_size < 40)
+       SELECT p.k, c.held AS old, coalesce(b.id, t.id) AS new, coalesce(b.id, t.id) IS NULL AS missing FROM p LEFT JOIN b ON b.k = p.twin LEFT JOIN c t ON t.k = p.twin LEFT JOIN c ON c.k = p.k WHERE p.twin IS NOT NULL AND (coalesce(b.id, t.id) IS NULL OR c.held IS DISTINCT FROM coalesce(b.id, t.id))""",
+)
+def twin_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References to twins that a run sets in a second pass: from its own ids, else from the catalogue's; missing twins are warned of (JN14)."""
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size", (F.col("p_partkey") * 2).alias("id"))
+    plans = part.select("k", F.when(F.col("p_size") < 25, F.col("k") + 1).alias("twin"))
+    current = part.filter("p_size < 40").select("k", "id", F.when(F.col("p_size") < 10, F.col("id") + 2).alias("held"))
+    changes, warnings = match.twin_links(plans, part.filter("p_size < 20").select("k", "id"), current, "k", "twin", "id", "held")
+    lost = warnings.join(current.select("k", F.col("held").alias("old")), "k", "left").select("k", "old", F.lit(None).cast("long").alias("new"), F.lit(True).alias("missing"))
+    return changes.withColumn("missing", F.lit(False)).unionByName(lost)

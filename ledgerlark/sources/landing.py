@@ -6,16 +6,19 @@ Explicit globs are used throughout: Spark's recursive listing skips names that b
 
 from __future__ import annotations
 
+from base64 import b64decode
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.functions import text, values
 from ledgerlark.functions.text import let
+from ledgerlark.sources.folders import Folders
 
 # Fields of the rate archive.
 RATE_SCHEMA = "array<struct<exchangedate string, cc string, rate_per_unit decimal(14,6)>>"
-CARD_FILE_SCHEMA = "series string, cards array<struct<source_id string, title string, year int, material string, quality string>>"
 
 
 def pages(spark: SparkSession, pattern: str) -> DataFrame:
@@ -23,6 +26,31 @@ def pages(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
+def page_of(path: Column) -> tuple[Column, Column]:
+    """(locale, page number) of a landed listing page, <locale>_p<number>.html: pages sort by number, not by name (SC8)."""
+    return tuple(F.nullif(F.regexp_extract(path, r"([^/]+)_p(\d+)\.html(?:/[^/]*)?$", i), F.lit("")) for i in (1, 2))
+
+
+def write_named(rows: DataFrame, name: str, body: str, root: str) -> None:
+    """A file for each name, at the path that the name is below root, from one job: names are few, and each has one row (SC8, SC9, SK11).
+
+    A name's folder is moved to its place, so `root`/a/b.json is a folder with one part, which every reader takes as it would a file.
+    """
+    spark, staging = rows.sparkSession, f"{root}/_staging"
+    rows.select(F.base64(F.encode(F.col(name), "UTF-8")).alias("__name"), F.col(body).alias("value")).withColumn("__name", F.translate("__name", "/+=", "_-.")).repartition("__name").write.mode("overwrite").partitionBy("__name").text(staging)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path(staging)):
+        if status.isDirectory():
+            told = unquote(status.getPath().getName().split("=", 1)[1])
+            place = path(root, b64decode(told.translate(str.maketrans("_-.", "/+="))).decode())
+            files.mkdirs(place.getParent())
+            files.delete(place, True)
+            files.rename(status.getPath(), place)
+    files.delete(path(staging), True)
+
+
 def year_of(path: Column) -> Column:
     return F.regexp_extract(path, r"(\d{4})\.html$", 1).try_cast("int")
 
@@ -32,9 +60,36 @@ def run_day_of(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, r"run_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
 
 
-def documents(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Landed JSON documents under an explicit schema (SC9, SC10)."""
-    return spark.read.schema(schema).option("multiLine", True).json(pattern)
+def documents(spark: SparkSession, pattern: str | list[str], schema: str) -> DataFrame:
+    """(path, fields) of landed JSON documents under an explicit schema (SC9)."""
+    return spark.read.schema(schema).option("multiLine", True).json(pattern).select(F.col("_metadata.file_path").alias("path"), "*")
+
+
+def series_cards(spark: SparkSession, country: str, series: str | None = None, card: str = "source_id string, ua_coins struct<id:long,url:string>") -> DataFrame:
+    """(series, card fields) of the parsed cards of every series below a country's folder, or of one (SC10).
+
+    The series is the folder's name; folders that begin with an underscore are shared caches, not series. No folder gives no rows.
+    """
+    spark_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{country}/{series or '[^_]*'}/parsed/cards.json")
+    files = spark_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    schema = f"cards array<struct<{', '.join(f.strip().replace(' ', ':', 1) for f in split_fields(card))}>>"
+    found = [str(s.getPath()) for s in files.globStatus(spark_path) or []]  # a folder a series
+    if not found:
+        return spark.createDataFrame([], f"series string, {card}")
+    rows = documents(spark, found, schema)
+    return rows.select(F.regexp_extract("path", r"/([^/]+)/parsed/cards\.json", 1).alias("series"), F.explode("cards").alias("c")).select("series", "c.*")
+
+
+def split_fields(ddl: str) -> list[str]:
+    """The fields of a DDL schema, cut at commas outside of angle brackets."""
+    out, depth = [""], 0
+    for c in ddl:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
 
 
 def rates(bodies: DataFrame, currency: str) -> DataFrame:
@@ -134,17 +189,29 @@ def images(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, root: str, name: str, number: int) -> str:
-    """A table's next state as its own folder; readers move to it when the pointer does (SK1, SK11)."""
+    """A table's next state as its own folder (SK1, SK11); it can't be written twice."""
     path = f"{root}/tables/{name}/snapshot={number}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table as of its last snapshot that was written to its end; there must be one."""
+    numbers = [int(n.split("=")[1]) for n in Folders(spark, f"{root}/tables/{name}").complete() if n.startswith("snapshot=")]
+    return spark.read.parquet(f"{root}/tables/{name}/snapshot={max(numbers)}")
+
+
 def write_side(df: DataFrame, root: str, kind: str, run: str) -> None:
     """Anomalies, unmatched rows and outcomes of a run, apart from its result (SK11)."""
     df.write.mode("overwrite").json(f"{root}/{kind}/run={run}")
 
 
+def read_side(spark: SparkSession, root: str, kind: str, schema: str) -> DataFrame:
+    """A kind's side outputs of all runs, with the run's name."""
+    rows = spark.read.schema(schema).json(f"{root}/{kind}/run=*")
+    return rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), "run=([^/]+)/", 1).alias("run"))
+
+
 def write_pages(fetched: DataFrame, root: str, kind: str, run: str) -> str:
     """Fetched pages as they came, one row a page: name and body (SK12); a second write of a run replaces the first."""
     path = f"{root}/landing/{kind}/run={run}"

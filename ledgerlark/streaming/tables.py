@@ -10,49 +10,28 @@ from __future__ import annotations
 import re
 import threading
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlark.operators.upsert import merge_recent, one_per_key
-
-
-class Folders:
-    """Names and marks of the folders below a path, through the file system that Spark uses for it."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        jvm = spark.sparkContext._jvm
-        self.path = jvm.org.apache.hadoop.fs.Path
-        self.files = self.path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.root = root
-
-    def exists(self) -> bool:
-        return self.files.exists(self.path(self.root))
-
-    def complete(self) -> list[str]:
-        """Names of the folders that a job wrote to its end."""
-        if not self.exists():
-            return []
-        names = [s.getPath().getName() for s in self.files.listStatus(self.path(self.root)) if s.isDirectory()]
-        return sorted(n for n in names if self.files.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
-
-    def drop(self, name: str) -> None:
-        self.files.delete(self.path(self.root, name), True)
+from ledgerlark.sources.folders import Folders
 
 
 class KeyedTable:
     """A table under a key, fed by one or more streams through merge() (ST1, ST2, ST4, ST8).
 
     New keys are appended whatever their day; a key that is there is corrected if its day is one of the last `days` that end with
-    the newest day that the table or the batch has, and `compare` differs. Days are no watermark: late rows with new keys come in.
+    `today`, or with the newest day that the table or the batch has, and `compare` differs. Days are no watermark: late rows with new keys come in.
     The writers of one driver take turns; the last `keep` snapshots stay for readers that are under way. Rows with a null key part are
     one key; of a batch's rows of one key the first by `order` counts.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str], compare: str, day: str, order: list[str], days: int = 7, keep: int = 2):
-        self.spark, self.root, self.schema, self.keys, self.compare, self.day, self.order, self.days, self.keep = spark, root, schema, keys, compare, day, order, days, keep
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str], compare: str, day: str, order: list[str], days: int = 7, keep: int = 2, today: date | None = None):
+        self.spark, self.root, self.schema, self.keys, self.compare, self.day, self.order, self.days, self.keep, self.today = spark, root, schema, keys, compare, day, order, days, keep, today
         self.turn = threading.Lock()
 
     def versions(self) -> list[tuple[int, str, int]]:
@@ -80,7 +59,7 @@ class KeyedTable:
             if version is None:
                 current = self.read(known[-1]) if known else self.read()
                 rows = one_per_key(batch.select(*self.schema.names), self.keys, [F.col(c) for c in self.order])
-                newest = current.select(self.day).unionByName(batch.select(self.day)).agg(F.max(self.day)).first()[0]
+                newest = self.today or current.select(self.day).unionByName(batch.select(self.day)).agg(F.max(self.day)).first()[0]
                 recent = F.to_date(self.day) >= F.date_sub(F.lit(newest).cast("date"), self.days - 1)
                 version = (known[-1][0] + 1 if known else 1, writer, number)
                 merge_recent(current, rows, self.keys, self.compare, recent).write.mode("overwrite").parquet(self.at(version))
@@ -101,6 +80,11 @@ class KeyedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", folders.root).parquet(folders.root)
 
+    def changes(self, writer: str, number: int) -> DataFrame:
+        """The rows of a batch that is still among the kept snapshots, with their outcome."""
+        version = next(v for v in self.versions() if v[1:] == (writer, number))
+        return self.spark.read.schema(StructType([*self.schema, StructField("outcome", StringType())])).parquet(self.at(version)).filter("outcome <> 'kept'")
+
     def feed(self, stream: DataFrame, writer: str, checkpoint: str) -> StreamingQuery:
         """Merge the stream's batches until what is there now is through."""
         return stream.writeStream.foreachBatch(lambda batch, number: self.merge(batch, writer, number)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
