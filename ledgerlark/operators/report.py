@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -56,3 +58,42 @@ def series_stats(points: DataFrame, group: list[str], at: str, value: str) -> Da
 def membership_stats(cards: DataFrame, group: list[str], card: str, year: str) -> DataFrame:
     """Distinct cards and first and last year of each series (AG4)."""
     return cards.groupBy(*group).agg(F.count_distinct(card).alias("n_cards"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))
+
+
+class JobRun:
+    """A run's row in a table of runs: opened when it starts, finished or crashed when it ends (SK15).
+
+    Used as a context: what the run notes down is kept with its end; an exception marks it as crashed and goes on. A table that can't be
+    written never changes the run's outcome; it is warned of.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, kind: str, run: str):
+        self.spark, self.root, self.kind, self.run, self.notes = spark, root, kind, run, {}
+
+    def note(self, **counts: int) -> None:
+        self.notes |= counts
+
+    def _tell(self, state: str, error: str | None = None) -> None:
+        row = [(self.kind, state, error, {k: int(v) for k, v in self.notes.items()})]
+        try:
+            self.spark.createDataFrame(row, JOB_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{self.root}/run={self.run}/{'open' if state == 'running' else 'end'}")
+        except Exception as e:  # whatever a sink does, the run's outcome stands
+            warnings.warn(f"run {self.run} isn't reported: {e}", stacklevel=2)
+
+    def __enter__(self) -> JobRun:
+        self._tell("running")
+        return self
+
+    def __exit__(self, kind, error, trace) -> bool:
+        self._tell("finished" if error is None else "crashed", None if error is None else type(error).__name__)
+        return False
+
+
+JOB_SCHEMA = "kind string, state string, error string, notes map<string,long>"
+
+
+def job_runs(spark: SparkSession, root: str) -> DataFrame:
+    """(run, kind, state, error, notes): each run as of its last report; one without an end is running, or was cut off."""
+    rows = spark.read.schema(JOB_SCHEMA).json(f"{root}/run=*/*").withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), "run=([^/]+)/", 1))
+    last = F.max_by(F.struct("kind", "state", "error", "notes"), F.when(F.col("state") == "running", 0).otherwise(1))
+    return rows.groupBy("run").agg(last.alias("r")).select("run", "r.*")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import text
-from ledgerlark.operators import cards, loading, match, pick, upsert, validate
+from ledgerlark.operators import cards, loading, match, pick, report, upsert, validate
+from ledgerlark.operators.numbering import written
 from ledgerlark.plans.catalogue import read, registered
 from ledgerlark.plans.flows import cat
 from ledgerlark.plans.shared import shared_folder
@@ -320,3 +321,34 @@ def twin_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes, warnings = match.twin_links(plans, part.filter("p_size < 20").select("k", "id"), current, "k", "twin", "id", "held")
     lost = warnings.join(current.select("k", F.col("held").alias("old")), "k", "left").select("k", "old", F.lit(None).cast("long").alias("new"), F.lit(True).alias("missing"))
     return changes.withColumn("missing", F.lit(False)).unionByName(lost)
+
+
+@registered("job_runs", "SELECT event_type AS run, 'count' AS kind, CASE WHEN event_type = 'error' THEN 'crashed' ELSE 'finished' END AS state, CASE WHEN event_type = 'error' THEN 'ValueError' END AS error, count(*) AS n FROM events GROUP BY 1")
+def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each type of event, with its count; the run of errors crashes and is reported as such (SK15)."""
+    root, events = shared_folder(spark, "runs"), read(spark, sf_dir, "events")
+    for kind in [r[0] for r in events.select("event_type").distinct().collect()]:  # a few types
+        try:
+            with report.JobRun(spark, root, "count", kind) as run:
+                run.note(n=events.filter(F.col("event_type") == kind).count())
+                if kind == "error":
+                    raise ValueError(kind)
+        except ValueError:
+            continue
+    return report.job_runs(spark, root).select("run", "kind", "state", "error", F.col("notes")["n"].alias("n"))
+
+
+@registered(
+    "uploaded_pages",
+    """WITH p AS (SELECT page_id, coalesce(nullif(regexp_extract(url, '/(en|de|fr|es)/', 1), ''), 'none') AS locale FROM pages), r AS (SELECT *, CAST((row_number() OVER (PARTITION BY locale ORDER BY page_id) - 1) // 50 + 1 AS INTEGER) AS page FROM p)
+       SELECT 'site/' || locale || '_p' || page || '.html' AS key, 'text/html' AS content_type, CAST(sum(length('<article data-id="' || page_id || '">')) + 1 AS BIGINT) AS bytes FROM r GROUP BY locale, page""",
+)
+def uploaded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages copied to a store by tasks, each under its key with its content type, as they are found there (SK14)."""
+    root = shared_folder(spark, "upload")
+    pages = listed(read(spark, sf_dir, "pages").select("page_id", "url"), 50)
+    landing.write_named(pages.select(cat(F.col("locale"), "_p", F.col("page"), ".html").alias("name"), "html"), "name", "html", f"{root}/raw")
+    files = spark.read.format("binaryFile").load(f"{root}/raw/*_p*.html/part-*").select(F.col("path"), cat("site/", F.regexp_extract("path", "/([^/]+)/part-", 1)).alias("key"))
+    told = written(landing.upload(files, f"{root}/store" if ":" in root else f"file://{root}/store"), "uploads").select("key", "content_type")
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/store").select(F.regexp_extract("path", "/store/(.*)$", 1).alias("key"), F.col("length").alias("bytes"))
+    return told.join(there, "key")

@@ -7,8 +7,11 @@ Explicit globs are used throughout: Spark's recursive listing skips names that b
 from __future__ import annotations
 
 from base64 import b64decode
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -255,3 +258,39 @@ def first_occurrences(df: DataFrame, key: str, pos: str, last: bool = False) ->
     """The first (or last) row of each id in reading order (AG15)."""
     order = F.col(pos).desc() if last else F.col(pos).asc()
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("__rn = 1").drop("__rn")
+
+
+# Content types of the files that are uploaded, by extension.
+CONTENT_TYPES = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".webp": "image/webp", ".html": "text/html", ".json": "application/json"}
+
+
+def upload(files: DataFrame, target: str, types: dict[str, str] | None = None) -> DataFrame:
+    """(key, content_type, bytes) of files copied to an object store or folder under their keys (SK14).
+
+    files: path, key. Files whose extension has no content type stay behind. Tasks copy, in the order of keys and a megabyte at a time; a
+    copy that is done again replaces the first. path and target are addresses that pyarrow's file systems open.
+    """
+    known = types or CONTENT_TYPES
+    extension = F.lower(F.regexp_extract("key", r"(\.[^./]+)$", 1))
+    kind = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))[extension]
+    wanted = files.select("path", "key", kind.alias("content_type")).filter("content_type is not null").repartitionByRange("key").sortWithinPartitions("key")
+    schema = pa.schema([("key", pa.string()), ("content_type", pa.string()), ("bytes", pa.int64())])
+
+    def copied(path: str, key: str, content_type: str) -> int:
+        (source, at), (store, to) = FileSystem.from_uri(path), FileSystem.from_uri(f"{target}/{key}")
+        if isinstance(store, LocalFileSystem):
+            store.create_dir(to.rsplit("/", 1)[0], recursive=True)
+        n = 0
+        with source.open_input_stream(at) as given, store.open_output_stream(to, metadata={"Content-Type": content_type}) as taken:
+            while piece := given.read(1 << 20):
+                taken.write(piece)
+                n += len(piece)
+        return n
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            sizes = [copied(r["path"], r["key"], r["content_type"]) for r in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("content_type"), pa.array(sizes, pa.int64())], schema=schema)
+
+    return wanted.mapInArrow(work, "key string, content_type string, bytes long")
