@@ -37,7 +37,7 @@ def load_histories(refs: DataFrame, declared: DataFrame, bodies: DataFrame, meta
     first = cards.snapshot_rows(issued.join(item, "card"), "item_id", "price", "day", "url", issue_source, currency)
     table.merge(rows.unionByName(first), "load", run)
     n = F.count(F.lit(1))
-    changes = table.changes("load", run).groupBy("item_id").agg(*(F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "corrected", "repeated")))
+    changes = table.changes_of("load", run).groupBy("item_id").agg(*(F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "corrected", "repeated")))
     issue = issued.groupBy("card").agg(n.alias("issue_rows"), F.min("day").alias("issue_day"))
     told = index.select("id", "card").join(files.groupBy("card").agg(n.alias("files")), "card", "left").join(rejected.select("card", "reason", "at"), "card", "left")
     told = told.join(held, "card", "left").join(issue, "card", "left").join(catalogue.select(F.col("source_key").alias("card"), "item_id"), "card", "left").join(changes, "item_id", "left")

@@ -188,7 +188,7 @@ def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.col("c_acctbal").cast("decimal(14,2)")
     meta = customer.select(card.alias("card"), cat('{"issue_price":{"price":"', balance, '","date":"2020-01-01","text":"t"}}').alias("body"))
     schema = cards.snapshot_rows(daily.withColumn("url", F.lit("")), "k", "price", "day", "url", "", "").schema
-    table = KeyedTable(spark, f"{shared_folder(spark, 'load')}/table", schema, loading.KEYS, "price", "observed_at", ["price", "raw"], today=last)
+    table = KeyedTable(spark, f"{shared_folder(spark, 'load')}/table", schema, loading.KEYS, "price", "observed_at", ["price", "raw"], today=last, part=lambda: F.date_format("observed_at", "yyyy"))
 
     def bodies(points: DataFrame, price: str) -> DataFrame:
         point = cat('{"date":"', F.col("day"), '","price":', F.expr(price), "}")

@@ -107,7 +107,7 @@ def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     def snapshots(rows: DataFrame) -> DataFrame:
         return cards.snapshot_rows(rows, "user_id", "value", "day", "url", "list", "UAH")
 
-    table = KeyedTable(spark, f"{root}/table", snapshots(events).schema, ["item_id", "source", "grade", "observed_at"], "price", "observed_at", ["price", "raw"])
+    table = KeyedTable(spark, f"{root}/table", snapshots(events).schema, ["item_id", "source", "grade", "observed_at"], "price", "observed_at", ["price", "raw"], part=lambda: F.date_format("observed_at", "yyyy-MM"))
     ago = F.datediff(F.lit(last).cast("date"), "day")
     inputs = [("history", events.filter(ago >= 10)), ("nightly", events.filter(ago <= 14)), ("again", events.filter(ago <= 20).withColumn("value", F.col("value") + 1))]
     for writer, rows in inputs:

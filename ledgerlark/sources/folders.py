@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -24,5 +26,12 @@ class Folders:
         names = [s.getPath().getName() for s in self.files.listStatus(self.path(self.root)) if s.isDirectory()]
         return sorted(n for n in names if self.files.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
 
+    def values(self, column: str) -> dict[str, str]:
+        """The values of a partition column that folders below the path are named by, and those names."""
+        if not self.exists():
+            return {}
+        names = [s.getPath().getName() for s in self.files.listStatus(self.path(self.root)) if s.isDirectory()]
+        return {unquote(n.split("=", 1)[1]): n for n in names if n.startswith(f"{column}=")}
+
     def drop(self, name: str) -> None:
         self.files.delete(self.path(self.root, name), True)

@@ -1,8 +1,9 @@
 """Keyed tables that streams keep up to date: a snapshot for each batch, so that a batch that runs again changes nothing.
 
-Parquet has no MERGE, so a batch reads the last snapshot, joins it with the batch in one full join and writes the next snapshot. A
-snapshot's folder is named by its version, the writer and the writer's batch number: a batch that ran to its end is found by that name and
-skipped; one that was cut off is done again from the version below. A folder without Spark's _SUCCESS mark was cut off and isn't read.
+Parquet has no MERGE, so a batch joins what the table has with what came, in one full join, and writes the result anew: of a table that
+is split into parts by its keys, only the parts that the batch touches. A snapshot is a small list of the parts' folders; its own folder is
+named by its version, the writer and the writer's batch number: a batch that ran to its end is found by that name and skipped; one that
+was cut off is done again from the version below. A folder without Spark's _SUCCESS mark was cut off and isn't read.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import threading
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -25,13 +26,17 @@ class KeyedTable:
     """A table under a key, fed by one or more streams through merge() (ST1, ST2, ST4, ST8).
 
     New keys are appended whatever their day; a key that is there is corrected if its day is one of the last `days` that end with
-    `today`, or with the newest day that the table or the batch has, and `compare` differs. Days are no watermark: late rows with new keys come in.
-    The writers of one driver take turns; the last `keep` snapshots stay for readers that are under way. Rows with a null key part are
-    one key; of a batch's rows of one key the first by `order` counts.
+    `today`, or with the newest day that the table or the batch has, and `compare` differs. Days are no watermark: late rows with new keys
+    come in. The writers of one driver take turns; the last `keep` snapshots stay for readers that are under way. Rows with a null key
+    part are one key; of a batch's rows of one key the first by `order` counts.
+
+    part: splits the table by a text that is computed from key columns alone, a month for instance, so that a night's batch reads and
+    writes the months that it has rows of. A batch touches few parts: their names go through the driver.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str], compare: str, day: str, order: list[str], days: int = 7, keep: int = 2, today: date | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str], compare: str, day: str, order: list[str], days: int = 7, keep: int = 2, today: date | None = None, part: Callable[[], Column] | None = None):
         self.spark, self.root, self.schema, self.keys, self.compare, self.day, self.order, self.days, self.keep, self.today = spark, root, schema, keys, compare, day, order, days, keep, today
+        self.part = lambda: F.coalesce(part().cast("string"), F.lit("none")) if part else F.lit("all")
         self.turn = threading.Lock()
 
     def versions(self) -> list[tuple[int, str, int]]:
@@ -39,15 +44,24 @@ class KeyedTable:
         found = (re.fullmatch(r"snapshot=(\d+)-(.+)-(\d+)", n) for n in Folders(self.spark, f"{self.root}/snapshots").complete())
         return sorted((int(m[1]), m[2], int(m[3])) for m in found if m)
 
+    def name(self, version: tuple[int, str, int]) -> str:
+        return f"{version[0]:09d}-{version[1]}-{version[2]}"
+
     def at(self, version: tuple[int, str, int]) -> str:
-        return f"{self.root}/snapshots/snapshot={version[0]:09d}-{version[1]}-{version[2]}"
+        return f"{self.root}/snapshots/snapshot={self.name(version)}"
+
+    def parts(self, version: tuple[int, str, int] | None) -> tuple[dict[str, str], date | None]:
+        """The folder of each part as of a snapshot, and the newest day that any had: a row a part."""
+        rows = self.spark.read.schema(PARTS).json(self.at(version)).collect() if version else []
+        return {r["part"]: r["folder"] for r in rows if r["part"] is not None}, max((r["newest"] for r in rows if r["newest"]), default=None)
+
+    def _rows(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*(f"{self.root}/data/{f}" for f in folders)) if folders else self.spark.createDataFrame([], self.schema)
 
     def read(self, version: tuple[int, str, int] | None = None) -> DataFrame:
         """The table as of a snapshot, the last one if none is named."""
         known = self.versions()
-        if version is None and not known:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.at(version or known[-1]))
+        return self._rows(sorted(self.parts(version or (known[-1] if known else None))[0].values()))
 
     def merge(self, batch: DataFrame, writer: str, number: int) -> None:
         """The next snapshot from a writer's batch; nothing if that batch is in the table already."""
@@ -57,17 +71,34 @@ class KeyedTable:
             known = self.versions()
             version = next((v for v in known if v[1:] == (writer, number)), None)
             if version is None:
-                current = self.read(known[-1]) if known else self.read()
-                rows = one_per_key(batch.select(*self.schema.names), self.keys, [F.col(c) for c in self.order])
-                newest = self.today or current.select(self.day).unionByName(batch.select(self.day)).agg(F.max(self.day)).first()[0]
-                recent = F.to_date(self.day) >= F.date_sub(F.lit(newest).cast("date"), self.days - 1)
+                folders, newest = self.parts(known[-1] if known else None)
                 version = (known[-1][0] + 1 if known else 1, writer, number)
-                merge_recent(current, rows, self.keys, self.compare, recent).write.mode("overwrite").parquet(self.at(version))
-            told = self.spark.read.schema("outcome string").parquet(self.at(version)).filter("outcome <> 'kept'").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-            told.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/outcomes/writer={writer}/batch={number}")  # three rows at most
-            folders = Folders(self.spark, f"{self.root}/snapshots")
-            for old in self.versions()[: -self.keep]:
-                folders.drop(self.at(old).rsplit("/", 1)[1])
+                rows = one_per_key(batch.select(*self.schema.names), self.keys, [F.col(c) for c in self.order])
+                told = batch.groupBy(self.part().alias("part")).agg(F.to_date(F.max(self.day)).alias("newest")).collect()  # a row a part
+                touched = [r["part"] for r in told]
+                newest = max((d for d in (newest, *(r["newest"] for r in told)) if d), default=None)
+                recent = F.to_date(self.day) >= F.date_sub(F.lit(self.today or newest).cast("date"), self.days - 1)
+                merged = merge_recent(self._rows([folders[p] for p in touched if p in folders]), rows, self.keys, self.compare, recent)
+                merged.withColumn("__part", self.part()).write.mode("overwrite").partitionBy("__part").parquet(f"{self.root}/data/{self.name(version)}")
+                # Folders are told as Spark wrote them: it escapes what a folder's name can't hold.
+                places = Folders(self.spark, f"{self.root}/data/{self.name(version)}").values("__part")
+                folders |= {p: f"{self.name(version)}/{name}" for p, name in places.items()}
+                self.spark.createDataFrame([(p, f, newest) for p, f in folders.items()] or [(None, None, newest)], PARTS).coalesce(1).write.mode("overwrite").json(self.at(version))
+            counts = self.changes(version).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/outcomes/writer={writer}/batch={number}")  # three rows at most
+            self._prune()
+
+    def _prune(self) -> None:
+        """Drop the snapshots before the kept ones, and parts that none of the kept ones has."""
+        known = self.versions()
+        used = {f for v in known[-self.keep :] for f in self.parts(v)[0].values()}
+        for old in known[: -self.keep]:
+            folders = Folders(self.spark, f"{self.root}/data/{self.name(old)}")
+            for name in folders.values("__part").values():
+                if f"{self.name(old)}/{name}" not in used:
+                    folders.drop(name)
+            if not folders.values("__part"):
+                Folders(self.spark, f"{self.root}/snapshots").drop(f"snapshot={self.name(old)}")
 
     def told(self, writer: str, number: int) -> bool:
         """Whether a batch's outcome was written, which is the last thing that merge() does for it."""
@@ -80,16 +111,25 @@ class KeyedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", folders.root).parquet(folders.root)
 
-    def changes(self, writer: str, number: int) -> DataFrame:
-        """The rows of a batch that is still among the kept snapshots, with their outcome."""
-        version = next(v for v in self.versions() if v[1:] == (writer, number))
-        return self.spark.read.schema(StructType([*self.schema, StructField("outcome", StringType())])).parquet(self.at(version)).filter("outcome <> 'kept'")
+    def changes(self, version: tuple[int, str, int]) -> DataFrame:
+        """The rows of a kept snapshot's batch, with their outcome."""
+        schema = StructType([*self.schema, StructField("outcome", StringType())])
+        places = Folders(self.spark, f"{self.root}/data/{self.name(version)}").values("__part").values()
+        rows = self.spark.read.schema(schema).parquet(*(f"{self.root}/data/{self.name(version)}/{p}" for p in places)) if places else self.spark.createDataFrame([], schema)
+        return rows.filter("outcome <> 'kept'")
+
+    def changes_of(self, writer: str, number: int) -> DataFrame:
+        """The rows of a writer's batch that is still among the kept snapshots."""
+        return self.changes(next(v for v in self.versions() if v[1:] == (writer, number)))
 
     def feed(self, stream: DataFrame, writer: str, checkpoint: str) -> StreamingQuery:
         """Merge the stream's batches until what is there now is through."""
         return stream.writeStream.foreachBatch(lambda batch, number: self.merge(batch, writer, number)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+PARTS = "part string, folder string, newest date"
+
+
 def split_late(stream: DataFrame, root: str, ts: str, width: str, delay: str, checkpoint: str) -> StreamingQuery:
     """Rows whose time window closed before their batch go to `root`/late, the others to `root`/ontime, in folders of the batch's number (ST3).
 

@@ -294,6 +294,25 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert len(table.versions()) == 2 and table.read().count() == 4
 
 
+def test_a_batch_rewrites_the_parts_that_it_touches(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, d date, v double").schema
+    table = tables.KeyedTable(spark, f"{tmp_path}/t", schema, ["k", "d"], "v", "d", ["v"], part=lambda: F.date_format("d", "yyyy/MM"))
+    rows = lambda *r: spark.createDataFrame([(k, date(2024, m, d), v) for k, m, d, v in r], schema)
+    table.merge(rows((1, 1, 30, 1.0), (1, 2, 3, 1.0), (2, 3, 1, 1.0)), "w", 0)
+    first = table.parts(table.versions()[-1])[0]
+    table.merge(rows((1, 1, 30, 9.0), (2, 3, 1, 9.0), (3, 3, 2, 3.0)), "w", 1)
+    second = table.parts(table.versions()[-1])[0]
+    assert set(first) == {"2024/01", "2024/02", "2024/03"} and {p for p in first if first[p] != second[p]} == {"2024/01", "2024/03"}
+    want = {(1, date(2024, 1, 30), 1.0), (1, date(2024, 2, 3), 1.0), (2, date(2024, 3, 1), 9.0), (3, date(2024, 3, 2), 3.0)}
+    assert set(map(tuple, table.read().collect())) == want
+    assert set(map(tuple, table.read(table.versions()[0]).collect())) == {(1, date(2024, 1, 30), 1.0), (1, date(2024, 2, 3), 1.0), (2, date(2024, 3, 1), 1.0)}
+    for n in (2, 3):
+        table.merge(rows((9, 5, n, 1.0)), "w", n)
+    assert len(table.read().collect()) == 6 and want < set(map(tuple, table.read().collect()))
+    kept = {p.name for p in (tmp_path / "t/data").glob("*/__part=*")}
+    assert len([p for p in (tmp_path / "t/data").glob("*/__part=*") if "2024%2F03" in p.name]) == 1 and len(kept) == 4
+
+
 def test_late_rows_are_set_aside(spark, tmp_path):
     def run(*hours):
         rows = [(datetime(2024, 1, 1, h), "x") if h is not None else (None, "x") for h in hours]
