@@ -24,12 +24,6 @@ def first_failure(df: DataFrame, group: list[str], pos: list[str], rules: list[t
     return df.withColumn("__reason", reason).groupBy(*group).agg(F.min(F.when(F.col("__reason").isNotNull(), F.struct(*pos, "__reason")))["__reason"].alias("reason"))
 
 
-def split_by(df: DataFrame, reasons: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, anomalies): rows of groups without a reason, and the groups that have one."""
-    bad = reasons.filter(F.col("reason").isNotNull())
-    return df.join(bad, group, "left_anti"), bad
-
-
 def entry_errors(rules: list[tuple[str, Column]]) -> Column:
     """All rules that a row breaks, as an array (FL6)."""
     return F.filter(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules)), lambda x: x.isNotNull())

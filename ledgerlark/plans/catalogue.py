@@ -507,7 +507,7 @@ def json_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT page_id, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title, CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INTEGER) AS n_links FROM pages""",
 )
 def html_title_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Title and links of each page (PJ11, SC8)."""
+    """Title and links of each page (SC8)."""
     return read(spark, sf_dir, "pages").select("page_id", markup.title_of(F.col("html")).alias("title"), F.size(markup.links_of(F.col("html"))).alias("n_links"))
 
 
@@ -567,7 +567,7 @@ def control_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("stream_daily", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events read as a stream of files; each micro-batch is counted by day and merged into a table, which is returned (ST1-ST4)."""
+    """Events read as a stream of files; each micro-batch is counted by day under its number, and the counts are added up (ST3, ST4)."""
     root, keys = shared_folder(spark, "stream"), ["day", "event_type"]
     schema = read(spark, sf_dir, "events").schema
     stream = microbatch.file_stream(spark, sf_dir, schema, "events.parquet").select(F.to_date("ts").alias("day"), "event_type")

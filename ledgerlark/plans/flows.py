@@ -189,7 +189,7 @@ def stamped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
        SELECT p_brand, id FROM old UNION ALL SELECT p_brand, (SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY p_brand) FROM new""",
 )
 def dictionary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New names of a dictionary get the next ids, in order (SK7, SE2)."""
+    """New names of a dictionary get the next ids, in order (SK10)."""
     part = read(spark, sf_dir, "part")
     old = upsert.get_or_create(spark.createDataFrame([], "p_brand string, id long"), part.filter("p_size <= 10").select("p_brand"), ["p_brand"], "id")
     return upsert.get_or_create(old, part.select("p_brand"), ["p_brand"], "id")
@@ -498,7 +498,7 @@ def until_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT CASE WHEN event_id % 9 = 0 THEN 'poison' ELSE 'stored' END AS side, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY 1",
 )
 def poison_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream whose unsound rows go to a side output with their reason, batch by batch (ST6, ST8)."""
+    """A stream whose unsound rows go to a side output with their reason, batch by batch (ST6)."""
     root = shared_folder(spark, "poison")
     stream = microbatch.file_stream(spark, sf_dir, read(spark, sf_dir, "events").schema, "events.parquet").select("event_id")
     ninth = F.col("event_id") % 9 == 0

@@ -35,7 +35,7 @@ def upsert_stream(stream: DataFrame, load: Callable[[], DataFrame], store: Calla
 
 
 def isolated(stream: DataFrame, sound: Column, reason: Column, good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Poison rows of each batch go to a side output with their reason; the rest is stored (ST6, ST8).
+    """Poison rows of each batch go to a side output with their reason; the rest is stored (ST6).
 
     Both outputs get the batch's number, so that a batch that runs again replaces what it wrote.
     """
