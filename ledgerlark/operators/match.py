@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.functions import text
-from ledgerlark.operators.numbering import exploded_range, numbered, written
+from ledgerlark.operators.numbering import exploded_range, numbered, spread_join, written
 
 
 def titles_agree(a: Column, b: Column) -> Column:
@@ -309,6 +309,7 @@ def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug", existi
     """
     named = rows.filter(F.col(base).isNotNull()).select(F.col(base).alias("__base"), F.col(pos).alias("__pos"))
     ranked = numbered(named, ["__base"], ["__pos"], "__r")
+    total = ranked.count()
     stem, number = stem_of(F.col("__base"))
     bases = ranked.groupBy("__base").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__m"))
     depth = F.length(F.regexp_replace(F.regexp_extract("__base", r"(?s)((-([2-9]|[1-9][0-9]{1,14}))*)\z", 1), "[^-]", ""))
@@ -326,13 +327,22 @@ def unique_slugs(rows: DataFrame, base: str, pos: str, out: str = "slug", existi
             stems = given.join(mine.select(F.col("__base").alias("__name"), "__first"), "__name").filter("__pos < __first").select("__name")
             taken = stems if taken is None else taken.unionByName(stems)
         mine = mine.withColumn("__own", F.lit(True)) if taken is None else mine.join(taken.distinct().select(F.col("__name").alias("__base"), F.lit(True).alias("__gone")), "__base", "left").withColumn("__own", F.col("__gone").isNull())
-        asks = ranked.join(mine.select("__base", "__own", "__m"), "__base").withColumn("__k", F.col("__r") - F.col("__own").cast("long"))
-        asks = asks.select("__base", "__pos", "__k", "__m")
         fixed = None
         if old is not None:
             name, n = stem_of(F.col("__name"))
             fixed = old.select(name.alias("__base"), n.alias("__n")).filter("__n is not null").join(mine.select("__base"), "__base", "left_semi")
-        held = _held_numbers(asks, fixed, children.join(mine.select(F.col("__base").alias("__parent")), "__parent", "left_semi")) if level is not None else fixed
+        # Whether a base has taken numbers is told with its rows; where other bases may take some, only when those are known.
+        busy = F.lit(None).cast("boolean") if level is not None else F.lit(False)
+        if level is None and fixed is not None:
+            mine = mine.join(fixed.select("__base", F.lit(True).alias("__fixed")).distinct(), "__base", "left")
+            busy = F.coalesce("__fixed", F.lit(False))
+        asks = spread_join(ranked, mine.select("__base", "__own", "__m", busy.alias("__busy")), "__base", "__m", total).withColumn("__k", F.col("__r") - F.col("__own").cast("long"))
+        asks = written(asks.select("__base", "__pos", "__k", "__m", "__busy"), "asks")
+        held = fixed
+        if level is not None:
+            held = _held_numbers(asks, fixed, children.join(mine.select(F.col("__base").alias("__parent")), "__parent", "left_semi"))
+            taken_of = mine.select("__base", "__m").join(held.select("__base").distinct(), "__base", "left_semi")
+            asks = spread_join(asks, taken_of, "__base", "__m", total, "left_semi").withColumn("__busy", F.lit(True)).unionByName(spread_join(asks, taken_of, "__base", "__m", total, "left_anti").withColumn("__busy", F.lit(False)))
         told = _with_numbers(asks, held).select("__pos", F.when(F.col("__k") == 0, F.col("__base")).otherwise(F.concat_ws("-", "__base", "__number")).alias("__name"))
         told = told if level is None else written(told, "given")
         given = told if given is None else given.unionByName(told)
@@ -348,12 +358,11 @@ def _free(asks: DataFrame, held: DataFrame) -> DataFrame:
 
 def _with_numbers(asks: DataFrame, held: DataFrame | None) -> DataFrame:
     """asks with __number, the k-th free one of its base, as text."""
-    plain = (F.col("__k") + 1).cast("string")
+    plain = asks.filter("not __busy").withColumn("__number", (F.col("__k") + 1).cast("string"))
     if held is None:
-        return asks.withColumn("__number", plain)
-    free = _free(asks, held).select("__base", F.col("__place").alias("__k"), F.col("__number").cast("string").alias("__number"))
-    busy = held.select("__base").distinct()
-    return asks.join(busy, "__base", "left_anti").withColumn("__number", plain).unionByName(asks.join(busy, "__base", "left_semi").join(free, ["__base", "__k"], "left"))
+        return plain
+    free = _free(asks.filter("__busy"), held).select("__base", F.col("__place").alias("__k"), F.col("__number").cast("string").alias("__number"))
+    return plain.unionByName(asks.filter("__busy").join(free, ["__base", "__k"], "left"))
 
 
 def _held_numbers(asks: DataFrame, fixed: DataFrame | None, children: DataFrame) -> DataFrame:

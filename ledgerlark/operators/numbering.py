@@ -36,3 +36,17 @@ def exploded_range(df: DataFrame, low: Column, high: Column, out: str, block: in
     blocks = df.withColumns({"__lo": low.cast("long"), "__hi": high.cast("long")}).filter("__hi >= __lo").withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__hi") - F.col("__lo")) / block))))
     first = F.col("__lo") + F.col("__b") * block
     return blocks.repartition(*df.columns, "__b").withColumn(out, F.explode(F.sequence(first, F.least(first + (block - 1), F.col("__hi"))))).select(*df.columns, out)
+
+
+#: A key of over 1 / HEAVY of all rows is joined by broadcast; fewer than HEAVY keys can be.
+HEAVY = 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """rows, `total` at most, joined (inner, left_semi or left_anti) with groups, one row a key with its number of rows in `size`.
+
+    Keys of very many rows, fewer than a thousand of them, are broadcast, so that their rows stay where they are; the others are shuffled.
+    """
+    heavy, light = F.broadcast(groups.filter(F.col(size) * HEAVY > total)), groups.filter(F.col(size) * HEAVY <= total)
+    rest = rows.join(heavy.select(key), key, "left_anti").join(light, key, how)
+    return rest if how == "left_anti" else rows.join(heavy, key, how).unionByName(rest)

@@ -215,10 +215,11 @@ def series_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "series")
     series = F.when(F.col("p_brand") == "Brand#25", "_cache").otherwise(F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))))
     listing = F.when(F.col("p_size") > 45, None).when(F.col("p_size") < 6, F.floor("p_retailprice").cast("long")).otherwise(F.col("p_partkey") + 1000000)
-    card = F.struct(cat("nb:", F.col("p_partkey")).alias("source_id"), F.when(listing.isNotNull(), F.struct(listing.alias("id"), cat("/l/", listing).alias("url"))).alias("ua_coins"))
-    files = read(spark, sf_dir, "part").groupBy(series.alias("series")).agg(F.to_json(F.struct(F.collect_list(card).alias("cards"))).alias("body"))  # a brand's cards are a file
-    landing.write_named(files.select(F.concat(F.lit("ua/"), "series", F.lit("/parsed/cards.json")).alias("name"), "body"), "name", "body", root)
-    found = landing.series_cards(spark, f"{root}/ua").select("series", "source_id", F.col("ua_coins.id").alias("id")).filter("id is not null")
+    card = F.struct(cat("nb:", F.col("p_partkey")).alias("source_id"), F.when(listing.isNotNull(), F.struct(listing.alias("id"), cat("/l/", listing).alias("url"))).alias("listing"))
+    # A file holds a thousand cards at most; a series may have several.
+    files = read(spark, sf_dir, "part").groupBy(series.alias("series"), F.floor(F.col("p_partkey") / 1000)).agg(F.to_json(F.struct(F.collect_list(card).alias("cards"))).alias("body"))
+    landing.write_named(files.select(F.concat(F.lit("site/"), "series", F.lit("/parsed/cards.json")).alias("name"), "body"), "name", "body", root)
+    found = landing.series_cards(spark, f"{root}/site").select("series", "source_id", F.col("listing.id").alias("id")).filter("id is not null")
     shared = match.shared_index(found.select("id", F.col("source_id").alias("card")), found.filter("id % 2 = 0").select("id"))
     return found.join(shared.select("id", F.col("card").alias("source_id")), ["id", "source_id"], "left_semi").select("series", "source_id", "id")
 

@@ -7,9 +7,9 @@ from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 from ledgerlark.operators import cards
+from ledgerlark.operators.numbering import numbered
 from ledgerlark.plans.catalogue import read, registered
 from ledgerlark.plans.shared import shared_folder
 from ledgerlark.sources.fetching import ListingSource, Response
@@ -133,8 +133,7 @@ class LandedListing(ListingSource):
 def listed(pages: DataFrame, per_page: int) -> DataFrame:
     """(locale, page, html): a listing's pages, each with the blocks of per_page pages of a language, in order of their ids."""
     locale = F.coalesce(F.nullif(F.regexp_extract("url", "/(en|de|fr|es)/", 1), F.lit("")), F.lit("none"))
-    place = F.row_number().over(Window.partitionBy("locale").orderBy("page_id")) - 1  # a site's listing is short, and one sequence
-    blocks = pages.select("page_id", locale.alias("locale")).withColumn("at", place)
+    blocks = numbered(pages.select("page_id", locale.alias("locale")), ["locale"], ["page_id"], "place").withColumn("at", F.col("place") - 1)
     html = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "page_id"))), lambda b: F.concat(F.lit('<article data-id="'), b["page_id"].cast("string"), F.lit('">'))), "")
     return blocks.groupBy("locale", (F.floor(F.col("at") / per_page) + 1).cast("int").alias("page")).agg(html.alias("html"))
 

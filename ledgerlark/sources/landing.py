@@ -35,12 +35,13 @@ def page_of(path: Column) -> tuple[Column, Column]:
 
 
 def write_named(rows: DataFrame, name: str, body: str, root: str) -> None:
-    """A file for each name, at the path that the name is below root, from one job: names are few, and each has one row (SC8, SC9, SK11).
+    """The bodies of each name, at the path that the name is below root, from one job (SC8, SC9, SK11); names are few.
 
-    A name's folder is moved to its place, so `root`/a/b.json is a folder with one part, which every reader takes as it would a file.
+    A name's folder is moved to its place, so `root`/a/b.json is a folder with a part for each of its rows, mostly one, which every reader
+    takes as it would a file.
     """
     spark, staging = rows.sparkSession, f"{root}/_staging"
-    rows.select(F.base64(F.encode(F.col(name), "UTF-8")).alias("__name"), F.col(body).alias("value")).withColumn("__name", F.translate("__name", "/+=", "_-.")).repartition("__name").write.mode("overwrite").partitionBy("__name").text(staging)
+    rows.select(F.base64(F.encode(F.col(name), "UTF-8")).alias("__name"), F.col(body).alias("value")).withColumn("__name", F.translate("__name", "/+=", "_-.")).repartition("__name").write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("__name").text(staging)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -68,7 +69,7 @@ def documents(spark: SparkSession, pattern: str | list[str], schema: str) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(pattern).select(F.col("_metadata.file_path").alias("path"), "*")
 
 
-def series_cards(spark: SparkSession, country: str, series: str | None = None, card: str = "source_id string, ua_coins struct<id:long,url:string>") -> DataFrame:
+def series_cards(spark: SparkSession, country: str, series: str | None = None, card: str = "source_id string, listing struct<id:long,url:string>") -> DataFrame:
     """(series, card fields) of the parsed cards of every series below a country's folder, or of one (SC10).
 
     The series is the folder's name; folders that begin with an underscore are shared caches, not series. No folder gives no rows.

@@ -29,14 +29,14 @@ def test_unreadable_images_are_rejected_rows(spark, tmp_path):
 
 
 def test_series_are_folders_without_an_underscore(spark, tmp_path):
-    card = lambda i, ua: {"source_id": f"nbu:{i}", "ua_coins": ua and {"id": ua, "url": "/u"}}
-    bodies = [("ua/а b/parsed/cards.json", [card(1, 7), card(2, None)]), ("ua/_cache/parsed/cards.json", [card(3, 9)]), ("ua/s-b/parsed/cards.json", [card(4, 8)])]
+    card = lambda i, ua: {"source_id": f"nb:{i}", "listing": ua and {"id": ua, "url": "/u"}}
+    bodies = [("site/а b/parsed/cards.json", [card(1, 7), card(2, None)]), ("site/_cache/parsed/cards.json", [card(3, 9)]), ("site/s-b/parsed/cards.json", [card(4, 8)])]
     landing.write_named(spark.createDataFrame([(n, json.dumps({"cards": c}, ensure_ascii=False)) for n, c in bodies], "name string, body string"), "name", "body", str(tmp_path))
-    every = landing.series_cards(spark, f"{tmp_path}/ua").collect()
-    assert {r.source_id for r in every} == {"nbu:1", "nbu:2", "nbu:4"} and {r.series for r in every if r.source_id == "nbu:4"} == {"s-b"}
-    assert {r.source_id: r.ua_coins and r.ua_coins.id for r in every}["nbu:2"] is None
-    assert [r.source_id for r in landing.series_cards(spark, f"{tmp_path}/ua", "s-b").collect()] == ["nbu:4"]
-    assert landing.series_cards(spark, f"{tmp_path}/ua", "none").collect() == []
+    every = landing.series_cards(spark, f"{tmp_path}/site").collect()
+    assert {r.source_id for r in every} == {"nb:1", "nb:2", "nb:4"} and {r.series for r in every if r.source_id == "nb:4"} == {"s-b"}
+    assert {r.source_id: r.listing and r.listing.id for r in every}["nb:2"] is None
+    assert [r.source_id for r in landing.series_cards(spark, f"{tmp_path}/site", "s-b").collect()] == ["nb:4"]
+    assert landing.series_cards(spark, f"{tmp_path}/site", "none").collect() == []
 
 
 def test_pages_sort_by_number(spark):
