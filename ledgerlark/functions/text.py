@@ -62,9 +62,13 @@ def trim(s: Column) -> Column:
     return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
 
 
+#: White space beside the blank, as a character class holds it: all that Unicode counts as such.
+OTHER_SPACE = r"\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def collapse(s: Column) -> Column:
-    """Runs of white space become one blank, none at the ends."""
-    return F.trim(F.regexp_replace(s, r"(?U)\s+", " "))
+    """Runs of white space become one blank, none at the ends; single blanks, which are most, are left where they are."""
+    return F.trim(F.regexp_replace(s, f" [ {OTHER_SPACE}]+|[{OTHER_SPACE}][ {OTHER_SPACE}]*", " "))
 
 
 def fix_stray_apostrophe(s: Column) -> Column:
@@ -117,7 +121,7 @@ def normalize_title(s: Column) -> Column:
 def fold_apostrophes(s: Column) -> Column:
     """Between letters one canonical apostrophe, elsewhere none (FN6)."""
     marked = F.regexp_replace(s, rf"(?<=\p{{L}})[{APOSTROPHES}](?=\p{{L}})", BETWEEN)
-    return F.translate(F.regexp_replace(marked, f"[{APOSTROPHES}]", ""), BETWEEN, "’")
+    return F.when(s.rlike(f"[{APOSTROPHES}]"), F.translate(F.regexp_replace(marked, f"[{APOSTROPHES}]", ""), BETWEEN, "’")).otherwise(s)
 
 
 def match_key(s: Column) -> Column:

@@ -27,8 +27,7 @@ def load_histories(refs: DataFrame, declared: DataFrame, bodies: DataFrame, meta
     """
     index = refs.join(shared_index(refs.select("id", "card"), declared), ["id", "card"], "left_semi").dropDuplicates(["id", "card"])
     files = bodies.join(index.select("card").distinct(), "card", "left_semi")
-    points, rejected = landing.histories(files, "card")
-    points, rejected = written(points, "points"), written(rejected, "rejected")
+    points, rejected = landing.histories(files, "card", lambda df: written(df, "judged"))
     held = points.groupBy("card").agg(F.count(F.lit(1)).alias("points"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
     bare = files.select("card").join(held, "card", "left_anti").join(rejected, "card", "left_anti")
     issued = landing.issue_prices(meta.join(bare, "card", "left_semi"), "card").dropDuplicates(["card"])

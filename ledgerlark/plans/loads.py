@@ -46,7 +46,7 @@ def whole_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A user's days are as many as the days there are.
     lists = daily.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day", "point"))), lambda p: p["point"]), ",").alias("points"), F.count(F.lit(1)).alias("days"), F.max("top").alias("top"))
     body = F.when(F.col("top") > 450, cat("[", F.col("points"))).when(F.col("days") < 23, cat('{"points":[', F.col("points"), "]}")).otherwise(cat("[", F.col("points"), "]"))
-    points, rejected = landing.histories(lists.select("user_id", body.alias("body")), "user_id")
+    points, rejected = landing.histories(lists.select("user_id", body.alias("body")), "user_id", lambda df: written(df, "judged"))
     loaded = points.groupBy("user_id").agg(F.count(F.lit(1)).alias("points"), F.sum("price").cast("double").alias("total"))
     return rejected.select("user_id", "reason", F.col("at").alias("pos"), F.lit(None).cast("long").alias("points"), F.lit(None).cast("double").alias("total")).unionByName(loaded.select("user_id", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("pos"), "points", "total"))
 

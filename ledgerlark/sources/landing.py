@@ -7,7 +7,7 @@ Explicit globs are used throughout: Spark's recursive listing skips names that b
 from __future__ import annotations
 
 from base64 import b64decode
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -154,24 +154,27 @@ def first_fault(read: Column) -> Column:
     return F.aggregate(read, start, step, lambda acc: F.struct(acc["reason"].alias("reason"), F.when(acc["reason"].isNotNull(), acc["at"]).alias("at")))
 
 
-def histories(bodies: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def histories(bodies: DataFrame, key: str, save: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(points, rejected) of whole price histories, one JSON body a row (SC11, WN1, WN2, FL4, FN18).
 
     points: key, pos, day, price (exact), raw (the point's JSON) of bodies all of whose points are sound and in strictly rising order of
     days; a list without points has none and isn't rejected. rejected: key, reason, at (the failing point's position; null if the body
     itself fails), one row a body. A body that is no JSON (also one that repeats a name in an object) fails as "json", one that is no
-    list as "list". Each body is judged where it is read: nothing is shuffled.
+    list as "list". Each body is judged where it is read: nothing is shuffled. save may write the judged bodies down, so that both results
+    come from one reading of them.
     """
     parsed = bodies.select(key, F.try_parse_json("body").alias("v"))
     kind = F.schema_of_variant("v")
     whole = F.when(F.col("v").isNull(), "json").when(~kind.startswith("ARRAY"), "list")
     items = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>"))
     read = parsed.select(key, whole.alias("whole"), items.alias("items")).withColumn("read", F.transform("items", read_point))
-    judged = read.withColumn("fault", F.when(F.col("whole").isNull(), first_fault(F.col("read"))))
+    told = read.withColumn("fault", F.when(F.col("whole").isNull(), first_fault(F.col("read"))))
     reason = F.coalesce("whole", "fault.reason")
-    rejected = judged.select(key, reason.alias("reason"), F.col("fault.at").alias("at")).filter("reason is not null")
-    sound = judged.filter(reason.isNull()).select(key, F.posexplode(F.arrays_zip("read", "items")).alias("pos", "p"))
-    return sound.select(key, "pos", F.col("p.read.day").alias("day"), F.col("p.read.price").alias("price"), F.to_json("p.items").alias("raw")), rejected
+    # What a rejected body held isn't kept.
+    kept = {"read": F.transform("read", lambda p: F.struct(p["day"].alias("day"), p["price"].alias("price"))), "raw": F.transform("items", lambda v: F.to_json(v))}
+    judged = save(told.select(key, reason.alias("reason"), F.when(F.col("whole").isNull(), F.col("fault.at")).alias("at"), *(F.when(reason.isNull(), c).alias(n) for n, c in kept.items())))
+    sound = judged.filter("reason is null").select(key, F.posexplode(F.arrays_zip("read", "raw")).alias("pos", "p"))
+    return sound.select(key, "pos", F.col("p.read.day").alias("day"), F.col("p.read.price").alias("price"), F.col("p.raw").alias("raw")), judged.filter("reason is not null").select(key, "reason", "at")
 
 
 def issue_prices(bodies: DataFrame, key: str, field: str = "issue_price") -> DataFrame:

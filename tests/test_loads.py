@@ -354,3 +354,10 @@ def test_a_listing_gives_each_block_once_and_goes_on(n):
     again = reader.latestOffset()
     assert read(start, end) == first  # a batch that runs again after the listing has grown
     assert sorted(read(end, again)) == sorted(("uk", str(i)) for i in range(n, n + 25)) and read(again, again) == []
+
+
+def test_white_space_is_unicode_s(spark):
+    rnd = random.Random(4)
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]
+    given = ["".join(rnd.choice([*spaces, *"   ab\x1c"]) for _ in range(rnd.randint(0, 9))) for _ in range(300)] + spaces
+    assert column(spark, text.collapse, given) == [re.sub(f"[{''.join(spaces)}]+", " ", s).strip(" ") for s in given]
