@@ -47,7 +47,8 @@ def test_control_point_compares_values(spark, tmp_path):
     events = spark.createDataFrame(rows, "user_id long, ts long, event_type string, value double").withColumn("ts", F.timestamp_seconds("ts"))
     events.write.parquet(f"{tmp_path}/events.parquet")
     found = dict(catalogue.QUERIES["control_point"](spark, str(tmp_path)).collect())
-    assert found == {1: "ok", 2: "mismatch", 3: "mismatch", 4: "no_points", 5: "ok", 6: "ok"}
+    # Without a printed price there is nothing to compare, whatever the points are.
+    assert found == {1: "ok", 2: "mismatch", 3: "mismatch", 4: "no_points", 5: "ok", 6: "not_found"}
 
 
 def whole_key(s: str) -> str:
