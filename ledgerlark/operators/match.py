@@ -17,18 +17,28 @@ def titles_agree(a: Column, b: Column) -> Column:
     return (a == b) | F.startswith(a, F.concat(b, F.lit(" "))) | F.startswith(b, F.concat(a, F.lit(" ")))
 
 
+def beginnings(title: Column) -> Column:
+    """What stands before each blank of a title."""
+    words = F.split(title, " ", -1)
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda _, i: F.array_join(F.slice(words, 1, i + 1), " "))
+
+
 def candidates(cards: DataFrame, rows: DataFrame, band: int = 0) -> DataFrame:
     """(card, row, exact): pairs of equal year (or within the band), value and packaging whose titles agree (JN3, JN4).
 
-    cards: card, year, value, pack, title; rows: row, year, value, pack, title. The band explodes the cards' years, so
-    the join keeps its equality keys.
+    cards: card, year, value, pack, title; rows: row, year, value, pack, title. The band explodes the cards' years, and titles meet
+    by equality too: the shorter of two that agree is the other one's beginning, so the join keeps its equality keys and a pair is
+    met once.
     """
-    c = cards.select("card", F.col("title").alias("ct"), F.col("value").alias("cv"), F.col("pack").alias("cp"), "year")
+    c = cards.select("card", "title", F.col("value").alias("cv"), F.col("pack").alias("cp"), "year")
     if band:
         c = c.withColumn("year", F.explode(F.array(*(F.col("year") + d for d in range(-band, band + 1) if d))))
-    r = rows.select("row", F.col("title").alias("rt"), F.col("value").alias("rv"), F.col("pack").alias("rp"), F.col("year").alias("ry"))
-    on = (F.col("year") == F.col("ry")) & (F.col("cv") == F.col("rv")) & F.col("cp").eqNullSafe(F.col("rp")) & titles_agree(F.col("ct"), F.col("rt"))
-    return c.join(r, on).select("card", "row", (F.col("ct") == F.col("rt")).alias("exact"))
+    r = rows.select("row", "title", F.col("value").alias("rv"), F.col("pack").alias("rp"), F.col("year").alias("ry"))
+    on = (F.col("year") == F.col("ry")) & (F.col("cv") == F.col("rv")) & F.col("cp").eqNullSafe(F.col("rp")) & (F.col("ct") == F.col("rt"))
+    whole_c, whole_r = c.withColumnRenamed("title", "ct"), r.withColumnRenamed("title", "rt")
+    every_r = r.select("*", F.posexplode(F.concat(F.array("title"), beginnings(F.col("title")))).alias("cut", "rt"))
+    shorter_row = c.select("*", F.explode(beginnings(F.col("title"))).alias("ct")).join(whole_r, on).select("card", "row", F.lit(False).alias("exact"))
+    return whole_c.join(every_r, on).select("card", "row", (F.col("cut") == 0).alias("exact")).unionByName(shorter_row)
 
 
 def with_fallback(cards: DataFrame, rows: DataFrame, band: int = 1) -> DataFrame:

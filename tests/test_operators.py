@@ -78,6 +78,16 @@ def test_match_reports_conflicts_and_ignores_order(spark):
     assert {r.card: r.status for r in match.match(cards, listing, partly).collect()}["c4"] == "contested"
 
 
+def test_titles_meet_by_equality(spark):
+    titles = ["", " ", " a", "a", "a ", "a  b", "a b", "a b c", "ab", "b", None]
+    cards, listing = (spark.createDataFrame([(i, 2020, 5.0, None, t) for i, t in enumerate(titles)], f"{n} int, year int, value double, pack string, title string") for n in ("card", "row"))
+    found = match.candidates(cards, listing)
+    pairs = cards.select("card", F.col("title").alias("a")).crossJoin(listing.select("row", F.col("title").alias("b"))).filter(match.titles_agree(F.col("a"), F.col("b")))
+    assert rows(found) == rows(pairs.select("card", "row", (F.col("a") == F.col("b")).alias("exact")))
+    # No pair of a year is compared title by title.
+    assert "startswith" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_quality_suffix_decides(spark):
     found = spark.createDataFrame([("c", "r1", "Рік (пруф)", "пруф"), ("c", "r2", "Рік (звичайна)", "пруф"), ("d", "r3", "Рік (пруф)", "пруф"), ("d", "r4", "Інше (звичайна)", "пруф")], "card string, row string, title string, quality string")
     assert {r.row for r in match.prefer_quality(found, "title", "quality").collect()} == {"r1", "r3", "r4"}
