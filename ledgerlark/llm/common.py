@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 U64 = np.uint64
 
@@ -46,6 +47,10 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(schema).parquet(path)
 
+    def levels(self, name: str, like: DataFrame) -> DataFrame:
+        """The tables saved as name/depth=<d> as one, with their depth; their columns are those of `like`."""
+        return self.spark.read.schema(StructType([*like.schema, StructField("depth", LongType())])).parquet(f"{self.root}/{name}")
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

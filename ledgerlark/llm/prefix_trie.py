@@ -102,22 +102,22 @@ def trie(convs: DataFrame, turns: DataFrame, scratch: Scratch) -> DataFrame:
     zero = F.lit(0).cast("long")
     levels = [convs.agg(F.min("conv").alias("conv"), F.lit(None).cast("long").alias("parent"), F.count(F.lit(1)).alias("n"), zero.alias("bytes"), F.max("length").alias("length")).filter("n > 0")]
     live = convs.select("conv", "length", F.lit(root).cast("long").alias("node"))
-    ends, depth = [live.filter("length = 0").select(zero.alias("depth"), F.col("node").alias("conv"), F.col("conv").alias("member"))], 0
+    empty, depth = live.filter("length = 0").select(zero.alias("depth"), F.col("node").alias("conv"), F.col("conv").alias("member")), 0
     while True:
         depth += 1
         next_turns = turns.filter(F.col("depth") == depth).select("conv", "key", "bytes")
         step = scratch.save(live.filter(F.col("length") >= depth).join(next_turns, "conv"), f"step-{depth}")
         grouped = step.groupBy("node", "key").agg(F.min("conv").alias("child"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes"), F.max("length").alias("length"))
-        groups = scratch.save(grouped, f"groups-{depth}")
+        groups = scratch.save(grouped, f"groups/depth={depth}")
         levels.append(groups.select(F.col("child").alias("conv"), F.col("node").alias("parent"), "n", "bytes", "length"))
         shared = groups.filter("n > 1").select("node", "key", "child", "n")
         if shared.isEmpty():
             break
-        live = spread_join(step, shared, ["node", "key"], "n", total).select("conv", "length", F.col("child").alias("node"))
-        ends.append(live.filter(F.col("length") == depth).select(F.lit(depth).cast("long").alias("depth"), F.col("node").alias("conv"), F.col("conv").alias("member")))
+        live = scratch.save(spread_join(step, shared, ["node", "key"], "n", total).select("conv", "length", F.col("child").alias("node")), f"live/depth={depth}")
+        scratch.drop(f"step-{depth}")
 
     # In reverse: each shared level with the sums of its children.
-    rolled, nodes = None, []
+    rolled = None
     for d in range(len(levels) - 1, -1, -1):
         shared = levels[d].filter("n > 1") if d else levels[d]
         if rolled is not None:
@@ -125,29 +125,21 @@ def trie(convs: DataFrame, turns: DataFrame, scratch: Scratch) -> DataFrame:
             shared = shared.join(sums.withColumnRenamed("parent", "__p"), F.col("conv") == F.col("__p"), "left")
         else:
             shared = shared.select("*", F.lit(None).cast("long").alias("n_children"), F.lit(None).cast("long").alias("leaves"), F.lit(None).cast("long").alias("saved_below"))
-        told = shared.select("conv", F.lit(d).cast("long").alias("depth"), "parent", "n", F.coalesce("n_children", zero).alias("n_children"), F.coalesce("leaves", zero + 1).alias("n_leaves"), ((F.col("n") - 1) * F.col("bytes") + F.coalesce("saved_below", zero)).alias("saved"))
-        told = scratch.save(told, f"rolled-{d}")
-        nodes.append(told)
+        told = shared.select("conv", "parent", "n", F.coalesce("n_children", zero).alias("n_children"), F.coalesce("leaves", zero + 1).alias("n_leaves"), ((F.col("n") - 1) * F.col("bytes") + F.coalesce("saved_below", zero)).alias("saved"))
+        told = scratch.save(told, f"rolled/depth={d}")
         rolled = told.select("parent", "n_leaves", "saved")
         if d:
             rolled = rolled.unionByName(levels[d].filter("n = 1").select("parent", (zero + 1).alias("n_leaves"), zero.alias("saved")))
 
-    every_end = ends[0]
-    for more in ends[1:]:
-        every_end = every_end.unionByName(more)
+    # All levels are one table each: a plan that doesn't grow with the depth, and nothing joined again.
+    every_end = empty if depth == 1 else empty.unionByName(scratch.levels("live", live).filter("length = depth").select("depth", F.col("node").alias("conv"), F.col("conv").alias("member")))
     blocks = every_end.groupBy("depth", "conv", F.shiftright("member", BLOCK_BITS).alias("block")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("member")), lambda m: m.cast("string")), ",").alias("ids"))
     sorted_blocks = blocks.repartition("depth", "conv").sortWithinPartitions("depth", "conv", "block").select("depth", "conv", "ids")
     digests = sorted_blocks.mapInArrow(hashed_ends, "depth long, conv long, ends_sha256 string")
-    several = nodes[0]
-    for more in nodes[1:]:
-        several = several.unionByName(more)
-    several = several.join(digests, ["depth", "conv"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(NOTHING)))
+    several = scratch.levels("rolled", told).select("conv", "depth", "parent", "n", "n_children", "n_leaves", "saved").join(digests, ["depth", "conv"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(NOTHING)))
 
     # Chains of conversations that are alone from some depth on.
-    alone = None
-    for d, level in enumerate(levels[1:], 1):
-        here = level.filter("n = 1").select("conv", F.lit(d).cast("long").alias("start"), "parent", "length")
-        alone = here if alone is None else alone.unionByName(here)
+    alone = scratch.levels("groups", groups).filter("n = 1").select(F.col("child").alias("conv"), F.col("depth").alias("start"), F.col("node").alias("parent"), "length")
     first = F.col("start") + F.col("block") * CHAIN
     blocks = alone.select("*", F.explode(F.sequence(zero, F.floor((F.col("length") - F.col("start")) / CHAIN))).alias("block"))
     chain = blocks.repartition("conv", "block").select("*", F.explode(F.sequence(first, F.least(first + (CHAIN - 1), F.col("length")))).alias("depth"))
