@@ -16,6 +16,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly to all cores, before work that takes far longer than reading them: a file of many small rows is few partitions.
+
+    The number is the session's own for shuffles, or four for each core; as it is given, adaptive execution doesn't merge small ones.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
     """df with each row's place in its group from 1, in a total order; group columns hold no nulls, without any all rows are one group.
 
