@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import text, values
 from ledgerlark.functions.vocabulary import coded
-from ledgerlark.operators.numbering import written
+from ledgerlark.operators.numbering import dealt, written
 from ledgerlark.sources import markup
 
 # Labels of a raw card, by field and language.
@@ -96,7 +96,7 @@ def canonical(raw: DataFrame, prefix: str) -> DataFrame:
     raw: card_id, uk_title, en_title (null without that language), uk_marks, en_marks (maps), uk_texts, en_texts (three
     descriptions), images and big_images (obverse, reverse).
     """
-    flat = raw.withColumns({"__face": values.face_value(mark("nominal")), "__day": values.dotted_date(mark("circulation_date")), "__material": mark("material"), "__quality": mark("quality"), "__edge": mark("edge")})
+    flat = dealt(raw).withColumns({"__face": values.face_value(mark("nominal")), "__day": values.dotted_date(mark("circulation_date")), "__material": mark("material"), "__quality": mark("quality"), "__edge": mark("edge")})
     flat = flat.withColumns({"__unit": F.col("__face.unit"), "__uk": repaired("uk_title"), "__en": repaired("en_title")})
     for field, vocabulary in CODED:
         flat = coded(flat, f"__{field}", vocabulary, field)
