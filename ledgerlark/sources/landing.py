@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ledgerlark.functions import text, values
 from ledgerlark.functions.text import let
+from ledgerlark.operators.numbering import dealt
 from ledgerlark.sources.folders import Folders
 
 # Fields of the rate archive.
@@ -160,10 +161,10 @@ def histories(bodies: DataFrame, key: str, save: Callable[[DataFrame], DataFrame
     points: key, pos, day, price (exact), raw (the point's JSON) of bodies all of whose points are sound and in strictly rising order of
     days; a list without points has none and isn't rejected. rejected: key, reason, at (the failing point's position; null if the body
     itself fails), one row a body. A body that is no JSON (also one that repeats a name in an object) fails as "json", one that is no
-    list as "list". Each body is judged where it is read: nothing is shuffled. save may write the judged bodies down, so that both results
+    list as "list". Bodies are dealt to all cores and each is judged by itself. save may write the judged bodies down, so that both results
     come from one reading of them.
     """
-    parsed = bodies.select(key, F.try_parse_json("body").alias("v"))
+    parsed = dealt(bodies.select(key, "body")).select(key, F.try_parse_json("body").alias("v"))
     kind = F.schema_of_variant("v")
     whole = F.when(F.col("v").isNull(), "json").when(~kind.startswith("ARRAY"), "list")
     items = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import cards, loading, match, report, validate
-from ledgerlark.sources import landing
+from ledgerlark.sources import landing, markup
 from ledgerlark.streaming import tables
 
 
@@ -115,3 +115,16 @@ def test_a_load_reports_each_card_and_repeats_as_nothing(spark, tmp_path):
             "nb:5": ("skipped:no_prices_file", 0, 0, 0, None), "nb:8": ("loaded", 1, *new(1), None), "nb:9": ("loaded", 1, *new(1), None),
         }
     assert {(r.item_id, r.source) for r in table.read().collect()} == {(10, "list"), (30, "issue"), (80, "list"), (90, "list")}
+
+
+def test_one_partition_is_dealt_before_parsing(spark):
+    """A small file is one partition; its pages, bodies and cards are still worked on by all cores."""
+    least = 4 * spark.sparkContext.defaultParallelism
+    one = spark.range(0, 64, 1, 1)
+    pages = markup.extracted(one.select("id", F.lit("<a data-fancybox='coin-media' href='/x'>").alias("html")), "id", "html", markup.gallery, markup.GALLERY_SCHEMA)
+    points, _ = landing.histories(one.select("id", F.lit('[{"date":"2024-01-01","price":1}]').alias("body")), "id")
+    empty = F.create_map().cast("map<string,string>")
+    texts = F.array().cast("array<string>")
+    raw = one.select(F.col("id").cast("string").alias("card_id"), *(F.lit("t").alias(f"{x}_title") for x in ("uk", "en")), *(empty.alias(f"{x}_marks") for x in ("uk", "en")), *(texts.alias(c) for c in ("uk_texts", "en_texts", "images", "big_images")))
+    for df in (pages, points, cards.canonical(raw, "nb")):
+        assert df.rdd.getNumPartitions() >= least and df.count() == 64
