@@ -25,9 +25,13 @@ from ledgerlark.sources.folders import Folders
 RATE_SCHEMA = "array<struct<exchangedate string, cc string, rate_per_unit decimal(14,6)>>"
 
 
-def pages(spark: SparkSession, pattern: str) -> DataFrame:
-    """(path, html) of landed pages, one row a file (SC1, SC3, SC8)."""
-    return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+def pages(spark: SparkSession, pattern: str, names: str | None = None) -> DataFrame:
+    """(path, html) of landed pages, one row a file (SC1, SC3, SC8).
+
+    Many pages of a folder are read as the folder with `names`, a glob of the files' names: it is listed once, and no path is looked up by itself.
+    """
+    reader = spark.read if names is None else spark.read.option("pathGlobFilter", names)
+    return reader.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
 def page_of(path: Column) -> tuple[Column, Column]:
@@ -56,6 +60,32 @@ def write_named(rows: DataFrame, name: str, body: str, root: str) -> None:
     files.delete(path(staging), True)
 
 
+def write_files(rows: DataFrame, name: str, body: str, root: str) -> DataFrame:
+    """(name, bytes) of the bodies, each one file at the path that its name is below root, however many there are (SC8); names are unique.
+
+    Tasks write them, and the driver touches none. A file that is written again replaces the first. The writing is done when the result is
+    used, and again if it is used again. root is an address that pyarrow's file systems open.
+    """
+    target = root if ":" in root else f"file://{root}"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = FileSystem.from_uri(target)
+        made = set()
+        for batch in batches:
+            sizes = []
+            for row in batch.to_pylist():
+                to, data = f"{top}/{row['name']}", (row["body"] or "").encode()
+                if isinstance(store, LocalFileSystem) and (folder := to.rsplit("/", 1)[0]) not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(to) as out:
+                    out.write(data)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(sizes, pa.int64())], names=["name", "bytes"])
+
+    return dealt(rows.select(F.col(name).alias("name"), F.col(body).alias("body"))).mapInArrow(work, "name string, bytes long")
+
+
 def year_of(path: Column) -> Column:
     return F.regexp_extract(path, r"(\d{4})\.html$", 1).try_cast("int")
 

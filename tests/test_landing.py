@@ -128,3 +128,15 @@ def test_one_partition_is_dealt_before_parsing(spark):
     raw = one.select(F.col("id").cast("string").alias("card_id"), *(F.lit("t").alias(f"{x}_title") for x in ("uk", "en")), *(empty.alias(f"{x}_marks") for x in ("uk", "en")), *(texts.alias(c) for c in ("uk_texts", "en_texts", "images", "big_images")))
     for df in (pages, points, cards.canonical(raw, "nb")):
         assert df.rdd.getNumPartitions() >= least and df.count() == 64
+
+
+def test_many_pages_are_files_that_tasks_write(spark, tmp_path):
+    names = [f"{x}_p{i}.html" for x in ("en", "none") for i in range(1, 101)]
+    df = spark.createDataFrame([(n, f"<p>{n}</p>") for n in names] + [("a/b/n.txt", None)], "name string, body string")
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        assert {(r.name, r.bytes) for r in landing.write_files(df, "name", "body", root).collect()} == {(n, len(n) + 7) for n in names} | {("a/b/n.txt", 0)}
+    assert (tmp_path / "en_p7.html").read_text() == "<p>en_p7.html</p>" and (tmp_path / "a/b/n.txt").read_text() == ""
+    found = landing.pages(spark, str(tmp_path), "*_p*.html")
+    assert {(r.path.rsplit("/", 1)[1], r.html) for r in found.collect()} == {(n, f"<p>{n}</p>") for n in names}
+    # The folder is listed, not each page.
+    assert len(list(found._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths().mkString("\n").split("\n"))) == 1
