@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyarrow import dataset
 from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlark.operators import cards
-from ledgerlark.operators.numbering import numbered
+from ledgerlark.operators.numbering import numbered, written
 from ledgerlark.plans.catalogue import read, registered
 from ledgerlark.plans.shared import shared_folder
+from ledgerlark.sources import landing
 from ledgerlark.sources.fetching import ListingSource, Response
 from ledgerlark.streaming import microbatch
 from ledgerlark.streaming.tables import KeyedTable, split_late, windowed_counts
@@ -117,17 +117,18 @@ def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class LandedListing(ListingSource):
-    """A listing whose pages are landed as Parquet under option root, by locale and page; a name with the right apostrophe finds them."""
+    """A listing whose pages are landed as files under option root, by locale and page; a name with the right apostrophe finds them."""
 
     @classmethod
     def name(cls) -> str:
         return "ledgerlark_landed_listing"
 
     def page(self, locale: str, query: str, number: int) -> Response:
-        files, path = FileSystem.from_uri(f"{self.options['root']}/locale={locale}/page={number}")
+        files, path = FileSystem.from_uri(f"{self.options['root']}/locale={locale}/page={number}.html")
         if query != self.options["named"] or files.get_file_info(path).type == FileType.NotFound:
             return Response(404, "")
-        return Response(200, dataset.dataset(path, filesystem=files, format="parquet").to_table(columns=["html"]).column("html")[0].as_py())
+        with files.open_input_stream(path) as page:
+            return Response(200, page.read().decode())
 
 
 def listed(pages: DataFrame, per_page: int) -> DataFrame:
@@ -153,7 +154,8 @@ def paged_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = pages.agg(F.percentile("page_id", F.lit(0.5))).first()[0]
     spark.dataSource.register(LandedListing)
     for upto in (pages.filter(F.col("page_id") <= middle), pages):
-        listed(upto, 20).write.mode("overwrite").partitionBy("locale", "page").parquet(f"{root}/site")
+        name = F.concat(F.lit("locale="), "locale", F.lit("/page="), F.col("page").cast("string"), F.lit(".html"))
+        written(landing.write_files(listed(upto, 20).select(name.alias("name"), "html"), "name", "html", f"{root}/site"), "names")
         source = spark.readStream.format("ledgerlark_landed_listing").options(root=f"{root}/site", locales="de,en,es,fr,none", query="п'ять", named="п’ять", per_page=20, pages_per_task=5)
         microbatch.stored(source.load(), microbatch.by_batch(f"{root}/blocks"), f"{root}/checkpoint").awaitTermination()
     blocks = spark.read.schema("locale string, query string, page int, pos int, block string").parquet(f"{root}/blocks/batch=*")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import cards, loading, match, report, validate
+from ledgerlark.plans import streams
 from ledgerlark.sources import landing, markup
 from ledgerlark.streaming import tables
 
@@ -140,3 +141,10 @@ def test_many_pages_are_files_that_tasks_write(spark, tmp_path):
     assert {(r.path.rsplit("/", 1)[1], r.html) for r in found.collect()} == {(n, f"<p>{n}</p>") for n in names}
     # The folder is listed, not each page.
     assert len(list(found._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths().mkString("\n").split("\n"))) == 1
+
+
+def test_a_listing_reads_pages_that_tasks_wrote(tmp_path):
+    (tmp_path / "locale=en").mkdir()
+    (tmp_path / "locale=en" / "page=2.html").write_text("<article>п")
+    site = streams.LandedListing({"root": str(tmp_path), "named": "x"})
+    assert [(r.status, r.body) for r in (site.page("en", "x", n) for n in (2, 3))] == [(200, "<article>п"), (404, "")]
