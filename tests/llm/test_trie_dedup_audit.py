@@ -215,3 +215,12 @@ def test_audit_of_nothing_and_of_other_filters(spark):
     assert found == {("XY", 1): (1, 1, 0, 1), ("XY", 2): (0, 1, 1, 3), ("YX", 1): (0, 2, 0, 3), ("YX", 2): (0, 0, 1, 1)}
     with pytest.raises(ValueError, match="at most"):
         filter_audit.step_counts(docs, "ABCDEFGH")
+
+
+def test_the_last_plan_does_not_grow_with_the_depth(spark):
+    sizes = set()
+    for depth in (1, 3):
+        rows = [(c, i, "u", "t") for c in (5, 10) for i in range(depth)]
+        df = prefix_trie.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+        sizes.add(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+    assert len(sizes) == 1
